@@ -2,8 +2,8 @@
 
 Every builder takes ``(spark, sf_dir)``, reads the driver's tables (through
 the proxies) and returns a DataFrame over the whole tables.  Timestamps
-are returned as ``timestamp_ntz`` and computed doubles rounded to 6 digits
-so that the comparison with DuckDB is exact.
+are returned as ``timestamp_ntz`` and aggregated doubles rounded to 6
+digits so that the comparison with DuckDB is exact.
 """
 from __future__ import annotations
 
@@ -11,14 +11,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampType
+from pyspark.sql.types import DoubleType, TimestampType
 
-from ..operators import detect, quality
+from .. import schemas as S
+from ..operators import cohort, detect, detect_state, health, overlay, quality, serving, waveform
+from ..sources import tables
 from . import oracle as O
 from . import proxies as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+FLAGSHIP = "d2_detect_frozen"
+
+WIDTH = "1 hour"          # feeder windows on the proxy data
+SERIES_FEEDERS = ["feeder_0", "feeder_1"]
+SERIES_RANGE = ("2024-01-08 00:00:00", "2024-01-22 00:00:00")
+Q5_FEEDER, Q5_LOOKBACK = "feeder_1", "6 hours"
+Q9_DEVICE = "dev_3"
+COHORT = dict(n=300, months=3, max_blocks=10)
 
 
 def register(name: str, sql: str | None = None):
@@ -30,11 +40,22 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def naive(df: DataFrame) -> DataFrame:
-    """Session-zone timestamps -> wall-clock ``timestamp_ntz`` (UTC session)."""
-    return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
-                       if isinstance(f.dataType, TimestampType) else F.col(f.name)
-                       for f in df.schema.fields])
+def naive(df: DataFrame, digits: int | None = None, round_cols=None) -> DataFrame:
+    """Session-zone timestamps -> wall-clock ``timestamp_ntz`` (UTC session);
+    optionally round the named (or all) double columns."""
+    out = []
+    for f in df.schema.fields:
+        c = F.col(f.name)
+        if isinstance(f.dataType, TimestampType):
+            c = c.cast("timestamp_ntz")
+        elif digits is not None and isinstance(f.dataType, DoubleType) and (round_cols is None or f.name in round_cols):
+            c = F.round(c, digits)
+        out.append(c.alias(f.name))
+    return df.select(*out)
+
+
+def _r6(cols):
+    return ", ".join(f"round({c}, 6) AS {c}" for c in cols)
 
 
 # ---------------------------------------------------------------- shared parts
@@ -43,28 +64,294 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.silver_readings(X.readings_raw(spark, sf_dir), X.meter_raw(spark, sf_dir))
 
 
-def faults_windowed(spark: SparkSession, sf_dir: str, strategy: str = "segmented") -> DataFrame:
+def faults_windowed(spark: SparkSession, sf_dir: str, strategy: str = "segmented",
+                    segment_rows: int = 1_000_000) -> DataFrame:
     return detect.detect_windowed(silver(spark, sf_dir), z=O.Z, sustained_s=O.SUSTAINED_S,
-                                  window=O.WINDOW, min_n=O.MIN_N, strategy=strategy, digits=6)
+                                  window=O.WINDOW, min_n=O.MIN_N, strategy=strategy,
+                                  segment_rows=segment_rows, digits=6)
+
+
+def emissions_frozen(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+    return detect_state.detect_frozen(silver(spark, sf_dir), z=O.Z, sustained_s=O.SUSTAINED_S,
+                                      window=O.WINDOW, min_n=O.MIN_N, **kw)
+
+
+def feeder_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return health.feeder_health(silver(spark, sf_dir), faults_windowed(spark, sf_dir), WIDTH)
+
+
+FAULTS_SQL = (*O.BASE, O.DETECT_WINDOWED)
+HEALTH_SQL = (*FAULTS_SQL, O.HEALTH)
+HEALTH_COLS = ["avg_voltage", "avg_current", "avg_frequency"]
+
+# ---------------------------------------------------------------- silver
+
+@register("p1_clean_readings", O.with_ctes(O.READINGS_RAW, body="""
+SELECT reading_id, device_id, feeder_id, TRY_CAST(ts AS TIMESTAMP) AS ts, voltage, "current", frequency,
+       'synthetic' AS source FROM readings_raw"""))
+def p1_clean_readings(spark, sf_dir):
+    return naive(quality.clean_readings(X.readings_raw(spark, sf_dir)))
+
+
+@register("p2_expect_or_drop", O.with_ctes(*O.BASE, body="SELECT * FROM silver_syn"))
+def p2_expect_or_drop(spark, sf_dir):
+    return naive(quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, sf_dir))))
+
+
+@register("p3_expectation_report", O.with_ctes(O.READINGS_RAW, body="""
+, c AS (SELECT coalesce(voltage IS NOT NULL AND voltage > 0, false) AS r1,
+               coalesce(reading_id IS NOT NULL, false) AS r2 FROM readings_raw)
+SELECT 'valid_voltage' AS rule, count(*) FILTER (WHERE NOT r1) AS failed_rows, count(*) AS total_rows,
+       count(*) FILTER (WHERE r1 AND r2) AS kept_rows FROM c
+UNION ALL
+SELECT 'valid_reading_id', count(*) FILTER (WHERE NOT r2), count(*), count(*) FILTER (WHERE r1 AND r2) FROM c"""
+    .replace("\n, c AS", ", c AS").replace("WITH readings_raw", "WITH readings_raw")))
+def p3_expectation_report(spark, sf_dir):
+    return quality.expectation_report(quality.clean_readings(X.readings_raw(spark, sf_dir)))
+
+
+@register("p4_meter_readings", O.with_ctes(*O.BASE, body="SELECT * FROM silver_lcl"))
+def p4_meter_readings(spark, sf_dir):
+    return naive(quality.derive_meter_readings(X.meter_raw(spark, sf_dir)))
+
+
+@register("p5_only_source", O.with_ctes(*O.BASE, body="SELECT * FROM silver WHERE source = 'lcl'"))
+def p5_only_source(spark, sf_dir):
+    return naive(quality.only_source(silver(spark, sf_dir), S.METER_SOURCE))
+
+
+@register("p6_grid_context", O.with_ctes(O.CONTEXT_RAW, body="SELECT * FROM context_raw"))
+def p6_grid_context(spark, sf_dir):
+    return quality.grid_context(X.context_raw(spark, sf_dir))
+
+
+@register("p7_safe_columns", O.with_ctes(O.METER_RAW, body="SELECT * FROM meter_raw"))
+def p7_safe_columns(spark, sf_dir):
+    landed = X.meter_raw(spark, sf_dir).withColumnRenamed(S.METER_KWH_COLUMN, S.METER_KWH_SOURCE_COLUMN)
+    return quality.safe_columns(landed)
+
+
+@register("u1_unified_readings", O.with_ctes(*O.BASE, body="SELECT * FROM silver"))
+def u1_unified_readings(spark, sf_dir):
+    return naive(silver(spark, sf_dir))
+
+
+@register("a8_source_counts", O.with_ctes(*O.BASE, body="""
+SELECT source, count(*) AS row_count FROM silver GROUP BY source"""))
+def a8_source_counts(spark, sf_dir):
+    return quality.source_counts(silver(spark, sf_dir))
+
+
+@register("r1_flatten_waveform", O.with_ctes(O.WAVE_LONG, body="SELECT * FROM wave_long"))
+def r1_flatten_waveform(spark, sf_dir):
+    return naive(waveform.flatten_waveform(X.waveform_raw(spark, sf_dir)))
+
+
+@register("r2_pivot_channels", O.with_ctes(O.WAVE_LONG, body="""
+SELECT event_id, ts, station_name,
+       arg_min(analog_value, channel_pos) FILTER (WHERE analog_channel_name = 'IA') AS IA,
+       arg_min(analog_value, channel_pos) FILTER (WHERE analog_channel_name = 'IB') AS IB,
+       arg_min(analog_value, channel_pos) FILTER (WHERE analog_channel_name = 'IC') AS IC
+FROM wave_long WHERE analog_value IS NOT NULL AND station_name IS NOT NULL
+GROUP BY event_id, ts, station_name"""))
+def r2_pivot_channels(spark, sf_dir):
+    return naive(waveform.pivot_channels(waveform.flatten_waveform(X.waveform_raw(spark, sf_dir))))
 
 
 # ---------------------------------------------------------------- detection
 
-@register("d1_detect_windowed", O.with_ctes(*O.BASE, O.DETECT_WINDOWED, body="SELECT * FROM faults"))
+@register("d1_detect_windowed", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed(spark, sf_dir):
     return naive(faults_windowed(spark, sf_dir))
 
 
-@register("d1_detect_windowed_by_device", O.with_ctes(*O.BASE, O.DETECT_WINDOWED, body="SELECT * FROM faults"))
+@register("d1_detect_windowed_by_device", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed_by_device(spark, sf_dir):
     return naive(faults_windowed(spark, sf_dir, strategy="device"))
 
 
+@register("w4_islands", O.with_ctes(*FAULTS_SQL, body="""
+SELECT device_id, reading_id, is_anomalous, is_event_start, event_seq FROM d1_islands"""))
+def w4_islands(spark, sf_dir):
+    from ..operators import windows as W
+    r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts",
+                                                          "voltage", "current")
+    m = W.islands(W.flag_anomalies(W.zscore(W.rolling_baseline(r, n=O.WINDOW)), O.Z, O.MIN_N))
+    return m.select("device_id", "reading_id", "is_anomalous", "is_event_start",
+                    F.col("event_seq").cast("long").alias("event_seq"))
+
+
+@register(FLAGSHIP, O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
+def d2_detect_frozen(spark, sf_dir):
+    return naive(emissions_frozen(spark, sf_dir))
+
+
+@register("d4_event_status", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS,
+                                             body="SELECT * FROM statuses"))
+def d4_event_status(spark, sf_dir):
+    return naive(detect_state.event_status(emissions_frozen(spark, sf_dir)))
+
+
+@register("j3_overlay_faults", O.with_ctes(*O.BASE, O.FAULT_SCHEDULE, O.ASOF_OVERLAY, body="""
+SELECT reading_id, device_id, feeder_id, ts, source,
+       CASE WHEN fid IS NOT NULL THEN voltage * voltage_factor ELSE voltage END AS voltage,
+       CASE WHEN fid IS NOT NULL THEN "current" * current_factor ELSE "current" END AS "current",
+       CASE WHEN fid IS NOT NULL THEN frequency + freq_offset_hz ELSE frequency END AS frequency,
+       CAST(CASE WHEN fid IS NOT NULL THEN 1 ELSE 0 END AS BIGINT) AS event_flag,
+       fid AS _fault_id, CASE WHEN fid IS NOT NULL THEN ftype END AS _fault_type_truth
+FROM overlaid"""))
+def j3_overlay_faults(spark, sf_dir):
+    syn = quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, sf_dir)))
+    return naive(overlay.overlay_faults(syn, X.fault_schedule(spark, sf_dir)))
+
+
+@register("d5_score_detections", O.with_ctes(*FAULTS_SQL, O.FAULT_SCHEDULE, body="""
+, hit AS (
+  SELECT e.event_id, e.fault_type,
+         CASE WHEN f.fault_id IS NOT NULL AND epoch_us(e."timestamp") <
+              epoch_us(f.start_time) + CAST(round(f.duration_s * 1e6) AS BIGINT) THEN f.fault_id END AS fid,
+         f.fault_type AS tt
+  FROM faults e ASOF LEFT JOIN fault_schedule f ON e.device_id = f.device_id AND e."timestamp" >= f.start_time
+)
+SELECT (SELECT count(*) FROM fault_schedule) AS faults, count(DISTINCT fid) AS faults_detected,
+       round(count(DISTINCT fid) / (SELECT count(*) FROM fault_schedule), 6) AS recall,
+       count(*) AS events, count(*) FILTER (WHERE fid IS NULL) AS false_alarms,
+       count(*) FILTER (WHERE fid IS NOT NULL AND fault_type = tt) AS type_agreement
+FROM hit""".replace("\n, hit AS", ", hit AS")))
+def d5_score_detections(spark, sf_dir):
+    return detect_state.score_detections(faults_windowed(spark, sf_dir), X.fault_schedule(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- gold
+
+@register("a1_feeder_windows", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT window_start, window_end, feeder_id, {_r6(HEALTH_COLS)}, device_count FROM fw"""))
+def a1_feeder_windows(spark, sf_dir):
+    return naive(health.feeder_windows(silver(spark, sf_dir), WIDTH), 6)
+
+
+@register("a3_fault_counts", O.with_ctes(*HEALTH_SQL, body="SELECT * FROM fc"))
+def a3_fault_counts(spark, sf_dir):
+    return naive(health.fault_counts(faults_windowed(spark, sf_dir), WIDTH))
+
+
+@register("a2_feeder_health", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status
+FROM health"""))
+def a2_feeder_health(spark, sf_dir):
+    return naive(feeder_health(spark, sf_dir), 6)
+
+
+@register("a4_feeder_windows_approx")
+def a4_feeder_windows_approx(spark, sf_dir):
+    return naive(health.feeder_windows(silver(spark, sf_dir), WIDTH, exact=False), 6)
+
+
+@register("a9_cohort_sample", O.with_ctes(O.METER_RAW, body=f"""
+, timed AS (SELECT *, TRY_CAST(DateTime AS TIMESTAMP) AS _t FROM meter_raw
+            WHERE TRY_CAST(DateTime AS TIMESTAMP) IS NOT NULL
+              AND block IN (SELECT block FROM (SELECT DISTINCT block FROM meter_raw ORDER BY block LIMIT {COHORT['max_blocks']}))),
+first_block AS (SELECT LCLid, min(block) AS block FROM timed GROUP BY LCLid),
+chosen AS (SELECT * FROM first_block ORDER BY block, LCLid LIMIT {COHORT['n']}),
+kept AS (SELECT * FROM timed WHERE (LCLid, block) IN (SELECT (LCLid, block) FROM chosen)),
+starts AS (SELECT LCLid, min(_t) AS _start FROM kept GROUP BY LCLid)
+SELECT LCLid, stdorToU, DateTime, kwh_per_half_hour, block, o_orderkey
+FROM kept JOIN starts USING (LCLid) WHERE _t < _start + INTERVAL {COHORT['months']} MONTH"""
+    .replace("\n, timed AS", ", timed AS")))
+def a9_cohort_sample(spark, sf_dir):
+    return cohort.cohort_sample(X.meter_raw(spark, sf_dir), **COHORT)
+
+
+@register("s8_upsert", O.with_ctes_rec(*FAULTS_SQL, O.DETECT_FROZEN, O.EVENT_STATUS, body="""
+SELECT * FROM statuses
+UNION ALL
+SELECT * FROM faults WHERE event_id NOT IN (SELECT event_id FROM statuses)"""))
+def s8_upsert(spark, sf_dir):
+    target = faults_windowed(spark, sf_dir)
+    updates = detect_state.event_status(emissions_frozen(spark, sf_dir))
+    return naive(tables.upsert(target, updates, ["event_id"]))
+
+
 # ---------------------------------------------------------------- serving
 
-@register("q1_latest_fault_feeder", O.with_ctes(*O.BASE, O.DETECT_WINDOWED, body="""
+@register("q1_latest_fault_feeder", O.with_ctes(*FAULTS_SQL, body="""
 SELECT feeder_id, max("timestamp") AS last_fault FROM faults
 GROUP BY feeder_id ORDER BY last_fault DESC, feeder_id LIMIT 1"""))
 def q1_latest_fault_feeder(spark, sf_dir):
-    from ..operators import serving
     return naive(serving.latest_fault_feeder(faults_windowed(spark, sf_dir)))
+
+
+@register("q2_week_over_week", O.with_ctes(*FAULTS_SQL, body="""
+, ref AS (SELECT date_trunc('week', CAST(max("timestamp") AS DATE)) AS wk FROM faults)
+SELECT CAST(coalesce(sum(CASE WHEN "timestamp" >= wk THEN 1 ELSE 0 END), 0) AS BIGINT) AS this_week,
+       CAST(coalesce(sum(CASE WHEN "timestamp" >= wk - INTERVAL 7 DAY AND "timestamp" < wk THEN 1 ELSE 0 END), 0)
+            AS BIGINT) AS last_week
+FROM faults, ref""".replace("\n, ref AS", ", ref AS")))
+def q2_week_over_week(spark, sf_dir):
+    return serving.week_over_week(faults_windowed(spark, sf_dir))
+
+
+@register("q3_type_share", O.with_ctes(*FAULTS_SQL, body="""
+SELECT fault_type, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS pct FROM faults
+WHERE CAST("timestamp" AS DATE) = (SELECT CAST(max("timestamp") AS DATE) FROM faults) AND fault_type IS NOT NULL
+GROUP BY fault_type"""))
+def q3_type_share(spark, sf_dir):
+    return naive(serving.type_share(faults_windowed(spark, sf_dir)), 6)
+
+
+@register("q4_unhealthy_feeders", O.with_ctes(*HEALTH_SQL, body="""
+SELECT feeder_id FROM health
+WHERE health_status = 'fault' AND window_end = (SELECT max(window_end) FROM health)"""))
+def q4_unhealthy_feeders(spark, sf_dir):
+    return serving.unhealthy_feeders(feeder_health(spark, sf_dir))
+
+
+@register("q5_feeder_mean_voltage", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT round(avg(avg_voltage), 6) AS avg_voltage FROM health
+WHERE feeder_id = '{Q5_FEEDER}' AND window_start >= (SELECT max(window_end) FROM health) - INTERVAL {Q5_LOOKBACK}"""))
+def q5_feeder_mean_voltage(spark, sf_dir):
+    return naive(serving.feeder_mean_voltage(feeder_health(spark, sf_dir), Q5_FEEDER, lookback=Q5_LOOKBACK), 6)
+
+
+@register("q6_feeder_status_grid", O.with_ctes(*HEALTH_SQL, body="""
+SELECT feeder_id, window_end, health_status, round(avg_voltage, 6) AS avg_voltage,
+       round(avg_current, 6) AS avg_current, device_count FROM health
+QUALIFY row_number() OVER (PARTITION BY feeder_id ORDER BY window_end DESC) = 1"""))
+def q6_feeder_status_grid(spark, sf_dir):
+    return naive(serving.feeder_status_grid(feeder_health(spark, sf_dir)), 6)
+
+
+@register("q7_feeder_series", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT window_start, feeder_id, round(avg_voltage, 6) AS avg_voltage, round(avg_current, 6) AS avg_current
+FROM health WHERE feeder_id IN ({", ".join(f"'{f}'" for f in SERIES_FEEDERS)})
+  AND window_start >= TIMESTAMP '{SERIES_RANGE[0]}' AND window_start < TIMESTAMP '{SERIES_RANGE[1]}'
+ORDER BY feeder_id, window_start"""))
+def q7_feeder_series(spark, sf_dir):
+    return naive(serving.feeder_series(feeder_health(spark, sf_dir), SERIES_FEEDERS, *SERIES_RANGE), 6)
+
+
+@register("q8_recent_faults", O.with_ctes(*FAULTS_SQL, body="""
+SELECT "timestamp", feeder_id, device_id, fault_type, confidence_score, event_id FROM faults
+ORDER BY "timestamp" DESC, event_id LIMIT 20"""))
+def q8_recent_faults(spark, sf_dir):
+    return naive(serving.recent_faults(faults_windowed(spark, sf_dir), 20))
+
+
+@register("q9_latest_device_fault", O.with_ctes(*FAULTS_SQL, body=f"""
+SELECT * FROM faults WHERE device_id = '{Q9_DEVICE}' ORDER BY "timestamp" DESC, event_id LIMIT 1"""))
+def q9_latest_device_fault(spark, sf_dir):
+    return naive(serving.latest_device_fault(faults_windowed(spark, sf_dir), Q9_DEVICE))
+
+
+@register("q10_latest_context", O.with_ctes(O.CONTEXT_RAW, body="""
+SELECT region, period, demand_mwh, generation_mwh FROM context_raw
+QUALIFY row_number() OVER (PARTITION BY region ORDER BY period DESC) = 1"""))
+def q10_latest_context(spark, sf_dir):
+    return serving.latest_context(quality.grid_context(X.context_raw(spark, sf_dir)))
+
+
+@register("q11_health_newest_first", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status
+FROM health ORDER BY window_end DESC, feeder_id"""))
+def q11_health_newest_first(spark, sf_dir):
+    return naive(serving.health_newest_first(feeder_health(spark, sf_dir)), 6)
