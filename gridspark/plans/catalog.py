@@ -16,6 +16,7 @@ from pyspark.sql.types import DoubleType, TimestampType
 from .. import schemas as S
 from ..operators import cohort, detect, detect_state, health, overlay, quality, serving, waveform
 from ..sources import tables
+from . import layers
 from . import oracle as O
 from . import proxies as X
 
@@ -60,17 +61,33 @@ def _r6(cols):
 
 # ---------------------------------------------------------------- shared parts
 
-def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+def build_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.silver_readings(X.readings_raw(spark, sf_dir), X.meter_raw(spark, sf_dir))
 
 
-def faults_windowed(spark: SparkSession, sf_dir: str, strategy: str = "segmented",
-                    segment_rows: int = 1_000_000) -> DataFrame:
+def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored silver readings table (built on first use)."""
+    return layers.materialized(spark, "silver_readings", sf_dir, lambda: build_silver(spark, sf_dir),
+                               partition_by=["source"])
+
+
+def detect_faults(spark: SparkSession, sf_dir: str, strategy: str = "segmented",
+                  segment_rows: int = 1_000_000) -> DataFrame:
     return detect.detect_windowed(silver(spark, sf_dir), z=O.Z, sustained_s=O.SUSTAINED_S,
                                   window=O.WINDOW, min_n=O.MIN_N, strategy=strategy,
                                   segment_rows=segment_rows, digits=6)
 
 
+def faults_windowed(spark: SparkSession, sf_dir: str, strategy: str | None = None,
+                    segment_rows: int = 1_000_000) -> DataFrame:
+    """Gold fault classifications: detected with the given strategy, or the
+    stored gold table when no strategy is asked for."""
+    if strategy is not None:
+        return detect_faults(spark, sf_dir, strategy, segment_rows)
+    return layers.materialized(spark, "fault_classifications", sf_dir,
+                               lambda: detect_faults(spark, sf_dir, "auto"))
+
+
 def emissions_frozen(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return detect_state.detect_frozen(silver(spark, sf_dir), z=O.Z, sustained_s=O.SUSTAINED_S,
                                       window=O.WINDOW, min_n=O.MIN_N, **kw)
@@ -133,7 +150,7 @@ def p7_safe_columns(spark, sf_dir):
 
 @register("u1_unified_readings", O.with_ctes(*O.BASE, body="SELECT * FROM silver"))
 def u1_unified_readings(spark, sf_dir):
-    return naive(silver(spark, sf_dir))
+    return naive(build_silver(spark, sf_dir))
 
 
 @register("a8_source_counts", O.with_ctes(*O.BASE, body="""
@@ -162,7 +179,7 @@ def r2_pivot_channels(spark, sf_dir):
 
 @register("d1_detect_windowed", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed(spark, sf_dir):
-    return naive(faults_windowed(spark, sf_dir))
+    return naive(faults_windowed(spark, sf_dir, strategy="segmented"))
 
 
 @register("d1_detect_windowed_by_device", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))

@@ -63,10 +63,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return spark.read.parquet(f"{path.rstrip('/')}/snapshot={snap}")
 
 
-def write_snapshot(df: DataFrame, path: str, snapshot_id: str) -> str:
+def write_snapshot(df: DataFrame, path: str, snapshot_id: str,
+                   partition_by: Sequence[str] | None = None) -> str:
     """Write ``df`` as snapshot ``snapshot_id`` and move the pointer to it."""
     spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/snapshot={snapshot_id}")
+    w = df.write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path.rstrip('/')}/snapshot={snapshot_id}")
     spark.createDataFrame([(str(snapshot_id),)], "snapshot string").coalesce(1) \
         .write.mode("overwrite").parquet(_pointer(path))
     return str(snapshot_id)
