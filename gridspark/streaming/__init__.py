@@ -1 +1 @@
-
+"""Structured Streaming operators (readers live in ``sources.landing``)."""
