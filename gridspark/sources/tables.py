@@ -27,10 +27,12 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("event_
     keys = list(keys)
     cols = target.columns
     w = Window.partitionBy(*keys)
+    # the check is folded into a key column so that pruning cannot drop it
+    k0 = keys[0]
     checked = (updates.select(*cols)
                .withColumn("_dup", F.count(F.lit(1)).over(w))
-               .withColumn("_dup", F.when(F.col("_dup") > 1, F.raise_error(F.lit(
-                   "upsert: duplicate keys in the update set"))).otherwise(F.lit(None)))
+               .withColumn(k0, F.when(F.col("_dup") > 1, F.raise_error(F.lit(
+                   "upsert: duplicate keys in the update set"))).otherwise(F.col(k0)))
                .drop("_dup"))
     kept = target.join(checked.select(*keys), on=keys, how="left_anti")
     if mode == "replace":
