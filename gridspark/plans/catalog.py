@@ -179,6 +179,12 @@ def r2_pivot_channels(spark, sf_dir):
 
 @register("d1_detect_windowed", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed(spark, sf_dir):
+    return naive(faults_windowed(spark, sf_dir, strategy="auto"))
+
+
+@register("d1_detect_windowed_segmented", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
+def d1_detect_windowed_segmented(spark, sf_dir):
+    """D1 with the hot-device plan forced (positions + halo segments)."""
     return naive(faults_windowed(spark, sf_dir, strategy="segmented"))
 
 
@@ -224,7 +230,7 @@ SELECT reading_id, device_id, feeder_id, ts, source,
        fid AS _fault_id, CASE WHEN fid IS NOT NULL THEN ftype END AS _fault_type_truth
 FROM overlaid"""))
 def j3_overlay_faults(spark, sf_dir):
-    syn = quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, sf_dir)))
+    syn = quality.only_source(silver(spark, sf_dir))
     return naive(overlay.overlay_faults(syn, X.fault_schedule(spark, sf_dir)))
 
 
