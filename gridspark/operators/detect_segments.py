@@ -24,6 +24,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,25 +96,38 @@ def _walk_groups(params: dict):
             return df
 
         for pdf in batches:
-            cols = {c: pdf[c].tolist() for c in pdf.columns}
-            for i in range(len(pdf)):
-                key = (cols["device_id"][i], int(cols["seg"][i]))
+            d = pdf["device_id"].to_numpy()
+            sg = pdf["seg"].to_numpy(dtype=np.int64)
+            halo = pdf["is_halo"].to_numpy(dtype=bool)
+            t = pdf["ts_us"].to_numpy(dtype=np.int64)
+            v = pdf["voltage"].to_numpy(dtype=np.float64)
+            c = pdf["current"].to_numpy(dtype=np.float64)
+            f = pdf["feeder_id"].to_numpy()
+            rid = pdf["reading_id"].to_numpy()
+            n = len(pdf)
+            # sub-runs of equal (device, seg, is_halo); warm rows precede own rows
+            brk = np.flatnonzero((d[1:] != d[:-1]) | (sg[1:] != sg[:-1]) | (halo[1:] != halo[:-1])) + 1
+            for a, b in zip(np.r_[0, brk], np.r_[brk, n]):
+                if a == b:
+                    continue
+                key = (d[a], int(sg[a]))
                 if key != cur["key"]:
                     close()
                     m = FrozenBaseline(**params)
-                    if cols["s_known"][i]:
-                        m.set_state((list(cols["s_bv"][i]), list(cols["s_bc"][i]), _clean(cols["s_start"][i]),
-                                     _clean(cols["s_peak"][i]), _clean(cols["s_feeder"][i])))
+                    if pdf["s_known"].iat[a]:
+                        m.set_state((list(pdf["s_bv"].iat[a]), list(pdf["s_bc"].iat[a]),
+                                     _clean(pdf["s_start"].iat[a]), _clean(pdf["s_peak"].iat[a]),
+                                     _clean(pdf["s_feeder"].iat[a])))
                     cur.update(key=key, m=m, guess=None)
-                warm = cols["is_halo"][i]
-                if not warm and cur["guess"] is None:
+                if halo[a]:
+                    cur["m"].run(t[a:b], v[a:b], c[a:b], f[a:b])  # warm-up: no emissions
+                    continue
+                if cur["guess"] is None:
                     cur["guess"] = cur["m"].get_state()
-                ts = int(cols["ts_us"][i])
-                e = cur["m"].step(cols["feeder_id"][i], ts, cols["voltage"][i], cols["current"][i])
-                if e is not None and not warm:
-                    add(device_id=key[0], seg=key[1], is_state=False, feeder_id=e[3],
-                        reading_id=cols["reading_id"][i], ts_us=ts, start_us=int(e[1]),
-                        fault_type=e[0], peak_z=float(e[2]))
+                for idx, kind, start, peak, fdr in cur["m"].run(t[a:b], v[a:b], c[a:b], f[a:b]):
+                    add(device_id=key[0], seg=key[1], is_state=False, feeder_id=fdr,
+                        reading_id=rid[a + idx], ts_us=int(t[a + idx]), start_us=int(start),
+                        fault_type=kind, peak_z=float(peak))
             if out["device_id"]:
                 yield flush()
         close()

@@ -19,7 +19,9 @@ state across Arrow batches.  Event ids, timestamps and confidence are
 computed back in the JVM.
 
 Hot devices: the state is tiny, but the walk over one device is serial.
-``detect_frozen(..., segment_rows=N)`` splits every device into segments
+By default (``segment_rows="auto"``) one small aggregate finds the largest
+device; above ``hot_rows`` readings, or with an explicit
+``detect_frozen(..., segment_rows=N)``, every device is split into segments
 of N readings, runs the segments in parallel from a speculative start state
 (warmed up on the ``warmup`` readings before each segment), then checks each
 segment's start state against the end state of the segment before it.
@@ -28,10 +30,11 @@ until all agree -- the result is exact, usually after one round.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -55,8 +58,26 @@ EMIT_SCHEMA = StructType([
 ])
 
 
+def _stats(win: np.ndarray):
+    """Mean and population sigma (0 -> 1e-6) of each row of a C-contiguous
+    2-D array.  The scalar and the vectorised paths both call this on
+    contiguous rows, so they agree to the bit."""
+    n = win.shape[1]
+    m = win.sum(axis=1) / n
+    d = win - m[:, None]
+    sd = np.sqrt((d * d).sum(axis=1) / n)
+    sd[sd == 0] = 1e-6
+    return m, sd
+
+
 class FrozenBaseline:
-    """The per-device state machine (pure Python, O(window) memory)."""
+    """The per-device state machine (O(window) memory).
+
+    ``step`` takes one reading.  ``run`` takes a run of one device's readings
+    as arrays: while no event is open and the baseline is full, a chunk of
+    readings is scored at once against sliding windows (every reading in
+    the chunk is normal until the first anomalous one, so the windows are
+    exact up to there); the rest goes through ``step``."""
 
     __slots__ = ("window", "min_ready", "vth", "cth", "sustained_us", "bv", "bc",
                  "start_us", "peak", "feeder")
@@ -78,26 +99,23 @@ class FrozenBaseline:
 
     def set_state(self, st):
         bv, bc, start, peak, feeder = st
-        self.bv, self.bc = list(bv or []), list(bc or [])
+        self.bv, self.bc = [float(x) for x in (bv if bv is not None else [])], \
+            [float(x) for x in (bc if bc is not None else [])]
         self.start_us, self.peak, self.feeder = start, (peak or 0.0), feeder
 
-    @staticmethod
-    def _z(x: float, vals: list[float]) -> float:
-        n = len(vals)
-        m = sum(vals) / n
-        sd = math.sqrt(sum((y - m) * (y - m) for y in vals) / n) or 1e-6
-        return abs((x - m) / sd)
+    def _zs(self, v: float, c: float):
+        m, sd = _stats(np.array([self.bv, self.bc], dtype=np.float64))
+        return abs((v - m[0]) / sd[0]), abs((c - m[1]) / sd[1])
 
     def step(self, feeder, ts_us: int, v: float, c: float):
-        """Feed one reading; return ``(fault_type, start_us, peak)`` when it
-        emits (fault_type None = event opened), else None."""
+        """Feed one reading; return ``(fault_type, start_us, peak, feeder)``
+        when it emits (fault_type None = event opened), else None."""
         anomalous = False
         pk = 0.0
         if len(self.bv) >= self.min_ready:
-            vz = self._z(v, self.bv)
-            cz = self._z(c, self.bc)
-            anomalous = vz >= self.vth or cz >= self.cth
-            pk = vz if vz >= cz else cz
+            vz, cz = self._zs(v, c)
+            anomalous = bool(vz >= self.vth or cz >= self.cth)
+            pk = float(vz if vz >= cz else cz)
         if anomalous:
             if self.start_us is None:
                 self.start_us, self.peak, self.feeder = ts_us, pk, feeder
@@ -112,38 +130,77 @@ class FrozenBaseline:
             kind = S.SUSTAINED if ts_us - self.start_us >= self.sustained_us else S.TRANSIENT
             out = (kind, self.start_us, self.peak, self.feeder)
             self.start_us, self.peak, self.feeder = None, 0.0, None
-        self.bv.append(v)
-        self.bc.append(c)
+        self.bv.append(float(v))
+        self.bc.append(float(c))
         if len(self.bv) > self.window:
             del self.bv[0]
             del self.bc[0]
         return out
 
+    def run(self, ts: np.ndarray, v: np.ndarray, c: np.ndarray, feeder) -> list:
+        """Feed a run of one device's readings (sorted); return emissions as
+        ``(index, fault_type, start_us, peak, feeder)``."""
+        out = []
+        n, i, w, chunk = len(v), 0, self.window, 64
+        while i < n:
+            if self.start_us is None and len(self.bv) == w and self.min_ready <= w:
+                j = min(n, i + chunk)
+                ev = np.concatenate([np.asarray(self.bv, dtype=np.float64), v[i:j]])
+                ec = np.concatenate([np.asarray(self.bc, dtype=np.float64), c[i:j]])
+                mv, sv = _stats(np.ascontiguousarray(sliding_window_view(ev, w)[: j - i]))
+                mc, sc = _stats(np.ascontiguousarray(sliding_window_view(ec, w)[: j - i]))
+                zv = np.abs((v[i:j] - mv) / sv)
+                zc = np.abs((c[i:j] - mc) / sc)
+                hit = (zv >= self.vth) | (zc >= self.cth)
+                k = int(hit.argmax()) if hit.any() else j - i
+                if k:  # readings i .. i+k-1 are normal
+                    self.bv = ev[k:k + w].tolist()
+                    self.bc = ec[k:k + w].tolist()
+                if k == j - i:
+                    i = j
+                    chunk = min(chunk * 2, 4096)
+                    continue
+                i += k
+                pk = float(zv[k] if zv[k] >= zc[k] else zc[k])
+                self.start_us, self.peak, self.feeder = int(ts[i]), pk, feeder[i]
+                out.append((i, None, self.start_us, pk, self.feeder))
+                i += 1
+                chunk = 64
+            else:
+                e = self.step(feeder[i], int(ts[i]), float(v[i]), float(c[i]))
+                if e is not None:
+                    out.append((i, *e))
+                i += 1
+        return out
+
 
 def _walk(params: dict):
-    """mapInPandas body: rows arrive sorted by (device, ts, reading_id)."""
+    """mapInPandas body: rows arrive sorted by (device, ts, reading_id);
+    a device's run may span Arrow batches (the machine carries over)."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dev, m = None, None
         for pdf in batches:
+            d = pdf["device_id"].to_numpy()
+            f = pdf["feeder_id"].to_numpy()
+            rid = pdf["reading_id"].to_numpy()
+            t = pdf["ts_us"].to_numpy(dtype=np.int64)
+            v = pdf["voltage"].to_numpy(dtype=np.float64)
+            c = pdf["current"].to_numpy(dtype=np.float64)
+            cuts = np.flatnonzero(d[1:] != d[:-1]) + 1 if len(d) else np.array([], dtype=np.int64)
             out = {k: [] for k in EMIT_SCHEMA.names}
-            d_a = pdf["device_id"].tolist()
-            f_a = pdf["feeder_id"].tolist()
-            r_a = pdf["reading_id"].tolist()
-            t_a = pdf["ts_us"].tolist()
-            v_a = pdf["voltage"].tolist()
-            c_a = pdf["current"].tolist()
-            for i in range(len(d_a)):
-                if d_a[i] != dev:
-                    dev, m = d_a[i], FrozenBaseline(**params)
-                e = m.step(f_a[i], t_a[i], v_a[i], c_a[i])
-                if e is not None:
+            for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(d)]):
+                if a == b:
+                    continue
+                if d[a] != dev:
+                    dev, m = d[a], FrozenBaseline(**params)
+                for idx, kind, start, peak, fdr in m.run(t[a:b], v[a:b], c[a:b], f[a:b]):
                     out["device_id"].append(dev)
-                    out["feeder_id"].append(e[3])
-                    out["reading_id"].append(r_a[i])
-                    out["ts_us"].append(t_a[i])
-                    out["start_us"].append(e[1])
-                    out["fault_type"].append(e[0])
-                    out["peak_z"].append(e[2])
+                    out["feeder_id"].append(fdr)
+                    out["reading_id"].append(rid[a + idx])
+                    out["ts_us"].append(int(t[a + idx]))
+                    out["start_us"].append(int(start))
+                    out["fault_type"].append(kind)
+                    out["peak_z"].append(float(peak))
             if out["device_id"]:
                 yield pd.DataFrame(out)
     return run
@@ -174,7 +231,8 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
                   window: int = S.DEFAULT_WINDOW_SIZE, min_n: int = S.DEFAULT_MIN_BASELINE_READINGS,
                   full_scale: float = S.CONFIDENCE_Z_FULL_SCALE, source: str | None = S.SYNTHETIC,
                   num_partitions: int | None = None, digits: int = 3,
-                  segment_rows: int | None = None, warmup: int = 300) -> DataFrame:
+                  segment_rows: int | str | None = "auto", warmup: int = 300,
+                  hot_rows: int = 5_000_000) -> DataFrame:
     """Emissions of the frozen-baseline detector, in batch.
 
     Columns: event_id, device_id, feeder_id, timestamp (of the emitting
@@ -182,11 +240,17 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     params = dict(window=window, min_n=min_n, vth=float(z),
                   cth=float(z if current_z is None else current_z), sustained_s=float(sustained_s))
     r = _prepared(readings, source)
+    if segment_rows == "auto":
+        # one small aggregate: split devices only when one is hot
+        from .detect import hottest_key_rows
+        segment_rows = hot_rows if hottest_key_rows(r) > hot_rows else None
     if segment_rows:
         from .detect_segments import walk_segmented
         return _finish(walk_segmented(r, params, segment_rows, warmup), full_scale, digits)
-    n = num_partitions or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = r.repartition(n, "device_id").sortWithinPartitions("device_id", "ts_us", "reading_id")
+    # by column (not by count) so AQE may coalesce small partitions; whole
+    # devices move together, so the per-partition sort stays valid
+    parts = r.repartition(num_partitions, "device_id") if num_partitions else r.repartition("device_id")
+    ordered = parts.sortWithinPartitions("device_id", "ts_us", "reading_id")
     emits = ordered.mapInPandas(_walk(params), EMIT_SCHEMA)
     return _finish(emits, full_scale, digits)
 

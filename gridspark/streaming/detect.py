@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,24 +56,28 @@ class FrozenBaselineProcessor(StatefulProcessor):
             st = self.state.get()
             m.set_state((list(st[0] or []), list(st[1] or []), st[2], st[3], st[4]))
             last = (st[5], st[6])
+        t = pdf["ts_us"].to_numpy(dtype=np.int64)
+        rid = pdf["reading_id"].to_numpy()
+        if last is not None:
+            # sorted input: rows at or before the last position form a prefix
+            late = (t < last[0]) | ((t == last[0]) & (rid <= last[1]))
+            n_late = int(late.sum())
+            if n_late and self.late_policy == "raise":
+                raise ValueError(f"{n_late} late reading(s) for device {device}")
+            pdf, t, rid = pdf[~late], t[~late], rid[~late]
         out = {k: [] for k in EMIT_SCHEMA.names}
-        for f, r, t, v, c in zip(pdf["feeder_id"].tolist(), pdf["reading_id"].tolist(),
-                                 pdf["ts_us"].tolist(), pdf["voltage"].tolist(), pdf["current"].tolist()):
-            t = int(t)
-            if last is not None and (t, r) <= last:
-                if self.late_policy == "raise":
-                    raise ValueError(f"late reading {r} for device {device}")
-                continue
-            e = m.step(f, t, v, c)
-            last = (t, r)
-            if e is not None:
+        if len(pdf):
+            em = m.run(t, pdf["voltage"].to_numpy(dtype=np.float64),
+                       pdf["current"].to_numpy(dtype=np.float64), pdf["feeder_id"].to_numpy())
+            for idx, kind, start, peak, fdr in em:
                 out["device_id"].append(device)
-                out["feeder_id"].append(e[3])
-                out["reading_id"].append(r)
-                out["ts_us"].append(t)
-                out["start_us"].append(int(e[1]))
-                out["fault_type"].append(e[0])
-                out["peak_z"].append(float(e[2]))
+                out["feeder_id"].append(fdr)
+                out["reading_id"].append(rid[idx])
+                out["ts_us"].append(int(t[idx]))
+                out["start_us"].append(int(start))
+                out["fault_type"].append(kind)
+                out["peak_z"].append(float(peak))
+            last = (int(t[-1]), rid[-1])
         if last is not None:
             bv, bc, start, peak, feeder = m.get_state()
             self.state.update((bv, bc, start, float(peak), feeder, last[0], last[1]))
