@@ -74,6 +74,15 @@ def expectation_report(df: DataFrame, rules: Mapping[str, str] = READING_RULES)
     )
 
 
+def observe_expectations(df: DataFrame, rules: Mapping[str, str] = READING_RULES,
+                         name: str = "expectations") -> DataFrame:
+    """P3 on streams: attach per-rule failure counts as observed metrics
+    (``query.lastProgress["observedMetrics"][name]``); rows pass unchanged."""
+    metrics = [F.count(F.lit(1)).alias("total_rows")]
+    metrics += [F.count_if(~_rule(r)).alias(f"failed_{n}") for n, r in rules.items()]
+    return df.observe(name, *metrics)
+
+
 def safe_columns(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
     """Rename columns to storage-safe names.  Explicit mapping first
     (the meter kWh header), then any remaining unsafe character -> ``_``."""

@@ -117,3 +117,19 @@ def test_stream_union_and_empty_start(spark, scratch):
     u = quality.unify_readings(syn, met)
     assert u.isStreaming
     assert _run(u, "u_empty", f"{scratch}/ck").count() == 0
+
+
+def test_observed_expectations_on_stream(spark, scratch):
+    _land(spark, f"{scratch}/in", chunks=2)
+    s = landing.read_readings_stream(spark, f"{scratch}/in").drop("_ingested_at")
+    c = quality.clean_readings(s)
+    obs = quality.observe_expectations(c)
+    q = (quality.expect_or_drop(obs).writeStream.format("memory").queryName("obs")
+         .option("checkpointLocation", f"{scratch}/ck").start())
+    q.processAllAvailable()
+    m = q.lastProgress["observedMetrics"]["expectations"]
+    q.stop()
+    raw = quality.clean_readings(X.readings_raw(spark, SF001))
+    rep = {r.rule: r.failed_rows for r in quality.expectation_report(raw).collect()}
+    assert int(m["total_rows"]) == raw.count()
+    assert int(m["failed_valid_voltage"]) == rep["valid_voltage"]

@@ -39,3 +39,16 @@ def test_snapshot_table_lifecycle_and_idempotent_batches(spark, scratch):
     u3 = spark.createDataFrame([("e2", "d", "f", None, None, 0.1)], S.FAULTS)
     assert tables.upsert_table(spark, path, u3, ["event_id"], "2", S.FAULTS).count() == 1
     assert tables.reset_table(spark, path, S.FAULTS).count() == 0
+
+
+def test_refresh_fault_counts_fixes_late_faults(spark):
+    from datetime import datetime
+    from gridspark.operators import health
+    h = spark.createDataFrame(
+        [(datetime(2024, 1, 1, 0, 0), "f1", datetime(2024, 1, 1, 0, 1), 1.0, 1.0, 60.0, 2, 0, "healthy")],
+        "window_start timestamp, feeder_id string, window_end timestamp, avg_voltage double, "
+        "avg_current double, avg_frequency double, device_count long, fault_count long, health_status string")
+    late = spark.createDataFrame([("e1", "d", "f1", datetime(2024, 1, 1, 0, 0, 30), "transient", 0.5)], S.FAULTS)
+    r = health.refresh_fault_counts(h, late).first()
+    assert (r.fault_count, r.health_status) == (1, "fault")
+    assert health.refresh_fault_counts(h, late).columns == h.columns
