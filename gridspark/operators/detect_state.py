@@ -139,12 +139,24 @@ class FrozenBaseline:
 
     def run(self, ts: np.ndarray, v: np.ndarray, c: np.ndarray, feeder) -> list:
         """Feed a run of one device's readings (sorted); return emissions as
-        ``(index, fault_type, start_us, peak, feeder)``."""
+        ``(index, fault_type, start_us, peak, feeder)``.
+
+        With a full baseline every reading is scored in chunks: with no open
+        event, against sliding windows up to the first anomalous reading;
+        with an open event the baseline is frozen, so against fixed
+        statistics up to the first normal reading.  Only a device's first
+        ``window`` readings go through ``step`` one by one."""
         out = []
         n, i, w, chunk = len(v), 0, self.window, 64
         while i < n:
-            if self.start_us is None and len(self.bv) == w and self.min_ready <= w:
-                j = min(n, i + chunk)
+            if len(self.bv) != w or self.min_ready > w:
+                e = self.step(feeder[i], int(ts[i]), float(v[i]), float(c[i]))
+                if e is not None:
+                    out.append((i, *e))
+                i += 1
+                continue
+            j = min(n, i + chunk)
+            if self.start_us is None:
                 ev = np.concatenate([np.asarray(self.bv, dtype=np.float64), v[i:j]])
                 ec = np.concatenate([np.asarray(self.bc, dtype=np.float64), c[i:j]])
                 mv, sv = _stats(np.ascontiguousarray(sliding_window_view(ev, w)[: j - i]))
@@ -157,20 +169,40 @@ class FrozenBaseline:
                     self.bv = ev[k:k + w].tolist()
                     self.bc = ec[k:k + w].tolist()
                 if k == j - i:
-                    i = j
-                    chunk = min(chunk * 2, 4096)
+                    i, chunk = j, min(chunk * 2, 4096)
                     continue
-                i += k
                 pk = float(zv[k] if zv[k] >= zc[k] else zc[k])
+                i += k
                 self.start_us, self.peak, self.feeder = int(ts[i]), pk, feeder[i]
                 out.append((i, None, self.start_us, pk, self.feeder))
-                i += 1
-                chunk = 64
-            else:
-                e = self.step(feeder[i], int(ts[i]), float(v[i]), float(c[i]))
-                if e is not None:
-                    out.append((i, *e))
-                i += 1
+                i, chunk = i + 1, 64
+                continue
+            # open event: the baseline is frozen until the next normal reading
+            m, sd = _stats(np.array([self.bv, self.bc], dtype=np.float64))
+            zv = np.abs((v[i:j] - m[0]) / sd[0])
+            zc = np.abs((c[i:j] - m[1]) / sd[1])
+            hit = (zv >= self.vth) | (zc >= self.cth)
+            k = int((~hit).argmax()) if not hit.all() else j - i
+            if k:  # readings i .. i+k-1 stay anomalous
+                pks = np.where(zv[:k] >= zc[:k], zv[:k], zc[:k]).tolist()
+                due = ((ts[i:i + k] - self.start_us) >= self.sustained_us).tolist()
+                for x, (p, d) in enumerate(zip(pks, due)):
+                    if p > self.peak:
+                        self.peak = p
+                    if d:
+                        out.append((i + x, S.SUSTAINED, self.start_us, self.peak, self.feeder))
+            if k == j - i:
+                i, chunk = j, min(chunk * 2, 4096)
+                continue
+            i += k  # reading i is normal: the event closes and it joins the baseline
+            kind = S.SUSTAINED if int(ts[i]) - self.start_us >= self.sustained_us else S.TRANSIENT
+            out.append((i, kind, self.start_us, self.peak, self.feeder))
+            self.start_us, self.peak, self.feeder = None, 0.0, None
+            self.bv.append(float(v[i]))
+            self.bc.append(float(c[i]))
+            del self.bv[0]
+            del self.bc[0]
+            i, chunk = i + 1, 64
         return out
 
 
