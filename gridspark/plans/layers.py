@@ -1,7 +1,7 @@
 """Medallion layers as stored tables.
 
 Silver readings and the gold fault table are written once (per input
-folder and library version) as snapshot tables under
+folder and source fingerprint of this package) as snapshot tables under
 ``spark.checkpoint.dir`` and read back by every query that needs them --
 as the layered pipeline does -- instead of re-deriving them per query.
 Silver is partitioned by ``source`` so the ``source = 'synthetic'`` filter
@@ -15,17 +15,30 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .. import __version__
 from ..session import checkpoint_dir
 from ..sources import tables
 
-_LAYOUT = "1"  # bump when a stored layer's definition changes
+
+def _code_fingerprint() -> str:
+    """Hash of the package's source: any change to how a layer is derived
+    gives new table names, so a stale stored layer is never read."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    h = hashlib.md5()
+    for d, _, files in sorted(os.walk(root)):
+        for f in sorted(files):
+            if f.endswith(".py"):
+                with open(os.path.join(d, f), "rb") as fh:
+                    h.update(f.encode() + fh.read())
+    return h.hexdigest()[:12]
+
+
+_CODE = _code_fingerprint()
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
                  partition_by: Sequence[str] | None = None) -> DataFrame:
     src = os.path.abspath(sf_dir)
-    key = hashlib.md5(f"{name}|{src}|{__version__}|{_LAYOUT}".encode()).hexdigest()[:16]
+    key = hashlib.md5(f"{name}|{src}|{_CODE}".encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-layers/{name}-{key}"
     if tables.current_snapshot(spark, path) is None:
         tables.write_snapshot(build(), path, "1", partition_by)
