@@ -41,7 +41,10 @@ def pivot_channels(long: DataFrame, names: Sequence[str] = WIDE_CHANNELS) -> Dat
     missing channels are NULL.  Rows without a value or a station do not
     count; a step with only unlisted channels still yields a row."""
     kept = long.filter(F.col("analog_value").isNotNull() & F.col("station_name").isNotNull())
-    wide = (kept.groupBy("event_id", "ts", "station_name")
-                .pivot("analog_channel_name", list(names))
-                .agg(F.min_by("analog_value", "channel_pos")))
-    return wide.select("event_id", "ts", "station_name", *[F.col(c).alias(c) for c in names])
+    # one aggregate (one exchange): per channel, the value at the lowest
+    # position among that channel's rows (other rows have a NULL ordering
+    # key, which min_by skips) -- the same result as pivot(), which plans a
+    # second aggregation level for this function
+    picks = [F.min_by("analog_value", F.when(F.col("analog_channel_name") == F.lit(c), F.col("channel_pos")))
+             .alias(c) for c in names]
+    return kept.groupBy("event_id", "ts", "station_name").agg(*picks)
