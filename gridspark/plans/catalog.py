@@ -204,6 +204,23 @@ def w4_islands(spark, sf_dir):
                     F.col("event_seq").cast("long").alias("event_seq"))
 
 
+@register("w3_flag_anomalies", O.with_ctes(*FAULTS_SQL, body="""
+SELECT device_id, reading_id, baseline_n, round(v_mean, 6) AS v_mean, round(v_std, 6) AS v_std,
+       round(c_mean, 6) AS c_mean, round(c_std, 6) AS c_std, round(abs_z, 6) AS abs_z, is_anomalous
+FROM d1_marked"""))
+def w3_flag_anomalies(spark, sf_dir):
+    """W1 rolling baseline -> W2 max |z| -> W3 filter and flag, per reading."""
+    from ..operators import windows as W
+    r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts",
+                                                          "voltage", "current")
+    m = W.flag_anomalies(W.zscore(W.rolling_baseline(r, n=O.WINDOW)), O.Z, O.MIN_N)
+    out = m.select("device_id", "reading_id", "baseline_n",
+                   F.col("voltage_mean").alias("v_mean"), F.col("voltage_std").alias("v_std"),
+                   F.col("current_mean").alias("c_mean"), F.col("current_std").alias("c_std"),
+                   "abs_z", "is_anomalous")
+    return naive(out, 6)
+
+
 @register(FLAGSHIP, O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
 def d2_detect_frozen(spark, sf_dir):
     return naive(emissions_frozen(spark, sf_dir))

@@ -133,3 +133,18 @@ def test_observed_expectations_on_stream(spark, scratch):
     rep = {r.rule: r.failed_rows for r in quality.expectation_report(raw).collect()}
     assert int(m["total_rows"]) == raw.count()
     assert int(m["failed_valid_voltage"]) == rep["valid_voltage"]
+
+
+def test_stream_static_health_join(spark, scratch):
+    _land(spark, f"{scratch}/in")
+    silver = quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, SF001)))
+    faults = C.detect_faults(spark, SF001, "device")
+    got = _run(SG.feeder_health_stream(_silver_stream(spark, f"{scratch}/in"), faults, "1 hour"),
+               "health_s", f"{scratch}/ck")
+    want = health.feeder_health(silver, faults, "1 hour")
+    wm = silver.select(F.max("ts") - F.expr("INTERVAL 30 SECONDS")).first()[0]
+    want = want.filter(F.col("window_end") <= F.lit(wm))
+    r6 = lambda d: d.select(*[F.round(c, 6).alias(c) if c.startswith("avg") else F.col(c) for c in d.columns])
+    assert got.count() == want.count()
+    assert r6(got).exceptAll(r6(want)).count() == 0
+    assert got.filter(F.col("health_status") == "fault").count() > 0
