@@ -194,7 +194,8 @@ def d1_detect_windowed_by_device(spark, sf_dir):
 
 
 @register("w4_islands", O.with_ctes(*FAULTS_SQL, body="""
-SELECT device_id, reading_id, is_anomalous, is_event_start, event_seq FROM d1_islands"""))
+SELECT device_id, reading_id, is_anomalous, is_event_start, CAST(event_seq AS BIGINT) AS event_seq
+FROM d1_islands"""))
 def w4_islands(spark, sf_dir):
     from ..operators import windows as W
     r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts",
