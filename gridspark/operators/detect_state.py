@@ -35,16 +35,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    ArrayType, BooleanType, DoubleType, LongType, StringType, StructField, StructType,
-)
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from .. import schemas as S
 from ..functions import confidence, event_key
 from .quality import only_source
-from .windows import positions
 
 # Output of the Python walk; everything else is derived in the JVM.
 EMIT_SCHEMA = StructType([
