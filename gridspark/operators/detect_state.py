@@ -294,6 +294,20 @@ def event_status(emissions: DataFrame) -> DataFrame:
                      .select("event_id", *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
+def event_summary(emissions: DataFrame) -> DataFrame:
+    """One row per event with its *start* as ``timestamp`` (the opening
+    emission) and its latest type and confidence -- the shape of the
+    windowed detector's events, for scoring and serving."""
+    latest = F.max_by(F.struct("fault_type", "confidence_score"), F.struct("timestamp", "reading_id"))
+    return (emissions.groupBy("event_id")
+            .agg(F.first("device_id").alias("device_id"),
+                 F.min_by("feeder_id", F.struct("timestamp", "reading_id")).alias("feeder_id"),
+                 F.min("timestamp").alias("timestamp"), latest.alias("_l"))
+            .select("event_id", "device_id", "feeder_id", "timestamp",
+                    F.col("_l.fault_type").alias("fault_type"),
+                    F.col("_l.confidence_score").alias("confidence_score")))
+
+
 def score_detections(events: DataFrame, schedule: DataFrame, time_col: str = "timestamp") -> DataFrame:
     """Score detected events against known fault intervals.
 

@@ -269,6 +269,30 @@ def d5_score_detections(spark, sf_dir):
     return detect_state.score_detections(faults_windowed(spark, sf_dir), X.fault_schedule(spark, sf_dir))
 
 
+@register("d5_score_frozen", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.FAULT_SCHEDULE, body="""
+, ev AS (
+  SELECT event_id, min("timestamp") AS "timestamp", any_value(device_id) AS device_id,
+         arg_max(fault_type, ("timestamp", reading_id)) AS fault_type
+  FROM emissions GROUP BY event_id
+),
+hit AS (
+  SELECT e.event_id, e.fault_type,
+         CASE WHEN f.fault_id IS NOT NULL AND epoch_us(e."timestamp") <
+              epoch_us(f.start_time) + CAST(round(f.duration_s * 1e6) AS BIGINT) THEN f.fault_id END AS fid,
+         f.fault_type AS tt
+  FROM ev e ASOF LEFT JOIN fault_schedule f ON e.device_id = f.device_id AND e."timestamp" >= f.start_time
+)
+SELECT (SELECT count(*) FROM fault_schedule) AS faults, count(DISTINCT fid) AS faults_detected,
+       round(count(DISTINCT fid) / (SELECT count(*) FROM fault_schedule), 6) AS recall,
+       count(*) AS events, count(*) FILTER (WHERE fid IS NULL) AS false_alarms,
+       count(*) FILTER (WHERE fid IS NOT NULL AND fault_type = tt) AS type_agreement
+FROM hit""".replace("\n, ev AS", ", ev AS")))
+def d5_score_frozen(spark, sf_dir):
+    """D5 on the frozen detector's events (start = opening emission)."""
+    events = detect_state.event_summary(emissions_frozen(spark, sf_dir))
+    return detect_state.score_detections(events, X.fault_schedule(spark, sf_dir))
+
+
 # ---------------------------------------------------------------- gold
 
 @register("a1_feeder_windows", O.with_ctes(*HEALTH_SQL, body=f"""
