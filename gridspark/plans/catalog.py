@@ -121,8 +121,7 @@ def p2_expect_or_drop(spark, sf_dir):
 SELECT 'valid_voltage' AS rule, count(*) FILTER (WHERE NOT r1) AS failed_rows, count(*) AS total_rows,
        count(*) FILTER (WHERE r1 AND r2) AS kept_rows FROM c
 UNION ALL
-SELECT 'valid_reading_id', count(*) FILTER (WHERE NOT r2), count(*), count(*) FILTER (WHERE r1 AND r2) FROM c"""
-    .replace("\n, c AS", ", c AS").replace("WITH readings_raw", "WITH readings_raw")))
+SELECT 'valid_reading_id', count(*) FILTER (WHERE NOT r2), count(*), count(*) FILTER (WHERE r1 AND r2) FROM c"""))
 def p3_expectation_report(spark, sf_dir):
     return quality.expectation_report(quality.clean_readings(X.readings_raw(spark, sf_dir)))
 
@@ -264,7 +263,7 @@ SELECT (SELECT count(*) FROM fault_schedule) AS faults, count(DISTINCT fid) AS f
        round(count(DISTINCT fid) / (SELECT count(*) FROM fault_schedule), 6) AS recall,
        count(*) AS events, count(*) FILTER (WHERE fid IS NULL) AS false_alarms,
        count(*) FILTER (WHERE fid IS NOT NULL AND fault_type = tt) AS type_agreement
-FROM hit""".replace("\n, hit AS", ", hit AS")))
+FROM hit"""))
 def d5_score_detections(spark, sf_dir):
     return detect_state.score_detections(faults_windowed(spark, sf_dir), X.fault_schedule(spark, sf_dir))
 
@@ -286,7 +285,7 @@ SELECT (SELECT count(*) FROM fault_schedule) AS faults, count(DISTINCT fid) AS f
        round(count(DISTINCT fid) / (SELECT count(*) FROM fault_schedule), 6) AS recall,
        count(*) AS events, count(*) FILTER (WHERE fid IS NULL) AS false_alarms,
        count(*) FILTER (WHERE fid IS NOT NULL AND fault_type = tt) AS type_agreement
-FROM hit""".replace("\n, ev AS", ", ev AS")))
+FROM hit"""))
 def d5_score_frozen(spark, sf_dir):
     """D5 on the frozen detector's events (start = opening emission)."""
     events = detect_state.event_summary(emissions_frozen(spark, sf_dir))
@@ -327,8 +326,7 @@ chosen AS (SELECT * FROM first_block ORDER BY block, LCLid LIMIT {COHORT['n']}),
 kept AS (SELECT * FROM timed WHERE (LCLid, block) IN (SELECT (LCLid, block) FROM chosen)),
 starts AS (SELECT LCLid, min(_t) AS _start FROM kept GROUP BY LCLid)
 SELECT LCLid, stdorToU, DateTime, kwh_per_half_hour, block, o_orderkey
-FROM kept JOIN starts USING (LCLid) WHERE _t < _start + INTERVAL {COHORT['months']} MONTH"""
-    .replace("\n, timed AS", ", timed AS")))
+FROM kept JOIN starts USING (LCLid) WHERE _t < _start + INTERVAL {COHORT['months']} MONTH"""))
 def a9_cohort_sample(spark, sf_dir):
     return cohort.cohort_sample(X.meter_raw(spark, sf_dir), **COHORT)
 
@@ -357,7 +355,7 @@ def q1_latest_fault_feeder(spark, sf_dir):
 SELECT CAST(coalesce(sum(CASE WHEN "timestamp" >= wk THEN 1 ELSE 0 END), 0) AS BIGINT) AS this_week,
        CAST(coalesce(sum(CASE WHEN "timestamp" >= wk - INTERVAL 7 DAY AND "timestamp" < wk THEN 1 ELSE 0 END), 0)
             AS BIGINT) AS last_week
-FROM faults, ref""".replace("\n, ref AS", ", ref AS")))
+FROM faults, ref"""))
 def q2_week_over_week(spark, sf_dir):
     return serving.week_over_week(faults_windowed(spark, sf_dir))
 
