@@ -57,11 +57,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     created and registered, so that ``DataFrame.checkpoint()`` works.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = None
+    try:  # a classic session; Spark Connect has no SparkContext
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        pass
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="gridspark-ckpt-", dir=os.environ.get("GRIDSPARK_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
