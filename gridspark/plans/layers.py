@@ -37,8 +37,12 @@ _CODE = _code_fingerprint()
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
                  partition_by: Sequence[str] | None = None) -> DataFrame:
-    src = os.path.abspath(sf_dir)
-    key = hashlib.md5(f"{name}|{src}|{_CODE}".encode()).hexdigest()[:16]
+    src = os.path.abspath(sf_dir) if os.path.isdir(sf_dir) else sf_dir
+    stamp = ""
+    if os.path.isdir(sf_dir):  # local inputs: a changed file gives a new table
+        stamp = ";".join(f"{e.name}:{e.stat().st_size}:{int(e.stat().st_mtime)}"
+                         for e in sorted(os.scandir(sf_dir), key=lambda e: e.name))
+    key = hashlib.md5(f"{name}|{src}|{stamp}|{_CODE}".encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-layers/{name}-{key}"
     if tables.current_snapshot(spark, path) is None:
         tables.write_snapshot(build(), path, "1", partition_by)
