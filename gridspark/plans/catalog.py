@@ -368,6 +368,17 @@ def q3_type_share(spark, sf_dir):
     return naive(serving.type_share(faults_windowed(spark, sf_dir)), 6)
 
 
+@register("q3_type_share_frozen", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS, body="""
+SELECT fault_type, round(count(*) * 100.0::DOUBLE / sum(count(*)) OVER (), 6) AS pct FROM statuses
+WHERE CAST("timestamp" AS DATE) = (SELECT CAST(max("timestamp") AS DATE) FROM statuses)
+  AND fault_type IS NOT NULL
+GROUP BY fault_type"""))
+def q3_type_share_frozen(spark, sf_dir):
+    """Q3 over the frozen detector's event statuses (open events, NULL type, excluded)."""
+    statuses = detect_state.event_status(emissions_frozen(spark, sf_dir))
+    return naive(serving.type_share(statuses), 6)
+
+
 @register("q4_unhealthy_feeders", O.with_ctes(*HEALTH_SQL, body="""
 SELECT feeder_id FROM health
 WHERE health_status = 'fault' AND window_end = (SELECT max(window_end) FROM health)"""))

@@ -61,3 +61,22 @@ def test_empty_table_and_stream_on_empty_folder(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert spark.table("empty_in").count() == 0
+
+
+def test_stream_sink_and_fresh_checkpoint(spark, scratch):
+    from gridspark.streaming.gold import fresh_checkpoint
+    rows = [("r1", "d", "f", "2024-01-01T00:00:00Z", 1.0, 2.0, 60.0, 0, "synthetic", None, None)]
+    spark.createDataFrame(rows, S.READINGS_RAW).write.parquet(f"{scratch}/in1")
+    src = landing.read_readings_stream(spark, f"{scratch}/in1")
+    ck = fresh_checkpoint(scratch)
+    q = sinks.stream_readings(src, f"{scratch}/out", ck, "jsonl", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert spark.read.schema(S.READINGS_RAW).json(f"{scratch}/out").count() == 1
+    # full refresh onto new landing files: a new checkpoint folder, everything re-read
+    spark.createDataFrame(rows * 2, S.READINGS_RAW).write.parquet(f"{scratch}/in2")
+    ck2 = fresh_checkpoint(scratch)
+    assert ck2 != ck
+    q = sinks.stream_readings(landing.read_readings_stream(spark, f"{scratch}/in2"), f"{scratch}/out2", ck2,
+                              "parquet", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert spark.read.parquet(f"{scratch}/out2").count() == 2
