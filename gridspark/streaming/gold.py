@@ -9,7 +9,8 @@
   means; ``exact=False`` uses ``approx_count_distinct``.
 * T4s: stream-static left join with fault counts read from the gold table
   at each trigger.
-* T7s: ``foreachBatch`` upsert keyed by the batch id (idempotent retries).
+* T7s: ``foreachBatch`` upserts keyed by the batch id (idempotent retries),
+  for fault events and for feeder health (fault counts refreshed per batch).
 * T8s: a full refresh starts from a new checkpoint folder.
 """
 from __future__ import annotations
@@ -75,6 +76,34 @@ def upsert_events_batch(path: str, keys=("event_id",), schema=S.FAULTS):
     return fn
 
 
+def upsert_health_batch(path: str, faults_reader, width: str = "1 minute"):
+    """A ``foreachBatch`` function for the windowed stream (without the
+    join): each micro-batch of closed windows gets fault counts from the
+    fault table *as it is now* (``faults_reader(spark)``), and the stored
+    health table is upserted on (window_start, feeder_id); windows stored
+    earlier are refreshed too, so a fault merged late still counts (T7).
+    Each batch writes a new snapshot of the whole health table (one row per
+    feeder-window: small next to the readings)."""
+    from ..operators.health import refresh_fault_counts
+
+    keys = ["window_start", "feeder_id"]
+
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        faults = faults_reader(spark)
+        fresh = (batch.withColumn("fault_count", F.lit(0).cast("long"))
+                      .withColumn("health_status", F.lit("healthy")))
+        cols = ["window_start", "feeder_id", "window_end", "avg_voltage", "avg_current", "avg_frequency",
+                "device_count", "fault_count", "health_status"]
+        fresh = fresh.select(*cols)
+        if tables.current_snapshot(spark, path) == str(batch_id):
+            return
+        target = tables.read_table(spark, path, fresh.schema)
+        merged = tables.upsert(target, fresh, keys)
+        tables.write_snapshot(refresh_fault_counts(merged, faults, width).select(*cols), path, str(batch_id))
+    return fn
+
+
 def fresh_checkpoint(base: str) -> str:
     """T8s: a new checkpoint folder for a full refresh (the old one is left
     in place; its offsets refer to files that may be gone)."""

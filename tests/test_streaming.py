@@ -148,3 +148,22 @@ def test_stream_static_health_join(spark, scratch):
     assert got.count() == want.count()
     assert r6(got).exceptAll(r6(want)).count() == 0
     assert got.filter(F.col("health_status") == "fault").count() > 0
+
+
+def test_foreach_batch_health_refreshes_counts(spark, scratch):
+    _land(spark, f"{scratch}/in")
+    faults = C.detect_faults(spark, SF001, "device")
+    w = SG.feeder_windows_stream(_silver_stream(spark, f"{scratch}/in"), "1 hour", "30 seconds")
+    path = f"{scratch}/health"
+    q = (w.writeStream.outputMode("append")
+           .foreachBatch(SG.upsert_health_batch(path, lambda s: faults, "1 hour"))
+           .option("checkpointLocation", SG.fresh_checkpoint(scratch)).start())
+    q.processAllAvailable()
+    q.stop()
+    got = tables.read_table(spark, path)
+    silver = quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, SF001)))
+    wm = silver.select(F.max("ts") - F.expr("INTERVAL 30 SECONDS")).first()[0]
+    want = health.feeder_health(silver, faults, "1 hour").filter(F.col("window_end") <= F.lit(wm))
+    r6 = lambda d: d.select(*[F.round(c, 6).alias(c) if c.startswith("avg") else F.col(c) for c in sorted(d.columns)])
+    assert got.count() == want.count()
+    assert r6(got).exceptAll(r6(want)).count() == 0
