@@ -14,10 +14,11 @@ until no segment disagrees; each round fixes at least the first wrong
 segment of each device, and in practice a warm-up of a few hundred
 readings makes round 0 right almost everywhere.
 
-The positioned readings and each round's output are written under
-``spark.checkpoint.dir`` (lineage cut; a lost executor recomputes one
-round, not the walk).  Only the small per-segment state table decides the
-rounds; no reading passes through the driver.
+Each round's output is written under ``spark.checkpoint.dir`` (lineage
+cut; a lost executor recomputes one round, not the walk); the positioned
+readings are written only if a fix-up round is needed.  Only the small
+per-segment state table decides the rounds; no reading passes through the
+driver.
 """
 from __future__ import annotations
 
@@ -154,42 +155,44 @@ def _no_state(df: DataFrame) -> DataFrame:
 
 def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
                    bucket_seconds: int = 3600, max_rounds: int = 10_000) -> DataFrame:
-    """Emissions (EMIT_SCHEMA of ``detect_state``) of the exact detector."""
+    """Emissions (EMIT_SCHEMA of ``detect_state``) of the exact detector.
+
+    Jobs: round 0 (positions, segments, walk; written), one check over the
+    per-segment state table.  Only when some segment disagrees are the
+    positioned readings written (once) and the fix-up rounds run."""
     spark = r.sparkSession
     base = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-frozen/{uuid.uuid4().hex}"
     pos = positions(r.withColumn("_ts", F.timestamp_micros("ts_us")), order=("_ts", "reading_id"),
                     time_col="_ts", bucket_seconds=bucket_seconds).drop("_ts")
-    pos = pos.withColumn("seg", (F.col("pos") / F.lit(segment_rows)).cast("long"))
-    pos.write.mode("overwrite").parquet(f"{base}/rows")
-    own = spark.read.parquet(f"{base}/rows").withColumn("is_halo", F.lit(False))
-
-    seg_rows = segments(spark.read.parquet(f"{base}/rows").drop("seg"), halo=warmup, size=segment_rows)
-    out0 = _walk(_no_state(seg_rows), params, f"{base}/round=0")
-    emits = [out0.filter(~F.col("is_state")).withColumn("rnd", F.lit(0))]
-    states = out0.filter(F.col("is_state")).withColumn("rnd", F.lit(0))
-    ecols = ["device_id", "seg"] + [f"e_{n}" for n, _ in STATE_FIELDS]
+    out0 = _walk(_no_state(segments(pos, halo=warmup, size=segment_rows)), params, f"{base}/round=0")
     gcols = [f"g_{n}" for n, _ in STATE_FIELDS]
-    states.select("device_id", "seg", "rnd", *gcols, *ecols[2:]).write.mode("overwrite").parquet(f"{base}/states=0")
-    states = spark.read.parquet(f"{base}/states=0")
+    ecols = [f"e_{n}" for n, _ in STATE_FIELDS]
+    emits = [out0.filter(~F.col("is_state")).withColumn("rnd", F.lit(0))]
+    states = out0.filter(F.col("is_state")).select("device_id", "seg", F.lit(0).alias("rnd"), *gcols, *ecols)
+    own = None
 
     for k in range(1, max_rounds + 1):
         prev = Window.partitionBy("device_id").orderBy("seg")
         g = F.struct(*[F.col(c) for c in gcols])
         checked = states.withColumn(
             "_prev", F.lag(F.struct(*[F.col(f"e_{n}").alias(n) for n, _ in STATE_FIELDS])).over(prev))
-        bad = checked.filter((F.col("seg") > 0) & ~(g.eqNullSafe(F.struct(
-            *[F.col(f"_prev.{n}").alias(f"g_{n}") for n, _ in STATE_FIELDS]))))
-        bad = bad.select("device_id", "seg", F.lit(True).alias("s_known"),
-                         *[F.col(f"_prev.{n}").alias(f"s_{n}") for n, _ in STATE_FIELDS])
-        bad.write.mode("overwrite").parquet(f"{base}/bad={k}")
-        bad = spark.read.parquet(f"{base}/bad={k}")
+        bad = (checked.filter((F.col("seg") > 0) & ~(g.eqNullSafe(F.struct(
+                   *[F.col(f"_prev.{n}").alias(f"g_{n}") for n, _ in STATE_FIELDS]))))
+               .select("device_id", "seg", F.lit(True).alias("s_known"),
+                       *[F.col(f"_prev.{n}").alias(f"s_{n}") for n, _ in STATE_FIELDS]))
         if bad.isEmpty():
             break
+        bad.write.mode("overwrite").parquet(f"{base}/bad={k}")
+        bad = spark.read.parquet(f"{base}/bad={k}")
+        if own is None:  # first fix-up: keep the positioned readings once
+            pos.withColumn("seg", (F.col("pos") / F.lit(segment_rows)).cast("long")) \
+               .write.mode("overwrite").parquet(f"{base}/rows")
+            own = spark.read.parquet(f"{base}/rows").withColumn("is_halo", F.lit(False))
         rows_k = own.join(bad, on=["device_id", "seg"], how="inner")
         out_k = _walk(rows_k, params, f"{base}/round={k}")
         emits.append(out_k.filter(~F.col("is_state")).withColumn("rnd", F.lit(k)))
-        new_states = (out_k.filter(F.col("is_state")).withColumn("rnd", F.lit(k))
-                      .select("device_id", "seg", "rnd", *gcols, *ecols[2:]))
+        new_states = out_k.filter(F.col("is_state")).select("device_id", "seg", F.lit(k).alias("rnd"),
+                                                          *gcols, *ecols)
         merged = (states.join(bad.select("device_id", "seg"), on=["device_id", "seg"], how="left_anti")
                   .unionByName(new_states))
         merged.write.mode("overwrite").parquet(f"{base}/states={k}")
