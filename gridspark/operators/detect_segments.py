@@ -140,7 +140,8 @@ def _walk_groups(params: dict):
 def _walk(rows: DataFrame, params: dict, path: str) -> DataFrame:
     """One round: walk every (device, seg) group of ``rows``; write and
     re-read the output (emissions and one state row per segment)."""
-    ordered = (rows.repartition("device_id", "seg")
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (rows.repartition(n, "device_id", "seg")  # by count: keep the Python walk parallel
                    .sortWithinPartitions("device_id", "seg", "pos"))
     ordered.mapInPandas(_walk_groups(params), OUT_SCHEMA).write.mode("overwrite").parquet(path)
     return rows.sparkSession.read.parquet(path)

@@ -34,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
@@ -67,6 +66,19 @@ def _stats(win: np.ndarray):
     return m, sd
 
 
+_WINDOW_INDEX: dict = {}
+
+
+def _windows(k: int, w: int) -> np.ndarray:
+    """Index matrix picking the ``k`` sliding windows of width ``w``
+    (row r = positions r .. r+w-1); fancy indexing yields C-contiguous rows."""
+    key = (k, w)
+    idx = _WINDOW_INDEX.get(key)
+    if idx is None:
+        idx = _WINDOW_INDEX[key] = np.arange(k)[:, None] + np.arange(w)[None, :]
+    return idx
+
+
 class FrozenBaseline:
     """The per-device state machine (O(window) memory).
 
@@ -144,7 +156,7 @@ class FrozenBaseline:
         statistics up to the first normal reading.  Only a device's first
         ``window`` readings go through ``step`` one by one."""
         out = []
-        n, i, w, chunk = len(v), 0, self.window, 64
+        n, i, w, chunk = len(v), 0, self.window, 16
         while i < n:
             if len(self.bv) != w or self.min_ready > w:
                 e = self.step(feeder[i], int(ts[i]), float(v[i]), float(c[i]))
@@ -156,23 +168,26 @@ class FrozenBaseline:
             if self.start_us is None:
                 ev = np.concatenate([np.asarray(self.bv, dtype=np.float64), v[i:j]])
                 ec = np.concatenate([np.asarray(self.bc, dtype=np.float64), c[i:j]])
-                mv, sv = _stats(np.ascontiguousarray(sliding_window_view(ev, w)[: j - i]))
-                mc, sc = _stats(np.ascontiguousarray(sliding_window_view(ec, w)[: j - i]))
-                zv = np.abs((v[i:j] - mv) / sv)
-                zc = np.abs((c[i:j] - mc) / sc)
+                idx = _windows(j - i, w)
+                buf = np.empty((2 * (j - i), w))  # voltage windows, then current windows
+                np.take(ev, idx, out=buf[: j - i])
+                np.take(ec, idx, out=buf[j - i:])
+                m, sd = _stats(buf)
+                zv = np.abs((v[i:j] - m[: j - i]) / sd[: j - i])
+                zc = np.abs((c[i:j] - m[j - i:]) / sd[j - i:])
                 hit = (zv >= self.vth) | (zc >= self.cth)
                 k = int(hit.argmax()) if hit.any() else j - i
                 if k:  # readings i .. i+k-1 are normal
                     self.bv = ev[k:k + w].tolist()
                     self.bc = ec[k:k + w].tolist()
                 if k == j - i:
-                    i, chunk = j, min(chunk * 2, 4096)
+                    i, chunk = j, min(chunk * 2, 512)
                     continue
                 pk = float(zv[k] if zv[k] >= zc[k] else zc[k])
                 i += k
                 self.start_us, self.peak, self.feeder = int(ts[i]), pk, feeder[i]
                 out.append((i, None, self.start_us, pk, self.feeder))
-                i, chunk = i + 1, 64
+                i, chunk = i + 1, 16
                 continue
             # open event: the baseline is frozen until the next normal reading
             m, sd = _stats(np.array([self.bv, self.bc], dtype=np.float64))
@@ -189,7 +204,7 @@ class FrozenBaseline:
                     if d:
                         out.append((i + x, S.SUSTAINED, self.start_us, self.peak, self.feeder))
             if k == j - i:
-                i, chunk = j, min(chunk * 2, 4096)
+                i, chunk = j, min(chunk * 2, 512)
                 continue
             i += k  # reading i is normal: the event closes and it joins the baseline
             kind = S.SUSTAINED if int(ts[i]) - self.start_us >= self.sustained_us else S.TRANSIENT
@@ -199,7 +214,7 @@ class FrozenBaseline:
             self.bc.append(float(c[i]))
             del self.bv[0]
             del self.bc[0]
-            i, chunk = i + 1, 64
+            i, chunk = i + 1, 16
         return out
 
 
@@ -276,10 +291,10 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     if segment_rows:
         from .detect_segments import walk_segmented
         return _finish(walk_segmented(r, params, segment_rows, warmup), full_scale, digits)
-    # by column (not by count) so AQE may coalesce small partitions; whole
-    # devices move together, so the per-partition sort stays valid
-    parts = r.repartition(num_partitions, "device_id") if num_partitions else r.repartition("device_id")
-    ordered = parts.sortWithinPartitions("device_id", "ts_us", "reading_id")
+    # by count: the walk is CPU-bound Python, so AQE must not coalesce its
+    # input into a few tasks (at scale every partition is large anyway)
+    n = num_partitions or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = r.repartition(n, "device_id").sortWithinPartitions("device_id", "ts_us", "reading_id")
     emits = ordered.mapInPandas(_walk(params), EMIT_SCHEMA)
     return _finish(emits, full_scale, digits)
 

@@ -229,7 +229,7 @@ def d2_detect_frozen(spark, sf_dir):
 @register("d2_detect_frozen_segmented", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
 def d2_detect_frozen_segmented(spark, sf_dir):
     """D2 with every device split into segments (the hot-device plan)."""
-    return naive(emissions_frozen(spark, sf_dir, segment_rows=500, warmup=100))
+    return naive(emissions_frozen(spark, sf_dir, segment_rows=500))
 
 
 @register("d4_event_status", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS,
