@@ -118,6 +118,14 @@ def derive_meter_readings(raw: DataFrame, nominal_v: float = S.NOMINAL_METER_VOL
     )
 
 
+def meter_row_loss(raw: DataFrame) -> DataFrame:
+    """Bronze vs silver meter rows in one pass: rows whose energy does not
+    parse (e.g. ``Null``) are the ones ``derive_meter_readings`` drops."""
+    ok = _double(S.METER_KWH_COLUMN).isNotNull()
+    return raw.agg(F.count(F.lit(1)).alias("bronze_rows"), F.count_if(ok).alias("silver_rows"),
+                   F.count_if(~ok).alias("dropped_rows"))
+
+
 def only_source(df: DataFrame, source: str = S.SYNTHETIC) -> DataFrame:
     """P5: provenance filter; pushed into the parquet scan / partition filter."""
     return df.filter(F.col("source") == F.lit(source))

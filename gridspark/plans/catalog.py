@@ -131,6 +131,15 @@ def p4_meter_readings(spark, sf_dir):
     return naive(quality.derive_meter_readings(X.meter_raw(spark, sf_dir)))
 
 
+@register("p4_meter_row_loss", O.with_ctes(O.METER_RAW, body="""
+SELECT count(*) AS bronze_rows,
+       count(*) FILTER (WHERE TRY_CAST(kwh_per_half_hour AS DOUBLE) IS NOT NULL) AS silver_rows,
+       count(*) FILTER (WHERE TRY_CAST(kwh_per_half_hour AS DOUBLE) IS NULL) AS dropped_rows
+FROM meter_raw"""))
+def p4_meter_row_loss(spark, sf_dir):
+    return quality.meter_row_loss(X.meter_raw(spark, sf_dir))
+
+
 @register("p5_only_source", O.with_ctes(*O.BASE, body="SELECT * FROM silver WHERE source = 'lcl'"))
 def p5_only_source(spark, sf_dir):
     return naive(quality.only_source(silver(spark, sf_dir), S.METER_SOURCE))
