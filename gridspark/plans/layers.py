@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +34,10 @@ def _code_fingerprint() -> str:
 
 
 _CODE = _code_fingerprint()
+# One builder per table: layers are scoped to this process, so concurrent
+# jobs (tests, bench, a verification run) never overwrite each other's
+# snapshot while it is being written or read.
+_PROCESS = uuid.uuid4().hex[:12]
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
@@ -42,7 +47,7 @@ def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[]
     if os.path.isdir(sf_dir):  # local inputs: a changed file gives a new table
         stamp = ";".join(f"{e.name}:{e.stat().st_size}:{int(e.stat().st_mtime)}"
                          for e in sorted(os.scandir(sf_dir), key=lambda e: e.name))
-    key = hashlib.md5(f"{name}|{src}|{stamp}|{_CODE}".encode()).hexdigest()[:16]
+    key = hashlib.md5(f"{name}|{src}|{stamp}|{_CODE}|{_PROCESS}".encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-layers/{name}-{key}"
     if tables.current_snapshot(spark, path) is None:
         tables.write_snapshot(build(), path, "1", partition_by)
