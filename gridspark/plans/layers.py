@@ -1,7 +1,8 @@
 """Medallion layers as stored tables.
 
-Silver readings and the gold fault table are written once (per input
-folder and source fingerprint of this package) as snapshot tables under
+Silver readings and the gold fault table are written once per process
+(keyed by input folder, input file stamps and a fingerprint of this
+package's source) as snapshot tables under
 ``spark.checkpoint.dir`` and read back by every query that needs them --
 as the layered pipeline does -- instead of re-deriving them per query.
 Silver is partitioned by ``source`` so the ``source = 'synthetic'`` filter
