@@ -61,3 +61,34 @@ def test_segmented_frozen_walk_equals_sequential(spark, rows, seg, warm):
     a = detect_state.detect_frozen(df, segment_rows=None, **kw)
     b = detect_state.detect_frozen(df, segment_rows=seg, warmup=warm, **kw)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+@st.composite
+def schedules(draw):
+    faults = []
+    for i in range(draw(st.integers(0, 12))):
+        faults.append((f"f{i:02d}", f"d{draw(st.integers(0, 1))}", "f0",
+                       draw(st.sampled_from(["transient", "sustained"])),
+                       draw(st.integers(0, 400)), float(draw(st.integers(1, 200)))))
+    return faults
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=readings(), faults=schedules(), bucket=st.sampled_from([20, 300, 3600]))
+def test_overlay_equals_brute_force(spark, rows, faults, bucket):
+    import pandas as pd
+    from gridspark.operators import overlay
+    df = spark.createDataFrame(rows, S.READINGS)
+    sched = spark.createDataFrame(pd.DataFrame(
+        [(fid, dev, fdr, kind, T0 + timedelta(seconds=st_), dur, 0.5, 3.0, 0.1)
+         for fid, dev, fdr, kind, st_, dur in faults], columns=S.FAULT_SCHEDULE.names), S.FAULT_SCHEDULE)
+    got = {r.reading_id: r._fault_id for r in overlay.overlay_faults(df, sched, bucket_seconds=bucket).collect()}
+    assert len(got) == len(rows)
+    for rid, dev, _, ts, *_ in rows:
+        t = (ts - T0).total_seconds()
+        cands = [f for f in faults if f[1] == dev and f[4] <= t]
+        want = None
+        if cands:
+            f = max(cands, key=lambda f: (f[4], f[0]))   # newest start; ties -> larger id
+            want = f[0] if t < f[4] + f[5] else None
+        assert got[rid] == want

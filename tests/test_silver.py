@@ -27,10 +27,12 @@ def test_expect_or_drop_null_fails_nan_passes(spark):
 
 
 def test_event_time_parsing(spark):
-    df = spark.createDataFrame([("2024-01-01T00:00:07Z",), ("2024-01-01 00:00:07.5",), ("junk",)], "ts string")
+    df = spark.createDataFrame([("2024-01-01T00:00:07Z",), ("2024-01-01 00:00:07.5",), ("junk",),
+                                ("2012-10-12 00:30:00.0000000",)], "ts string")
     from gridspark.functions import to_event_time
     out = [r[0] for r in df.select(to_event_time("ts")).collect()]
     assert out[0].second == 7 and out[1].microsecond == 500000 and out[2] is None
+    assert (out[3].minute, out[3].microsecond) == (30, 0)  # meter files carry 7 fraction digits
     num = spark.createDataFrame([(1.5,)], "ts double")
     assert num.select(to_event_time("ts", num.schema["ts"].dataType)).first()[0].microsecond == 500000
 
