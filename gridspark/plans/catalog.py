@@ -241,6 +241,41 @@ def d2_detect_frozen_segmented(spark, sf_dir):
     return naive(emissions_frozen(spark, sf_dir, segment_rows=500))
 
 
+@register("d3_detect_frozen_stream", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
+def d3_detect_frozen_stream(spark, sf_dir, slices: int = 4):
+    """D3: the streaming detector run incrementally.  The proxy readings
+    land in ``slices`` time slices; after each slice lands, one
+    ``availableNow`` run of the same query (same checkpoint, so the
+    per-device state carries over) consumes it as a micro-batch.  The
+    emitted rows must equal D2's."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources import landing
+    from ..streaming.detect import detect_frozen_stream
+    base = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-d3/{uuid.uuid4().hex}"
+    raw = X.readings_raw(spark, sf_dir)
+    ts = F.col("ts").cast("timestamp")
+    b = raw.select(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    span = (b.hi - b.lo) / slices if b.lo is not None else None
+    em = None
+    for i in range(slices):
+        cond = F.lit(True) if i == 0 else ts >= F.lit(b.lo + span * i)   # first slice: also NULL times
+        if i < slices - 1:
+            cond = cond & (ts.isNull() | (ts < F.lit(b.lo + span * (i + 1))))
+        raw.filter(cond if span is not None else F.lit(True)).write.mode("append").parquet(f"{base}/landing")
+        if em is None:
+            s = landing.read_readings_stream(spark, f"{base}/landing").drop("_ingested_at")
+            em = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), z=O.Z,
+                                      sustained_s=O.SUSTAINED_S, window=O.WINDOW, min_n=O.MIN_N)
+        q = (em.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
+               .trigger(availableNow=True).start(f"{base}/out"))
+        q.awaitTermination()
+        if span is None:
+            break
+    return naive(spark.read.schema(em.schema).parquet(f"{base}/out"))
+
+
 @register("d4_event_status", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS,
                                              body="SELECT * FROM statuses"))
 def d4_event_status(spark, sf_dir):
