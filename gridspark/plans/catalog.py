@@ -241,6 +241,21 @@ def d2_detect_frozen_segmented(spark, sf_dir):
     return naive(emissions_frozen(spark, sf_dir, segment_rows=500))
 
 
+def _land_in_slices(spark, sf_dir, base, slices, run_slice):
+    """Land the proxy readings in ``slices`` time slices under ``base``;
+    call ``run_slice(landing_path)`` after each one (one micro-batch each)."""
+    raw = X.readings_raw(spark, sf_dir)
+    ts = F.col("ts").cast("timestamp")
+    b = raw.select(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    span = (b.hi - b.lo) / slices if b.lo is not None else None
+    for i in range(slices if span is not None else 1):
+        cond = F.lit(True) if i == 0 else ts >= F.lit(b.lo + span * i)   # first slice: also NULL times
+        if span is not None and i < slices - 1:
+            cond = cond & (ts.isNull() | (ts < F.lit(b.lo + span * (i + 1))))
+        raw.filter(cond).write.mode("append").parquet(f"{base}/landing")
+        run_slice(f"{base}/landing")
+
+
 @register("d3_detect_frozen_stream", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
 def d3_detect_frozen_stream(spark, sf_dir, slices: int = 4):
     """D3: the streaming detector run incrementally.  The proxy readings
@@ -254,26 +269,50 @@ def d3_detect_frozen_stream(spark, sf_dir, slices: int = 4):
     from ..sources import landing
     from ..streaming.detect import detect_frozen_stream
     base = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-d3/{uuid.uuid4().hex}"
-    raw = X.readings_raw(spark, sf_dir)
-    ts = F.col("ts").cast("timestamp")
-    b = raw.select(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    span = (b.hi - b.lo) / slices if b.lo is not None else None
-    em = None
-    for i in range(slices):
-        cond = F.lit(True) if i == 0 else ts >= F.lit(b.lo + span * i)   # first slice: also NULL times
-        if i < slices - 1:
-            cond = cond & (ts.isNull() | (ts < F.lit(b.lo + span * (i + 1))))
-        raw.filter(cond if span is not None else F.lit(True)).write.mode("append").parquet(f"{base}/landing")
-        if em is None:
-            s = landing.read_readings_stream(spark, f"{base}/landing").drop("_ingested_at")
-            em = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), z=O.Z,
-                                      sustained_s=O.SUSTAINED_S, window=O.WINDOW, min_n=O.MIN_N)
-        q = (em.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
-               .trigger(availableNow=True).start(f"{base}/out"))
+    state = {}
+
+    def run(path):
+        if "q" not in state:
+            s = landing.read_readings_stream(spark, path).drop("_ingested_at")
+            state["q"] = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), z=O.Z,
+                                              sustained_s=O.SUSTAINED_S, window=O.WINDOW, min_n=O.MIN_N)
+        q = (state["q"].writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
+             .trigger(availableNow=True).start(f"{base}/out"))
+        q.awaitTermination()
+
+    _land_in_slices(spark, sf_dir, base, slices, run)
+    return naive(spark.read.schema(state["q"].schema).parquet(f"{base}/out"))
+
+
+@register("t4s_feeder_health_stream", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status
+FROM health
+WHERE window_end <= (SELECT max(ts) FROM silver WHERE source = 'synthetic') - INTERVAL 30 SECOND"""))
+def t4s_feeder_health_stream(spark, sf_dir, slices: int = 4):
+    """T1s-T4s: watermark (30 s), tumbling windows in append mode, exact
+    distinct devices by chained aggregates, stream-static join with the
+    gold fault table -- run incrementally over landed slices.  Only windows
+    the watermark has closed are emitted."""
+    import uuid
+
+    from ..session import checkpoint_dir
+    from ..sources import landing
+    from ..streaming.gold import feeder_health_stream
+    base = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-t4s/{uuid.uuid4().hex}"
+    faults = faults_windowed(spark, sf_dir)
+    state = {}
+
+    def run(path):
+        if "q" not in state:
+            s = landing.read_readings_stream(spark, path).drop("_ingested_at")
+            state["q"] = feeder_health_stream(quality.expect_or_drop(quality.clean_readings(s)), faults,
+                                              WIDTH, "30 seconds")
+        q = (state["q"].writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start(f"{base}/out"))
         q.awaitTermination()
-        if span is None:
-            break
-    return naive(spark.read.schema(em.schema).parquet(f"{base}/out"))
+
+    _land_in_slices(spark, sf_dir, base, slices, run)
+    return naive(spark.read.schema(state["q"].schema).parquet(f"{base}/out"), 6)
 
 
 @register("d4_event_status", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS,
