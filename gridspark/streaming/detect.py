@@ -7,7 +7,6 @@ arrive as several unsorted frames, so they are concatenated and sorted by
 (ts, reading_id).  Rows at or before the last processed position are late:
 the walk cannot go back, so they are skipped (the batch operator over the
 stored table gives the exact answer; ``late_policy="raise"`` fails instead).
-An optional TTL drops the state of devices that went quiet.
 
 Output is the append-only stream of emissions (same columns as D2); D4 /
 the ``foreachBatch`` upsert turn it into one row per event.
@@ -39,11 +38,11 @@ STATE_SCHEMA = StructType([
 
 
 class FrozenBaselineProcessor(StatefulProcessor):
-    def __init__(self, params: dict, ttl_ms: int | None = None, late_policy: str = "skip"):
-        self.params, self.ttl_ms, self.late_policy = params, ttl_ms, late_policy
+    def __init__(self, params: dict, late_policy: str = "skip"):
+        self.params, self.late_policy = params, late_policy
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("device", STATE_SCHEMA, self.ttl_ms)
+        self.state = handle.getValueState("device", STATE_SCHEMA)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
@@ -93,7 +92,7 @@ def detect_frozen_stream(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
                          sustained_s: float = S.DEFAULT_SUSTAINED_THRESHOLD_S,
                          window: int = S.DEFAULT_WINDOW_SIZE, min_n: int = S.DEFAULT_MIN_BASELINE_READINGS,
                          full_scale: float = S.CONFIDENCE_Z_FULL_SCALE, source: str | None = S.SYNTHETIC,
-                         digits: int = 3, ttl_ms: int | None = None, late_policy: str = "skip") -> DataFrame:
+                         digits: int = 3, late_policy: str = "skip") -> DataFrame:
     """Streaming emissions (D2's columns) from a stream of silver readings."""
     spark = readings.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
@@ -101,6 +100,6 @@ def detect_frozen_stream(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     params = dict(window=window, min_n=min_n, vth=float(z),
                   cth=float(z if current_z is None else current_z), sustained_s=float(sustained_s))
     emits = (_prepared(readings, source).groupBy("device_id")
-             .transformWithStateInPandas(FrozenBaselineProcessor(params, ttl_ms, late_policy),
-                                         EMIT_SCHEMA, "Append", "ProcessingTime" if ttl_ms else "None"))
+             .transformWithStateInPandas(FrozenBaselineProcessor(params, late_policy),
+                                         EMIT_SCHEMA, "Append", "None"))
     return _finish(emits, full_scale, digits)

@@ -167,3 +167,4 @@ def test_foreach_batch_health_refreshes_counts(spark, scratch):
     r6 = lambda d: d.select(*[F.round(c, 6).alias(c) if c.startswith("avg") else F.col(c) for c in sorted(d.columns)])
     assert got.count() == want.count()
     assert r6(got).exceptAll(r6(want)).count() == 0
+
