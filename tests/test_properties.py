@@ -92,3 +92,30 @@ def test_overlay_equals_brute_force(spark, rows, faults, bucket):
             f = max(cands, key=lambda f: (f[4], f[0]))   # newest start; ties -> larger id
             want = f[0] if t < f[4] + f[5] else None
         assert got[rid] == want
+
+
+@st.composite
+def meter_rows(draw):
+    rows = []
+    for _ in range(draw(st.integers(0, 60))):
+        day = draw(st.sampled_from(["2012-01-31", "2012-02-29", "2012-03-15", "2012-04-30", "2012-05-31",
+                                    "2012-08-31", "2012-11-30", "2013-01-31", "2013-02-28", "bad"]))
+        rows.append((f"H{draw(st.integers(0, 15)):02d}", "Std",
+                     day if day == "bad" else f"{day} {draw(st.sampled_from(['00:00:00', '12:30:00']))}",
+                     "0.1", draw(st.integers(0, 6))))
+    return rows
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=meter_rows(), n=st.integers(1, 12), months=st.integers(1, 13), mb=st.integers(1, 7))
+def test_cohort_equals_brute_force(spark, rows, n, months, mb):
+    import pandas as pd
+    from gridspark.operators import cohort
+    from test_cohort import _brute
+    cols = ["LCLid", "stdorToU", "DateTime", "kwh_per_half_hour", "block"]
+    pdf = pd.DataFrame(rows, columns=cols)
+    df = spark.createDataFrame(pdf if len(pdf) else [], "LCLid string, stdorToU string, DateTime string, "
+                                                       "kwh_per_half_hour string, block long")
+    got = sorted(tuple(r) for r in cohort.cohort_sample(df, n, months, mb).select(*cols).collect())
+    want = sorted(tuple(x) for x in _brute(pdf, n, months, mb).itertuples(index=False)) if len(pdf) else []
+    assert got == want
