@@ -119,3 +119,30 @@ def test_cohort_equals_brute_force(spark, rows, n, months, mb):
     got = sorted(tuple(r) for r in cohort.cohort_sample(df, n, months, mb).select(*cols).collect())
     want = sorted(tuple(x) for x in _brute(pdf, n, months, mb).itertuples(index=False)) if len(pdf) else []
     assert got == want
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(target=st.dictionaries(st.integers(0, 30), st.integers(0, 9), max_size=20),
+       updates=st.dictionaries(st.integers(0, 30), st.integers(10, 19), max_size=20))
+def test_upsert_equals_dict_merge(spark, target, updates):
+    from gridspark.sources import tables
+    schema = "event_id string, v int"
+    t = spark.createDataFrame([(str(k), v) for k, v in target.items()], schema)
+    u = spark.createDataFrame([(str(k), v) for k, v in updates.items()], schema)
+    got = {r.event_id: r.v for r in tables.upsert(t, u, ["event_id"]).collect()}
+    assert got == {str(k): v for k, v in {**target, **updates}.items()}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 50), st.integers(0, 99)), max_size=40))
+def test_latest_per_equals_pandas(spark, rows):
+    import pandas as pd
+    from gridspark.operators.windows import latest_per
+    dedup = {(k, t): v for k, t, v in rows}           # (key, time) unique, as window_end per feeder
+    data = [(k, t, v) for (k, t), v in dedup.items()]
+    df = spark.createDataFrame(data, "k string, t int, v int")
+    got = sorted(tuple(r) for r in latest_per(df, "k", "t").select("k", "t", "v").collect())
+    pdf = pd.DataFrame(data, columns=["k", "t", "v"])
+    want = sorted(tuple(x) for x in pdf.loc[pdf.groupby("k")["t"].idxmax()].itertuples(index=False)) \
+        if len(pdf) else []
+    assert got == want
