@@ -68,3 +68,17 @@ def test_proxy_rows_are_whole(spark):
     n = spark.read.parquet(f"{SF001}/events.parquet").count()
     assert X.readings_raw(spark, SF001).count() == n
     assert X.meter_raw(spark, SF001).count() == spark.read.parquet(f"{SF001}/orders.parquet").count()
+
+
+def test_approx_device_count_within_bound(spark):
+    from conftest import SF01
+    from gridspark.plans import catalog as C
+    silver = C.silver(spark, SF01)
+    exact = health.feeder_windows(silver, "1 hour").select("window_start", "feeder_id",
+                                                          F.col("device_count").alias("exact"))
+    approx = health.feeder_windows(silver, "1 hour", exact=False).select("window_start", "feeder_id",
+                                                                        F.col("device_count").alias("approx"))
+    j = exact.join(approx, ["window_start", "feeder_id"])
+    assert j.count() == exact.count()
+    # rsd 5%: allow 3 sigma, at least 1
+    assert j.filter(F.abs(F.col("approx") - F.col("exact")) > F.greatest(F.lit(1.0), F.col("exact") * 0.15)).count() == 0
