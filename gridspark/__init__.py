@@ -6,6 +6,21 @@ used ones are re-exported here; everything else lives in the subpackages
 """
 __version__ = "0.1.0"
 
+
+def _ship_by_value() -> None:
+    """Functions and classes of this package that run in Python workers
+    (the frozen-baseline walk, the stateful processor) are pickled by value,
+    so executors need no installed copy of the package."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 -- older cloudpickle: ship the package instead
+        pass
+
+
+_ship_by_value()
+
 from .operators.cohort import cohort_sample  # noqa: E402
 from .operators.detect import detect_windowed  # noqa: E402
 from .operators.detect_state import (  # noqa: E402
