@@ -24,7 +24,8 @@ def test_entry_smoke(spark):
 def test_registry_shape():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"a4_feeder_windows_approx"}
+    assert set(C.QUERIES) <= set(q) and set(C.ORACLE) <= set(o)
+    assert set(C.QUERIES) - set(o) == {"a4_feeder_windows_approx"}
 
 
 def _norm(df):
