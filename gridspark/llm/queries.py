@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, topk, url_filter
+from . import langid, licenses, token_bin, topk, url_filter
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,18 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.filter(F.col("id") % 50 == 0), 5)
 
 
+def op7_token_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens_of(spark, _read(spark, sf_dir, "documents"))
+
+
+def tokens_of(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the token files of documents and read them back."""
+    import public_tokenizers
+    root, manifest = token_bin.write_tokens(docs, "doc_id", "text", public_tokenizers.path("byte_bpe_50k.json"),
+                                            end_id=2, vocabulary=50_257)
+    return token_bin.read_tokens(spark, root, manifest, "doc_id")
+
+
 def op8_url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(url_filter.RULES, "host string, path string, action string")
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), url_filter.build_index(rules), "page_id", "url")
@@ -38,6 +50,7 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_license_templates": op3_license_templates,
     "op4_exact_topk": op4_exact_topk,
+    "op7_token_elias_fano": op7_token_elias_fano,
     "op8_url_digest_filter": op8_url_digest_filter,
     "op10_lang_zstd": op10_lang_zstd,
 }
