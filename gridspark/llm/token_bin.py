@@ -34,7 +34,7 @@ SLICE_BYTES = 8 << 20
 #: One select sample every so many ones.
 SAMPLE = 512
 
-_HEAD = struct.Struct("<4sBxxxQQQ")
+_HEAD = "<4sBxxxQQQ"
 
 
 # ---- Elias-Fano ----------------------------------------------------------
@@ -244,7 +244,7 @@ def _write(root: str, path: str, end_id: int, width: int):
         ef = EliasFano.encode(np.cumsum(n)).dump() + EliasFano.encode(
             own.astype(np.uint64) - np.uint64(least % 2**64)).dump()
         with fs.open_output_stream(f"{folder}/{name}.ef") as out:
-            out.write(_HEAD.pack(b"TIDS", width, len(n), nulls, int(n.sum())) + ef)
+            out.write(struct.pack(_HEAD, b"TIDS", width, len(n), nulls, int(n.sum())) + ef)
         yield pa.RecordBatch.from_arrays(
             [pa.array([x], t) for x, t in ((ctx.partitionId(), pa.int32()), (name, pa.string()), (len(n), pa.int64()),
                                            (nulls, pa.int64()), (least, pa.int64()), (int(n.sum()), pa.int64()))],
@@ -280,10 +280,10 @@ class Shard:
         fs, folder = filesystem(root)
         with fs.open_input_file(f"{folder}/{name}.ef") as f:
             raw = memoryview(f.read())
-        magic, self.width, self.n, self.nulls, self.n_tokens = _HEAD.unpack_from(raw)
+        magic, self.width, self.n, self.nulls, self.n_tokens = struct.unpack_from(_HEAD, raw)
         if magic != b"TIDS":
             raise ValueError(f"{name}.ef is no boundary file")
-        self.ends, at = EliasFano.load(raw, _HEAD.size)
+        self.ends, at = EliasFano.load(raw, struct.calcsize(_HEAD))
         self.keys, _ = EliasFano.load(raw, at)
         self.kind = {2: "<u2", 4: "<u4"}[self.width]
         self.open = lambda: fs.open_input_file(f"{folder}/{name}.ids")
