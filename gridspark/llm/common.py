@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridspark.session import checkpoint_dir
 
@@ -30,6 +31,14 @@ def stage(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_or_shuffled(df: DataFrame, what: str, most_rows: int = BROADCAST_IDS) -> DataFrame:
+    """``df``, written to the shared folder and marked for a broadcast if it
+    has at most ``most_rows`` rows of a few bytes each; else the joins that
+    use it shuffle."""
+    staged = stage(df, what)
+    return F.broadcast(staged) if staged.count() <= most_rows else staged
+
+
 def filesystem(uri: str):
     """(pyarrow filesystem, path) of a folder or file in the shared folder.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, token_bin, topk, url_filter
+from . import langid, licenses, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,12 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.filter(F.col("id") % 50 == 0), 5)
 
 
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, manifest = warc.write_archives(_read(spark, sf_dir, "pages"), "page_id", "url", "html")
+    captures = warc.captures_of_pages(warc.assemble(warc.read_records(spark, root, manifest)))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_token_elias_fano(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens_of(spark, _read(spark, sf_dir, "documents"))
 
@@ -50,6 +56,7 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_license_templates": op3_license_templates,
     "op4_exact_topk": op4_exact_topk,
+    "op6_warc_transactions": op6_warc_transactions,
     "op7_token_elias_fano": op7_token_elias_fano,
     "op8_url_digest_filter": op8_url_digest_filter,
     "op10_lang_zstd": op10_lang_zstd,
@@ -86,3 +93,15 @@ WITH u AS (
 )
 SELECT page_id, coalesce(host, '') AS host, path, rule, coalesce(action, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)
 """
+
+ORACLE["op6_warc_transactions"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), w AS (
+  SELECT payload_digest, max(page_id) AS target FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN target <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN target <> page_id THEN target END AS refers_to
+FROM p LEFT JOIN w USING (payload_digest)
+"""
