@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, token_bin, topk, url_filter, warc
+from . import langid, licenses, simhash, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows, rows.filter(F.col("id") % 50 == 0), 5)
 
 
+def op5_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_bits=4)
+
+
 def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, manifest = warc.write_archives(_read(spark, sf_dir, "pages"), "page_id", "url", "html")
     captures = warc.captures_of_pages(warc.assemble(warc.read_records(spark, root, manifest)))
@@ -56,6 +60,7 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_license_templates": op3_license_templates,
     "op4_exact_topk": op4_exact_topk,
+    "op5_simhash_gph": op5_simhash_gph,
     "op6_warc_transactions": op6_warc_transactions,
     "op7_token_elias_fano": op7_token_elias_fano,
     "op8_url_digest_filter": op8_url_digest_filter,
