@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, simhash, token_bin, topk, url_filter, warc
+from . import decontam, langid, licenses, simhash, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -48,6 +48,11 @@ def op8_url_digest_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(_read(spark, sf_dir, "pages"), url_filter.build_index(rules), "page_id", "url")
 
 
+def op9_decontaminate_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontam.build_index(_read(spark, sf_dir, "benchmark"), "item_id", "text")
+    return decontam.find_contaminated(_read(spark, sf_dir, "documents"), index, "doc_id", "text")
+
+
 def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string")) % 4 == 2
@@ -64,6 +69,7 @@ QUERIES = {
     "op6_warc_transactions": op6_warc_transactions,
     "op7_token_elias_fano": op7_token_elias_fano,
     "op8_url_digest_filter": op8_url_digest_filter,
+    "op9_decontaminate_minhash": op9_decontaminate_minhash,
     "op10_lang_zstd": op10_lang_zstd,
 }
 
@@ -110,3 +116,17 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN target <> page_id THEN target END AS refers_to
 FROM p LEFT JOIN w USING (payload_digest)
 """
+
+# distinct five-word shingles (fewer words: the whole sequence) of a table's texts
+_SHINGLES = """SELECT DISTINCT {key}, unnest([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, 1) + 1)]) AS s
+  FROM (SELECT {key}, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM {table})
+  WHERE len(w) > 0"""
+
+ORACLE["op9_decontaminate_minhash"] = f"""
+WITH d AS ({_SHINGLES.format(key="doc_id", table="documents")}),
+b AS ({_SHINGLES.format(key="item_id", table="benchmark")}),
+n AS (SELECT item_id, count(*) AS n_shingles FROM b GROUP BY item_id),
+m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM b JOIN d USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
+FROM m JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles
+"""
