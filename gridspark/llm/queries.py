@@ -4,13 +4,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, simhash, token_bin, topk, url_filter, warc
+from . import decontam, langid, licenses, mixing, quality, simhash, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), "doc_id", "lang", "text")
+    return judged.withColumnRenamed("id", "doc_id").drop("h")
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.plan_mix(_read(spark, sf_dir, "documents"), "doc_id", "text", "source")
     return mixing.taken_words(mix, "doc_id")
@@ -68,6 +73,7 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality_kneser_ney": op1_quality_kneser_ney,
     "op2_mix_sources": op2_mix_sources,
     "op3_license_templates": op3_license_templates,
     "op4_exact_topk": op4_exact_topk,
