@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_or_shuffled, stage, utf8
@@ -344,20 +344,24 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, found: DataFrame, id_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id names its component in ``found``: one
-    document of each group.  Rows with a null id stay, as nothing names them;
-    of rows that repeat an id the one of the smallest text hash stays."""
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs``, with their columns, whose id names its component
+    in ``found``: one document of each group.  Rows with a null id stay, as
+    nothing names them; of rows that repeat an id the first by a hash of the
+    text stays."""
+    found = stage(found, "components")  # read twice below
     gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    gone = small_or_shuffled(gone, "gone")
+    gone = small_or_shuffled(gone, "gone", 1_000_000)
     kept = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
-    again = stage(found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count().filter("count > 1")
-                  .select("_again"), "repeated")
-    if again.isEmpty():
+    again = stage(found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count()
+                  .filter("count > 1").select("_again"), "repeated")
+    if again.isEmpty():  # ids are unique, as they should be
         return kept
-    from pyspark.sql import Window
-    order = Window.partitionBy(kept[id_col]).orderBy(*[F.xxhash64(kept[c]) for c in kept.columns if kept.schema[c].dataType.simpleString() in ("string",)] or [F.lit(0)])
-    twice = kept[id_col].cast("long") == again["_again"]
-    once = kept.join(again, twice, "left_anti")
-    some = kept.join(again, twice, "left_semi")
-    return once.unionByName(some.withColumn("_nth", F.row_number().over(order)).filter("_nth = 1").drop("_nth"))
+    columns = kept.columns
+    nth = Window.partitionBy("_id").orderBy("_h")
+    rows = kept.select(F.struct(*[kept[c] for c in columns]).alias("_row"), kept[id_col].cast("long").alias("_id"),
+                       F.xxhash64(kept[text_col]).alias("_h"))
+    twice = F.col("_id") == F.col("_again")
+    first = (rows.join(again, twice, "left_semi").withColumn("_nth", F.row_number().over(nth))
+             .filter("_nth = 1").drop("_nth"))
+    return rows.join(again, twice, "left_anti").union(first).select("_row.*")
