@@ -66,7 +66,7 @@ def _classify(dicts: dict[str, bytes], min_margin: float):
             made.append(z.ZstdCompressor(level=LEVEL, dict_data=d, write_content_size=False, write_dict_id=False).compress)
         for batch in batches:
             pred, score = [], []
-            for text in batch.column("text").to_pylist():
+            for text in batch.columns[-1].to_pylist():
                 # the first letter mostly stands near the start, so this looks at a few characters
                 if text is None or not langs or not any(c.isalpha() for c in text):
                     pred.append(UNKNOWN)
@@ -99,6 +99,6 @@ def predict(docs: DataFrame, dicts: dict[str, bytes], text_col: str, keep: list[
     ids are judged one by one, empty tables give an empty result.  The whole
     text is read, one narrow pass, no shuffle; the dictionaries ship with the
     task (``DICT_BYTES`` a language)."""
-    t = docs.select(*keep, F.col(text_col).alias("text"))
+    t = docs.select(*keep, F.col(text_col).alias("_input"))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in t.schema.fields[:-1])
     return t.mapInArrow(_classify(dicts, min_margin), f"{kinds}, lang_pred string, score double, rejected boolean")

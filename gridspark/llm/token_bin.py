@@ -50,7 +50,7 @@ class EliasFano:
     def encode(cls, values: np.ndarray) -> "EliasFano":
         v = np.asarray(values, np.uint64)
         n, top = len(v), int(v[-1]) if len(v) else 0
-        bits = max(0, (top // n).bit_length() - 1) if n else 0
+        bits = min(56, max(0, (top // n).bit_length() - 1)) if n else 0  # with 7 bits of shift they fit 64
         low = np.zeros(0, np.uint8)
         if bits:
             low = np.packbits(((v[:, None] >> np.arange(bits, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8),
@@ -301,7 +301,8 @@ class Shard:
     def documents(self, least: int, rows: int = 4096) -> Iterator[tuple[np.ndarray, list[int | None], list[np.ndarray]]]:
         """(ends, ids, token arrays) of ``rows`` documents at a time."""
         ends, keys = self.ends.decode(), self.keys.decode()
-        ids = [None] * self.nulls + [int(k) + least for k in keys]
+        own_ids = (keys.view(np.uint64) + np.uint64(least % 2**64)).view(np.int64)  # differences may exceed 63 bits
+        ids = [None] * self.nulls + own_ids.tolist()
         with self.open() as f:
             for i in range(0, self.n, rows):
                 own = ends[i:i + rows]

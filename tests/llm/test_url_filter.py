@@ -1,0 +1,56 @@
+"""URL filter against a plain loop over the rules."""
+import random
+
+import numpy as np
+
+from gridspark.llm import url_filter as U
+
+PAGES = "page_id long, url string, html string, host string, rule string, id string"
+
+
+def brute(url, rules):
+    rest = url.split("://", 1)[1] if url and "://" in url else ""
+    for c in "?#":
+        rest = rest.split(c, 1)[0]
+    host, slash, path = rest.partition("/")
+    host, path = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host), slash + path
+    fit = [(h + p, a) for h, p, a in rules if host and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    rule, action = max(fit, key=lambda x: len(x[0]), default=(None, "allow"))
+    return host, path, rule, action
+
+
+def judge(spark, urls, rules, shards=3):
+    pages = spark.createDataFrame([(i, u, None, "x", "y", "z") for i, u in enumerate(urls)], PAGES)
+    index = U.build_index(spark.createDataFrame(rules, "host string, path string, action string"), shards)
+    rows = U.filter_urls(pages, index, "page_id", "url").collect()
+    return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows}
+
+
+def test_brute_force(spark):
+    rng = random.Random(2)
+    hosts = ["net", "example.net", "a.example.net", "org", "b.org", "EXAMPLE.com", "xnet", "example.net:80", "", "é.net"]
+    paths = ["", "/", "/en/", "/en/x", "/fr/?q=/en/", "/de/#/", "/EN/", "?x://y.net/", "/ü/en/"]
+    urls = [f"{rng.choice(['http://', 'https://', '://', 'no', ''])}{rng.choice(hosts)}{rng.choice(paths)}" for _ in range(300)] + [None, "", "://"]
+    rules = U.RULES + [("é.net", "/ü", "block"), ("b.org", "/e", "block"), ("b.org", "/en/x", "allow")]
+    got = judge(spark, urls, rules)
+    assert got == {i: brute(u, rules) for i, u in enumerate(urls)}
+
+
+def test_edges(spark):
+    assert judge(spark, ["http://a.net/"], []) == {0: ("a.net", "/", None, "allow")}
+    twice = [("a.net", "/", "block"), ("a.net", "/", "allow"), (None, "/", "block"), ("net", None, "block")]
+    assert judge(spark, ["http://a.net/"], twice) == {0: ("a.net", "/", "a.net/", "allow")}
+    long_url = "http://" + "a." * 3000 + "net/" + "p" * 100_000
+    assert judge(spark, [long_url], U.RULES)[0][2] == "net/"
+    pages = spark.createDataFrame([], PAGES)
+    index = U.build_index(spark.createDataFrame(U.RULES, "host string, path string, action string"))
+    assert U.filter_urls(pages, index, "page_id", "url").count() == 0
+
+
+def test_a_collision_of_digests_does_not_decide(tmp_path):
+    texts = [b"a.net/\x00block", b"b.net/\x00allow"]
+    np.array([7, 7], "<u8").tofile(tmp_path / "s.key")
+    np.cumsum([len(t) for t in texts]).astype("<u8").tofile(tmp_path / "s.end")
+    (tmp_path / "s.txt").write_bytes(b"".join(texts))
+    shard = U._Shard(str(tmp_path), "s")
+    assert shard.find(np.array([7, 7, 7, 8], "u8"), [b"b.net/", b"a.net/", b"c.net/", b"a.net/"]) == [b"allow", b"block", None, None]
