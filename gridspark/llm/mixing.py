@@ -123,25 +123,29 @@ def _block(unit: Column, n_docs: Column, block_docs: int) -> Column:
 
 
 def _fill(docs: Column, want: Column) -> Column:
-    """The hashes of the documents (struct<unit, size>) that come nearest to
-    ``want`` words: in permuted order each one that still fits, and then the
-    smallest left out if that ends nearer than without it."""
-    empty = F.array().cast("array<bigint>")
-    start = F.struct(F.lit(0).cast("long").alias("sum"), empty.alias("in"),
-                     F.lit(None).cast("struct<size:bigint,unit:bigint>").alias("least"))
+    """The hashes of documents (struct<unit, size>) whose words come near to
+    ``want``: in permuted order each one that still fits, and then the best
+    exchange of one taken (or none) for one left out (or none)."""
+    docs = F.transform(F.sort_array(docs), lambda d: F.struct(d["size"].alias("size"), d["unit"].alias("unit")))
+    empty = F.array().cast("array<struct<size:bigint,unit:bigint>>")
+    nobody = F.array(F.struct(F.lit(0).cast("long").alias("size"), F.lit(None).cast("long").alias("unit")))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), empty.alias("in"), empty.alias("out"))
 
     def one(s: Column, d: Column) -> Column:
         fits = s["sum"] + d["size"] <= want
-        out = F.struct(d["size"].alias("size"), d["unit"].alias("unit"))
         return F.struct((s["sum"] + F.when(fits, d["size"]).otherwise(0)).alias("sum"),
-                        F.when(fits, F.concat(s["in"], F.array(d["unit"]))).otherwise(s["in"]).alias("in"),
-                        F.when(fits, s["least"]).otherwise(F.least(s["least"], out)).alias("least"))
+                        F.when(fits, F.concat(s["in"], F.array(d))).otherwise(s["in"]).alias("in"),
+                        F.when(fits, s["out"]).otherwise(F.concat(s["out"], F.array(d))).alias("out"))
 
     def done(s: Column) -> Column:
-        over = s["sum"] + s["least"]["size"] - want
-        return F.when(over < want - s["sum"], F.concat(s["in"], F.array(s["least"]["unit"]))).otherwise(s["in"])
+        def exchanged(x: Column) -> Column:
+            return F.array_min(F.transform(F.concat(nobody, s["out"]), lambda y: F.struct(
+                F.abs(want - s["sum"] - y["size"] + x["size"]).alias("off"), x["unit"].alias("less"), y["unit"].alias("more"))))
+        best = F.array_min(F.transform(F.concat(nobody, s["in"]), exchanged))
+        units = F.transform(F.filter(s["in"], lambda x: ~x["unit"].eqNullSafe(best["less"])), lambda x: x["unit"])
+        return F.when(best["more"].isNull(), units).otherwise(F.concat(units, F.array(best["more"])))
 
-    return F.aggregate(F.sort_array(docs), start, one, done)
+    return F.aggregate(docs, start, one, done)
 
 
 def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...] = WEIGHTS,
@@ -150,8 +154,8 @@ def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
 
     A source with target t and size s has floor(t / s) passes over all its
     blocks; whole blocks in permuted order and a part of the next one give the
-    rest, so its words come within about the smallest document of the last
-    block of t, and no document is taken more than ``most`` times.  Null texts
+    rest, so its words come to t within what one exchange of documents of that
+    block can settle, and no document is taken more than ``most`` times.  Null texts
     have size 0, null sources are a source of their own, null ids are placed
     by their text; rows that repeat an id in a source are taken together.
     Sources of size 0 have target 0 and are not taken; an empty table gives an

@@ -50,7 +50,6 @@ def test_files_are_cut_and_nested_rows_whole(spark, monkeypatch):
     rows = W.assemble(W.read_records(spark, root, manifest)).collect()
     assert len(rows) == pages.count()
     assert all(r.request and r.response and r.metadata and r.n_requests == r.n_metadata == 1 for r in rows)
-    assert all(r.request.concurrent_to if hasattr(r.request, "concurrent_to") else True for r in rows)
 
 
 def test_assemble_orphans_and_repeats(spark):
