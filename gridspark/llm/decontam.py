@@ -161,7 +161,7 @@ class Matcher:
     """The blocks of an index; a single one stays loaded."""
 
     def __init__(self, index: dict, least: float):
-        self.index, self.least, self.only = index, least, None
+        self.index, self.least, self.only, self.id_type = index, least, None, None
 
     def _blocks(self) -> Iterator[Block]:
         import pyarrow.parquet as pq
@@ -174,6 +174,7 @@ class Matcher:
             fs, path = filesystem(uri)
             with fs.open_input_file(path) as f:
                 for batch in pq.ParquetFile(f).iter_batches(BLOCK_ITEMS):
+                    self.id_type = batch.schema.field("item_id").type
                     waiting.append(batch)
                     if sum(b.num_rows for b in waiting) >= BLOCK_ITEMS:
                         n += 1
@@ -194,7 +195,10 @@ class Matcher:
         top = (flat >> np.uint64(44)).astype(np.int64)
         out = []
         for block in self._blocks():
-            for i in np.unique(row[block.seen[top]]).tolist():
+            at = np.flatnonzero(block.seen[top])  # a few of these have an item's top bits only
+            own = flat[at]
+            same = block.hash[np.minimum(np.searchsorted(block.hash, own), len(block.hash) - 1)] == own
+            for i in np.unique(row[at[same]]).tolist():
                 def text_of(some: np.ndarray, i=i) -> set[bytes]:
                     w = words(texts[i])
                     return set(shingle_texts(w, size, np.flatnonzero(np.isin(hashes[i], some)).tolist()))
@@ -212,7 +216,7 @@ def _pairs(index: dict, least: float):
                 if found:
                     rows, items, shared, total = (list(c) for c in zip(*found))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0).take(pa.array(rows)), pa.array(items), pa.array(shared, pa.int64()),
+                        [part.column(0).take(pa.array(rows)), pa.array(items, matcher.id_type), pa.array(shared, pa.int64()),
                          pa.array(total, pa.int64()), pa.array([a / b for a, b in zip(shared, total)], pa.float64())],
                         ["id", "item_id", "n_shared", "n_shingles", "containment"])
     return run
