@@ -30,8 +30,10 @@ def confidence(peak_z, full_scale: float = CONFIDENCE_Z_FULL_SCALE, digits: int
 def event_key(device_col, start_ts_col) -> Column:
     """Deterministic event id: md5 of ``device|start`` (start as text).
 
-    Retries and re-runs give the same id, so upserts stay idempotent."""
-    return F.md5(F.concat(col_of(device_col), F.lit("|"), col_of(start_ts_col).cast("string")))
+    Retries and re-runs give the same id, so upserts stay idempotent.  A null
+    device or start stands as an empty text."""
+    return F.md5(F.concat(F.coalesce(col_of(device_col), F.lit("")), F.lit("|"),
+                          F.coalesce(col_of(start_ts_col).cast("string"), F.lit(""))))
 
 
 def safe_div(num, den) -> Column:

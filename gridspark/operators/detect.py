@@ -7,21 +7,17 @@ fault scores lower and lower and is rarely called ``sustained`` at the
 default thresholds; ``detect_frozen`` (``detect_state.py``) keeps a frozen
 baseline instead.  This operator is the spike detector.
 
-Two physical strategies, same result:
-
-* ``"auto"`` (default): one small aggregate finds the largest device; if
-  it holds more than ``segment_rows`` readings the segmented plan is used,
-  otherwise the per-device one.
-* ``"segmented"``: rows get an ordinal per device
-  (``positions``), each device is cut into segments of ``segment_rows`` with
-  a halo of ``window`` rows, the rolling baseline runs per (device,
-  segment), and event membership is keyed by the position of the last
-  normal reading before each anomalous one (a prefix max carried across
-  segments through a small table of runs and per-segment summaries, built
-  by the same aggregate that collapses the runs).  A device holding a third of
-  all rows is spread over many tasks.
-* ``"device"``: the plain SQL shape -- one window partition per device
-  (one exchange, one sort).  Fine when no device is hot.
+Two physical strategies, one result: rows without a time come first and count
+in the baselines after them, rows without a device are one device of their own.
+
+* ``"segmented"`` (default): rows get an ordinal per device (``positions``),
+  each device is cut into segments of ``segment_rows`` with a halo of
+  ``window`` rows, the rolling baseline runs per (device, segment), and event
+  membership is keyed by the position of the last normal reading before each
+  anomalous one, carried across segments through one summary row a segment.
+  A device holding a third of all rows is spread over many tasks.
+* ``"device"``: the plain SQL shape -- one window partition per device (one
+  exchange, one sort), for callers who know that no device is hot.
 """
 from __future__ import annotations
 
@@ -55,25 +51,16 @@ def _event_rows(ev: DataFrame, sustained_s: float, full_scale: float, digits: in
     )
 
 
-def hottest_key_rows(df: DataFrame, key: str = "device_id") -> int:
-    """Rows of the largest key: one small aggregate job (partial counts per
-    key, then a max), used to choose a plan the way AQE uses run-time sizes."""
-    row = df.groupBy(key).count().agg(F.max("count")).first()
-    return int(row[0] or 0)
-
-
 def detect_windowed(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
                     sustained_s: float = S.DEFAULT_SUSTAINED_THRESHOLD_S,
                     window: int = S.DEFAULT_WINDOW_SIZE, min_n: int = S.DEFAULT_MIN_BASELINE_READINGS,
                     full_scale: float = S.CONFIDENCE_Z_FULL_SCALE, source: str | None = S.SYNTHETIC,
-                    strategy: str = "auto", segment_rows: int = 1_000_000,
+                    strategy: str = "segmented", segment_rows: int = 1_000_000,
                     bucket_seconds: int = 3600, digits: int | None = None) -> DataFrame:
     """Fault events (FAULTS schema) from silver readings."""
     r = only_source(readings, source) if source else readings
     r = r.select("reading_id", "device_id", "feeder_id", "ts", *CHANNELS)
 
-    if strategy == "auto":
-        strategy = "segmented" if hottest_key_rows(r) > segment_rows else "device"
     if strategy == "device":
         scored = zscore(rolling_baseline(r, CHANNELS, window))
         marked = islands(flag_anomalies(scored, z, min_n, CHANNELS))
@@ -92,9 +79,9 @@ def detect_windowed(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     running = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     flagged = flagged.withColumn("_last_normal", F.max(F.when(~anom, F.col("pos"))).over(running))
     # One aggregate, combined map-side: anomalous rows group into runs keyed
-    # by the last normal position in their segment (-1: the run continues
-    # from an earlier segment); all normal rows of a segment collapse into
-    # one summary row (-2) holding the segment's last normal position.
+    # by the last normal position in their segment (-1: the run continues from
+    # an earlier segment); a segment's normal rows collapse into one summary
+    # row (-2) with its last normal position.
     k = F.when(anom, F.coalesce(F.col("_last_normal"), F.lit(-1))).otherwise(F.lit(-2)).cast("long")
     parts = (flagged.groupBy("device_id", "seg", k.alias("_k")).agg(
         F.max(F.when(~anom, F.col("pos"))).alias("_seg_normal"),
@@ -102,13 +89,14 @@ def detect_windowed(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
         F.max(F.when(anom, F.col("ts"))).alias("_end"),
         F.min(F.when(anom, F.col("feeder_id"))).alias("feeder_id"),
         F.max(F.when(anom, F.col("abs_z"))).alias("abs_z")))
-    # Over this small table: last normal position of all earlier segments.
-    is_sum = F.col("_k") == -2
-    carry = F.max("_seg_normal").over(
-        Window.partitionBy("device_id").orderBy("seg", is_sum).rowsBetween(Window.unboundedPreceding, 0))
-    runs = (parts.withColumn("_carry", carry).filter(~is_sum)
-                 .withColumn("_run", F.when(F.col("_k") == -1, F.coalesce(F.col("_carry"), F.lit(-1)))
-                                      .otherwise(F.col("_k"))))
+    # Only summaries meet in a window per device: a row a segment.  The runs
+    # that continue, at most one a segment, join what it finds.
+    whole = parts.groupBy("device_id", "seg").agg(F.max("_seg_normal").alias("_own"))
+    carry = F.max("_own").over(Window.partitionBy("device_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1))
+    whole = whole.select(F.struct("device_id", "seg").alias("_s"), F.coalesce(carry, F.lit(-1)).alias("_carry"))
+    runs = parts.filter(F.col("_k") != -2)
+    runs = (runs.join(whole, runs["device_id"].eqNullSafe(F.col("_s.device_id")) & (runs["seg"] == F.col("_s.seg")))
+                .withColumn("_run", F.when(F.col("_k") == -1, F.col("_carry")).otherwise(F.col("_k"))))
     ev = runs.groupBy("device_id", "_run").agg(
         F.min("ts").alias("_start"), F.max("_end").alias("_end"),
         F.min("feeder_id").alias("feeder_id"), F.max("abs_z").alias("_peak"))

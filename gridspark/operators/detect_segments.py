@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -70,70 +71,51 @@ def _clean(v):
 
 
 def _walk_groups(params: dict):
-    from .detect_state import FrozenBaseline
+    from .detect_state import FrozenBaseline, emitted
+
+    names = [f.name for f in OUT_SCHEMA.fields]
+
+    def frame(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        out = pd.concat([p.reindex(columns=names).astype(object) for p in parts], ignore_index=True)
+        out = out.where(out.notna(), None)
+        return out.assign(**{c: pd.array(out[c], dtype="Int64") for c in _INT_COLS},
+                          is_state=out["is_state"].astype(bool), peak_z=out["peak_z"].astype(float))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        out = {f.name: [] for f in OUT_SCHEMA.fields}
-        cur = {"key": None, "m": None, "guess": None}
-
-        def add(**kw):
-            for name in out:
-                out[name].append(kw.get(name))
-
-        def close():
-            if cur["key"] is not None and cur["guess"] is not None:
-                d, s = cur["key"]
-                g, e = cur["guess"], cur["m"].get_state()
-                add(device_id=d, seg=s, is_state=True,
-                    **{f"g_{n}": g[i] for i, (n, _) in enumerate(STATE_FIELDS)},
-                    **{f"e_{n}": e[i] for i, (n, _) in enumerate(STATE_FIELDS)})
-
-        def flush():
-            df = pd.DataFrame(out)
-            for c in _INT_COLS:
-                df[c] = pd.array(out[c], dtype="Int64")
-            for k in out:
-                out[k] = []
-            return df
+        key, m, guess = None, None, None
+
+        def summary() -> pd.DataFrame:
+            state = {f"g_{n}": [x] for (n, _), x in zip(STATE_FIELDS, guess)}
+            state |= {f"e_{n}": [x] for (n, _), x in zip(STATE_FIELDS, m.get_state())}
+            return pd.DataFrame({"device_id": [key[0]], "seg": [key[1]], "is_state": [True], **state})
 
         for pdf in batches:
-            d = pdf["device_id"].to_numpy()
-            sg = pdf["seg"].to_numpy(dtype=np.int64)
-            halo = pdf["is_halo"].to_numpy(dtype=bool)
-            t = pdf["ts_us"].to_numpy(dtype=np.int64)
-            v = pdf["voltage"].to_numpy(dtype=np.float64)
-            c = pdf["current"].to_numpy(dtype=np.float64)
-            f = pdf["feeder_id"].to_numpy()
-            rid = pdf["reading_id"].to_numpy()
-            n = len(pdf)
-            # sub-runs of equal (device, seg, is_halo); warm rows precede own rows
+            if not len(pdf):
+                continue
+            d, f, rid, sg, halo = (pdf[x].to_numpy() for x in ("device_id", "feeder_id", "reading_id", "seg", "is_halo"))
+            t, v, c = (pdf[x].to_numpy(dtype=k) for x, k in (("ts_us", np.int64), ("voltage", np.float64), ("current", np.float64)))
+            # stretches of equal (device, seg, is_halo); warm-up rows stand before own rows
             brk = np.flatnonzero((d[1:] != d[:-1]) | (sg[1:] != sg[:-1]) | (halo[1:] != halo[:-1])) + 1
-            for a, b in zip(np.r_[0, brk], np.r_[brk, n]):
-                if a == b:
-                    continue
-                key = (d[a], int(sg[a]))
-                if key != cur["key"]:
-                    close()
-                    m = FrozenBaseline(**params)
+            found = []
+            for a, b in zip(np.r_[0, brk], np.r_[brk, len(pdf)]):
+                if m is None or key != (d[a], int(sg[a])):
+                    if guess is not None:
+                        found.append(summary())
+                    key, m, guess = (d[a], int(sg[a])), FrozenBaseline(**params), None
                     if pdf["s_known"].iat[a]:
-                        m.set_state((list(pdf["s_bv"].iat[a]), list(pdf["s_bc"].iat[a]),
-                                     _clean(pdf["s_start"].iat[a]), _clean(pdf["s_peak"].iat[a]),
-                                     _clean(pdf["s_feeder"].iat[a])))
-                    cur.update(key=key, m=m, guess=None)
-                if halo[a]:
-                    cur["m"].run(t[a:b], v[a:b], c[a:b], f[a:b])  # warm-up: no emissions
-                    continue
-                if cur["guess"] is None:
-                    cur["guess"] = cur["m"].get_state()
-                for idx, kind, start, peak, fdr in cur["m"].run(t[a:b], v[a:b], c[a:b], f[a:b]):
-                    add(device_id=key[0], seg=key[1], is_state=False, feeder_id=fdr,
-                        reading_id=rid[a + idx], ts_us=int(t[a + idx]), start_us=int(start),
-                        fault_type=kind, peak_z=float(peak))
-            if out["device_id"]:
-                yield flush()
-        close()
-        if out["device_id"]:
-            yield flush()
+                        m.set_state((pdf["s_bv"].iat[a], pdf["s_bc"].iat[a], *(
+                            _clean(pdf[x].iat[a]) for x in ("s_start", "s_peak", "s_feeder"))))
+                        if m.start_us is not None:
+                            m.start_us = int(m.start_us)
+                if not halo[a] and guess is None:
+                    guess = m.get_state()
+                e = m.run(t[a:b], v[a:b], c[a:b], f[a:b])
+                if len(e) and not halo[a]:  # the warm-up emits nothing
+                    found.append(emitted(e, key[0], rid[a:b], t[a:b]).assign(seg=key[1], is_state=False))
+            if found:
+                yield frame(found)
+        if guess is not None:
+            yield frame([summary()])
     return run
 
 
@@ -155,7 +137,7 @@ def _no_state(df: DataFrame) -> DataFrame:
 
 
 def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
-                   bucket_seconds: int = 3600, max_rounds: int = 10_000) -> DataFrame:
+                   bucket_seconds: int = 3600) -> DataFrame:
     """Emissions (EMIT_SCHEMA of ``detect_state``) of the exact detector.
 
     Jobs: round 0 (positions, segments, walk; written), one check over the
@@ -172,7 +154,7 @@ def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
     states = out0.filter(F.col("is_state")).select("device_id", "seg", F.lit(0).alias("rnd"), *gcols, *ecols)
     own = None
 
-    for k in range(1, max_rounds + 1):
+    for k in count(1):  # every round settles one segment of each wrong device at least
         prev = Window.partitionBy("device_id").orderBy("seg")
         g = F.struct(*[F.col(c) for c in gcols])
         checked = states.withColumn(
@@ -189,21 +171,21 @@ def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
             pos.withColumn("seg", (F.col("pos") / F.lit(segment_rows)).cast("long")) \
                .write.mode("overwrite").parquet(f"{base}/rows")
             own = spark.read.parquet(f"{base}/rows").withColumn("is_halo", F.lit(False))
-        rows_k = own.join(bad, on=["device_id", "seg"], how="inner")
+        wrong = bad.withColumnsRenamed({"device_id": "_d", "seg": "_s"})
+        rows_k = own.join(wrong, own["device_id"].eqNullSafe(wrong["_d"]) & (own["seg"] == wrong["_s"])).drop("_d", "_s")
         out_k = _walk(rows_k, params, f"{base}/round={k}")
         emits.append(out_k.filter(~F.col("is_state")).withColumn("rnd", F.lit(k)))
         new_states = out_k.filter(F.col("is_state")).select("device_id", "seg", F.lit(k).alias("rnd"),
                                                           *gcols, *ecols)
-        merged = (states.join(bad.select("device_id", "seg"), on=["device_id", "seg"], how="left_anti")
-                  .unionByName(new_states))
+        again = states["device_id"].eqNullSafe(wrong["_d"]) & (states["seg"] == wrong["_s"])
+        merged = states.join(wrong.select("_d", "_s"), again, "left_anti").unionByName(new_states)
         merged.write.mode("overwrite").parquet(f"{base}/states={k}")
         states = spark.read.parquet(f"{base}/states={k}")
-    else:
-        raise RuntimeError("segmented walk did not settle")
 
     final = states.select("device_id", "seg", "rnd")
     allem = emits[0]
     for e in emits[1:]:
         allem = allem.unionByName(e)
-    return (allem.join(final, on=["device_id", "seg", "rnd"], how="left_semi")
+    last = allem["device_id"].eqNullSafe(final["device_id"]) & (allem["seg"] == final["seg"]) & (allem["rnd"] == final["rnd"])
+    return (allem.join(final, last, "left_semi")
                  .select("device_id", "feeder_id", "reading_id", "ts_us", "start_us", "fault_type", "peak_z"))

@@ -18,15 +18,17 @@ walks each partition once with O(window) state per device, carrying the
 state across Arrow batches.  Event ids, timestamps and confidence are
 computed back in the JVM.
 
-Hot devices: the state is tiny, but the walk over one device is serial.
-By default (``segment_rows="auto"``) one small aggregate finds the largest
-device; above ``hot_rows`` readings, or with an explicit
-``detect_frozen(..., segment_rows=N)``, every device is split into segments
-of N readings, runs the segments in parallel from a speculative start state
-(warmed up on the ``warmup`` readings before each segment), then checks each
-segment's start state against the end state of the segment before it.
-Segments whose guess was wrong are re-run from the true state, in rounds,
-until all agree -- the result is exact, usually after one round.
+Hot devices: the state is tiny, but the walk over one device is serial, so
+every device is split into segments of ``segment_rows`` readings that run in
+parallel from a speculative start state (warmed up on the ``warmup`` readings
+before each segment); each segment's start state is then checked against the
+end state of the segment before it, and wrong ones are run again from the true
+state, in rounds, until all agree -- the result is exact, usually after one
+round.  ``segment_rows=None`` walks each device whole, for callers who know
+that none is hot.
+
+One rule for gaps in both plans: readings without a time, voltage or current
+are skipped; readings without a device are one device of their own.
 """
 from __future__ import annotations
 
@@ -54,168 +56,106 @@ EMIT_SCHEMA = StructType([
 ])
 
 
-def _stats(win: np.ndarray):
-    """Mean and population sigma (0 -> 1e-6) of each row of a C-contiguous
-    2-D array.  The scalar and the vectorised paths both call this on
-    contiguous rows, so they agree to the bit."""
-    n = win.shape[1]
-    m = win.sum(axis=1) / n
-    d = win - m[:, None]
-    sd = np.sqrt((d * d).sum(axis=1) / n)
+def _stats(win: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and population sigma (0 -> 1e-6) over the last axis, which must be
+    contiguous: then a row's sums do not depend on the rows beside it."""
+    m = win.sum(axis=-1) / win.shape[-1]
+    d = win - m[..., None]
+    sd = np.sqrt((d * d).sum(axis=-1) / win.shape[-1])
     sd[sd == 0] = 1e-6
     return m, sd
 
 
-_WINDOW_INDEX: dict = {}
-
-
-def _windows(k: int, w: int) -> np.ndarray:
-    """Index matrix picking the ``k`` sliding windows of width ``w``
-    (row r = positions r .. r+w-1); fancy indexing yields C-contiguous rows."""
-    key = (k, w)
-    idx = _WINDOW_INDEX.get(key)
-    if idx is None:
-        idx = _WINDOW_INDEX[key] = np.arange(k)[:, None] + np.arange(w)[None, :]
-    return idx
-
-
 class FrozenBaseline:
-    """The per-device state machine (O(window) memory).
+    """One device's detector, fed with stretches of its readings in order.
 
-    ``step`` takes one reading.  ``run`` takes a run of one device's readings
-    as arrays: while no event is open and the baseline is full, a chunk of
-    readings is scored at once against sliding windows (every reading in
-    the chunk is normal until the first anomalous one, so the windows are
-    exact up to there); the rest goes through ``step``."""
+    ``base`` holds the last normal readings, a row a channel; ``start_us``,
+    ``peak`` and ``feeder`` describe the open event.  Stretches are scored
+    whole, however they are cut: while no event is open, each reading against
+    the window that slides over the normal readings before it, up to the first
+    anomalous one; while one is open the baseline stands still, so all against
+    the same statistics up to the first normal one."""
 
-    __slots__ = ("window", "min_ready", "vth", "cth", "sustained_us", "bv", "bc",
-                 "start_us", "peak", "feeder")
+    FIRST, LARGEST = 16, 512  # readings scored at a time; doubled while nothing changes
 
     def __init__(self, window: int, min_n: int, vth: float, cth: float, sustained_s: float):
-        self.window = window
-        self.min_ready = max(2, min_n)
-        self.vth, self.cth = vth, cth
+        self.window, self.ready = window, max(2, min_n)
+        self.limits = np.array([[vth], [cth]])
         self.sustained_us = sustained_s * 1_000_000.0
-        self.bv: list[float] = []
-        self.bc: list[float] = []
-        self.start_us = None   # open event start, or None
-        self.peak = 0.0
-        self.feeder = None
+        self.base = np.zeros((2, 0))
+        self.start_us, self.peak, self.feeder = None, 0.0, None
 
     # state as plain values, for streaming state stores and segment checks
     def get_state(self):
-        return (list(self.bv), list(self.bc), self.start_us, self.peak, self.feeder)
+        return (*self.base.tolist(), self.start_us, self.peak, self.feeder)
 
     def set_state(self, st):
-        bv, bc, start, peak, feeder = st
-        self.bv, self.bc = [float(x) for x in (bv if bv is not None else [])], \
-            [float(x) for x in (bc if bc is not None else [])]
-        self.start_us, self.peak, self.feeder = start, (peak or 0.0), feeder
-
-    def _zs(self, v: float, c: float):
-        m, sd = _stats(np.array([self.bv, self.bc], dtype=np.float64))
-        return abs((v - m[0]) / sd[0]), abs((c - m[1]) / sd[1])
-
-    def step(self, feeder, ts_us: int, v: float, c: float):
-        """Feed one reading; return ``(fault_type, start_us, peak, feeder)``
-        when it emits (fault_type None = event opened), else None."""
-        anomalous = False
-        pk = 0.0
-        if len(self.bv) >= self.min_ready:
-            vz, cz = self._zs(v, c)
-            anomalous = bool(vz >= self.vth or cz >= self.cth)
-            pk = float(vz if vz >= cz else cz)
-        if anomalous:
-            if self.start_us is None:
-                self.start_us, self.peak, self.feeder = ts_us, pk, feeder
-                return (None, ts_us, pk, feeder)
-            if pk > self.peak:
-                self.peak = pk
-            if ts_us - self.start_us >= self.sustained_us:
-                return (S.SUSTAINED, self.start_us, self.peak, self.feeder)
-            return None
-        out = None
-        if self.start_us is not None:
-            kind = S.SUSTAINED if ts_us - self.start_us >= self.sustained_us else S.TRANSIENT
-            out = (kind, self.start_us, self.peak, self.feeder)
-            self.start_us, self.peak, self.feeder = None, 0.0, None
-        self.bv.append(float(v))
-        self.bc.append(float(c))
-        if len(self.bv) > self.window:
-            del self.bv[0]
-            del self.bc[0]
-        return out
-
-    def run(self, ts: np.ndarray, v: np.ndarray, c: np.ndarray, feeder) -> list:
-        """Feed a run of one device's readings (sorted); return emissions as
-        ``(index, fault_type, start_us, peak, feeder)``.
-
-        With a full baseline every reading is scored in chunks: with no open
-        event, against sliding windows up to the first anomalous reading;
-        with an open event the baseline is frozen, so against fixed
-        statistics up to the first normal reading.  Only a device's first
-        ``window`` readings go through ``step`` one by one."""
-        out = []
-        n, i, w, chunk = len(v), 0, self.window, 16
-        while i < n:
-            if len(self.bv) != w or self.min_ready > w:
-                e = self.step(feeder[i], int(ts[i]), float(v[i]), float(c[i]))
-                if e is not None:
-                    out.append((i, *e))
-                i += 1
-                continue
-            j = min(n, i + chunk)
-            if self.start_us is None:
-                ev = np.concatenate([np.asarray(self.bv, dtype=np.float64), v[i:j]])
-                ec = np.concatenate([np.asarray(self.bc, dtype=np.float64), c[i:j]])
-                idx = _windows(j - i, w)
-                buf = np.empty((2 * (j - i), w))  # voltage windows, then current windows
-                np.take(ev, idx, out=buf[: j - i])
-                np.take(ec, idx, out=buf[j - i:])
-                m, sd = _stats(buf)
-                zv = np.abs((v[i:j] - m[: j - i]) / sd[: j - i])
-                zc = np.abs((c[i:j] - m[j - i:]) / sd[j - i:])
-                hit = (zv >= self.vth) | (zc >= self.cth)
-                k = int(hit.argmax()) if hit.any() else j - i
-                if k:  # readings i .. i+k-1 are normal
-                    self.bv = ev[k:k + w].tolist()
-                    self.bc = ec[k:k + w].tolist()
-                if k == j - i:
-                    i, chunk = j, min(chunk * 2, 512)
-                    continue
-                pk = float(zv[k] if zv[k] >= zc[k] else zc[k])
-                i += k
-                self.start_us, self.peak, self.feeder = int(ts[i]), pk, feeder[i]
-                out.append((i, None, self.start_us, pk, self.feeder))
-                i, chunk = i + 1, 16
-                continue
-            # open event: the baseline is frozen until the next normal reading
-            m, sd = _stats(np.array([self.bv, self.bc], dtype=np.float64))
-            zv = np.abs((v[i:j] - m[0]) / sd[0])
-            zc = np.abs((c[i:j] - m[1]) / sd[1])
-            hit = (zv >= self.vth) | (zc >= self.cth)
-            k = int((~hit).argmax()) if not hit.all() else j - i
-            if k:  # readings i .. i+k-1 stay anomalous
-                pks = np.where(zv[:k] >= zc[:k], zv[:k], zc[:k]).tolist()
-                due = ((ts[i:i + k] - self.start_us) >= self.sustained_us).tolist()
-                for x, (p, d) in enumerate(zip(pks, due)):
-                    if p > self.peak:
-                        self.peak = p
-                    if d:
-                        out.append((i + x, S.SUSTAINED, self.start_us, self.peak, self.feeder))
-            if k == j - i:
-                i, chunk = j, min(chunk * 2, 512)
-                continue
-            i += k  # reading i is normal: the event closes and it joins the baseline
-            kind = S.SUSTAINED if int(ts[i]) - self.start_us >= self.sustained_us else S.TRANSIENT
-            out.append((i, kind, self.start_us, self.peak, self.feeder))
-            self.start_us, self.peak, self.feeder = None, 0.0, None
-            self.bv.append(float(v[i]))
-            self.bc.append(float(c[i]))
-            del self.bv[0]
-            del self.bc[0]
-            i, chunk = i + 1, 16
-        return out
+        bv, bc, self.start_us, peak, self.feeder = st
+        self.base = np.array([[] if bv is None else bv, [] if bc is None else bc], dtype=np.float64)
+        self.peak = peak or 0.0
+
+    def run(self, ts: np.ndarray, v: np.ndarray, c: np.ndarray, feeder) -> pd.DataFrame:
+        """Emissions of a stretch: ``idx`` (place in it), ``fault_type`` (None:
+        opened), ``start_us``, ``peak_z`` and ``feeder_id``."""
+        x = np.stack([v, c]).astype(np.float64)
+        parts: list[tuple] = []  # (places, type, start, peaks, feeder)
+        i, size = 0, self.FIRST
+        while i < x.shape[1]:
+            step = self._frozen if self.start_us is not None else self._sliding
+            i, calm = step(ts, x, feeder, i, size, parts)
+            size = min(2 * size, self.LARGEST) if calm else self.FIRST
+        return pd.DataFrame({
+            "idx": np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.int64),
+            "fault_type": np.repeat(np.array([p[1] for p in parts], object), [len(p[0]) for p in parts]),
+            "start_us": np.repeat(np.array([p[2] for p in parts], np.int64), [len(p[0]) for p in parts]),
+            "peak_z": np.concatenate([p[3] for p in parts]) if parts else np.zeros(0),
+            "feeder_id": np.repeat(np.array([p[4] for p in parts], object), [len(p[0]) for p in parts])})
+
+    def _sliding(self, ts, x, feeder, i, size, parts):
+        """No event is open.  Returns (the next reading, whether all were normal)."""
+        m, n = self.base.shape[1], x.shape[1]
+        if m < self.ready:  # too few to score: all are normal
+            j = n if self.ready > self.window else min(n, i + self.ready - m)
+            self.base = np.concatenate([self.base, x[:, i:j]], axis=1)[:, -self.window:]
+            return j, False
+        j = min(n, i + (size if m == self.window else 1))  # a baseline still growing has another width each time
+        both = np.concatenate([self.base, x[:, i:j]], axis=1)
+        mean, sd = _stats(np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(both, m, axis=1)[:, :j - i]))
+        z = np.abs((x[:, i:j] - mean) / sd)
+        odd = (z >= self.limits).any(axis=0)
+        k = int(odd.argmax()) if odd.any() else j - i
+        self.base = both[:, max(0, m + k - self.window):m + k]
+        if k == j - i:
+            return j, True
+        self.start_us, self.peak, self.feeder = int(ts[i + k]), float(np.fmax(*z[:, k])), feeder[i + k]
+        parts.append((np.array([i + k]), None, self.start_us, np.array([self.peak]), self.feeder))
+        return i + k + 1, False
+
+    def _frozen(self, ts, x, feeder, i, size, parts):
+        """An event is open.  Returns (the next reading, whether it still is)."""
+        j = min(x.shape[1], i + size)
+        mean, sd = _stats(np.ascontiguousarray(self.base))
+        z = np.abs((x[:, i:j] - mean[:, None]) / sd[:, None])
+        normal = ~(z >= self.limits).any(axis=0)
+        k = int(normal.argmax()) if normal.any() else j - i
+        peaks = np.fmax.accumulate(np.concatenate([[self.peak], np.fmax(z[0, :k], z[1, :k])]))
+        self.peak = float(peaks[-1])
+        due = np.flatnonzero(ts[i:i + k] - self.start_us >= self.sustained_us)
+        if len(due):
+            parts.append((i + due, S.SUSTAINED, self.start_us, peaks[1:][due], self.feeder))
+        if k == j - i:
+            return j, True
+        long = int(ts[i + k]) - self.start_us >= self.sustained_us
+        parts.append((np.array([i + k]), S.SUSTAINED if long else S.TRANSIENT, self.start_us, np.array([self.peak]), self.feeder))
+        self.base = np.concatenate([self.base, x[:, i + k:i + k + 1]], axis=1)[:, -self.window:]
+        self.start_us, self.peak, self.feeder = None, 0.0, None
+        return i + k + 1, False
+
+
+def emitted(e: pd.DataFrame, device, rid: np.ndarray, ts_us: np.ndarray) -> pd.DataFrame:
+    """The emissions of one stretch as EMIT_SCHEMA rows."""
+    at = e["idx"].to_numpy()
+    return e.assign(device_id=device, reading_id=rid[at], ts_us=ts_us[at])[EMIT_SCHEMA.names]
 
 
 def _walk(params: dict):
@@ -224,29 +164,20 @@ def _walk(params: dict):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         dev, m = None, None
         for pdf in batches:
-            d = pdf["device_id"].to_numpy()
-            f = pdf["feeder_id"].to_numpy()
-            rid = pdf["reading_id"].to_numpy()
-            t = pdf["ts_us"].to_numpy(dtype=np.int64)
-            v = pdf["voltage"].to_numpy(dtype=np.float64)
-            c = pdf["current"].to_numpy(dtype=np.float64)
-            cuts = np.flatnonzero(d[1:] != d[:-1]) + 1 if len(d) else np.array([], dtype=np.int64)
-            out = {k: [] for k in EMIT_SCHEMA.names}
+            if not len(pdf):
+                continue
+            d, f, rid = (pdf[x].to_numpy() for x in ("device_id", "feeder_id", "reading_id"))
+            t, v, c = (pdf[x].to_numpy(dtype=k) for x, k in (("ts_us", np.int64), ("voltage", np.float64), ("current", np.float64)))
+            cuts = np.flatnonzero(d[1:] != d[:-1]) + 1
+            found = []
             for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(d)]):
-                if a == b:
-                    continue
-                if d[a] != dev:
+                if m is None or d[a] != dev:
                     dev, m = d[a], FrozenBaseline(**params)
-                for idx, kind, start, peak, fdr in m.run(t[a:b], v[a:b], c[a:b], f[a:b]):
-                    out["device_id"].append(dev)
-                    out["feeder_id"].append(fdr)
-                    out["reading_id"].append(rid[a + idx])
-                    out["ts_us"].append(int(t[a + idx]))
-                    out["start_us"].append(int(start))
-                    out["fault_type"].append(kind)
-                    out["peak_z"].append(float(peak))
-            if out["device_id"]:
-                yield pd.DataFrame(out)
+                e = m.run(t[a:b], v[a:b], c[a:b], f[a:b])
+                if len(e):
+                    found.append(emitted(e, dev, rid[a:b], t[a:b]))
+            if found:
+                yield pd.concat(found, ignore_index=True)
     return run
 
 
@@ -275,8 +206,7 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
                   window: int = S.DEFAULT_WINDOW_SIZE, min_n: int = S.DEFAULT_MIN_BASELINE_READINGS,
                   full_scale: float = S.CONFIDENCE_Z_FULL_SCALE, source: str | None = S.SYNTHETIC,
                   num_partitions: int | None = None, digits: int = 3,
-                  segment_rows: int | str | None = "auto", warmup: int = 300,
-                  hot_rows: int = 5_000_000) -> DataFrame:
+                  segment_rows: int | None = 1_000_000, warmup: int = 300) -> DataFrame:
     """Emissions of the frozen-baseline detector, in batch.
 
     Columns: event_id, device_id, feeder_id, timestamp (of the emitting
@@ -284,10 +214,6 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     params = dict(window=window, min_n=min_n, vth=float(z),
                   cth=float(z if current_z is None else current_z), sustained_s=float(sustained_s))
     r = _prepared(readings, source)
-    if segment_rows == "auto":
-        # one small aggregate: split devices only when one is hot
-        from .detect import hottest_key_rows
-        segment_rows = hot_rows if hottest_key_rows(r) > hot_rows else None
     if segment_rows:
         from .detect_segments import walk_segmented
         return _finish(walk_segmented(r, params, segment_rows, warmup), full_scale, digits)

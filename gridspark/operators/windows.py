@@ -86,18 +86,24 @@ def positions(df: DataFrame, keys: Sequence[str] = ("device_id",), order: Sequen
               time_col: str = "ts", bucket_seconds: int = 3600, out: str = "pos") -> DataFrame:
     """0-based ordinal of each row inside its key, ordered by ``order``.
 
-    ``order`` must start with ``time_col`` so that buckets are monotone."""
+    ``order`` must start with ``time_col`` so that buckets are monotone.  Rows
+    without a time come first, as in a window ordered by it; a null key is a
+    key of its own.  No row is lost."""
     keys = list(keys)
+    first = F.lit(-(1 << 62))  # the bucket of rows without a time
     bucket = F.floor(F.unix_micros(F.col(time_col)) / F.lit(bucket_seconds * 1_000_000)).cast("long")
-    b = df.withColumn("_bucket", bucket)
+    b = df.withColumn("_bucket", F.coalesce(bucket, first))
     counts = b.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     wo = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0))).drop("_cnt")
+    offsets = counts.select(F.struct(*keys, "_bucket").alias("_key"), F.coalesce(F.sum("_cnt").over(wo), F.lit(0)).alias("_off"))
     wl = Window.partitionBy(*keys, "_bucket").orderBy(*_cols(order))
     local = b.withColumn("_rn", F.row_number().over(wl))
-    return (local.join(offsets, on=[*keys, "_bucket"], how="inner")
+    same = F.lit(True)
+    for k in [*keys, "_bucket"]:
+        same = same & local[k].eqNullSafe(F.col(f"_key.{k}"))
+    return (local.join(offsets, same, "inner")
                  .withColumn(out, (F.col("_off") + F.col("_rn") - 1).cast("long"))
-                 .drop("_off", "_rn", "_bucket"))
+                 .drop("_off", "_rn", "_bucket", "_key"))
 
 
 def segments(df: DataFrame, halo: int, size: int, pos: str = "pos",

@@ -85,7 +85,7 @@ def faults_windowed(spark: SparkSession, sf_dir: str, strategy: str | None = Non
     if strategy is not None:
         return detect_faults(spark, sf_dir, strategy, segment_rows)
     return layers.materialized(spark, "fault_classifications", sf_dir,
-                               lambda: detect_faults(spark, sf_dir, "auto"))
+                               lambda: detect_faults(spark, sf_dir))
 
 
 def emissions_frozen(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
@@ -185,49 +185,85 @@ def r2_pivot_channels(spark, sf_dir):
 
 # ---------------------------------------------------------------- detection
 
+def gappy_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Synthetic silver in which some readings lack a time and some a device."""
+    r = quality.only_source(silver(spark, sf_dir))
+    n = F.substring("reading_id", 3, 20).cast("long")
+    return (r.withColumn("device_id", F.when(n % 103 != 0, F.col("device_id")))
+             .withColumn("ts", F.when(n % 101 != 0, F.col("ts"))))
+
+
+DETECTOR = dict(z=O.Z, sustained_s=O.SUSTAINED_S, window=O.WINDOW, min_n=O.MIN_N)
+
+
 @register("d1_detect_windowed", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed(spark, sf_dir):
-    return naive(faults_windowed(spark, sf_dir, strategy="auto"))
+    return naive(detect_faults(spark, sf_dir))
 
 
 @register("d1_detect_windowed_segmented", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed_segmented(spark, sf_dir):
-    """D1 with the hot-device plan forced (positions + halo segments)."""
-    return naive(faults_windowed(spark, sf_dir, strategy="segmented"))
+    """D1 with small segments, so that every device is split."""
+    return naive(detect_faults(spark, sf_dir, segment_rows=500))
 
 
 @register("d1_detect_windowed_by_device", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
 def d1_detect_windowed_by_device(spark, sf_dir):
-    return naive(faults_windowed(spark, sf_dir, strategy="device"))
+    return naive(detect_faults(spark, sf_dir, "device"))
+
+
+GAPPY_FAULTS = O.with_ctes(*O.GAPPY_BASE, O.DETECT_WINDOWED, body="SELECT * FROM faults")
+
+
+@register("d1_gaps_segmented", GAPPY_FAULTS)
+def d1_gaps_segmented(spark, sf_dir):
+    """D1 over readings without times and devices, every device split."""
+    return naive(detect.detect_windowed(gappy_silver(spark, sf_dir), segment_rows=100, digits=6, **DETECTOR))
+
+
+@register("d1_gaps_by_device", GAPPY_FAULTS)
+def d1_gaps_by_device(spark, sf_dir):
+    return naive(detect.detect_windowed(gappy_silver(spark, sf_dir), strategy="device", digits=6, **DETECTOR))
+
+
+GAPPY_FROZEN = O.with_ctes_rec(*O.GAPPY_BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions")
 
 
-@register("w4_islands", O.with_ctes(*FAULTS_SQL, body="""
-SELECT device_id, reading_id, is_anomalous, is_event_start, CAST(event_seq AS BIGINT) AS event_seq
-FROM d1_islands"""))
+@register("d2_gaps_segmented", GAPPY_FROZEN)
+def d2_gaps_segmented(spark, sf_dir):
+    """D2 over readings without times and devices, every device split."""
+    return naive(detect_state.detect_frozen(gappy_silver(spark, sf_dir), segment_rows=400, **DETECTOR))
+
+
+@register("d2_gaps_by_device", GAPPY_FROZEN)
+def d2_gaps_by_device(spark, sf_dir):
+    return naive(detect_state.detect_frozen(gappy_silver(spark, sf_dir), segment_rows=None, **DETECTOR))
+
+
+def marked_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 rolling baseline -> W2 max |z| -> W3 filter and flag, per reading."""
+    from ..operators import windows as W
+    r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts", "voltage", "current")
+    return W.flag_anomalies(W.zscore(W.rolling_baseline(r, n=O.WINDOW)), O.Z, O.MIN_N)
+
+
+@register("w4_islands", O.with_ctes(*FAULTS_SQL, body=f"""
+SELECT j.device_id, j.reading_id, CASE WHEN any_value(j.abs_z) >= {O.Z} THEN 1 ELSE 0 END AS is_anomalous,
+       CAST(max(CASE WHEN r.first_n = j.n THEN 1 ELSE 0 END) AS INTEGER) AS is_event_start, count(r.first_n) AS event_seq
+FROM judged j LEFT JOIN runs r ON r.device_id = j.device_id AND r.first_n <= j.n GROUP BY j.device_id, j.reading_id"""))
 def w4_islands(spark, sf_dir):
     from ..operators import windows as W
-    r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts",
-                                                          "voltage", "current")
-    m = W.islands(W.flag_anomalies(W.zscore(W.rolling_baseline(r, n=O.WINDOW)), O.Z, O.MIN_N))
-    return m.select("device_id", "reading_id", "is_anomalous", "is_event_start",
-                    F.col("event_seq").cast("long").alias("event_seq"))
+    return W.islands(marked_readings(spark, sf_dir)).select(
+        "device_id", "reading_id", "is_anomalous", "is_event_start", F.col("event_seq").cast("long").alias("event_seq"))
+
 
+W3_COLS = ["voltage_mean", "voltage_std", "current_mean", "current_std", "abs_z"]
 
-@register("w3_flag_anomalies", O.with_ctes(*FAULTS_SQL, body="""
-SELECT device_id, reading_id, baseline_n, round(v_mean, 6) AS v_mean, round(v_std, 6) AS v_std,
-       round(c_mean, 6) AS c_mean, round(c_std, 6) AS c_std, round(abs_z, 6) AS abs_z, is_anomalous
-FROM d1_marked"""))
+
+@register("w3_flag_anomalies", O.with_ctes(*FAULTS_SQL, body=f"""
+SELECT device_id, reading_id, baseline_n, {_r6(W3_COLS)}, CASE WHEN abs_z >= {O.Z} THEN 1 ELSE 0 END AS is_anomalous FROM usable"""))
 def w3_flag_anomalies(spark, sf_dir):
-    """W1 rolling baseline -> W2 max |z| -> W3 filter and flag, per reading."""
-    from ..operators import windows as W
-    r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts",
-                                                          "voltage", "current")
-    m = W.flag_anomalies(W.zscore(W.rolling_baseline(r, n=O.WINDOW)), O.Z, O.MIN_N)
-    out = m.select("device_id", "reading_id", "baseline_n",
-                   F.col("voltage_mean").alias("v_mean"), F.col("voltage_std").alias("v_std"),
-                   F.col("current_mean").alias("c_mean"), F.col("current_std").alias("c_std"),
-                   "abs_z", "is_anomalous")
-    return naive(out, 6)
+    return naive(marked_readings(spark, sf_dir).select("device_id", "reading_id", "baseline_n", *W3_COLS, "is_anomalous"), 6)
 
 
 @register(FLAGSHIP, O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))

@@ -8,6 +8,7 @@ read from the session as-is.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -50,23 +51,18 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and snapshot tables.
+    """The shared folder for lineage cuts and stored layers.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster names it).
-    Only when it is unset -- local tests -- a fresh scratch folder is
-    created and registered, so that ``DataFrame.checkpoint()`` works.
-    """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    sc = None
-    try:  # a classic session; Spark Connect has no SparkContext
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001
-        pass
-    if not d and sc is not None:
-        d = sc.getCheckpointDir()
+    Where it is unset a single-machine session (tests, the bench) gets a
+    scratch folder; on a cluster that is an error, since executors could not
+    read a folder of the driver's machine."""
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="gridspark-ckpt-", dir=os.environ.get("GRIDSPARK_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
-    if sc is not None and not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(d)
     return d

@@ -4,9 +4,12 @@
 device: the baseline values, the open event (start, peak, feeder) and the
 last processed (ts, reading_id).  Within a micro-batch a device's rows may
 arrive as several unsorted frames, so they are concatenated and sorted by
-(ts, reading_id).  Rows at or before the last processed position are late:
-the walk cannot go back, so they are skipped (the batch operator over the
-stored table gives the exact answer; ``late_policy="raise"`` fails instead).
+(ts, reading_id); bound them with ``maxFilesPerTrigger`` / ``maxBytesPerTrigger``
+at the source, since that is what one task holds of a device at a time.  Rows
+at or before the last processed position are late: the walk cannot go back, so
+they are skipped and counted in the query's observed metric ``late_readings``
+(the batch operator over the stored table gives the exact answer;
+``late_policy="raise"`` fails instead).
 
 Output is the append-only stream of emissions (same columns as D2); D4 /
 the ``foreachBatch`` upsert turn it into one row per event.
@@ -18,14 +21,18 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
 
 from .. import schemas as S
-from ..operators.detect_state import EMIT_SCHEMA, FrozenBaseline, _finish, _prepared
+from ..operators.detect_state import EMIT_SCHEMA, FrozenBaseline, _finish, _prepared, emitted
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+#: Marks the rows in which the processor counts late readings.
+LATE = "_late"
+
 STATE_SCHEMA = StructType([
     StructField("bv", ArrayType(DoubleType())),
     StructField("bc", ArrayType(DoubleType())),
@@ -56,6 +63,7 @@ class FrozenBaselineProcessor(StatefulProcessor):
             last = (st[5], st[6])
         t = pdf["ts_us"].to_numpy(dtype=np.int64)
         rid = pdf["reading_id"].to_numpy()
+        n_late = 0
         if last is not None:
             # sorted input: rows at or before the last position form a prefix
             late = (t < last[0]) | ((t == last[0]) & (rid <= last[1]))
@@ -63,25 +71,19 @@ class FrozenBaselineProcessor(StatefulProcessor):
             if n_late and self.late_policy == "raise":
                 raise ValueError(f"{n_late} late reading(s) for device {device}")
             pdf, t, rid = pdf[~late], t[~late], rid[~late]
-        out = {k: [] for k in EMIT_SCHEMA.names}
+        e = m.run(t, pdf["voltage"].to_numpy(dtype=np.float64), pdf["current"].to_numpy(dtype=np.float64),
+                  pdf["feeder_id"].to_numpy()) if len(pdf) else None
         if len(pdf):
-            em = m.run(t, pdf["voltage"].to_numpy(dtype=np.float64),
-                       pdf["current"].to_numpy(dtype=np.float64), pdf["feeder_id"].to_numpy())
-            for idx, kind, start, peak, fdr in em:
-                out["device_id"].append(device)
-                out["feeder_id"].append(fdr)
-                out["reading_id"].append(rid[idx])
-                out["ts_us"].append(int(t[idx]))
-                out["start_us"].append(int(start))
-                out["fault_type"].append(kind)
-                out["peak_z"].append(float(peak))
             last = (int(t[-1]), rid[-1])
         if last is not None:
             bv, bc, start, peak, feeder = m.get_state()
             self.state.update((bv, bc, start, float(peak), feeder, last[0], last[1]))
-        if out["device_id"]:  # an empty frame does not convert under every pyarrow
-            yield pd.DataFrame(out, columns=EMIT_SCHEMA.names).astype(
-                {"ts_us": "int64", "start_us": "int64", "peak_z": "float64"})
+        if n_late:  # one row that only counts them; the caller splits it off
+            yield pd.DataFrame({"device_id": [device], "feeder_id": [None], "reading_id": [None], "ts_us": [n_late],
+                                "start_us": [None], "fault_type": [LATE], "peak_z": [None]}).astype(
+                {"start_us": "Int64", "peak_z": "float64"})
+        if e is not None and len(e):  # an empty frame does not convert under every pyarrow
+            yield emitted(e, device, rid, t).astype({"ts_us": "int64", "start_us": "int64", "peak_z": "float64"})
 
     def close(self) -> None:
         pass
@@ -96,10 +98,12 @@ def detect_frozen_stream(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     """Streaming emissions (D2's columns) from a stream of silver readings."""
     spark = readings.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+        raise ValueError(f"this detector's state needs spark.sql.streaming.stateStore.providerClass={ROCKSDB}")
     params = dict(window=window, min_n=min_n, vth=float(z),
                   cth=float(z if current_z is None else current_z), sustained_s=float(sustained_s))
     emits = (_prepared(readings, source).groupBy("device_id")
              .transformWithStateInPandas(FrozenBaselineProcessor(params, late_policy),
                                          EMIT_SCHEMA, "Append", "None"))
-    return _finish(emits, full_scale, digits)
+    late = F.col("fault_type").eqNullSafe(LATE)
+    emits = emits.observe("late_readings", F.coalesce(F.sum(F.when(late, F.col("ts_us"))), F.lit(0)).alias("n"))
+    return _finish(emits.filter(~late), full_scale, digits)
