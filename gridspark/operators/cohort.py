@@ -1,17 +1,12 @@
 """Per-household cohort sample over numbered file blocks.
 
-Walk the blocks in number order (only the first ``max_blocks``), take
-households not seen before until ``n`` are taken, keep each taken
-household's rows from the block where it was first taken, drop rows whose
-time does not parse, and keep only each household's first ``months``
-months (from its own first reading).
-
-Spark form: first block per household (aggregate) -> the ``n`` smallest
-(first_block, household) pairs (a top-n, bounded by ``n``) -> semi-join on
-(household, block) against that bounded set -> per-household start
-(aggregate over the bounded set of households) -> interval filter.
-Inside one block households are taken in id order: file row order is not
-defined in Spark.
+Households are taken in the order of the block where they first have a row
+whose time parses, inside a block by id (file row order is not defined in
+Spark), until ``n`` are taken; a taken household keeps its rows of that block,
+for ``months`` months from its own first reading there.
+
+Spark form: one aggregate per (household, block) gives each household's first
+block and start; the ``n`` smallest join the rows once.
 """
 from __future__ import annotations
 
@@ -21,22 +16,25 @@ from pyspark.sql import functions as F
 from ..functions import to_event_time
 
 
-def block_number(path_col: str = "_metadata.file_path", pattern: str = r"_(\d+)\.csv$"):
-    """The numeric block suffix of a landed file name."""
+def block_number(path_col: str = "_metadata.file_path", pattern: str = r"_(\d+)\.csv(?:/|$)"):
+    """The numeric block suffix of a landed file's (or folder's) name."""
     return F.regexp_extract(F.col(path_col), pattern, 1).try_cast("int")
 
 
-def cohort_sample(raw: DataFrame, n: int = 300, months: int = 3, max_blocks: int = 10,
+def cohort_sample(raw: DataFrame, n: int = 300, months: int = 3, max_blocks: int | None = None,
                   id_col: str = "LCLid", time_col: str = "DateTime", block_col: str = "block") -> DataFrame:
-    timed = raw.withColumn("_t", to_event_time(time_col)).filter(F.col("_t").isNotNull())
-    # the first max_blocks block numbers present (bounded by max_blocks)
-    blocks = (raw.select(block_col).distinct().orderBy(block_col).limit(max_blocks))
-    timed = timed.join(F.broadcast(blocks), on=block_col, how="left_semi")
-    first = timed.groupBy(id_col).agg(F.min(block_col).alias(block_col))
-    chosen = first.orderBy(block_col, id_col).limit(n)          # <= n rows
-    rows = timed.join(F.broadcast(chosen), on=[id_col, block_col], how="left_semi")
-    starts = rows.groupBy(id_col).agg(F.min("_t").alias("_start"))  # <= n rows
+    """The sampled rows.  ``n`` is the sample's size; ``max_blocks`` limits it
+    to the first so many block numbers.  Rows without a household, a block or
+    a time that parses are in no cohort."""
+    timed = raw.withColumn("_t", to_event_time(time_col))
+    if max_blocks is not None:
+        blocks = raw.select(block_col).filter(F.col(block_col).isNotNull()).distinct().orderBy(block_col).limit(max_blocks)
+        timed = timed.join(blocks, on=block_col, how="left_semi")
+    timed = timed.filter(F.col("_t").isNotNull() & F.col(block_col).isNotNull() & F.col(id_col).isNotNull())
+    first = timed.groupBy(id_col, block_col).agg(F.min("_t").alias("_start"))
+    first = first.groupBy(id_col).agg(F.min(F.struct(block_col, "_start")).alias("_f"))
+    chosen = (first.select(F.col(id_col).alias("_id"), F.col(f"_f.{block_col}").alias("_block"), F.col("_f._start").alias("_start"))
+              .orderBy("_block", "_id").limit(n))
+    rows = timed.join(chosen, (timed[id_col] == chosen["_id"]) & (timed[block_col] == chosen["_block"]))
     cutoff = F.col("_start") + F.make_ym_interval(F.lit(0), F.lit(months))
-    return (rows.join(F.broadcast(starts), on=id_col, how="inner")
-                .filter(F.col("_t") < cutoff)
-                .drop("_t", "_start"))
+    return rows.filter(F.col("_t") < cutoff).select(*raw.columns)

@@ -53,13 +53,19 @@ def type_share(faults: DataFrame, as_of=None) -> DataFrame:
                          (F.col("n") * F.lit(100.0) / F.sum("n").over(Window.partitionBy())).alias("pct"))
 
 
-def unhealthy_feeders(health: DataFrame) -> DataFrame:
-    """Q4: feeders in ``fault`` status in the newest window."""
-    newest = health.select(F.max("window_end")).scalar()
+def unhealthy_feeders(health: DataFrame, as_of=None) -> DataFrame:
+    """Q4: feeders in ``fault`` status in the newest window (of those that end by ``as_of``)."""
+    seen = health if as_of is None else health.filter(F.col("window_end") <= as_of)
+    newest = seen.select(F.max("window_end")).scalar()
     return (health.filter((F.col("health_status") == "fault") & (F.col("window_end") == newest))
                   .select("feeder_id"))
 
 
+def last_fault_window(health: DataFrame):
+    """The end of the newest window with a fault, as a scalar."""
+    return health.filter(F.col("health_status") == "fault").select(F.max("window_end")).scalar()
+
+
 def feeder_mean_voltage(health: DataFrame, feeder_id: str, as_of=None, lookback: str = "1 hour") -> DataFrame:
     """Q5: mean of window mean voltages of one feeder over the lookback."""
     ref = _as_of(health, "window_end", as_of)
@@ -79,10 +85,15 @@ def feeder_series(health: DataFrame, feeders: Sequence[str] | None = None, start
     h = health
     if feeders:
         h = h.filter(F.col("feeder_id").isin(list(feeders)))
+    stored = "day" in h.columns  # partitioned by day: only the range's folders are read
     if start is not None:
-        h = h.filter(F.col("window_start") >= F.lit(start).cast("timestamp"))
+        start = F.lit(start).cast("timestamp")
+        h = h.filter(F.col("window_start") >= start)
+        h = h.filter(F.col("day") >= F.to_date(start)) if stored else h
     if end is not None:
-        h = h.filter(F.col("window_start") < F.lit(end).cast("timestamp"))
+        end = F.lit(end).cast("timestamp")
+        h = h.filter(F.col("window_start") < end)
+        h = h.filter(F.col("day") <= F.to_date(end)) if stored else h
     return h.select("window_start", "feeder_id", "avg_voltage", "avg_current").orderBy("feeder_id", "window_start")
 
 

@@ -29,7 +29,7 @@ SERIES_FEEDERS = ["feeder_0", "feeder_1"]
 SERIES_RANGE = ("2024-01-08 00:00:00", "2024-01-22 00:00:00")
 Q5_FEEDER, Q5_LOOKBACK = "feeder_1", "6 hours"
 Q9_DEVICE = "dev_3"
-COHORT = dict(n=300, months=3, max_blocks=10)
+COHORT = dict(n=300, months=3)
 
 
 def register(name: str, sql: str | None = None):
@@ -88,15 +88,26 @@ def faults_windowed(spark: SparkSession, sf_dir: str, strategy: str | None = Non
                                lambda: detect_faults(spark, sf_dir))
 
 
-def emissions_frozen(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
+def detect_emissions(spark: SparkSession, sf_dir: str, **kw) -> DataFrame:
     return detect_state.detect_frozen(silver(spark, sf_dir), z=O.Z, sustained_s=O.SUSTAINED_S,
                                       window=O.WINDOW, min_n=O.MIN_N, **kw)
 
 
-def feeder_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+def emissions_frozen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored emissions: the walk runs once for all that read them."""
+    return layers.materialized(spark, "emissions", sf_dir, lambda: detect_emissions(spark, sf_dir))
+
+
+def build_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     return health.feeder_health(silver(spark, sf_dir), faults_windowed(spark, sf_dir), WIDTH)
 
 
+def feeder_health(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored gold feeder health, partitioned by ``day``."""
+    return layers.materialized(spark, "feeder_health", sf_dir,
+                               lambda: health.by_day(build_health(spark, sf_dir)).repartition("day"), ["day"])
+
+
 FAULTS_SQL = (*O.BASE, O.DETECT_WINDOWED)
 HEALTH_SQL = (*FAULTS_SQL, O.HEALTH)
 HEALTH_COLS = ["avg_voltage", "avg_current", "avg_frequency"]
@@ -268,13 +279,13 @@ def w3_flag_anomalies(spark, sf_dir):
 
 @register(FLAGSHIP, O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
 def d2_detect_frozen(spark, sf_dir):
-    return naive(emissions_frozen(spark, sf_dir))
+    return naive(detect_emissions(spark, sf_dir))
 
 
 @register("d2_detect_frozen_segmented", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
 def d2_detect_frozen_segmented(spark, sf_dir):
     """D2 with every device split into segments (the hot-device plan)."""
-    return naive(emissions_frozen(spark, sf_dir, segment_rows=500))
+    return naive(detect_emissions(spark, sf_dir, segment_rows=500))
 
 
 def _land_in_slices(spark, sf_dir, base, slices, run_slice):
@@ -428,18 +439,33 @@ def a3_fault_counts(spark, sf_dir):
 SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status
 FROM health"""))
 def a2_feeder_health(spark, sf_dir):
-    return naive(feeder_health(spark, sf_dir), 6)
+    return naive(build_health(spark, sf_dir), 6)
 
 
-@register("a4_feeder_windows_approx")
+@register("a4_feeder_windows_approx", O.with_ctes(*HEALTH_SQL, body="""
+SELECT window_start, feeder_id, device_count, true AS within_bound FROM fw"""))
 def a4_feeder_windows_approx(spark, sf_dir):
-    return naive(health.feeder_windows(silver(spark, sf_dir), WIDTH, exact=False), 6)
+    """A4: the approximate device count lies within its bound of the exact one."""
+    return naive(health.approx_devices_within(silver(spark, sf_dir), WIDTH))
+
+
+FROZEN_HEALTH = O.HEALTH.replace("FROM faults", "FROM starts")
+
+
+@register("a2_feeder_health_frozen", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, """
+starts AS (SELECT event_id, min("timestamp") AS "timestamp", arg_min(feeder_id, ("timestamp", reading_id)) AS feeder_id
+           FROM emissions GROUP BY event_id)""", FROZEN_HEALTH, body=f"""
+SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status FROM health"""))
+def a2_feeder_health_frozen(spark, sf_dir):
+    """Feeder health over the frozen detector's events, counted where they start."""
+    events = detect_state.event_summary(emissions_frozen(spark, sf_dir))
+    return naive(health.feeder_health(silver(spark, sf_dir), events, WIDTH), 6)
 
 
 @register("a9_cohort_sample", O.with_ctes(O.METER_RAW, body=f"""
 , timed AS (SELECT *, TRY_CAST(DateTime AS TIMESTAMP) AS _t FROM meter_raw
             WHERE TRY_CAST(DateTime AS TIMESTAMP) IS NOT NULL
-              AND block IN (SELECT block FROM (SELECT DISTINCT block FROM meter_raw ORDER BY block LIMIT {COHORT['max_blocks']}))),
+              AND block IS NOT NULL AND LCLid IS NOT NULL),
 first_block AS (SELECT LCLid, min(block) AS block FROM timed GROUP BY LCLid),
 chosen AS (SELECT * FROM first_block ORDER BY block, LCLid LIMIT {COHORT['n']}),
 kept AS (SELECT * FROM timed WHERE (LCLid, block) IN (SELECT (LCLid, block) FROM chosen)),
@@ -500,9 +526,11 @@ def q3_type_share_frozen(spark, sf_dir):
 
 @register("q4_unhealthy_feeders", O.with_ctes(*HEALTH_SQL, body="""
 SELECT feeder_id FROM health
-WHERE health_status = 'fault' AND window_end = (SELECT max(window_end) FROM health)"""))
+WHERE health_status = 'fault' AND window_end = (SELECT max(window_end) FROM health WHERE health_status = 'fault')"""))
 def q4_unhealthy_feeders(spark, sf_dir):
-    return serving.unhealthy_feeders(feeder_health(spark, sf_dir))
+    """Q4 as of the last window with a fault."""
+    h = feeder_health(spark, sf_dir)
+    return serving.unhealthy_feeders(h, serving.last_fault_window(h))
 
 
 @register("q5_feeder_mean_voltage", O.with_ctes(*HEALTH_SQL, body=f"""
@@ -553,4 +581,133 @@ def q10_latest_context(spark, sf_dir):
 SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status
 FROM health ORDER BY window_end DESC, feeder_id"""))
 def q11_health_newest_first(spark, sf_dir):
-    return naive(serving.health_newest_first(feeder_health(spark, sf_dir)), 6)
+    return naive(serving.health_newest_first(feeder_health(spark, sf_dir).drop("day")), 6)
+
+
+# ---------------------------------------------------------------- landed files, tables and streams
+
+def scratch_folder(spark: SparkSession, what: str) -> str:
+    import uuid
+
+    from ..session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/gridspark-{what}/{uuid.uuid4().hex}"
+
+
+def land_meter(spark: SparkSession, sf_dir: str, base: str) -> str:
+    """Meter rows as CSV, one folder ``meter_<block>.csv`` a block, under the original header."""
+    rows = X.meter_raw(spark, sf_dir).drop("o_orderkey").withColumnRenamed(S.METER_KWH_COLUMN, S.METER_KWH_SOURCE_COLUMN)
+    for block in range(X.N_METER_BLOCKS):
+        rows.filter(F.col("block") == block).drop("block").write.option("header", True).csv(f"{base}/meter_{block}.csv")
+    return f"{base}/*.csv"
+
+
+READINGS_ALL = O.with_ctes(O.READINGS_RAW, body="""
+SELECT *, CAST(NULL AS VARCHAR) AS _fault_id, CAST(NULL AS VARCHAR) AS _fault_type_truth FROM readings_raw""")
+
+
+@register("s6_append_readings", READINGS_ALL)
+def s6_append_readings(spark, sf_dir):
+    """Two appends to a landing folder, read with the fixed schema and stamped."""
+    from ..sources import landing, sinks
+    base, raw = scratch_folder(spark, "s6"), X.readings_raw(spark, sf_dir)
+    early = F.coalesce(F.pmod(F.hash("reading_id"), F.lit(2)) == 0, F.lit(True))
+    for part in (raw.filter(early), raw.filter(~early).drop("_fault_id")):
+        sinks.write_readings(part, f"{base}/landing")
+    return landing.read_readings(spark, f"{base}/landing").filter(F.col("_ingested_at").isNotNull()).drop("_ingested_at")
+
+
+@register("s7_text_sinks", READINGS_ALL)
+def s7_text_sinks(spark, sf_dir):
+    """JSON lines and CSV with a header, read back with the fixed schema."""
+    from ..sources import sinks
+    base, raw = scratch_folder(spark, "s7"), X.readings_raw(spark, sf_dir)
+    early = F.coalesce(F.pmod(F.hash("reading_id"), F.lit(2)) == 0, F.lit(True))
+    sinks.write_readings(raw.filter(early), f"{base}/json", "jsonl")
+    sinks.write_readings(raw.filter(~early), f"{base}/csv", "csv")
+    read = spark.read.schema(S.READINGS_RAW)
+    return read.json(f"{base}/json").unionByName(spark.read.schema(S.READINGS_RAW).option("header", True).csv(f"{base}/csv"))
+
+
+@register("s2_landed_meter", O.with_ctes(O.METER_RAW, body="SELECT LCLid, stdorToU, DateTime, kwh_per_half_hour, block FROM meter_raw"))
+def s2_landed_meter(spark, sf_dir):
+    """All landed CSV blocks in one scan, the block number from the path."""
+    from ..sources import landing
+    return landing.read_meter(spark, land_meter(spark, sf_dir, scratch_folder(spark, "s2"))).drop("_ingested_at")
+
+
+@register("s4_unfed_source", O.with_ctes(*O.BASE, body="SELECT * FROM silver_syn"))
+def s4_unfed_source(spark, sf_dir):
+    """A source that never landed is an empty table, and silver is the other one."""
+    from ..sources import landing
+    meter = quality.safe_columns(landing.empty_table(spark, S.METER_RAW))
+    return naive(quality.silver_readings(X.readings_raw(spark, sf_dir), meter))
+
+
+@register("s9_reset_table", O.with_ctes(*FAULTS_SQL, body="SELECT * FROM faults"))
+def s9_reset_table(spark, sf_dir):
+    """Create, fill, truncate, and fill again by batches, the first one retried."""
+    path, faults = f"{scratch_folder(spark, 's9')}/faults", faults_windowed(spark, sf_dir)
+    tables.ensure_table(spark, path, S.FAULTS)
+    tables.upsert_table(spark, path, faults.withColumn("device_id", F.lit("gone")), ["event_id"], S.FAULTS)
+    tables.reset_table(spark, path, S.FAULTS)
+    half = F.pmod(F.hash("event_id"), F.lit(2)) == 0
+    run = tables.new_run()
+    for batch, part in ((0, faults.filter(half)), (0, faults.filter(half)), (1, faults.filter(~half))):
+        tables.upsert_table(spark, path, part, ["event_id"], S.FAULTS, run, batch)
+    return naive(tables.read_table(spark, path, S.FAULTS))
+
+
+@register("t5s_unified_stream", O.with_ctes(*O.BASE, body="SELECT * FROM silver"))
+def t5s_unified_stream(spark, sf_dir):
+    """T5s: both landing folders as streams, united and appended to silver."""
+    from . import flows
+    base = scratch_folder(spark, "t5s")
+    X.readings_raw(spark, sf_dir).write.parquet(f"{base}/readings")
+    flows.silver_stream(spark, f"{base}/readings", land_meter(spark, sf_dir, f"{base}/meter"), f"{base}/silver",
+                        f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+    return naive(flows.read_silver(spark, f"{base}/silver"))
+
+
+@register("t7s_upsert_stream", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS, body="SELECT * FROM statuses"))
+def t7s_upsert_stream(spark, sf_dir, slices: int = 3):
+    """T7s, T8s: the streaming detector's batches into a table that existed
+    before, then a full refresh from a fresh checkpoint as another run."""
+    from ..sources import landing
+    from ..streaming.detect import detect_frozen_stream
+    from ..streaming.gold import fresh_checkpoint, upsert_events_batch
+    base = scratch_folder(spark, "t7s")
+    path, schema = f"{base}/events", emissions_frozen(spark, sf_dir).schema
+    tables.ensure_table(spark, path, schema)
+
+    def query(landed, run, checkpoint):
+        s = landing.read_readings_stream(spark, landed, max_files_per_trigger=64).drop("_ingested_at")
+        emits = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), **DETECTOR)
+        (emits.writeStream.foreachBatch(upsert_events_batch(path, run)).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    run, checkpoint = tables.new_run(), fresh_checkpoint(base)
+    _land_in_slices(spark, sf_dir, base, slices, lambda landed: query(landed, run, checkpoint))
+    X.readings_raw(spark, sf_dir).coalesce(1).write.parquet(f"{base}/again")  # one batch: readings in order
+    query(f"{base}/again", tables.new_run(), fresh_checkpoint(base))
+    return naive(detect_state.event_status(tables.read_log(spark, path, schema)))
+
+
+@register("t7s_health_stream", ORACLE["t4s_feeder_health_stream"])
+def t7s_health_stream(spark, sf_dir, slices: int = 3):
+    """T7s: closed windows upserted by day, counts from the faults as they are
+    at each batch -- empty at first, complete from the second on."""
+    from ..streaming.gold import feeder_windows_stream, read_health, upsert_health_batch
+    from ..sources import landing
+    base, faults = scratch_folder(spark, "t7h"), faults_windowed(spark, sf_dir)
+    seen = {"slices": 0}
+
+    def run(landed):
+        seen["slices"] += 1
+        now = faults.limit(0) if seen["slices"] == 1 else faults
+        s = landing.read_readings_stream(spark, landed).drop("_ingested_at")
+        w = feeder_windows_stream(quality.expect_or_drop(quality.clean_readings(s)), WIDTH, "30 seconds")
+        (w.writeStream.foreachBatch(upsert_health_batch(f"{base}/health", lambda _: now, WIDTH))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True).start().awaitTermination())
+
+    _land_in_slices(spark, sf_dir, base, slices, run)
+    return naive(read_health(spark, f"{base}/health").drop("day"), 6)

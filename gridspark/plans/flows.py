@@ -1,13 +1,15 @@
 """End-to-end flows over landed files: landing -> silver -> gold tables.
 
 Each function is one Spark job (or one streaming query) a scheduler would
-run; tables are snapshot folders (``sources/tables.py``) on shared storage.
+run, over folders on shared storage.
 
 * ``silver_batch`` / ``silver_stream``: synthetic readings (parquet) and
   half-hourly meter CSVs -> unified silver readings, partitioned by source.
+* ``waveform_batch`` / ``context_batch``: landed captures -> long and wide
+  waveform tables; landed regional rows -> the context table.
 * ``detect_and_upsert``: silver -> frozen (default) or windowed detector ->
   keyed upsert into the fault classification table.
-* ``health_batch`` / ``health_stream``: silver + faults -> feeder health.
+* ``health_batch`` / ``health_stream``: silver + faults -> feeder health by day.
 """
 from __future__ import annotations
 
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..operators import detect, detect_state, health, quality
+from ..operators import detect, detect_state, health, quality, waveform
 from ..sources import landing, tables
 from ..streaming import gold as SG
 
@@ -27,13 +29,12 @@ def _silver(readings: DataFrame, meter: DataFrame | None) -> DataFrame:
     return quality.unify_readings(syn, quality.derive_meter_readings(meter.drop("_ingested_at", "block")))
 
 
-def silver_batch(spark: SparkSession, readings_path: str, meter_path: str | None, silver_path: str,
-                 snapshot_id: str) -> DataFrame:
+def silver_batch(spark: SparkSession, readings_path: str, meter_path: str | None, silver_path: str) -> DataFrame:
     """Rebuild the silver table from everything landed so far."""
     meter = landing.read_meter(spark, meter_path) if meter_path else None
-    tables.write_snapshot(_silver(landing.read_readings(spark, readings_path), meter),
-                          silver_path, snapshot_id, partition_by=["source"])
-    return tables.read_table(spark, silver_path)
+    silver = _silver(landing.read_readings(spark, readings_path), meter)
+    silver.write.mode("overwrite").partitionBy("source").parquet(silver_path)
+    return read_silver(spark, silver_path)
 
 
 def silver_stream(spark: SparkSession, readings_path: str, meter_path: str | None, silver_path: str,
@@ -50,34 +51,46 @@ def silver_stream(spark: SparkSession, readings_path: str, meter_path: str | Non
 
 
 def read_silver(spark: SparkSession, silver_path: str, stream: bool = False) -> DataFrame:
-    """Silver as written by ``silver_batch`` (snapshot) or ``silver_stream`` (folder)."""
-    schema = S.READINGS
-    if stream:
-        return spark.readStream.schema(schema).parquet(silver_path)
-    snap = tables.current_snapshot(spark, silver_path)
-    return tables.read_table(spark, silver_path) if snap is not None else spark.read.schema(schema).parquet(silver_path)
+    """Silver as written by ``silver_batch`` or ``silver_stream``."""
+    return (spark.readStream if stream else spark.read).schema(S.READINGS).parquet(silver_path)
 
 
-def detect_and_upsert(spark: SparkSession, silver: DataFrame, faults_path: str, snapshot_id: str,
+def waveform_batch(raw: DataFrame, long_path: str, wide_path: str) -> tuple[DataFrame, DataFrame]:
+    """Landed captures -> the long table, and the wide one from what was stored."""
+    spark = raw.sparkSession
+    waveform.flatten_waveform(raw).write.mode("overwrite").parquet(long_path)
+    long = spark.read.parquet(long_path)
+    waveform.pivot_channels(long).write.mode("overwrite").parquet(wide_path)
+    return long, spark.read.parquet(wide_path)
+
+
+def context_batch(raw: DataFrame, path: str) -> DataFrame:
+    """Landed regional rows -> the context table."""
+    quality.grid_context(raw).write.mode("overwrite").parquet(path)
+    return raw.sparkSession.read.parquet(path)
+
+
+def detect_and_upsert(spark: SparkSession, silver: DataFrame, faults_path: str, run: str, batch_id: int = 0,
                       detector: str = "frozen", **thresholds) -> DataFrame:
-    """Detect over the silver readings and merge the events (one row per
-    event id) into the fault classification table."""
+    """Detect over the silver readings and merge the events, one row per event
+    id stamped with the event's start, into the fault classification table."""
     if detector == "frozen":
-        events = detect_state.event_status(detect_state.detect_frozen(silver, **thresholds))
+        events = detect_state.event_summary(detect_state.detect_frozen(silver, **thresholds))
     elif detector == "windowed":
         events = detect.detect_windowed(silver, **thresholds)
     else:
         raise ValueError(f"unknown detector {detector!r}")
     tables.ensure_table(spark, faults_path, S.FAULTS)
-    return tables.upsert_table(spark, faults_path, events.select(*S.FAULTS.names), ["event_id"],
-                               snapshot_id, S.FAULTS)
+    return tables.upsert_table(spark, faults_path, events, ["event_id"], S.FAULTS, run, batch_id)
 
 
 def health_batch(spark: SparkSession, silver: DataFrame, faults_path: str, health_path: str,
-                 snapshot_id: str, width: str = "1 minute") -> DataFrame:
+                 width: str = "1 minute") -> DataFrame:
+    """Rebuild feeder health, partitioned by day."""
     faults = tables.read_table(spark, faults_path, S.FAULTS)
-    tables.write_snapshot(health.feeder_health(silver, faults, width), health_path, snapshot_id)
-    return tables.read_table(spark, health_path)
+    rows = health.by_day(health.feeder_health(silver, faults, width))
+    rows.repartition("day").write.mode("overwrite").partitionBy("day").parquet(health_path)
+    return SG.read_health(spark, health_path)
 
 
 def health_stream(spark: SparkSession, silver_stream_df: DataFrame, faults_path: str, health_path: str,

@@ -1,55 +1,34 @@
 """Medallion layers as stored tables.
 
-Silver readings and the gold fault table are written once per process
-(keyed by input folder, input file stamps and a fingerprint of this
-package's source) as snapshot tables under
-``spark.checkpoint.dir`` and read back by every query that needs them --
-as the layered pipeline does -- instead of re-deriving them per query.
-Silver is partitioned by ``source`` so the ``source = 'synthetic'`` filter
-of the detectors prunes whole folders.  The write also cuts the lineage.
+Silver readings, the gold fault table, the detector's emissions and feeder
+health are written once per process, as Parquet folders under
+``spark.checkpoint.dir``, and read back by every query that needs them -- as
+the layered pipeline does -- instead of being derived again in each.  Silver
+is partitioned by source and gold health by day, so that the detectors' and
+the serving questions' filters prune whole folders.  The write
+also cuts the lineage.
 """
 from __future__ import annotations
 
-import hashlib
-import os
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import checkpoint_dir
-from ..sources import tables
 
-
-def _code_fingerprint() -> str:
-    """Hash of the package's source: any change to how a layer is derived
-    gives new table names, so a stale stored layer is never read."""
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    h = hashlib.md5()
-    for d, _, files in sorted(os.walk(root)):
-        for f in sorted(files):
-            if f.endswith(".py"):
-                with open(os.path.join(d, f), "rb") as fh:
-                    h.update(f.encode() + fh.read())
-    return h.hexdigest()[:12]
-
-
-_CODE = _code_fingerprint()
-# One builder per table: layers are scoped to this process, so concurrent
-# jobs (tests, bench, a verification run) never overwrite each other's
-# snapshot while it is being written or read.
-_PROCESS = uuid.uuid4().hex[:12]
+# (folder of the layers, name, input) -> path.  Paths hold a name made in this
+# process, so jobs that run beside each other never share a folder.
+_WRITTEN: dict[tuple[str, str, str], str] = {}
 
 
 def materialized(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
-                 partition_by: Sequence[str] | None = None) -> DataFrame:
-    src = os.path.abspath(sf_dir) if os.path.isdir(sf_dir) else sf_dir
-    stamp = ""
-    if os.path.isdir(sf_dir):  # local inputs: a changed file gives a new table
-        stamp = ";".join(f"{e.name}:{e.stat().st_size}:{int(e.stat().st_mtime)}"
-                         for e in sorted(os.scandir(sf_dir), key=lambda e: e.name))
-    key = hashlib.md5(f"{name}|{src}|{stamp}|{_CODE}|{_PROCESS}".encode()).hexdigest()[:16]
-    path = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-layers/{name}-{key}"
-    if tables.current_snapshot(spark, path) is None:
-        tables.write_snapshot(build(), path, "1", partition_by)
-    return tables.read_table(spark, path)
+                 partition_by: Sequence[str] = ()) -> DataFrame:
+    root = checkpoint_dir(spark).rstrip("/")
+    key = (root, name, sf_dir)
+    if key not in _WRITTEN:
+        path = f"{root}/gridspark-layers/{name}-{uuid.uuid4().hex}"
+        w = build().write
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
+        _WRITTEN[key] = path
+    return spark.read.parquet(_WRITTEN[key])

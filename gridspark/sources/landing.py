@@ -59,15 +59,23 @@ def read_meter_stream(spark: SparkSession, path: str, max_files_per_trigger: int
 
 
 def pair_files(spark: SparkSession, path: str, left_glob: str = "*.cfg", right_glob: str = "*.dat",
-               stream: bool = False) -> DataFrame:
+               stream: bool = False, wait: str = "1 hour") -> DataFrame:
     """Pair the two files of one capture by base name.
 
-    Each side is a binary-file scan filtered by glob; the base name is the
-    file path up to its first ``.``; the sides are inner-joined on it."""
+    Each side is a binary-file scan filtered by glob; the sides are joined on
+    the folder and the file name up to its last dot.  ``stream=True`` keeps
+    each side's files as state until their partners arrive, for at most
+    ``wait`` of modification time."""
     def side(glob: str, tag: str) -> DataFrame:
         r = spark.readStream if stream else spark.read
-        df = r.format("binaryFile").option("pathGlobFilter", glob).load(path)
-        return df.select(F.element_at(F.split(F.col("path"), r"[.]"), 1).alias("base_name"),
-                         F.col("content").alias(f"content_{tag}"),
+        df = r.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
+        if stream:
+            df = df.withWatermark("modificationTime", wait)
+        return df.select(F.regexp_replace("path", r"\.[^./]*$", "").alias("base_name"), F.col("content").alias(f"content_{tag}"),
                          F.col("modificationTime").alias(f"{tag}_mod_time"))
-    return side(left_glob, "cfg").join(side(right_glob, "dat"), on="base_name", how="inner")
+    cfg, dat = side(left_glob, "cfg"), side(right_glob, "dat").withColumnRenamed("base_name", "_base")
+    on = cfg["base_name"] == dat["_base"]
+    if stream:
+        within = F.expr(f"interval {wait}")
+        on = on & (dat["dat_mod_time"] >= cfg["cfg_mod_time"] - within) & (dat["dat_mod_time"] <= cfg["cfg_mod_time"] + within)
+    return cfg.join(dat, on).drop("_base")

@@ -22,15 +22,21 @@ def pinned(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+def print_rows(df: DataFrame) -> None:
+    """Every row as a line of JSON on the driver's output, a partition at a time."""
+    for line in df.toJSON().toLocalIterator():
+        print(line)
+
+
 def write_readings(df: DataFrame, path: str | None = None, fmt: str = "parquet") -> None:
     """Append readings as parquet, JSON lines or CSV with a header; ``console``
-    prints them.  Any other format is an error."""
+    prints every row as JSON.  Any other format is an error."""
     fmt = fmt.lower()
     if fmt not in FORMATS:
         raise ValueError(f"unknown sink kind {fmt!r} (expected one of {', '.join(FORMATS)})")
     out = pinned(df)
     if fmt == "console":
-        out.show(truncate=False)
+        print_rows(out)
         return
     if path is None:
         raise ValueError("path is required for file sinks")
@@ -54,7 +60,7 @@ def stream_readings(df: DataFrame, path: str | None, checkpoint: str, fmt: str =
     if trigger:
         w = w.trigger(**trigger)
     if fmt == "console":
-        return w.format("console").start()
+        return w.foreachBatch(lambda batch, _: print_rows(batch)).start()
     w = w.format("json" if fmt in ("jsonl", "json") else fmt)
     if fmt == "csv":
         w = w.option("header", True)

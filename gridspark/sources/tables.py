@@ -1,17 +1,25 @@
-"""Keyed upsert and snapshot tables without a table format.
+"""Keyed upsert, and gold tables as plain partitioned Parquet.
 
-A gold table is a folder of immutable snapshots, ``snapshot=<id>/`` (parquet),
-plus a one-row ``_current`` pointer.  A write never touches the folder it
-reads from; a repeated snapshot id rewrites the same snapshot, so a retried
-micro-batch is idempotent.  The folder must be on shared storage.
+An event table is a log of batches, ``_run=<run>/_batch=<id>/``: a batch
+overwrites its own partition and nothing else, so a retried micro-batch leaves
+what it left before, and a query restarted with a fresh checkpoint writes as
+another run.  Readers take the latest row a key.  Nothing is moved, merged or
+deleted, so a failed write loses nothing that was there.
 """
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructType
+
+from ..operators.windows import latest_per
+
+RUN, BATCH = "_run", "_batch"
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("event_id",),
@@ -22,85 +30,86 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str] = ("event_
     ``mode="replace"`` also drops target rows that share ``replace_on`` with
     an update (e.g. the device of a re-detected window), so rows whose key
     changed do not linger.  Duplicate keys among the updates raise, as a
-    MERGE would.  Planned as: updates hash-partitioned on the keys (the
-    duplicate check) and reused by the anti-join."""
-    keys = list(keys)
-    cols = target.columns
-    w = Window.partitionBy(*keys)
-    # the check is folded into a key column so that pruning cannot drop it
-    k0 = keys[0]
-    checked = (updates.select(*cols)
-               .withColumn("_dup", F.count(F.lit(1)).over(w))
-               .withColumn(k0, F.when(F.col("_dup") > 1, F.raise_error(F.lit(
-                   "upsert: duplicate keys in the update set"))).otherwise(F.col(k0)))
-               .drop("_dup"))
-    kept = target.join(checked.select(*keys), on=keys, how="left_anti")
-    if mode == "replace":
-        on = list(replace_on or keys)
-        kept = kept.join(checked.select(*on).distinct(), on=on, how="left_anti")
-    elif mode != "upsert":
+    MERGE would.  One pass over the updates: both sides are tagged, meet in
+    one shuffle by key, and a key's update wins there."""
+    keys, cols = list(keys), target.columns
+    if mode not in ("upsert", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
-    return checked.unionByName(kept)
+    on = list(replace_on or keys)
+    both = updates.select(*cols, F.lit(True).alias("_new")).unionByName(target.select(*cols, F.lit(False).alias("_new")))
+    w = Window.partitionBy(*keys)
+    both = both.withColumn("_n", F.count_if(F.col("_new")).over(w))
+    k0 = keys[0]  # the check sits in a key column so that pruning cannot drop it
+    both = both.withColumn(k0, F.when(F.col("_n") > 1, F.raise_error(F.lit("upsert: duplicate keys in the update set")))
+                           .otherwise(F.col(k0))).filter(F.col("_new") | (F.col("_n") == 0))
+    if mode == "replace" and on != keys:
+        touched = F.max("_new").over(Window.partitionBy(*on))
+        both = both.withColumn("_n", touched.cast("int")).filter(F.col("_new") | (F.col("_n") == 0))
+    return both.select(*cols)
+
 
+def new_run() -> str:
+    """A name for a writer's run; later runs sort after earlier ones."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
-def _pointer(path: str) -> str:
-    return f"{path.rstrip('/')}/_current"
 
+def _log_schema(schema: StructType) -> StructType:
+    return StructType([*schema.fields]).add(RUN, StringType()).add(BATCH, LongType())
 
-def current_snapshot(spark: SparkSession, path: str) -> str | None:
+
+def append_batch(df: DataFrame, path: str, run: str, batch_id: int) -> None:
+    """Write one batch of a run; writing it again replaces it."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{RUN}={run}/{BATCH}={int(batch_id)}")
+
+
+def read_log(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows of a table's batches, with the run and batch they came in.  A
+    folder that does not exist is an empty table; any other failure raises."""
     try:
-        row = spark.read.parquet(_pointer(path)).first()
-    except Exception:  # noqa: BLE001 -- no pointer yet
-        return None
-    return None if row is None else row[0]
-
-
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """The current snapshot (an empty frame of ``schema`` when none)."""
-    snap = current_snapshot(spark, path)
-    if snap is None:
-        if schema is None:
-            raise FileNotFoundError(path)
-        return spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{path.rstrip('/')}/snapshot={snap}")
-
-
-def write_snapshot(df: DataFrame, path: str, snapshot_id: str,
-                   partition_by: Sequence[str] | None = None) -> str:
-    """Write ``df`` as snapshot ``snapshot_id`` and move the pointer to it."""
-    spark = df.sparkSession
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(f"{path.rstrip('/')}/snapshot={snapshot_id}")
-    spark.createDataFrame([(str(snapshot_id),)], "snapshot string").coalesce(1) \
-        .write.mode("overwrite").parquet(_pointer(path))
-    return str(snapshot_id)
-
-
-def ensure_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """Create an empty snapshot if the table has none; return it."""
-    if current_snapshot(spark, path) is None:
-        write_snapshot(spark.createDataFrame([], schema), path, "0")
-    return read_table(spark, path, schema)
-
-
-def reset_table(spark: SparkSession, path: str, schema: StructType, snapshot_id: str = "reset") -> DataFrame:
-    """Truncate -- point the table at a new empty snapshot."""
-    write_snapshot(spark.createDataFrame([], schema), path, snapshot_id)
-    return read_table(spark, path, schema)
-
-
-def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str],
-                 snapshot_id: str, schema: StructType | None = None, mode: str = "upsert",
-                 replace_on: Sequence[str] | None = None) -> DataFrame:
-    """Merge ``updates`` into the table at ``path`` as a new snapshot.
-
-    Re-running with the same ``snapshot_id`` after the pointer moved is a
-    no-op, which makes ``foreachBatch(batch_id)`` retries idempotent."""
-    if current_snapshot(spark, path) == str(snapshot_id):
-        return read_table(spark, path, schema)
-    target = read_table(spark, path, schema or updates.schema)
-    merged = upsert(target, updates, keys, mode, replace_on)
-    write_snapshot(merged, path, snapshot_id)
-    return read_table(spark, path, schema)
+        return spark.read.schema(_log_schema(schema)).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _log_schema(schema))
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("event_id",)) -> DataFrame:
+    """The table's current rows: a key's row of the latest batch of the latest run."""
+    return latest_per(read_log(spark, path, schema), list(keys), [RUN, BATCH]).select(*schema.names)
+
+
+def ensure_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("event_id",)) -> DataFrame:
+    """Create the table if its folder does not exist (an empty batch that
+    no query's batch can replace); return it."""
+    try:
+        spark.read.schema(_log_schema(schema)).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        append_batch(spark.createDataFrame([], schema), path, "0", -1)
+    return read_table(spark, path, schema, keys)
+
+
+def reset_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("event_id",)) -> DataFrame:
+    """Truncate the table."""
+    spark.createDataFrame([], _log_schema(schema)).write.mode("overwrite").partitionBy(RUN, BATCH).parquet(path)
+    append_batch(spark.createDataFrame([], schema), path, "0", -1)
+    return read_table(spark, path, schema, keys)
+
+
+def upsert_table(spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[str], schema: StructType,
+                 run: str | None = None, batch_id: int = 0) -> DataFrame:
+    """Merge ``updates``, one row a key, into the table at ``path``; a
+    repeated (run, batch) replaces what it wrote.  Duplicate keys raise."""
+    k0 = keys[0]
+    n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    checked = (updates.select(*schema.names).withColumn("_n", n)
+               .withColumn(k0, F.when(F.col("_n") > 1, F.raise_error(F.lit("upsert: duplicate keys in the update set")))
+                           .otherwise(F.col(k0))).drop("_n"))
+    append_batch(checked, path, run or new_run(), batch_id)
+    return read_table(spark, path, schema, keys)
+
+
+def write_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
+    """Overwrite the partitions that ``df`` has rows of, and no others."""
+    (df.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))

@@ -1,9 +1,6 @@
-"""Small seeded telemetry fixtures (1 reading/s per device), after the
-reference's scenarios: 7200 V with sigma 25 V, per-device base current with
-a slow daily-style swing and 3 % noise, 60 Hz with sigma 0.015 Hz."""
+"""Small seeded telemetry: one reading a second per device, plain noise."""
 from __future__ import annotations
 
-import math
 from datetime import datetime, timezone
 
 import numpy as np
@@ -11,27 +8,20 @@ import pandas as pd
 
 from gridspark import schemas as S
 
-# Fixed values of the scenario generator.
-NOMINAL_V, V_SIGMA = 7200.0, 25.0
-NOMINAL_F, F_SIGMA = 60.0, 0.015
-CURRENT_RANGE, CURRENT_NOISE = (15.0, 80.0), 0.03
-
 
 def telemetry_pdf(n_devices: int, n_feeders: int, seconds: int, t0: float, seed: int) -> pd.DataFrame:
+    """White noise around a level of each device's own; rows by second, then device."""
     rng = np.random.default_rng(seed)
-    rows = []
-    base = rng.uniform(*CURRENT_RANGE, size=n_devices)
-    phase = rng.uniform(0, 2 * math.pi, size=n_devices)
-    for k in range(seconds):
-        t = t0 + k
-        ts = datetime.fromtimestamp(t, tz=timezone.utc).replace(tzinfo=None)
-        for i in range(n_devices):
-            cur = base[i] * (1 + 0.15 * math.sin(t / 3600.0 * 2 * math.pi + phase[i]))
-            cur += rng.normal(0, cur * CURRENT_NOISE)
-            rows.append((f"r_{i:04d}_{k:06d}", f"dev_{i:04d}", f"feeder_{i % n_feeders:03d}", ts,
-                         round(NOMINAL_V + rng.normal(0, V_SIGMA), 2), round(max(cur, 0.0), 3),
-                         round(NOMINAL_F + rng.normal(0, F_SIGMA), 4), S.SYNTHETIC))
-    return pd.DataFrame(rows, columns=S.READINGS.names)
+    second, device = (x.ravel() for x in np.meshgrid(np.arange(seconds), np.arange(n_devices), indexing="ij"))
+    level = 20.0 + 5.0 * np.arange(n_devices)
+    noise = rng.standard_normal((3, len(second)))
+    return pd.DataFrame({
+        "reading_id": [f"r_{d:04d}_{k:06d}" for k, d in zip(second, device)],
+        "device_id": [f"dev_{d:04d}" for d in device],
+        "feeder_id": [f"feeder_{d % n_feeders:03d}" for d in device],
+        "ts": [datetime.fromtimestamp(t0 + int(k), tz=timezone.utc).replace(tzinfo=None) for k in second],
+        "voltage": 1000.0 + 5.0 * noise[0], "current": level[device] + 0.5 * noise[1],
+        "frequency": 50.0 + 0.01 * noise[2], "source": S.SYNTHETIC})[S.READINGS.names]
 
 
 def telemetry(spark, n_devices=10, n_feeders=2, seconds=30, t0=100000.0, seed=1):
