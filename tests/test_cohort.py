@@ -1,4 +1,4 @@
-"""A9 cohort sample against a brute-force walk of the reference's loop."""
+"""A9 cohort sample against a brute-force walk over the blocks."""
 from datetime import datetime
 
 import pandas as pd
@@ -34,7 +34,7 @@ def test_cohort_matches_brute_force(spark):
     rows.append(("H01", "Std", "2011-11-30 00:00:00", "0.1", 3))  # month-end clamp: +3 months = 2012-02-29
     pdf = pd.DataFrame(rows, columns=["LCLid", "stdorToU", "DateTime", "kwh_per_half_hour", "block"])
     df = spark.createDataFrame(pdf)
-    for n, months, mb in ((5, 3, 10), (20, 2, 3), (3, 12, 1)):
+    for n, months, mb in ((5, 3, 10), (20, 2, 3), (3, 12, 1), (20, 3, None)):
         got = sorted(tuple(r) for r in cohort.cohort_sample(df, n, months, mb).select(*pdf.columns).collect())
         want = sorted(tuple(x) for x in _brute(pdf, n, months, mb).itertuples(index=False))
         assert got == want
@@ -48,3 +48,10 @@ def test_month_end_clamp(spark):
     got = sorted(r.DateTime for r in cohort.cohort_sample(df, 1, 3, 1).collect())
     assert got == ["2012-11-30 00:00:00", "2013-02-27 23:59:59"]
     assert datetime(2013, 2, 28)  # clamp boundary is excluded
+
+
+def test_rows_without_a_block_take_no_slot(spark):
+    rows = [("A", "2012-01-01 00:00:00", None), ("B", "2012-01-01 00:00:00", 1), ("C", "2012-01-01 00:00:00", 2), (None, "2012-01-01 00:00:00", 1)]
+    df = spark.createDataFrame(rows, "LCLid string, DateTime string, block int")
+    assert sorted(r.LCLid for r in cohort.cohort_sample(df, max_blocks=2).collect()) == ["B", "C"]
+    assert sorted(r.LCLid for r in cohort.cohort_sample(df).collect()) == ["B", "C"]

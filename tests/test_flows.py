@@ -12,7 +12,7 @@ from gridspark.plans import catalog as C
 from gridspark.plans import flows
 from gridspark.plans import oracle as O
 from gridspark.plans import proxies as X
-from gridspark.sources import tables
+from gridspark.streaming.gold import read_health
 
 PARAMS = dict(z=O.Z, sustained_s=O.SUSTAINED_S, window=O.WINDOW, min_n=O.MIN_N)
 
@@ -38,7 +38,7 @@ def _land(spark, root):
 
 def test_batch_flow(spark, scratch):
     rd, md = _land(spark, scratch)
-    silver = flows.silver_batch(spark, rd, md, f"{scratch}/silver", "1")
+    silver = flows.silver_batch(spark, rd, md, f"{scratch}/silver")
     want = C.build_silver(spark, SF001)
     assert silver.count() == want.count()
     assert silver.select(*S.READINGS.names).exceptAll(want.select(*S.READINGS.names)).count() == 0
@@ -46,18 +46,30 @@ def test_batch_flow(spark, scratch):
     assert counts["lcl"] < X.meter_raw(spark, SF001).count()   # 'Null' energy rows dropped
 
     faults = flows.detect_and_upsert(spark, silver, f"{scratch}/faults", "1", **PARAMS)
-    ref = detect_state.event_status(detect_state.detect_frozen(want, **PARAMS))
+    emissions = detect_state.detect_frozen(want, **PARAMS)
+    ref = detect_state.event_summary(emissions)
     assert faults.count() == ref.count() > 0
     assert faults.exceptAll(ref.select(*S.FAULTS.names)).count() == 0
-    # re-running the same batch id is a no-op; a new one merges (same events -> same rows)
-    assert flows.detect_and_upsert(spark, silver, f"{scratch}/faults", "1", **PARAMS).count() == faults.count()
-    assert flows.detect_and_upsert(spark, silver, f"{scratch}/faults", "2", **PARAMS).count() == faults.count()
+    # an event stands at its start, not at its last emission
+    opened = emissions.filter(F.col("fault_type").isNull()).select("event_id", "timestamp")
+    assert faults.select("event_id", "timestamp").exceptAll(opened).count() == 0
+    # the same batch again changes nothing; another one merges (same events -> same rows)
+    for run in ("1", "2"):
+        assert flows.detect_and_upsert(spark, silver, f"{scratch}/faults", run, **PARAMS).count() == ref.count()
 
-    h = flows.health_batch(spark, silver, f"{scratch}/faults", f"{scratch}/health", "1", "1 hour")
+    h = flows.health_batch(spark, silver, f"{scratch}/faults", f"{scratch}/health", "1 hour")
     assert h.count() == health.feeder_health(want, ref, "1 hour").count()
     assert h.filter(F.col("health_status") == "fault").count() > 0
 
 
+def test_waveform_and_context_flows(spark, scratch):
+    raw = X.waveform_raw(spark, SF001)
+    long, wide = flows.waveform_batch(raw, f"{scratch}/long", f"{scratch}/wide")
+    assert long.count() == 4 * wide.count() > 0
+    context = flows.context_batch(X.context_raw(spark, SF001), f"{scratch}/context")
+    assert context.columns == ["region", "period", "demand_mwh", "generation_mwh"] and context.count() > 0
+
+
 def test_streaming_flow(spark, scratch):
     rd, md = _land(spark, scratch)
     q = flows.silver_stream(spark, rd, md, f"{scratch}/silver", f"{scratch}/ck_silver",
@@ -70,5 +82,5 @@ def test_streaming_flow(spark, scratch):
                             f"{scratch}/faults", f"{scratch}/health", f"{scratch}/ck_health", "1 hour",
                             trigger={"availableNow": True})
     q.awaitTermination(300)
-    h = tables.read_table(spark, f"{scratch}/health")
+    h = read_health(spark, f"{scratch}/health")
     assert h.count() > 0 and h.filter(F.col("health_status") == "fault").count() > 0

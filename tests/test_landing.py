@@ -80,3 +80,21 @@ def test_stream_sink_and_fresh_checkpoint(spark, scratch):
                               "parquet", trigger={"availableNow": True})
     q.awaitTermination(120)
     assert spark.read.parquet(f"{scratch}/out2").count() == 2
+
+
+def test_pairs_by_file_name_in_dotted_folders(spark, scratch):
+    for folder in ("cap.v1", "cap.v2"):
+        os.makedirs(f"{scratch}/in/{folder}")
+        for base in ("a", "b.x", "c"):
+            for ext in ("cfg", "dat"):
+                with open(f"{scratch}/in/{folder}/{base}.{ext}", "wb") as f:
+                    f.write(f"{folder}/{base}".encode())
+    rows = landing.pair_files(spark, f"{scratch}/in").collect()
+    assert len(rows) == 6 and all(r.content_cfg == r.content_dat for r in rows)
+
+
+def test_console_prints_every_row(spark, capsys):
+    df = spark.createDataFrame([(f"r{i}", float(i)) for i in range(200)], "reading_id string, voltage double")
+    sinks.write_readings(df, fmt="console")
+    out = capsys.readouterr().out.splitlines()
+    assert len(out) == 200 and '"reading_id":"r199"' in out[-1]

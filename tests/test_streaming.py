@@ -98,11 +98,11 @@ def test_foreach_batch_upsert_and_union(spark, scratch):
     syn = _silver_stream(spark, f"{scratch}/in")
     em = SD.detect_frozen_stream(syn, **PARAMS)
     path = f"{scratch}/gold"
-    q = (em.writeStream.foreachBatch(SG.upsert_events_batch(path))
+    q = (em.writeStream.foreachBatch(SG.upsert_events_batch(path, tables.new_run()))
            .option("checkpointLocation", SG.fresh_checkpoint(scratch)).start())
     q.processAllAvailable()
     q.stop()
-    got = tables.read_table(spark, path, S.FAULTS)
+    got = detect_state.event_status(tables.read_log(spark, path, em.schema)).select(*S.FAULTS.names)
     silver = quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, SF001)))
     want = detect_state.event_status(detect_state.detect_frozen(silver, **PARAMS))
     assert got.count() == want.count() > 0
@@ -160,7 +160,7 @@ def test_foreach_batch_health_refreshes_counts(spark, scratch):
            .option("checkpointLocation", SG.fresh_checkpoint(scratch)).start())
     q.processAllAvailable()
     q.stop()
-    got = tables.read_table(spark, path)
+    got = SG.read_health(spark, path).drop("day")
     silver = quality.expect_or_drop(quality.clean_readings(X.readings_raw(spark, SF001)))
     wm = silver.select(F.max("ts") - F.expr("INTERVAL 30 SECONDS")).first()[0]
     want = health.feeder_health(silver, faults, "1 hour").filter(F.col("window_end") <= F.lit(wm))
@@ -168,3 +168,38 @@ def test_foreach_batch_health_refreshes_counts(spark, scratch):
     assert got.count() == want.count()
     assert r6(got).exceptAll(r6(want)).count() == 0
 
+
+def test_late_faults_and_only_touched_days_are_rewritten(spark, scratch):
+    from datetime import datetime
+    path = f"{scratch}/health"
+    windows = spark.createDataFrame(
+        [(datetime(2024, 1, d, 0, 0), datetime(2024, 1, d, 0, 1), "f1", 1.0, 1.0, 60.0, 2) for d in (1, 2, 3)],
+        "window_start timestamp, window_end timestamp, feeder_id string, avg_voltage double, avg_current double, avg_frequency double, device_count long")
+    now = {"faults": spark.createDataFrame([], S.FAULTS)}
+    fn = SG.upsert_health_batch(path, lambda s: now["faults"])
+    fn(windows.filter("day(window_start) < 3"), 0)
+    files = {d: set(os.listdir(f"{path}/day=2024-01-0{d}")) for d in (1, 2)}
+    now["faults"] = spark.createDataFrame([("e", "d", "f1", datetime(2024, 1, 2, 0, 0, 30), "transient", 0.5)], S.FAULTS)
+    for _ in range(2):  # the batch, and its retry
+        fn(windows.filter("day(window_start) = 3"), 1)
+        got = {r.window_start.day: r.fault_count for r in SG.read_health(spark, path).collect()}
+        assert got == {1: 0, 2: 1, 3: 0} and SG.read_health(spark, path).count() == 3
+    assert set(os.listdir(f"{path}/day=2024-01-01")) == files[1]
+    assert set(os.listdir(f"{path}/day=2024-01-02")) != files[2]
+
+
+def test_late_readings_are_counted(spark, scratch):
+    folder = f"{scratch}/in"
+    os.makedirs(folder)
+    def put(i, ids):
+        rows = [(f"r{k}", "d", "f", f"2024-01-01 00:00:{k:02d}", 1.0, 1.0, 60.0, 0, "synthetic", None, None) for k in ids]
+        pq.write_table(pa.Table.from_pylist([dict(zip(S.READINGS_RAW.names, r)) for r in rows]), f"{folder}/part-{i}.parquet")
+        os.utime(f"{folder}/part-{i}.parquet", (1_700_000_000 + i, 1_700_000_000 + i))
+    put(0, [1, 2, 9])
+    put(1, [3, 4, 10])
+    q = (SD.detect_frozen_stream(_silver_stream(spark, folder), **PARAMS).writeStream.format("noop")
+         .option("checkpointLocation", f"{scratch}/ck").start())
+    q.processAllAvailable()
+    late = [p["observedMetrics"]["late_readings"]["n"] for p in q.recentProgress if "late_readings" in (p.get("observedMetrics") or {})]
+    q.stop()
+    assert sum(int(n) for n in late) == 2

@@ -1,4 +1,4 @@
-"""Upsert semantics and snapshot tables."""
+"""Upsert semantics and tables as logs of batches."""
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,18 +27,37 @@ def test_upsert_duplicate_keys_raise(spark):
         tables.upsert(t, u, ["event_id"]).collect()
 
 
-def test_snapshot_table_lifecycle_and_idempotent_batches(spark, scratch):
+def test_table_lifecycle_and_idempotent_batches(spark, scratch):
     path = f"{scratch}/faults"
+    def f(event, kind, score):
+        return spark.createDataFrame([(event, "d", "f", None, kind, score)], S.FAULTS)
+    assert tables.read_table(spark, path, S.FAULTS).count() == 0
     assert tables.ensure_table(spark, path, S.FAULTS).count() == 0
-    row = [("e1", "d", "f", None, None, 0.5)]
-    u = spark.createDataFrame(row, S.FAULTS)
-    assert tables.upsert_table(spark, path, u, ["event_id"], "1", S.FAULTS).count() == 1
-    u2 = spark.createDataFrame([("e1", "d", "f", None, "transient", 0.7)], S.FAULTS)
-    assert tables.upsert_table(spark, path, u2, ["event_id"], "2", S.FAULTS).first().fault_type == "transient"
-    # a retried batch id is a no-op
-    u3 = spark.createDataFrame([("e2", "d", "f", None, None, 0.1)], S.FAULTS)
-    assert tables.upsert_table(spark, path, u3, ["event_id"], "2", S.FAULTS).count() == 1
+    run = tables.new_run()
+    # the first batch of a query counts, though the table existed before it
+    assert tables.upsert_table(spark, path, f("e1", None, 0.5), ["event_id"], S.FAULTS, run, 0).count() == 1
+    assert tables.upsert_table(spark, path, f("e1", "transient", 0.7), ["event_id"], S.FAULTS, run, 1).first().fault_type == "transient"
+    # a retried batch replaces what it wrote
+    assert tables.upsert_table(spark, path, f("e2", None, 0.1), ["event_id"], S.FAULTS, run, 2).count() == 2
+    assert tables.upsert_table(spark, path, f("e2", None, 0.1), ["event_id"], S.FAULTS, run, 2).count() == 2
+    assert tables.read_log(spark, path, S.FAULTS).count() == 3
+    # a restarted checkpoint counts its batches from 0 again, as another run that comes later
+    got = tables.upsert_table(spark, path, f("e1", "sustained", 0.9), ["event_id"], S.FAULTS, tables.new_run(), 0)
+    assert {r.event_id: r.fault_type for r in got.collect()} == {"e1": "sustained", "e2": None}
+    assert tables.ensure_table(spark, path, S.FAULTS).count() == 2
     assert tables.reset_table(spark, path, S.FAULTS).count() == 0
+    assert tables.upsert_table(spark, path, f("e3", None, 0.1), ["event_id"], S.FAULTS).count() == 1
+
+
+def test_read_errors_raise(spark, scratch):
+    import os
+    path = f"{scratch}/faults"
+    tables.upsert_table(spark, path, spark.createDataFrame([("e1", "d", "f", None, None, 0.5)], S.FAULTS), ["event_id"], S.FAULTS, "1", 0)
+    os.makedirs(f"{path}/_run=1/_batch=1")
+    with open(f"{path}/_run=1/_batch=1/part-0.parquet", "wb") as out:
+        out.write(b"no parquet")
+    with pytest.raises(Exception, match="(?i)parquet"):
+        tables.read_table(spark, path, S.FAULTS).collect()
 
 
 def test_refresh_fault_counts_fixes_late_faults(spark):
