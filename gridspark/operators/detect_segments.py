@@ -10,9 +10,11 @@ is exact.  A segment is right when its start state equals the end state of
 the segment before it (states are the baseline values, the open event's
 start, peak and feeder, so equality is exact).  Every segment whose start
 disagrees is walked again from its predecessor's end state, in rounds,
-until no segment disagrees; each round fixes at least the first wrong
-segment of each device, and in practice a warm-up of a few hundred
-readings makes round 0 right almost everywhere.
+until no segment disagrees; where that state holds an open event, one scan
+finds the segment in which it closes and all segments up to there are walked
+in the same round, so the rounds follow the wrong guesses and not the length
+of an event.  In practice a warm-up of a few hundred readings makes round 0
+right almost everywhere else.
 
 Each round's output is written under ``spark.checkpoint.dir`` (lineage
 cut; a lost executor recomputes one round, not the walk); the positioned
@@ -136,6 +138,61 @@ def _no_state(df: DataFrame) -> DataFrame:
     return df
 
 
+_SCAN_SCHEMA = StructType([StructField("device_id", StringType()), StructField("seg", LongType()),
+                           StructField("closes", BooleanType()), StructField("top", DoubleType())])
+
+
+def _scan_groups(params: dict):
+    """Per (device, seg): whether a reading there is normal under the state
+    given with its rows, and the largest score before the first such one."""
+    from .detect_state import FrozenBaseline
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for (d, s), g in pdf.groupby(["device_id", "seg"], sort=False, dropna=False):
+                m = FrozenBaseline(**params)
+                m.set_state((g["s_bv"].iat[0], g["s_bc"].iat[0], int(g["s_start"].iat[0]), None, None))
+                m.run(g["ts_us"].to_numpy(np.int64), g["voltage"].to_numpy(float), g["current"].to_numpy(float),
+                      g["feeder_id"].to_numpy(), until_closed=True)
+                out.append((d, s, m.start_us is None, m.top))
+            if out:
+                yield pd.DataFrame(out, columns=["device_id", "seg", "closes", "top"])
+    return run
+
+
+def _carry_open_events(own: DataFrame, bad: DataFrame, params: dict, path: str) -> DataFrame:
+    """``bad`` with the true start states of all segments that an open event covers.
+
+    While an event is open the baseline stands still, so whether a reading
+    closes it does not depend on the readings before: one scan of the segments
+    behind each device's first wrong one finds the segment in which the event
+    closes, and the highest score up to any segment.  All segments up to that
+    one are then walked in the same round, however many they are."""
+    first = bad.groupBy("device_id").agg(F.min_by(F.struct("seg", *[f"s_{n}" for n, _ in STATE_FIELDS]), "seg").alias("_f"))
+    opened = first.filter(F.col("_f.s_start").isNotNull()).select(F.col("device_id").alias("_d"), "_f")
+    states = [F.col(f"_f.s_{n}").alias(f"s_{n}") for n, _ in STATE_FIELDS]
+    rows = own.join(opened, own["device_id"].eqNullSafe(F.col("_d")) & (F.col("seg") >= F.col("_f.seg")))
+    n = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    scanned = (rows.select("device_id", "seg", "pos", "ts_us", "voltage", "current", "feeder_id", *states)
+               .repartition(n, "device_id", "seg").sortWithinPartitions("device_id", "seg", "pos")
+               .mapInPandas(_scan_groups(params), _SCAN_SCHEMA))
+    # a segment may arrive in several Arrow batches: what stands behind its close only adds to scores nobody reads
+    per_seg = scanned.groupBy("device_id", "seg").agg(F.max("closes").alias("closes"), F.max("top").alias("top"))
+    before = Window.partitionBy("device_id").orderBy("seg").rowsBetween(Window.unboundedPreceding, -1)
+    per_seg = (per_seg.withColumn("_over", F.max("closes").over(before)).withColumn("_top", F.max("top").over(before))
+               .filter(F.col("_top").isNotNull() & ~F.col("_over")))  # behind the first, up to the one that closes
+    peak = F.greatest(F.col("_f.s_peak"), F.col("_top"))
+    covered = (per_seg.join(opened, per_seg["device_id"].eqNullSafe(F.col("_d")))
+               .select("device_id", "seg", F.lit(True).alias("s_known"), *[peak.alias("s_peak") if n == "peak" else F.col(f"_f.s_{n}").alias(f"s_{n}")
+                                                                      for n, _ in STATE_FIELDS]))
+    covered.write.parquet(path)
+    covered = own.sparkSession.read.parquet(path)
+    mine = covered.select(F.col("device_id").alias("_d"), F.col("seg").alias("_s"))
+    rest = bad.join(mine, bad["device_id"].eqNullSafe(F.col("_d")) & (bad["seg"] == F.col("_s")), "left_anti")
+    return rest.unionByName(covered)
+
+
 def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
                    bucket_seconds: int = 3600) -> DataFrame:
     """Emissions (EMIT_SCHEMA of ``detect_state``) of the exact detector.
@@ -159,8 +216,10 @@ def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
         g = F.struct(*[F.col(c) for c in gcols])
         checked = states.withColumn(
             "_prev", F.lag(F.struct(*[F.col(f"e_{n}").alias(n) for n, _ in STATE_FIELDS])).over(prev))
-        bad = (checked.filter((F.col("seg") > 0) & ~(g.eqNullSafe(F.struct(
-                   *[F.col(f"_prev.{n}").alias(f"g_{n}") for n, _ in STATE_FIELDS]))))
+        end = F.struct(*[F.col(f"_prev.{n}").alias(f"g_{n}") for n, _ in STATE_FIELDS])
+        checked = checked.withColumn("_bad", (F.col("seg") > 0) & ~g.eqNullSafe(end))
+        # a segment behind a wrong one waits: what it would start from is about to change
+        bad = (checked.withColumn("_waits", F.lag("_bad").over(prev)).filter(F.col("_bad") & ~F.col("_waits"))
                .select("device_id", "seg", F.lit(True).alias("s_known"),
                        *[F.col(f"_prev.{n}").alias(f"s_{n}") for n, _ in STATE_FIELDS]))
         if bad.isEmpty():
@@ -171,6 +230,7 @@ def walk_segmented(r: DataFrame, params: dict, segment_rows: int, warmup: int,
             pos.withColumn("seg", (F.col("pos") / F.lit(segment_rows)).cast("long")) \
                .write.mode("overwrite").parquet(f"{base}/rows")
             own = spark.read.parquet(f"{base}/rows").withColumn("is_halo", F.lit(False))
+        bad = _carry_open_events(own, bad, params, f"{base}/covered={k}")
         wrong = bad.withColumnsRenamed({"device_id": "_d", "seg": "_s"})
         rows_k = own.join(wrong, own["device_id"].eqNullSafe(wrong["_d"]) & (own["seg"] == wrong["_s"])).drop("_d", "_s")
         out_k = _walk(rows_k, params, f"{base}/round={k}")

@@ -84,6 +84,7 @@ class FrozenBaseline:
         self.sustained_us = sustained_s * 1_000_000.0
         self.base = np.zeros((2, 0))
         self.start_us, self.peak, self.feeder = None, 0.0, None
+        self.top = 0.0
 
     # state as plain values, for streaming state stores and segment checks
     def get_state(self):
@@ -94,13 +95,14 @@ class FrozenBaseline:
         self.base = np.array([[] if bv is None else bv, [] if bc is None else bc], dtype=np.float64)
         self.peak = peak or 0.0
 
-    def run(self, ts: np.ndarray, v: np.ndarray, c: np.ndarray, feeder) -> pd.DataFrame:
+    def run(self, ts: np.ndarray, v: np.ndarray, c: np.ndarray, feeder, until_closed: bool = False) -> pd.DataFrame:
         """Emissions of a stretch: ``idx`` (place in it), ``fault_type`` (None:
-        opened), ``start_us``, ``peak_z`` and ``feeder_id``."""
+        opened), ``start_us``, ``peak_z`` and ``feeder_id``.  ``until_closed``
+        stops where the open event closes; ``top`` is the highest peak seen."""
         x = np.stack([v, c]).astype(np.float64)
         parts: list[tuple] = []  # (places, type, start, peaks, feeder)
         i, size = 0, self.FIRST
-        while i < x.shape[1]:
+        while i < x.shape[1] and not (until_closed and self.start_us is None):
             step = self._frozen if self.start_us is not None else self._sliding
             i, calm = step(ts, x, feeder, i, size, parts)
             size = min(2 * size, self.LARGEST) if calm else self.FIRST
@@ -139,7 +141,7 @@ class FrozenBaseline:
         normal = ~(z >= self.limits).any(axis=0)
         k = int(normal.argmax()) if normal.any() else j - i
         peaks = np.fmax.accumulate(np.concatenate([[self.peak], np.fmax(z[0, :k], z[1, :k])]))
-        self.peak = float(peaks[-1])
+        self.peak = self.top = float(peaks[-1])
         due = np.flatnonzero(ts[i:i + k] - self.start_us >= self.sustained_us)
         if len(due):
             parts.append((i + due, S.SUSTAINED, self.start_us, peaks[1:][due], self.feeder))

@@ -288,6 +288,12 @@ def d2_detect_frozen_segmented(spark, sf_dir):
     return naive(detect_emissions(spark, sf_dir, segment_rows=500))
 
 
+def state_store(spark: SparkSession) -> None:
+    """The state store that the streaming detector needs, for the registered streams' session."""
+    from ..streaming.detect import ROCKSDB
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
+
 def _land_in_slices(spark, sf_dir, base, slices, run_slice):
     """Land the proxy readings in ``slices`` time slices under ``base``;
     call ``run_slice(landing_path)`` after each one (one micro-batch each)."""
@@ -315,12 +321,13 @@ def d3_detect_frozen_stream(spark, sf_dir, slices: int = 4):
     from ..session import checkpoint_dir
     from ..sources import landing
     from ..streaming.detect import detect_frozen_stream
+    state_store(spark)
     base = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-d3/{uuid.uuid4().hex}"
     state = {}
 
     def run(path):
         if "q" not in state:
-            s = landing.read_readings_stream(spark, path).drop("_ingested_at")
+            s = landing.read_readings_stream(spark, path, max_files_per_trigger=64).drop("_ingested_at")
             state["q"] = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), z=O.Z,
                                               sustained_s=O.SUSTAINED_S, window=O.WINDOW, min_n=O.MIN_N)
         q = (state["q"].writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt")
@@ -675,6 +682,7 @@ def t7s_upsert_stream(spark, sf_dir, slices: int = 3):
     from ..sources import landing
     from ..streaming.detect import detect_frozen_stream
     from ..streaming.gold import fresh_checkpoint, upsert_events_batch
+    state_store(spark)
     base = scratch_folder(spark, "t7s")
     path, schema = f"{base}/events", emissions_frozen(spark, sf_dir).schema
     tables.ensure_table(spark, path, schema)

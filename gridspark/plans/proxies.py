@@ -2,7 +2,7 @@
 
 The test data carries no grid telemetry, so each bronze table is a
 deterministic projection of a driver table (see FIXTURES.md).  Every row of
-the source table is kept; ``%`` only derives device/feeder names and
+the source table is kept (the fault schedule is the table's ``error`` events); ``%`` only derives device/feeder names and
 channel values, it never filters.  The same definitions in DuckDB's dialect
 live in ``plans/oracle.py``.
 """
@@ -18,7 +18,6 @@ from ..session import ensure_conf
 N_DEVICES = 8
 N_FEEDERS = 4
 N_METER_BLOCKS = 12
-WAVEFORM_STEPS = 16
 WAVEFORM_CHANNELS = ["IA", "IB", "IC", "VA"]
 
 
@@ -87,10 +86,11 @@ def context_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def waveform_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One capture per embedding: 16 time steps x 4 channels."""
+    """One capture per embedding: its values in rows of 4 channels, a row a time step."""
     e = table(spark, sf_dir, "embeddings")
-    steps = F.sequence(F.lit(0), F.lit(WAVEFORM_STEPS - 1))
     nch = len(WAVEFORM_CHANNELS)
+    n = F.floor(F.size("embedding") / nch).cast("int")
+    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     micros = F.transform(steps, lambda i: (F.col("vec_id") * F.lit(1_000_000) + i * F.lit(1000)).cast("long"))
     analog = F.transform(steps, lambda i: F.transform(
         F.slice(F.col("embedding"), i * nch + 1, nch), lambda x: x.cast("double")))

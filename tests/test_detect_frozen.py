@@ -1,5 +1,7 @@
 """Frozen-baseline detector: the reference's three scenarios, plus plan
 independence (partitions, Arrow batch size, segmentation)."""
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fixtures import schedule, telemetry
@@ -97,3 +99,25 @@ def test_empty_input(spark):
     assert detect_state.detect_frozen(r).count() == 0
     assert detect.detect_windowed(r, strategy="device").count() == 0
     assert detect.detect_windowed(r, strategy="segmented").count() == 0
+
+
+def test_a_long_event_takes_few_rounds(spark):
+    """A fault over 50 segments, and a level shift that never closes."""
+    import glob
+
+    from gridspark.session import checkpoint_dir
+    rng = np.random.default_rng(3)
+    frames = []
+    for d, (a, b) in {"long": (120, 2220), "shift": (300, 2600), "calm": (0, 0)}.items():
+        v, c = 100 + rng.normal(0, 1, 2600), 10 + rng.normal(0, 0.1, 2600)
+        v[a:b] += 500
+        frames.append(pd.DataFrame({"reading_id": [f"{d}{i:05d}" for i in range(2600)], "device_id": d, "feeder_id": "f",
+                                    "ts": pd.Timestamp("2024-01-01") + pd.to_timedelta(np.arange(2600), unit="s"),
+                                    "voltage": v, "current": c, "frequency": 50.0, "source": "synthetic"}))
+    r = spark.createDataFrame(pd.concat(frames)[S.READINGS.names], S.READINGS)
+    kept = set(glob.glob(f"{checkpoint_dir(spark)}/gridspark-frozen/*"))
+    got = detect_state.detect_frozen(r, segment_rows=40, warmup=36)
+    want = detect_state.detect_frozen(r, segment_rows=None)
+    assert got.count() == want.count() > 4000 and got.exceptAll(want).count() == 0
+    (base,) = set(glob.glob(f"{checkpoint_dir(spark)}/gridspark-frozen/*")) - kept
+    assert len(glob.glob(f"{base}/round=*")) <= 1 + 3  # round 0 and at most three rounds of mending
