@@ -30,7 +30,7 @@ CACHE_WORDS = 1_000_000
 #: Longer pieces of text are encoded anew each time.
 CACHE_CHARS = 64
 #: Bytes of text tokenised at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: One select sample every so many ones.
 SAMPLE = 512
 
