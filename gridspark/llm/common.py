@@ -1,6 +1,9 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import gc
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -66,3 +69,16 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
     """The values of a string column as UTF-8 bytes, without decoding."""
     for x in column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()):
         yield x.as_py()
+
+
+def worker_cache() -> dict:
+    """What tasks that follow each other in one Python worker may share."""
+    held = sys.modules.setdefault("_gridspark_worker", types.ModuleType("_gridspark_worker"))
+    return held.__dict__.setdefault("cache", {})
+
+
+def release_worker() -> None:
+    """Drop what another operator's tasks have left in this Python worker."""
+    worker_cache().clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()

@@ -13,8 +13,6 @@ from __future__ import annotations
 import json
 import re
 import struct
-import sys
-import types
 import zlib
 from collections.abc import Iterator
 
@@ -23,10 +21,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, rows_in, run_dir, stage
+from .common import filesystem, rows_in, run_dir, stage, worker_cache
 
-#: Words whose ids a Python worker remembers, about 200 MB.
-CACHE_WORDS = 1_000_000
+#: Words whose ids a Python worker remembers, about 160 MB.
+CACHE_WORDS = 800_000
 #: Longer pieces of text are encoded anew each time.
 CACHE_CHARS = 64
 #: Bytes of text tokenised at a time.
@@ -205,8 +203,7 @@ class Encoder:
 
 def _encoder(path: str, width: int) -> Encoder:
     """The Python worker's encoder: tasks that follow each other share its words."""
-    held = sys.modules.setdefault("_gridspark_worker", types.ModuleType("_gridspark_worker"))
-    encoders = held.__dict__.setdefault("encoders", {})
+    encoders = worker_cache().setdefault("encoders", {})
     if (path, width) not in encoders:
         encoders[path, width] = Encoder(path, width)
     return encoders[path, width]
