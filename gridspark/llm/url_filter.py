@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, run_dir
+from .common import filesystem, run_dir, stage
 
 #: The rules of the registered query: (host, path, action).
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
@@ -72,12 +72,17 @@ def _write_shard(root: str):
     return write
 
 
-def build_index(rules: DataFrame, shards: int = 8) -> dict:
+#: Rules that one task sorts and one file holds.
+SHARD_RULES = 1_000_000
+
+
+def build_index(rules: DataFrame, shard_rules: int = SHARD_RULES) -> dict:
     """Write the index of ``rules`` (host, path, action) and return its
     manifest: folder, shard files and the distinct lengths of rule paths.
 
     Rows with a null host, path or action are no rules; of equal (host, path)
-    the smallest action counts.  The manifest holds one entry a shard; the
+    the smallest action counts.  A shard is a range of keys, of about
+    ``shard_rules`` rules; the manifest holds one entry a shard, and the
     arrays themselves never pass through the driver."""
     spark = rules.sparkSession
     root = run_dir(spark, "urls")
@@ -85,8 +90,10 @@ def build_index(rules: DataFrame, shards: int = 8) -> dict:
              .groupBy(F.concat("host", "path").alias("rule"), F.char_length("path").alias("path_chars"))
              .agg(F.min("action").alias("action"))
              .withColumn("key", F.xxhash64("rule")))
-    parts = (keyed.withColumn("shard", F.shiftrightunsigned("key", 48) % shards)
-             .repartition(shards, "shard").drop("shard")
+    keyed = stage(keyed, "rules")
+    shards = max(1, -(-keyed.count() // shard_rules))
+    ranges = F.floor(F.shiftrightunsigned("key", 40) * shards / (1 << 24))
+    parts = (keyed.withColumn("shard", ranges).repartition(shards, "shard").sortWithinPartitions("shard").drop("shard")
              .mapInArrow(_write_shard(root), _MANIFEST))
     found = parts.collect()  # one short row a shard
     return {"root": root, "files": [(r["file"], int(r["least"]), int(r["most"]), r["n"]) for r in found],
@@ -132,7 +139,7 @@ def _probe(index: dict, url_col: str, default: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        shards = [(least, most, _Shard(index["root"], f)) for f, least, most, _ in index["files"]]
+        opened: dict[str, _Shard] = {}
         lengths = index["path_chars"]
         for batch in batches:
             parts = [split_url(u) for u in batch.column(url_col).to_pylist()]
@@ -149,8 +156,9 @@ def _probe(index: dict, url_col: str, default: str):
             rules = list(wanted)
             keys = np.array([xxhash.xxh64_intdigest(r, seed=42) for r in rules], "u8")
             actions: dict[bytes, bytes] = {}
-            for least, most, shard in shards:
+            for file, least, most, _ in index["files"]:
                 if len(near := np.flatnonzero((keys >= least) & (keys <= most))):
+                    shard = opened[file] = opened.get(file) or _Shard(index["root"], file)
                     some = [rules[i] for i in near]
                     actions |= {r: a for r, a in zip(some, shard.find(keys[near], some)) if a is not None}
             best = [max((r for r in own if r in actions), key=lambda r: (len(r), r), default=None) for own in asked]

@@ -19,9 +19,9 @@ def brute(url, rules):
     return host, path, rule, action
 
 
-def judge(spark, urls, rules, shards=3):
+def judge(spark, urls, rules, shard_rules=2):
     pages = spark.createDataFrame([(i, u, None, "x", "y", "z") for i, u in enumerate(urls)], PAGES)
-    index = U.build_index(spark.createDataFrame(rules, "host string, path string, action string"), shards)
+    index = U.build_index(spark.createDataFrame(rules, "host string, path string, action string"), shard_rules)
     rows = U.filter_urls(pages, index, "page_id", "url").collect()
     return {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in rows}
 
