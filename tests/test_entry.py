@@ -1,5 +1,5 @@
 """Driver contract: entry() runs; every query has a name-matched oracle
-(except the approximate one) and agrees with DuckDB at sf0.001; the
+and agrees with DuckDB at sf0.001; the
 segmented plans agree with the per-device ones."""
 import math
 
@@ -25,7 +25,7 @@ def test_registry_shape():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert set(C.QUERIES) <= set(q) and set(C.ORACLE) <= set(o)
-    assert set(C.QUERIES) - set(o) == {"a4_feeder_windows_approx"}
+    assert set(C.QUERIES) == set(C.ORACLE)
 
 
 def _norm(df):
