@@ -20,24 +20,69 @@ from .common import utf8
 # Fixed values of the contract: phrase -> label.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
-#: Label -> templates, beyond the base phrases.
+_OPT, _END = "<<beginOptional>>", "<<endOptional>>"
+
+
+def _item(*marks: str) -> str:
+    """The mark of a list item, which may be left out."""
+    return " ".join(f"{_OPT}{m}{_END}" for m in marks)
+
+
+_DISCLAIMER = (
+    "this software is provided by <<var;name=who;original=the copyright holders and contributors;words=1..12>> as is and any express "
+    "or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed in no event shall <<var;name=who;original=the copyright holder or contributors;words=1..12>> be liable "
+    "for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of "
+    "substitute goods or services loss of use data or profits or business interruption however caused and on any theory of "
+    "liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of "
+    "this software even if advised of the possibility of such damage")
+_BSD = (
+    "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    f"conditions are met {_item('1', 'a')} redistributions of source code must retain the above copyright notice this list of "
+    f"conditions and the following disclaimer {_item('2', 'b')} redistributions in binary form must reproduce the above copyright "
+    "notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+    f"distribution {{}}{_DISCLAIMER}")
+_ADVERTISING = (
+    f"{_item('3', 'c')} all advertising materials mentioning features or use of this software must display the following "
+    f"{_OPT}acknowledgement{_END} {_OPT}acknowledgment{_END} this product includes software developed by "
+    "<<var;name=organization;original=the organization;words=1..20>> ")
+_NO_ENDORSEMENT = (
+    f"{_item('3', '4', 'c', 'd')} neither the name of <<var;name=holder;original=the copyright holder;words=1..12>> nor the names of "
+    f"{_OPT}its{_END} {_OPT}their{_END} contributors may be used to endorse or promote products derived from this software without "
+    "specific prior written permission ")
+_GNU = (f"gnu general public license {_OPT}as published by the free software foundation{_END} "
+        f"{_OPT}either{_END} version ")
+_CC = f"creative commons attribution {{}} {_item('1 0', '2 0', '2 5', '3 0', '4 0')} {_item('international', 'unported', 'generic')} {{}}license"
+
+#: Label -> templates, beyond the base phrases: whole licenses (mit, bsd-2, bsd-3, bsd-4) and the notices that name one.
 TEMPLATES = {
     "mit": ["permission is hereby granted free of charge to any person obtaining a copy of "
             "<<var;name=work;original=this software;words=1..8>> "
-            "<<beginOptional>>and associated documentation files<<endOptional>>",
+            "<<beginOptional>>and associated documentation files<<endOptional>> <<beginOptional>>the software<<endOptional>> "
+            "to deal in the software without restriction including without limitation the rights to use copy modify merge publish "
+            "distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do "
+            "so subject to the following conditions the above copyright notice and this permission notice "
+            "<<beginOptional>>including the next paragraph<<endOptional>> shall be included in all "
+            "copies or substantial portions of the software the software is provided as is without warranty of any kind express or "
+            "implied including but not limited to the warranties of merchantability fitness for a particular purpose and "
+            "noninfringement in no event shall <<var;name=who;original=the authors or copyright holders;words=1..8>> be liable for any "
+            "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in "
+            "connection with the software or the use or other dealings in the software",
             "<<beginOptional>>licensed<<endOptional>> <<beginOptional>>released<<endOptional>> "
             "under the <<var;name=owner;original=mit;words=0..2>> mit <<beginOptional>>expat<<endOptional>> license"],
     "apache-2": ["licensed under the apache <<beginOptional>>software<<endOptional>> license "
                  "<<beginOptional>>version<<endOptional>> 2 <<beginOptional>>0<<endOptional>>"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted",
-            "under the <<var;name=kind;original=bsd 3 clause;words=0..3>> bsd <<beginOptional>>style<<endOptional>> license"],
-    "gpl-3": ["gnu general public license <<beginOptional>>as published by the free software foundation<<endOptional>> "
-              "<<beginOptional>>either<<endOptional>> version 3"],
-    "gpl-2": ["gnu general public license <<beginOptional>>as published by the free software foundation<<endOptional>> "
-              "<<beginOptional>>either<<endOptional>> version 2"],
-    "cc-by-nc": ["creative commons attribution <<beginOptional>>non<<endOptional>> "
-                 "<<var;name=nc;original=noncommercial;words=1..1>> <<var;name=rest;original=sharealike;words=0..2>> license"],
-    "cc-by-sa": ["cc by sa <<beginOptional>>4 0<<endOptional>>"],
+    "bsd": ["under the <<var;name=kind;original=bsd 3 clause;words=0..3>> bsd <<beginOptional>>style<<endOptional>> license"],
+    "bsd-2": [_BSD.format("")],
+    "bsd-3": [_BSD.format(_NO_ENDORSEMENT)],
+    "bsd-4": [_BSD.format(_ADVERTISING + _NO_ENDORSEMENT)],
+    "gpl-3": [_GNU + "3"],
+    "gpl-2": [_GNU + "2"],
+    "cc-by": [_CC.format("", f"{_OPT}public{_END} ")],
+    "cc-by-nc": [_CC.format(f"{nc} {_item('sharealike', 'share alike', 'noderivatives', 'noderivs', 'no derivatives')}", f"{_OPT}public{_END} ")
+                 for nc in ("noncommercial", "non commercial")],
+    "cc-by-sa": ["cc by sa <<beginOptional>>4 0<<endOptional>>"]
+                + [_CC.format(sa, f"{_OPT}public{_END} ") for sa in ("sharealike", "share alike")],
     "all-rights-reserved": ["copyright <<beginOptional>>c<<endOptional>> <<var;name=holder;original=2020 owner;words=1..8>> "
                             "all rights reserved"],
 }

@@ -67,3 +67,35 @@ def test_edges(edge_docs, no_docs):
     assert got.filter("doc_id = 7 and base_labels = 'mit'").count() == 1
     assert got.filter("doc_id = 5").first().n_words == 240_000
     assert L.scan_licenses(no_docs, "doc_id", "text").count() == 0
+
+
+def _labels(text):
+    return sorted({x for x, base, _, _ in L.scan_words(L.words(text.encode()), L.compile_all(L.BASE, L.TEMPLATES)) if not base})
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. ",
+       "3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the Example Group. ",
+       "4. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. ",
+       'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.']
+
+
+@pytest.mark.parametrize("text, labels", [
+    (MIT, ["mit"]), (MIT.replace("sublicense, and/or sell", "and sublicense"), []), (MIT[:300], []),
+    ("Released under the MIT License", ["mit"]), ("under the MIT rules", []),
+    (BSD[0] + BSD[3], ["bsd-2"]), (BSD[0] + BSD[2] + BSD[3], ["bsd-3"]), ("".join(BSD), ["bsd-4"]),
+    (BSD[0], []), (BSD[0].replace("must retain", "may drop") + BSD[3], []),
+    ("under the 3-clause BSD license", ["bsd"]), ("under the BSD rules", []),
+    ("Licensed under the Apache License, Version 2.0", ["apache-2"]), ("Licensed under the Apache License, Version 1.1", []),
+    ("GNU General Public License version 2", ["gpl-2"]), ("GNU General Public License, either version 3", ["gpl-3"]),
+    ("GNU Lesser General Public License version 3", []),
+    ("Creative Commons Attribution 4.0 International License", ["cc-by"]), ("Creative Commons Attribution Unported License", ["cc-by"]),
+    ("Creative Commons Attribution 4.0 International Public License", ["cc-by"]),
+    ("Creative Commons Attribution-ShareAlike License", ["cc-by-sa"]), ("Creative Commons Attribution-ShareAlike 3.0 Unported License", ["cc-by-sa"]),
+    ("Creative Commons Attribution-NonCommercial 4.0 International License", ["cc-by-nc"]),
+    ("Creative Commons Attribution Non-Commercial ShareAlike 4.0 International License", ["cc-by-nc"]),
+    ("Creative Commons Attribution-NoDerivatives 4.0 International License", []), ("Creative Commons Attribution", []), ("cc by sa 4.0", ["cc-by-sa"]),
+    ("Copyright (c) 2020 Owner. All rights reserved.", ["all-rights-reserved"]), ("Copyright (c) 2020 Owner. Some rights reserved.", []),
+])
+def test_labels_and_near_misses(text, labels):
+    assert _labels("Some words. " + text + " And more.") == labels
