@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 #: A language's dictionary holds at most this many bytes ...
 DICT_BYTES = 96 * 1024
-#: ... taken from this many training documents, at most so many bytes of each.
+#: ... taken from this many distinct training texts, so many bytes of each from anywhere in it.
 DICT_DOCS, DOC_BYTES = 512, 256
 #: Texts are compressed in pieces of so many bytes, so that a long text cannot teach the compressor its own language.
 PIECE = 2048
@@ -34,23 +34,37 @@ def folded(text: str) -> bytes:
     return b" ".join(text.lower().encode().translate(_LETTERS).split())
 
 
+def _excerpts(doc_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for text, h in zip(batch.column("text").to_pylist(), batch.column("h").to_pylist()):
+                raw = folded(text)
+                start = h % max(1, len(raw) - doc_bytes + 1)
+                out.append(raw[start:start + doc_bytes])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(out, pa.binary())], ["lang", "h", "excerpt"])
+    return run
+
+
 def train(docs: DataFrame, text_col: str, lang_col: str, key_cols: list[str],
           dict_docs: int = DICT_DOCS, doc_bytes: int = DOC_BYTES, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Language -> dictionary, from the documents with a text and a language.
 
-    The sample is the ``dict_docs`` documents of each language that come
-    first by a hash of ``key_cols`` and text (so reruns agree), an excerpt of
-    ``doc_bytes`` bytes each.  The limit is applied in every task before the
-    shuffle, and the driver receives ``dict_bytes`` a language at most."""
-    rank = Window.partitionBy("lang").orderBy("h", "text")
-    sample = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"),
-                          F.xxhash64(*key_cols).alias("h"))
-              .filter(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0))
-              .withColumn("text", F.substring("text", 1, 2 * doc_bytes))
-              .withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= dict_docs))
+    The sample is the ``dict_docs`` distinct texts of each language that come
+    first by a hash of the text (so reruns agree; copies count once, texts
+    without letters come last), an excerpt of ``doc_bytes`` bytes each, from a
+    place of the whole folded text that the hash chooses.  ``key_cols`` do not
+    matter.  The limit is applied in every task before the shuffle of the
+    ranks, and the driver receives ``dict_bytes`` a language at most."""
+    rank = Window.partitionBy("lang").orderBy(F.length("excerpt") == 0, "h")
+    texts = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
+             .filter(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0)))
+    distinct = (texts.mapInArrow(_excerpts(doc_bytes), "lang string, h long, excerpt binary")
+                .groupBy("lang", "h").agg(F.min("excerpt").alias("excerpt")))
+    sample = distinct.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= dict_docs)
     parts: dict[str, list[bytes]] = {}
-    for r in sample.orderBy("lang", "n").select("lang", "text").collect():
-        parts.setdefault(r["lang"], []).append(folded(r["text"])[:doc_bytes])
+    for r in sample.orderBy("lang", "n").select("lang", "excerpt").collect():
+        parts.setdefault(r["lang"], []).append(bytes(r["excerpt"]))
     return {lang: b"\n".join(p)[:dict_bytes] for lang, p in sorted(parts.items())}
 
 

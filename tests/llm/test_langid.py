@@ -38,3 +38,15 @@ def test_edges(spark, edge_docs, no_docs):
     assert {r.lang_pred for r in langid.predict(edge_docs, {}, "text", ["doc_id"]).collect()} == {"und"}
     same = langid.predict(edge_docs, {"b": b"word", "a": b"word"}, "text", ["doc_id"]).filter("doc_id = 1").first()
     assert same.lang_pred == "a" and same.score == 0 and same.rejected
+
+
+def test_learns_from_the_whole_text_and_counts_copies_once(spark):
+    header = "menu startseite impressum datenschutz anmelden " * 12
+    bodies = [" ".join(f"body{chr(97 + i % 26)}{chr(97 + j % 26)}{chr(97 + i // 26)}" for j in range(400)) for i in range(40)]
+    rows = [(i, header + b, "en") for i, b in enumerate(bodies)] + [(100 + i, "1234 " * 200 + "letters stand behind", "fr") for i in range(3)]
+    rows += [(1000 + i, "copied words " * 30, "en") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    got = langid.train(docs, "text", "lang", ["doc_id"], dict_docs=41)
+    parts = got["en"].split(b"\n")
+    assert len(parts) == 41 and sum(p.startswith(b"copied") or b"copied words" in p for p in parts) == 1
+    assert sum(b"body" in p for p in parts) >= 30 and b"letters stand behind" in got["fr"]
