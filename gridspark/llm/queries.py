@@ -32,7 +32,7 @@ def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash_gph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_bits=4)
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents"), "doc_id", "text", shingle=4, max_bits=4).drop("root")
 
 
 def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import small_or_shuffled, stage, utf8
 from .components import connected_components
@@ -322,8 +323,10 @@ def _histogram(groups: list[list[int]]):
 
 def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int = 4, max_bits: int = 4,
                     parts: int = PARTS) -> DataFrame:
-    """(id_col, fingerprint, component_id) of every row: the component is the
-    smallest id reachable through fingerprints at ``max_bits`` bits or fewer.
+    """(id_col, fingerprint, component_id, root) of every row: the component is
+    the smallest id reachable through fingerprints at ``max_bits`` bits or
+    fewer.  ``root`` is one of the component's fingerprints and names it also
+    where ids repeat and components share one.
 
     Texts are lower-cased (A-Z) and cut at ASCII white space; a text of fewer
     words than a shingle has its whole sequence as one, one without words (or
@@ -339,29 +342,50 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     named = unique.join(roots, unique["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    components = named.join(least, "root").select("fp", "component_id")
+    components = named.join(least, "root").select("fp", "component_id", "root")
     return rows.join(components, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_one(docs: DataFrame, found: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs``, with their columns, whose id names its component
-    in ``found``: one document of each group.  Rows with a null id stay, as
-    nothing names them; of rows that repeat an id the first by a hash of the
-    text stays."""
-    found = stage(found, "components")  # read twice below
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    gone = small_or_shuffled(gone, "gone", 1_000_000)
-    kept = docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
-    again = stage(found.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_again")).count()
-                  .filter("count > 1").select("_again"), "repeated")
+        F.col("id").alias(id_col), _printed("fp").alias("fingerprint"), "component_id", _printed("root").alias("root"))
+
+
+def _printed(fp: str) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
+def _with_fingerprints(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = np.array([fingerprint(raw, shingle) for raw in utf8(batch.column("_text"))], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(fp.view(np.int64))], [*batch.schema.names[:-1], "_fp"])
+    return run
+
+
+def keep_one(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, shingle: int = 4) -> DataFrame:
+    """The rows of ``docs``, with their columns, that stand for their component
+    in ``found`` (of the same ``shingle``): one document of each group, that of
+    its smallest id.  Rows with a null id stay, as nothing names them; where an
+    id repeats, a row is named by id and fingerprint, and of a component's rows
+    of one id that of the smallest fingerprint, then the first by a hash of the
+    text, stays."""
+    found = stage(found.filter(F.col(id_col).isNotNull()), "components")  # read several times below
+    again = stage(found.groupBy(F.col(id_col).alias("_again")).count().filter("count > 1").select("_again"), "repeated")
+    # within a component, every row of a larger id goes
+    gone = found.filter(F.col(id_col) != F.col("component_id"))
     if again.isEmpty():  # ids are unique, as they should be
-        return kept
+        gone = small_or_shuffled(gone.select(F.col(id_col).alias("_gone")), "gone", 1_000_000)
+        return docs.join(gone, docs[id_col].cast("long") == gone["_gone"], "left_anti")
+    single = gone.join(again, F.col(id_col) == F.col("_again"), "left_anti").select(F.col(id_col).alias("_gone"))
+    single = small_or_shuffled(single, "gone", 1_000_000)
+    kept = docs.join(single, docs[id_col].cast("long") == single["_gone"], "left_anti")
+    stays = (found.join(again, F.col(id_col) == F.col("_again"), "left_semi").filter(F.col(id_col) == F.col("component_id"))
+             .groupBy(F.col(id_col).alias("_stays"), "root").agg(F.min("fingerprint").alias("_print")).drop("root"))
     columns = kept.columns
-    nth = Window.partitionBy("_id").orderBy("_h")
     rows = kept.select(F.struct(*[kept[c] for c in columns]).alias("_row"), kept[id_col].cast("long").alias("_id"),
-                       F.xxhash64(kept[text_col]).alias("_h"))
+                       F.xxhash64(kept[text_col]).alias("_h"), kept[text_col].alias("_text"))
     twice = F.col("_id") == F.col("_again")
-    first = (rows.join(again, twice, "left_semi").withColumn("_nth", F.row_number().over(nth))
-             .filter("_nth = 1").drop("_nth"))
-    return rows.join(again, twice, "left_anti").union(first).select("_row.*")
+    repeated = rows.join(again, twice, "left_semi")
+    kinds = T.StructType([*repeated.schema.fields[:-1], T.StructField("_fp", T.LongType())])
+    repeated = repeated.mapInArrow(_with_fingerprints(shingle), kinds)
+    repeated = repeated.join(stays, (F.col("_id") == F.col("_stays")) & (_printed("_fp") == F.col("_print")), "left_semi")
+    nth = Window.partitionBy("_id", "_fp").orderBy("_h")
+    first = repeated.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").select("_row")
+    return rows.join(again, twice, "left_anti").select("_row").union(first).select("_row.*")

@@ -132,3 +132,12 @@ def test_of_rows_that_repeat_an_id_one_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     kept = S.keep_one(docs, S.near_duplicates(docs, "doc_id", "text"), "doc_id", "text")
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2]
+
+
+def test_repeated_ids_lose_no_group(spark):
+    a, b = "the quick brown fox jumps over the lazy dog again and again", "entirely other words stand in this second text of ours today"
+    rows = [(5, a), (5, b), (3, b), (9, a), (7, "yet another text that nothing else here resembles at all"), (7, b), (7, b), (8, None), (8, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = S.near_duplicates(docs, "doc_id", "text")
+    kept = sorted((r.doc_id, r.text or "") for r in S.keep_one(docs, found, "doc_id", "text").collect())
+    assert kept == sorted([(5, a), (3, b), (7, rows[4][1]), (8, "")])
