@@ -125,7 +125,9 @@ class Encoder:
     piece at a space between two characters that are no white space, and at
     the ends of a letter run.  Such words are encoded by the library once and
     remembered; texts that hold other white space are encoded piece by
-    piece in the same way with the unclear stretches whole.  For any other
+    piece in the same way with the unclear stretches whole.  The strings of
+    added tokens become their ids, as in the library; texts are cut at them
+    first, and words are words of what stands between.  For any other
     tokenizer whole texts are encoded."""
 
     def __init__(self, path: str, width: int):
@@ -134,12 +136,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tk = Tokenizer.from_file(path)
-        self.tk.encode_special_tokens = True  # their strings in a text are ordinary text
         said = json.loads(self.tk.to_str())
         pre, model = said["pre_tokenizer"] or {}, said["model"]
         self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
                         and said["normalizer"] is None and not model.get("dropout") and said["truncation"] is None
-                        and not any(not t["special"] for t in said["added_tokens"]))
+                        and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not t["content"]
+                                    for t in said["added_tokens"]))
+        added = sorted((t["content"] for t in said["added_tokens"]), key=len, reverse=True)  # the longest of those that begin alike
+        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
         self.kind = {2: "<u2", 4: "<u4"}[width]
         self.units: dict[str, bytes] = {}
 
@@ -165,8 +169,19 @@ class Encoder:
             clear = bool(w) and not w[-1].isspace()
         return out
 
+    def _split(self, text: str) -> list[str]:
+        """The strings of added tokens in the text, and the words between them."""
+        if self.added is None or self.added.search(text) is None:
+            return self._words(text)
+        out = []
+        for i, part in enumerate(self.added.split(text)):
+            out += [part] if i % 2 else self._words(part) if part else []
+        return out
+
     def _cut(self, word: str) -> list[str]:
         """Pieces of a word whose ids stand one after another in the word's."""
+        if self.added is not None and self.added.fullmatch(word):
+            return [word]
         lines = word.split("\n")
         if len(lines) > 1:
             if not all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip(" "), *lines[1:])) or word.startswith("  "):
@@ -184,7 +199,7 @@ class Encoder:
         """The ids of each text, as bytes."""
         if not self.by_word:
             return self._library(texts)
-        split = [self._words(t) if t else [] for t in texts]
+        split = [self._split(t) if t else [] for t in texts]
         seen: set[str] = set()
         for words in split:
             seen.update(words)

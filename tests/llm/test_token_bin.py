@@ -73,3 +73,16 @@ def test_empty_table_and_negative_ids(spark, no_docs):
     root, manifest = B.write_tokens(docs, "doc_id", "text", PATH, 2, 50_257)
     got = [(r.doc_id, r.start, r.n_tokens) for r in B.read_tokens(spark, root, manifest, "doc_id").orderBy("start").collect()]
     assert got == [(-2**63, 0, 2), (5, 2, 3), (2**63 - 1, 5, 1)]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_encode_as_in_a_fresh_tokenizer(name):
+    from tokenizers import Tokenizer
+    fresh, e = Tokenizer.from_file(P.path(name)), B.Encoder(P.path(name), 2)
+    rng = random.Random(5)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x<|endoftext|>\n y", "<|endoftext|> <|endoftext|>  ", "<|endoftext", "it<|endoftext|>'s"]
+    texts += ["".join(rng.choice(["a", "b", " ", "  ", "\n", ".", "'s", "é", "1", "<|endoftext|>", "<|", "endoftext", "|>"]) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    want = [np.array(fresh.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+    assert e.encode(texts) == want and e.encode(texts) == want
+    if name.startswith("byte"):
+        assert np.frombuffer(e.encode(["a <|endoftext|> b"])[0], "<u2").tolist().count(50256) == 1
