@@ -1,10 +1,13 @@
 """The registered queries of this subpackage and their DuckDB SQL."""
 from __future__ import annotations
 
+import zlib
+
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, quality, simhash, token_bin, topk, url_filter, warc
+from . import decontam, langid, licenses, mixing, periodic, quality, simhash, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -72,6 +75,29 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, dicts, "text", ["doc_id", "held_out"])
 
 
+def _tails(ids: list[int | None], first: np.ndarray) -> np.ndarray:
+    """The periodic tails of the contract: which word each place of the documents reads."""
+    at = np.arange(first[-1])
+    for i, doc_id in enumerate(ids):
+        n, h = int(first[i + 1] - first[i]), zlib.crc32(str(doc_id).encode())
+        if doc_id is not None and n and h % 10 == 0:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            at[first[i] + a:first[i + 1]] = first[i] + a + np.arange(n - a) % p
+    return at
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_read(spark, sf_dir, "documents"), "doc_id", "text", 12, _tails)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, (-r.start).alias("s"), (-r.period).alias("p"), r.start, r.period)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_quality_kneser_ney": op1_quality_kneser_ney,
     "op2_mix_sources": op2_mix_sources,
@@ -83,6 +109,7 @@ QUERIES = {
     "op8_url_digest_filter": op8_url_digest_filter,
     "op9_decontaminate_minhash": op9_decontaminate_minhash,
     "op10_lang_zstd": op10_lang_zstd,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
