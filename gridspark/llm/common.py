@@ -71,6 +71,25 @@ def utf8(column: pa.Array) -> Iterator[bytes | None]:
         yield x.as_py()
 
 
+class Recent:
+    """A dictionary that holds at most ``most`` entries: when the younger half
+    is full the older one goes; what is asked for grows young again."""
+
+    def __init__(self, most: int):
+        self.half, self.young, self.old = max(1, most // 2), {}, {}
+
+    def get(self, key):
+        found = self.young.get(key)
+        if found is None and (found := self.old.get(key)) is not None:
+            self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.half:
+            self.old, self.young = self.young, {}
+        self.young[key] = value
+
+
 def worker_cache() -> dict:
     """What tasks that follow each other in one Python worker may share."""
     held = sys.modules.setdefault("_gridspark_worker", types.ModuleType("_gridspark_worker"))

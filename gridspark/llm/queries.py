@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, periodic, quality, simhash, token_bin, topk, url_filter, warc
+from . import decontam, langid, licenses, mixing, periodic, pieces, quality, simhash, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +75,15 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, dicts, "text", ["doc_id", "held_out"])
 
 
+def op12_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    coded = pieces.encode_pieces(_read(spark, sf_dir, "documents"), "doc_id", "text",
+                                 public_tokenizers.path("piece_bpe_32k.model"), end_id=2)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(F.col("id").alias("doc_id"), "n_tokens", F.sha2(ids, 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def _tails(ids: list[int | None], first: np.ndarray) -> np.ndarray:
     """The periodic tails of the contract: which word each place of the documents reads."""
     at = np.arange(first[-1])
@@ -109,6 +118,7 @@ QUERIES = {
     "op8_url_digest_filter": op8_url_digest_filter,
     "op9_decontaminate_minhash": op9_decontaminate_minhash,
     "op10_lang_zstd": op10_lang_zstd,
+    "op12_sentencepiece_bpe": op12_sentencepiece_bpe,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

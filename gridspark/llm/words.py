@@ -82,3 +82,25 @@ def joined(words: pa.Array, lengths: np.ndarray) -> pa.Array:
     rows = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), words) if len(words) > 1 << 30 else \
         pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), words)
     return pc.binary_join(rows, pa.scalar(b" ", words.type))
+
+
+def gather(values: np.ndarray, ends: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of the listed entries one after another, and how many each has.
+
+    Entry e has ``values[ends[e]:ends[e + 1]]``."""
+    count = np.diff(ends)[code]
+    shift = ends[:-1][code] - (np.cumsum(count) - count)
+    return values[np.arange(int(count.sum())) + np.repeat(shift, count)], count
+
+
+def with_each(values: np.ndarray, count: np.ndarray, own: np.ndarray, extra: int, first: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(values, ends): ``extra`` before (or after) the values of each row in
+    ``own`` (a mask); the rows have ``count`` values each."""
+    more = count + own
+    ends = np.concatenate([[0], np.cumsum(more)])
+    out = np.empty(int(ends[-1]), values.dtype)
+    rest = np.ones(len(out), bool)
+    rest[(ends[:-1] if first else ends[1:] - 1)[own]] = False
+    out[~rest] = extra
+    out[rest] = values
+    return out, ends
