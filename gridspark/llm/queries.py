@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, licenses, mixing, periodic, pieces, quality, simhash, token_bin, topk, url_filter, warc
+from . import collocations, decontam, langid, licenses, mixing, periodic, pieces, quality, simhash, token_bin, topk, url_filter, warc
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -75,6 +75,10 @@ def op10_lang_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(rows, dicts, "text", ["doc_id", "held_out"])
 
 
+def op11_toivonen_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"), "doc_id", "lang", "text")
+
+
 def op12_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     coded = pieces.encode_pieces(_read(spark, sf_dir, "documents"), "doc_id", "text",
@@ -118,6 +122,7 @@ QUERIES = {
     "op8_url_digest_filter": op8_url_digest_filter,
     "op9_decontaminate_minhash": op9_decontaminate_minhash,
     "op10_lang_zstd": op10_lang_zstd,
+    "op11_toivonen_collocations": op11_toivonen_collocations,
     "op12_sentencepiece_bpe": op12_sentencepiece_bpe,
     "op13_periodic_runs": op13_periodic_runs,
 }
@@ -179,3 +184,36 @@ m AS (SELECT doc_id, item_id, count(*) AS n_shared FROM b JOIN d USING (s) GROUP
 SELECT doc_id, item_id, n_shared, n_shingles, n_shared / n_shingles AS containment
 FROM m JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles
 """
+
+ORACLE["op11_toivonen_collocations"] = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents)
+), n AS (SELECT lang, CAST(sum(len(w)) AS HUGEINT) AS n FROM p GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest([array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)]) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3, 4, 5]) AS k)
+), f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100
+), c AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), x AS (
+  SELECT lang, a, unnest([array_to_string(w[i:i + m - 1], ' ') FOR i IN range(1, k - m + 2)]) AS phrase
+  FROM c, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k
+), o AS (
+  SELECT * FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM x WHERE x.lang = c.lang AND x.phrase = c.phrase AND 100 * x.a >= 100 * c.a)
+), s AS (
+  SELECT lang, phrase, a, unnest(range(1, k)) AS cut, w, k FROM o
+), t AS (
+  SELECT s.lang, s.phrase, s.a, cut, l.a AS l, r.a AS r, n.n, (CAST(1000 AS HUGEINT) * s.a * n.n) // (CAST(l.a AS HUGEINT) * r.a) AS score
+  FROM s JOIN f l ON l.lang = s.lang AND l.phrase = array_to_string(s.w[1:cut], ' ')
+  JOIN f r ON r.lang = s.lang AND r.phrase = array_to_string(s.w[cut + 1:s.k], ' ') JOIN n ON n.lang = s.lang
+), b AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) AS nth FROM t
+), q AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r,
+         CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM b WHERE nth = 1
+)
+SELECT * FROM q WHERE rank <= 2000
+"""
