@@ -128,16 +128,18 @@ def _masks(width: int, most: int) -> list[np.ndarray]:
 
 class Plan:
     """What a task needs to allocate and probe: the partitions, and for each
-    the indexed rows within 0, 1, ... bits of every signature."""
+    the indexed rows within 0, 1, ... bits of every signature (``near``, from
+    ``counts`` on the driver; tasks are sent the arrays)."""
 
-    def __init__(self, parts: list[list[int]], counts: list[np.ndarray], max_bits: int):
+    def __init__(self, parts: list[list[int]], max_bits: int, near: list[np.ndarray] | None = None,
+                 counts: list[np.ndarray] | None = None):
         self.parts, self.max_bits = parts, max_bits
         self.goal = max_bits - len(parts) + 1
         # a threshold beyond MOST is considered only where the sum could not be reached otherwise
         self.most = max(MOST, -(-self.goal // len(parts)))
         self.masks = [_masks(len(p), min(self.most, len(p))) for p in parts]
-        self.near = []
-        for count, masks in zip(counts, self.masks):
+        self.near = near or []
+        for count, masks in zip(counts or [], self.masks):
             ring = [sum(count[np.arange(len(count)) ^ m] for m in ms) for ms in masks]
             self.near.append(np.cumsum(ring, axis=0).astype(np.int64))
 
@@ -297,10 +299,11 @@ def fingerprint_links(unique: DataFrame, max_bits: int, parts: int = PARTS) -> D
     table = sums.toArrow()  # at most 2^16 counts a partition, whatever the input
     for part, v, n in zip(*(table.column(c).to_numpy() for c in ("part", "v", "n"))):
         counts[part][v] = n
-    plan = spark.sparkContext.broadcast(Plan(groups, counts, max_bits))
+    # a broadcast is pickled by reference: arrays alone, as executors need not have this package
+    near = spark.sparkContext.broadcast(Plan(groups, max_bits, counts=counts).near)
 
     def probes(batches):
-        yield from _signatures(plan.value)(batches)
+        yield from _signatures(Plan(groups, max_bits, near.value))(batches)
 
     rows = unique.select("fp").mapInArrow(probes, "key long, tile long, probing boolean, fp long")
     return (rows.repartition("key", "tile").sortWithinPartitions("key", "tile", "probing")
