@@ -195,11 +195,11 @@ def _finish(emits: DataFrame, full_scale: float, digits: int) -> DataFrame:
     )
 
 
-def _prepared(readings: DataFrame, source):
+def _prepared(readings: DataFrame, source, more=()):
     r = only_source(readings, source) if source else readings
     return (r.filter(F.col("voltage").isNotNull() & F.col("current").isNotNull() & F.col("ts").isNotNull())
              .select("device_id", "feeder_id", "reading_id",
-                     F.unix_micros("ts").alias("ts_us"), "voltage", "current"))
+                     F.unix_micros("ts").alias("ts_us"), "voltage", "current", *more))
 
 
 def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,

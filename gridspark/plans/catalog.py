@@ -338,6 +338,37 @@ def d3_detect_frozen_stream(spark, sf_dir, slices: int = 4):
     return naive(spark.read.schema(state["q"].schema).parquet(f"{base}/out"))
 
 
+@register("d3_late_readings_stream", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, body="SELECT * FROM emissions"))
+def d3_late_readings_stream(spark, sf_dir, slices: int = 4):
+    """D3 with a delay: a third of the readings land a slice or two after
+    their time, and a last reading of another device moves the watermark past
+    all of them.  Nothing is skipped: the emissions are D2's."""
+    from ..sources import landing
+    from ..streaming.detect import detect_frozen_stream
+    state_store(spark)
+    base, raw = scratch_folder(spark, "d3l"), X.readings_raw(spark, sf_dir)
+    ts = F.col("ts").cast("timestamp")
+    b = raw.select(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    if b.lo is None:
+        return naive(detect_state.detect_frozen(build_silver(spark, sf_dir), **DETECTOR))
+    span = (b.hi - b.lo) / slices
+    delay = f"{int(3 * span.total_seconds()) + 1} seconds"
+    nth = F.least(F.lit(slices - 1), F.floor((F.unix_micros(ts) - F.unix_micros(F.lit(b.lo))) / F.lit(span.total_seconds() * 1e6)))
+    behind = F.when(F.pmod(F.hash("reading_id"), F.lit(3)) == 0, 1 + F.pmod(F.xxhash64("reading_id"), F.lit(2))).otherwise(0)
+    raw = raw.withColumn("_slice", F.coalesce(nth + behind, F.lit(0)))
+    last = spark.range(1).select(F.lit("last").alias("reading_id"), F.lit("clock").alias("device_id"), F.lit("none").alias("feeder_id"),
+                                 F.lit(str(b.hi + 5 * span)).alias("ts"), F.lit(1.0).alias("voltage"), F.lit(1.0).alias("current"),
+                                 F.lit(60.0).alias("frequency"), F.lit(0).cast("long").alias("event_flag"), F.lit(S.SYNTHETIC).alias("source"))
+    for i in range(slices + 3):
+        part = raw.filter(F.col("_slice") == i).drop("_slice") if i < slices + 2 else last
+        part.write.mode("append").parquet(f"{base}/landing")
+        s = landing.read_readings_stream(spark, f"{base}/landing").drop("_ingested_at")
+        emits = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), delay=delay, **DETECTOR)
+        (emits.writeStream.format("parquet").option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True)
+         .start(f"{base}/out").awaitTermination())
+    return naive(spark.read.schema(emits.schema).parquet(f"{base}/out"))
+
+
 @register("t4s_feeder_health_stream", O.with_ctes(*HEALTH_SQL, body=f"""
 SELECT window_start, feeder_id, window_end, {_r6(HEALTH_COLS)}, device_count, fault_count, health_status
 FROM health
@@ -677,27 +708,55 @@ def t5s_unified_stream(spark, sf_dir):
 
 @register("t7s_upsert_stream", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS, body="SELECT * FROM statuses"))
 def t7s_upsert_stream(spark, sf_dir, slices: int = 3):
-    """T7s, T8s: the streaming detector's batches into a table that existed
-    before, then a full refresh from a fresh checkpoint as another run."""
-    from ..sources import landing
+    """T7s: the streaming detector's micro-batches merged into the keyed event
+    table, then the log form of a table from one batch that holds every
+    emission of every event; both show each event's last status."""
+    from ..sources import keyed, landing
     from ..streaming.detect import detect_frozen_stream
-    from ..streaming.gold import fresh_checkpoint, upsert_events_batch
+    from ..streaming.gold import fresh_checkpoint, upsert_events_batch, upsert_keyed_batch
     state_store(spark)
-    base = scratch_folder(spark, "t7s")
-    path, schema = f"{base}/events", emissions_frozen(spark, sf_dir).schema
-    tables.ensure_table(spark, path, schema)
+    base, run = scratch_folder(spark, "t7s"), tables.new_run()
+    checkpoint = fresh_checkpoint(base)
 
-    def query(landed, run, checkpoint):
+    def query(landed):
         s = landing.read_readings_stream(spark, landed, max_files_per_trigger=64).drop("_ingested_at")
         emits = detect_frozen_stream(quality.expect_or_drop(quality.clean_readings(s)), **DETECTOR)
-        (emits.writeStream.foreachBatch(upsert_events_batch(path, run)).option("checkpointLocation", checkpoint)
+        (emits.writeStream.foreachBatch(upsert_keyed_batch(f"{base}/keyed", run)).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start().awaitTermination())
 
-    run, checkpoint = tables.new_run(), fresh_checkpoint(base)
-    _land_in_slices(spark, sf_dir, base, slices, lambda landed: query(landed, run, checkpoint))
-    X.readings_raw(spark, sf_dir).coalesce(1).write.parquet(f"{base}/again")  # one batch: readings in order
-    query(f"{base}/again", tables.new_run(), fresh_checkpoint(base))
-    return naive(detect_state.event_status(tables.read_log(spark, path, schema)))
+    _land_in_slices(spark, sf_dir, base, slices, query)
+    emissions = emissions_frozen(spark, sf_dir)
+    tables.ensure_table(spark, f"{base}/log", emissions.schema)
+    upsert_events_batch(f"{base}/log", run)(emissions, 0)
+    stored = keyed.read_keyed(spark, f"{base}/keyed", S.EMISSIONS).drop("reading_id")
+    logged = tables.read_table(spark, f"{base}/log", emissions.schema).drop("reading_id")
+    # a status that only one of the two shows would be a row too many
+    return naive(stored.union(logged.select(*stored.columns)).distinct())
+
+
+@register("t8s_full_refresh", O.with_ctes_rec(*O.BASE, O.DETECT_FROZEN, O.EVENT_STATUS, body="""
+SELECT 'silver' AS of_table, reading_id AS id, device_id, CAST(ts AS TIMESTAMP) AS at, CAST(NULL AS VARCHAR) AS status FROM silver
+UNION ALL SELECT 'events', event_id, device_id, "timestamp", fault_type FROM statuses"""))
+def t8s_full_refresh(spark, sf_dir):
+    """T8s: land, stream silver and events, replace the landed files (the old
+    ones vanish, some rows are new, some do not come again), refresh both."""
+    from . import flows
+    state_store(spark)
+    base, raw = scratch_folder(spark, "t8s"), X.readings_raw(spark, sf_dir)
+    readings, silver, events = f"{base}/readings", f"{base}/silver", f"{base}/events"
+    meter = land_meter(spark, sf_dir, f"{base}/meter")
+    some = F.coalesce(F.pmod(F.hash("reading_id"), F.lit(3)) > 0, F.lit(True))
+    gone = raw.withColumn("reading_id", F.concat(F.lit("gone_"), "reading_id")).withColumn("device_id", F.lit("gone"))
+    raw.filter(some).unionByName(gone).write.parquet(readings)
+    now = {"availableNow": True}
+    flows.silver_stream(spark, readings, meter, silver, f"{base}/ckpt-silver", now).awaitTermination()
+    flows.events_stream(spark, flows.read_silver(spark, silver, stream=True), events, f"{base}/ckpt-events", now, **DETECTOR).awaitTermination()
+    raw.write.mode("overwrite").parquet(readings)
+    flows.refresh(flows.silver_stream, spark, silver, base, spark, readings, meter, silver)
+    flows.refresh(flows.events_stream, spark, events, base, spark, flows.read_silver(spark, silver, stream=True), events, **DETECTOR)
+    rows = flows.read_silver(spark, silver).select(
+        F.lit("silver").alias("of_table"), F.col("reading_id").alias("id"), "device_id", F.col("ts").alias("at"), F.lit(None).cast("string").alias("status"))
+    return naive(rows.union(flows.read_events(spark, events).select(F.lit("events"), "event_id", "device_id", "timestamp", "fault_type")))
 
 
 @register("t7s_health_stream", ORACLE["t4s_feeder_health_stream"])

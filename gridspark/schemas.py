@@ -94,6 +94,9 @@ FAULTS = StructType([
     StructField("confidence_score", DoubleType()),
 ])
 
+# the detector's emissions: an event's row and the reading it comes from
+EMISSIONS = StructType([*FAULTS.fields, StructField("reading_id", StringType())])
+
 # --- fixed values: fault schedule (intervals overlaid on readings) ------------
 FAULT_SCHEDULE = StructType([
     StructField("fault_id", StringType()),

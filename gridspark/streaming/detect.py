@@ -8,8 +8,14 @@ arrive as several unsorted frames, so they are concatenated and sorted by
 at the source, since that is what one task holds of a device at a time.  Rows
 at or before the last processed position are late: the walk cannot go back, so
 they are skipped and counted in the query's observed metric ``late_readings``
-(the batch operator over the stored table gives the exact answer;
-``late_policy="raise"`` fails instead).
+(``late_policy="raise"`` fails instead).
+
+With a ``delay`` readings wait instead (``WaitingProcessor``): they are kept as
+list state, and an event-time timer walks them in order once the watermark has
+passed them, so readings up to ``delay`` behind the newest one change nothing
+about the result; Spark drops and counts later ones (``numRowsDroppedByWatermark``).
+Emissions come out ``delay`` behind, and a device without readings for
+``idle`` of event time is forgotten.
 
 Output is the append-only stream of emissions (same columns as D2); D4 /
 the ``foreachBatch`` upsert turn it into one row per event.
@@ -44,6 +50,11 @@ STATE_SCHEMA = StructType([
 ])
 
 
+def _seconds(spark, interval: str) -> float:
+    """The length of an interval of days or shorter units."""
+    return float(spark.range(1).select(F.expr(f"unix_micros(timestamp_seconds(0) + interval {interval})")).first()[0]) / 1e6
+
+
 class FrozenBaselineProcessor(StatefulProcessor):
     def __init__(self, params: dict, late_policy: str = "skip"):
         self.params, self.late_policy = params, late_policy
@@ -89,18 +100,115 @@ class FrozenBaselineProcessor(StatefulProcessor):
         pass
 
 
+WAITING_SCHEMA = StructType([
+    StructField("ts_us", ArrayType(LongType())),
+    StructField("reading_id", ArrayType(StringType())),
+    StructField("feeder_id", ArrayType(StringType())),
+    StructField("voltage", ArrayType(DoubleType())),
+    StructField("current", ArrayType(DoubleType())),
+])
+
+
+class WaitingProcessor(StatefulProcessor):
+    """Readings wait until the watermark has passed them.
+
+    The list state holds a device's waiting readings, an element an Arrow
+    batch.  One timer stands at the earliest of them; when it fires, all that
+    the watermark has passed are walked in (ts, reading_id) order and the rest
+    goes back.  No reading at or before the watermark can come any more, so
+    the walk never meets one that belongs before its position."""
+
+    def __init__(self, params: dict, idle_ms: int | None = None):
+        self.params, self.idle_ms = params, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("device", STATE_SCHEMA)
+        self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
+
+    @staticmethod
+    def _element(pdf: pd.DataFrame) -> tuple:
+        def texts(c):
+            return [None if pd.isna(x) else x for x in pdf[c]]
+        return (pdf["ts_us"].astype("int64").tolist(), texts("reading_id"), texts("feeder_id"),
+                pdf["voltage"].astype("float64").tolist(), pdf["current"].astype("float64").tolist())
+
+    def _wake(self, ts_us: int) -> None:
+        """A timer for the moment the watermark passes this reading."""
+        self.handle.registerTimer(-(-int(ts_us) // 1000))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        first = None
+        for pdf in rows:
+            if len(pdf):
+                self.waiting.appendValue(self._element(pdf))
+                low = int(pdf["ts_us"].min())
+                first = low if first is None else min(first, low)
+        if first is not None:
+            self._wake(first)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        st = self.state.get() if self.state.exists() else None
+        elements = list(self.waiting.get()) if self.waiting.exists() else []
+        if not elements:
+            if st is not None and self.idle_ms is not None and st[5] + self.idle_ms * 1000 <= passed:
+                self.state.clear()
+            return
+        pdf = pd.DataFrame({name: [x for e in elements for x in e[i]] for i, name in enumerate(WAITING_SCHEMA.names)})
+        due = pdf[pdf["ts_us"] <= passed].sort_values(["ts_us", "reading_id"], kind="mergesort")
+        rest = pdf[pdf["ts_us"] > passed]
+        if len(rest):
+            self.waiting.put([self._element(rest)])
+            self._wake(int(rest["ts_us"].min()))
+        else:
+            self.waiting.clear()
+        if not len(due):
+            return
+        m = FrozenBaseline(**self.params)
+        if st is not None:
+            m.set_state((list(st[0] or []), list(st[1] or []), st[2], st[3], st[4]))
+        t, rid = due["ts_us"].to_numpy(dtype=np.int64), due["reading_id"].to_numpy()
+        e = m.run(t, due["voltage"].to_numpy(dtype=np.float64), due["current"].to_numpy(dtype=np.float64), due["feeder_id"].to_numpy())
+        bv, bc, start, peak, feeder = m.get_state()
+        self.state.update((bv, bc, start, float(peak), feeder, int(t[-1]), rid[-1]))
+        if self.idle_ms is not None:
+            self._wake(int(t[-1]) + self.idle_ms * 1000)
+        if len(e):
+            yield emitted(e, key[0], rid, t).astype({"ts_us": "int64", "start_us": "int64", "peak_z": "float64"})
+
+    def close(self) -> None:
+        pass
+
+
 def detect_frozen_stream(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
                          current_z: float | None = None,
                          sustained_s: float = S.DEFAULT_SUSTAINED_THRESHOLD_S,
                          window: int = S.DEFAULT_WINDOW_SIZE, min_n: int = S.DEFAULT_MIN_BASELINE_READINGS,
                          full_scale: float = S.CONFIDENCE_Z_FULL_SCALE, source: str | None = S.SYNTHETIC,
-                         digits: int = 3, late_policy: str = "skip") -> DataFrame:
-    """Streaming emissions (D2's columns) from a stream of silver readings."""
+                         digits: int = 3, late_policy: str = "skip", delay: str | None = None,
+                         idle: str | None = None) -> DataFrame:
+    """Streaming emissions (D2's columns) from a stream of silver readings.
+
+    ``delay`` and ``idle`` are intervals of event time (``"10 minutes"``).
+    Without ``delay`` readings are walked as they come, per micro-batch; with
+    it they wait for the watermark and come out in order.  ``idle`` (with
+    ``delay`` only) forgets devices, an event left open included: their next
+    readings begin a new baseline."""
     spark = readings.sparkSession
     if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
         raise ValueError(f"this detector's state needs spark.sql.streaming.stateStore.providerClass={ROCKSDB}")
     params = dict(window=window, min_n=min_n, vth=float(z),
                   cth=float(z if current_z is None else current_z), sustained_s=float(sustained_s))
+    if delay is not None:
+        timed = readings.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", delay)
+        idle_ms = None if idle is None else int(_seconds(spark, idle) * 1000)
+        emits = (_prepared(timed, source, ["ts"]).groupBy("device_id")
+                 .transformWithStateInPandas(WaitingProcessor(params, idle_ms), EMIT_SCHEMA, "Append", "EventTime"))
+        return _finish(emits, full_scale, digits)
+    if idle is not None:
+        raise ValueError("idle devices are forgotten by event time: give a delay too")
     emits = (_prepared(readings, source).groupBy("device_id")
              .transformWithStateInPandas(FrozenBaselineProcessor(params, late_policy),
                                          EMIT_SCHEMA, "Append", "None"))

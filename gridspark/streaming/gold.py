@@ -9,7 +9,8 @@
   fault table as it was when the query was built; a long-running query takes
   ``upsert_health_batch``, which reads the faults anew for each micro-batch.
 * T7s: ``foreachBatch`` upserts that a retried batch repeats without effect.
-* T8s: a full refresh starts from a new checkpoint folder, as another run.
+* T8s: a full refresh starts from a new checkpoint folder and fills a new version
+  of the table (``sources/versions.py``), which readers take when it is complete.
 """
 from __future__ import annotations
 
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import health as H
 from ..operators.quality import only_source
+from ..operators.windows import latest_per
 from ..session import checkpoint_dir
-from ..sources import tables
+from ..sources import keyed, tables, versions
 
 
 def event_time(df: DataFrame, col: str = "ts") -> DataFrame:
@@ -43,19 +45,36 @@ def feeder_health_stream(readings: DataFrame, faults: DataFrame, width: str = "1
     return H.with_fault_counts(feeder_windows_stream(readings, width, watermark, exact), faults, width)
 
 
+#: Emissions of an event in order: the last one says its status.
+EMISSION_ORDER = ("timestamp", "reading_id")
+
+
 def upsert_events_batch(path: str, run: str):
-    """A ``foreachBatch`` function that appends each micro-batch of emissions
-    to the log at ``path`` as a batch of ``run`` (``tables.new_run()`` for a
-    fresh checkpoint; the same name when a query resumes its own)."""
+    """A ``foreachBatch`` function that appends each micro-batch of emissions,
+    reduced to each event's last one, to the log at ``path`` as a batch of
+    ``run`` (``tables.new_run()`` for a fresh checkpoint; the same name when a
+    query resumes its own), so that ``tables.read_table`` shows every event's
+    last status."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        last = latest_per(batch, "event_id", list(EMISSION_ORDER)).select(*batch.columns)
+        tables.append_batch(last, path, run, batch_id)
+    return fn
+
+
+def upsert_keyed_batch(path: str, run: str, keys=("event_id",), order=EMISSION_ORDER):
+    """A ``foreachBatch`` function that merges each micro-batch into the keyed
+    table at ``path`` (``sources/keyed.py``): a batch rewrites the buckets of
+    its keys, readers find one row a key."""
     def fn(batch: DataFrame, batch_id: int) -> None:
-        tables.append_batch(batch, path, run, batch_id)
+        keyed.upsert_keyed(batch, path, run, batch_id, keys, order)
     return fn
 
 
 def read_health(spark: SparkSession, path: str) -> DataFrame | None:
-    """Stored feeder health with its ``day``; None before the first batch."""
+    """Stored feeder health with its ``day``, of the current version if the
+    table has versions; None before the first batch."""
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(versions.current_folder(spark, path))
     except AnalysisException as e:
         if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
