@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from .common import rows_in, small_or_shuffled, stage
 from .words import Words, byte_kinds, joined, split_words
 
-#: Bytes of text counted at a time.
-SLICE_BYTES = 16 << 20
+#: Bytes of text counted at a time, and counted phrases that leave a task at a time.
+SLICE_BYTES, ROWS = 4 << 20, 1 << 16
 #: Share of the pieces in the sample, and of the expected count that proposes a phrase there.
 SAMPLE, LOWERED = 1 / 8, 0.35
 #: The filter of proposed phrases has 2**FILTER_BITS bits (16 MB), whatever they are.
@@ -94,14 +94,16 @@ class Slice:
         out[places] = own
         return places[first], count, out
 
-    def rows(self, n: int, first: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    def rows(self, n: int, first: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Counted phrases as rows."""
-        code = self.words.code[first[:, None] + np.arange(n)].reshape(-1)
-        phrase = joined(self.words.dictionary.take(pa.array(code)), np.full(len(first), n))
-        return pa.RecordBatch.from_arrays([
-            pa.array([self.lang] * len(first), pa.string()), pa.array(np.full(len(first), n, np.int32)),
-            phrase.cast(pa.large_string()).cast(pa.string()), pa.array(count.astype(np.int64))],
-            ["lang", "n_words", "phrase", "n"])
+        for k in range(0, len(first), ROWS):
+            at = first[k:k + ROWS]
+            code = self.words.code[at[:, None] + np.arange(n)].reshape(-1)
+            phrase = joined(self.words.dictionary.take(pa.array(code)), np.full(len(at), n))
+            yield pa.RecordBatch.from_arrays([
+                pa.repeat(pa.scalar(self.lang, pa.string()), len(at)), pa.array(np.full(len(at), n, np.int32)),
+                phrase.cast(pa.large_string()).cast(pa.string()), pa.array(count[k:k + ROWS].astype(np.int64))],
+                ["lang", "n_words", "phrase", "n"])
 
 
 def _slices(batches: Iterator[pa.RecordBatch], extra: str | None = None) -> Iterator[tuple[Slice, np.ndarray | None]]:
@@ -188,7 +190,7 @@ def _count(longest: int, proposed, frequent=None):
                                                   pa.array([n_all])], ["lang", "n_words", "phrase", "n"])
                 first = np.empty(len(total), np.int64)
                 first[names[::-1]] = np.arange(n_all)[::-1]
-                yield own.rows(1, first, total)
+                yield from own.rows(1, first, total)
             inside = _member(known, h)  # proposed
             may = inside if often is None else _member(often, h)  # may be frequent
             for n in range(2, longest + 1):
@@ -213,8 +215,7 @@ def _count(longest: int, proposed, frequent=None):
                 if often is not None:  # phrases that only lead on are not counted again
                     new = now[first]
                     first, count = first[new], count[new]
-                if len(first):
-                    yield own.rows(n, first, count)
+                yield from own.rows(n, first, count)
     return run
 
 
