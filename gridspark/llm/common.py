@@ -84,6 +84,17 @@ class Recent:
             self.put(key, found)
         return found
 
+    def get_all(self, keys: list) -> list:
+        """What is held of each key, None for others."""
+        out = list(map(self.young.get, keys))
+        if self.old:
+            old = self.old
+            for i, found in enumerate(out):
+                if found is None and (found := old.get(keys[i])) is not None:
+                    out[i] = found
+                    self.put(keys[i], found)
+        return out
+
     def put(self, key, value) -> None:
         if len(self.young) >= self.half:
             self.old, self.young = self.young, {}

@@ -159,7 +159,7 @@ class Encoder:
 
     def _ids(self, parts: list[bytes]) -> list[np.ndarray]:
         """The ids of distinct parts; new ones are compared with the library's."""
-        out = [self.parts.get(p) for p in parts]
+        out = self.parts.get_all(parts)
         new = [k for k, ids in enumerate(out) if ids is None]
         texts = [parts[k].decode() for k in new]
         made = [self.model.encode(t.replace(" ", SPACE)) for t in texts]

@@ -14,6 +14,7 @@ import json
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import filesystem, rows_in, run_dir, stage, worker_cache
+from .common import Recent, filesystem, rows_in, run_dir, stage, worker_cache
+from .words import binary_array, gather, text_buffers, with_each
 
-#: Words whose ids a Python worker remembers, about 160 MB.
-CACHE_WORDS = 800_000
-#: Longer pieces of text are encoded anew each time.
-CACHE_CHARS = 64
+#: Parts whose ids a Python worker remembers, about 130 MB.
+CACHE_PARTS = 700_000
+#: Longer parts are encoded anew each time.
+CACHE_BYTES = 64
 #: Bytes of text tokenised at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 #: One select sample every so many ones.
 SAMPLE = 512
 
@@ -119,16 +121,14 @@ class EliasFano:
 # ---- tokenising ------------------------------------------------------------
 
 class Encoder:
-    """Texts to ids through a ``tokenizers`` file, word by word where that is exact.
+    """Texts to ids through a ``tokenizers`` file, by parts where that is exact.
 
-    A byte-level pre-tokenizer with its usual pattern always starts a new
-    piece at a space between two characters that are no white space, and at
-    the ends of a letter run.  Such words are encoded by the library once and
-    remembered; texts that hold other white space are encoded piece by
-    piece in the same way with the unclear stretches whole.  The strings of
-    added tokens become their ids, as in the library; texts are cut at them
-    first, and words are words of what stands between.  For any other
-    tokenizer whole texts are encoded."""
+    With a byte-level pre-tokenizer and its usual pattern the ids of a text are
+    those of parts between which no pre-token can reach (``_cuts``).  All texts
+    of a column are cut at once and the library encodes each distinct part once;
+    ids are gathered by the parts' dictionary codes.  Texts that hold white
+    space beyond ASCII or a string of an added token are encoded whole, and with
+    any other tokenizer all texts are."""
 
     def __init__(self, path: str, width: int):
         import os
@@ -138,86 +138,94 @@ class Encoder:
         self.tk = Tokenizer.from_file(path)
         said = json.loads(self.tk.to_str())
         pre, model = said["pre_tokenizer"] or {}, said["model"]
-        self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+        self.by_part = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
                         and said["normalizer"] is None and not model.get("dropout") and said["truncation"] is None
                         and not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] or not t["content"]
                                     for t in said["added_tokens"]))
-        added = sorted((t["content"] for t in said["added_tokens"]), key=len, reverse=True)  # the longest of those that begin alike
-        self.added = re.compile("(" + "|".join(map(re.escape, added)) + ")") if added else None
-        self.kind = {2: "<u2", 4: "<u4"}[width]
-        self.units: dict[str, bytes] = {}
-
-    def _library(self, units: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.kind).tobytes() for e in self.tk.encode_batch_fast(units, add_special_tokens=False)]
-
-    #: A space next to other white space or at an end of the text.
-    _UNCLEAR = re.compile(r" \s|\s |^ | $")
-    #: A letter run may be followed by these and nothing else in its piece.
-    _TAIL = ".,;:!?"
-
-    def _words(self, text: str) -> list[str]:
-        """The text cut before the spaces at which a new piece must start."""
-        words = text.split(" ")
-        if self._UNCLEAR.search(text) is None:
-            return [words[0], *[" " + w for w in words[1:]]]
-        out, clear = [words[0]], bool(words[0]) and not words[0][-1].isspace()
-        for w in words[1:]:
-            if clear and w and not w[0].isspace():
-                out.append(" " + w)
-            else:
-                out[-1] += " " + w
-            clear = bool(w) and not w[-1].isspace()
-        return out
-
-    def _split(self, text: str) -> list[str]:
-        """The strings of added tokens in the text, and the words between them."""
-        if self.added is None or self.added.search(text) is None:
-            return self._words(text)
-        out = []
-        for i, part in enumerate(self.added.split(text)):
-            out += [part] if i % 2 else self._words(part) if part else []
-        return out
-
-    def _cut(self, word: str) -> list[str]:
-        """Pieces of a word whose ids stand one after another in the word's."""
-        if self.added is not None and self.added.fullmatch(word):
-            return [word]
-        lines = word.split("\n")
-        if len(lines) > 1:
-            if not all(x and not x[0].isspace() and not x[-1].isspace() for x in (lines[0].lstrip(" "), *lines[1:])) or word.startswith("  "):
-                return [word]
-            out = []
-            for i, x in enumerate(lines):
-                out += (["\n"] if i else []) + self._cut(x)
-            return out
-        core = word.rstrip(self._TAIL)
-        if len(core) < len(word) and core.removeprefix(" ").isalpha():
-            return [core, word[len(core):]]
-        return [word]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, as bytes."""
-        if not self.by_word:
-            return self._library(texts)
-        split = [self._split(t) if t else [] for t in texts]
-        seen: set[str] = set()
-        for words in split:
-            seen.update(words)
-        known = self.units
-        cut = {w: self._cut(w) for w in seen if w not in known}
-        new = list({u for us in cut.values() for u in us if u not in known})
-        made = dict(zip(new, self._library(new)))
-        ids = {w: b"".join([made[u] if u in made else known[u] for u in us]) for w, us in cut.items()}
-        for w in seen:
-            if w not in ids:
-                ids[w] = known[w]
-        if room := max(0, CACHE_WORDS - len(known)):
-            known.update((u, made[u]) for u in [u for u in new if len(u) <= CACHE_CHARS][:room])
-        return [b"".join([ids[w] for w in words]) for words in split]
+        self.whole = re.compile(b"|".join([*_WIDE_SPACE, *(re.escape(t["content"].encode()) for t in said["added_tokens"])]))
+        self.kind, self.code = {2: ("<u2", "H"), 4: ("<u4", "I")}[width]
+        self.parts = Recent(CACHE_PARTS)
+
+    def _library(self, parts: list[bytes]) -> list[bytes]:
+        coded = self.tk.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)
+        return [array(self.code, e.ids).tobytes() for e in coded]
+
+    def _begins(self, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Where the parts of the texts begin."""
+        cut = _cuts(raw, offsets)
+        whole = np.full(len(offsets) - 1, not self.by_part)
+        if self.by_part:
+            found = [m.start() for m in self.whole.finditer(raw)]
+            whole[np.searchsorted(offsets, found, "right") - 1] = True
+        if whole.any():  # such a text is one part
+            keep = np.repeat(~whole, np.diff(offsets))
+            keep[offsets[:-1][whole & (np.diff(offsets) > 0)]] = True
+            cut &= keep
+        return np.flatnonzero(cut)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ends) of the texts of a column, nulls empty; the texts' ids stand one after another."""
+        offsets, raw = text_buffers(column)
+        at = self._begins(raw, offsets)
+        coded = binary_array(np.append(at, len(raw)), raw).dictionary_encode()
+        parts = coded.dictionary.to_pylist()
+        own = self.parts.get_all(parts)
+        new = [k for k, ids in enumerate(own) if ids is None]
+        for k, ids in zip(new, self._library([parts[k] for k in new])):
+            own[k] = ids
+            if len(parts[k]) <= CACHE_BYTES:
+                self.parts.put(parts[k], ids)
+        flat = np.frombuffer(b"".join(own), self.kind)
+        own_ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, own), np.int64, len(own)))]) // flat.itemsize
+        ids, count = gather(flat, own_ends, coded.indices.to_numpy(zero_copy_only=False))
+        return ids, np.concatenate([[0], np.cumsum(count)])[np.searchsorted(at, offsets)]
+
+
+# white space beyond ASCII, in UTF-8 (fixed values)
+_WIDE_SPACE = [b"\xc2[\x85\xa0]", b"\xe1\x9a\x80", b"\xe2\x80[\x80-\x8a\xa8\xa9\xaf]", b"\xe2\x81\x9f", b"\xe3\x80\x80"]
+
+# what a byte may be a part of
+_SPACE, _LETTER, _DIGIT, _SIGN, _QUOTE, _OTHER = range(6)
+_KIND = np.full(256, _OTHER, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[[*range(48, 58)]] = _DIGIT
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[39] = _QUOTE
+_KIND[[9, 10, 11, 12, 13, 32]] = _SPACE
+
+# between which neighbours that are no white space a new pre-token starts for certain
+_APART = np.zeros((6, 6), bool)
+_APART[_LETTER, [_DIGIT, _SIGN, _QUOTE]] = True
+_APART[_DIGIT, [_LETTER, _SIGN, _QUOTE]] = True
+_APART[_SIGN, [_LETTER, _DIGIT]] = True
+
+
+def _cuts(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Which bytes begin a part: pre-tokens of the byte-level pattern never reach across.
+
+    Runs of ASCII letters, digits and other signs part from one another,
+    except that an apostrophe stays with what follows (it may be a
+    contraction).  White space parts from what stands before it.  Of white
+    space with a word behind it the last character is a part of its own, or,
+    being a space, begins the word's.  Bytes beyond ASCII and control
+    characters, whose kind depends on more than a byte, part from white space
+    only; texts with other white space than ASCII's must not be cut at all."""
+    begins = np.zeros(len(raw), bool)
+    if not len(raw):
+        return begins
+    own = np.zeros(len(raw) + 1, bool)
+    own[offsets] = True  # a text's first byte
+    kind = _KIND[raw]
+    space = kind == _SPACE
+    begins[1:] = _APART.reshape(-1)[kind[:-1] * np.uint8(6) + kind[1:]] | (space[1:] & ~space[:-1])
+    last = np.flatnonzero(space[:-1] & ~space[1:] & ~own[1:-1])  # white space before a word of its text
+    begins[last] = True
+    begins[last + 1] = raw[last] != 32
+    return begins | own[:-1]
 
 
 def _encoder(path: str, width: int) -> Encoder:
-    """The Python worker's encoder: tasks that follow each other share its words."""
+    """The Python worker's encoder: tasks that follow each other share its parts."""
     encoders = worker_cache().setdefault("encoders", {})
     if (path, width) not in encoders:
         encoders[path, width] = Encoder(path, width)
@@ -237,14 +245,14 @@ def _write(root: str, path: str, end_id: int, width: int):
         name = f"{ctx.partitionId():06d}-{ctx.taskAttemptId()}"  # another attempt writes other files
         fs, folder = filesystem(root)
         fs.create_dir(folder, recursive=True)
-        end = np.array([end_id], encoder.kind).tobytes()
         lengths, ids, nulls = [], [], 0
         with fs.open_output_stream(f"{folder}/{name}.ids") as out:
             for batch in batches:
                 for part in rows_in(batch, SLICE_BYTES):
-                    coded = encoder.encode([t or "" for t in part.column("text").to_pylist()])
-                    out.write(b"".join([c + end for c in coded]))
-                    lengths.append(np.fromiter((len(c) // width + 1 for c in coded), np.int64, len(coded)))
+                    tokens, ends = encoder.encode(part.column("text"))
+                    tokens, ends = with_each(tokens, np.diff(ends), np.ones(part.num_rows, bool), end_id, first=False)
+                    out.write(tokens.tobytes())
+                    lengths.append(np.diff(ends))
                     own = part.column("id")
                     nulls += own.null_count
                     ids.append(own.drop_null().to_numpy())

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -12,6 +13,7 @@ from edges import edge_docs, no_docs  # noqa: F401
 from gridspark.llm import token_bin as B
 
 PATH = P.path("byte_bpe_50k.json")
+ENCODER = B.Encoder(PATH, 2)
 
 
 @given(st.lists(st.integers(0, 10**12), min_size=1, max_size=1500), st.sampled_from([1, 7, 10**6]))
@@ -30,21 +32,45 @@ def test_elias_fano_empty_and_size():
     assert len(B.EliasFano.encode(v).dump()) * 8 / len(v) < 2 + np.log2(v[-1] / len(v)) + 1
 
 
-def test_words_encode_as_the_whole_text():
+def encoded(encoder, texts):
+    """The ids of each text, as bytes."""
+    ids, ends = encoder.encode(pa.array(texts, pa.string()))
+    assert ids.dtype == np.dtype("<u2")
+    return [ids[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+
+
+def test_parts_encode_as_the_whole_text():
     e = B.Encoder(PATH, 2)
-    assert e.by_word
+    assert e.by_part
     rng = random.Random(3)
-    texts = ["", " ", "a  b", "a\nb", "\n a\n\nb \n", "it's don't", "x.\n Y", "<|endoftext|>a <|endoftext|>", "é é. x", "a b　c", "²³ a² ⅷ.", "a\x1cb c\x1c d"]
-    texts += ["".join(rng.choice("ab .\n,'é1 \t! sA") for _ in range(rng.randint(1, 40))) for _ in range(4000)]
-    want = [np.array(x.ids, "<u2").tobytes() for x in e.tk.encode_batch(texts, add_special_tokens=False)]
-    assert e.encode(texts) == want
-    assert e.encode(texts) == want  # from the remembered words
+    texts = ["", " ", "a  b", "a\nb", "\n a\n\nb \n", "it's don't", "x.\n Y", "<|endoftext|>a <|endoftext|>", "é é. x", "a b　c", "²³ a² ⅷ.", "a\x1cb c\x1c d",
+             "it'sure'll 'tis !'s ''s 1's é's s'é", "\n\ny", "\n\n y", "\t\t", "x\r\n\r\ny", "1a1 a1a", "\x00 \x00a", "a" * 500 + "1" * 500, None]
+    texts += ["".join(rng.choice("ab .\n,'é1 \t! sA\r²—日\x1f\x7f") for _ in range(rng.randint(1, 40))) for _ in range(6000)]
+    texts += ["".join(rng.choice(["a", "'", "'s", "'ll", "'D", " ", "1", "!", "\n", "  ", "ü"]) for _ in range(rng.randint(1, 20))) for _ in range(6000)]
+    want = [np.array(x.ids, "<u2").tobytes() for x in e.tk.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert encoded(e, texts) == want
+    assert encoded(e, texts) == want  # from the remembered parts
+
+
+@given(st.lists(st.text(max_size=30), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_any_text(texts):
+    texts = [t.encode("utf-8", "ignore").decode() for t in texts]
+    assert encoded(ENCODER, texts) == [np.array(ENCODER.tk.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
+
+
+def test_forgotten_parts_are_encoded_anew():
+    e = B.Encoder(PATH, 2)
+    e.parts = B.Recent(4)
+    texts = ["some words of a text, and others", "others and some words"] * 3
+    assert encoded(e, texts) == encoded(ENCODER, texts)
+    assert len(e.parts.young) <= 2 and len(e.parts.old) <= 2
 
 
 def test_other_tokenizers_encode_whole_texts():
     e = B.Encoder(P.path("word_bpe_49k.json"), 2)
-    assert not e.by_word
-    assert np.frombuffer(e.encode(["Some  text"])[0], "<u2").tolist() == e.tk.encode("Some  text", add_special_tokens=False).ids
+    assert not e.by_part
+    assert np.frombuffer(encoded(e, ["Some  text"])[0], "<u2").tolist() == e.tk.encode("Some  text", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("vocabulary", [50_257, 100_000])
@@ -83,6 +109,6 @@ def test_added_tokens_encode_as_in_a_fresh_tokenizer(name):
     texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>x", "x<|endoftext|>\n y", "<|endoftext|> <|endoftext|>  ", "<|endoftext", "it<|endoftext|>'s"]
     texts += ["".join(rng.choice(["a", "b", " ", "  ", "\n", ".", "'s", "é", "1", "<|endoftext|>", "<|", "endoftext", "|>"]) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
     want = [np.array(fresh.encode(t, add_special_tokens=False).ids, "<u2").tobytes() for t in texts]
-    assert e.encode(texts) == want and e.encode(texts) == want
+    assert encoded(e, texts) == want and encoded(e, texts) == want
     if name.startswith("byte"):
-        assert np.frombuffer(e.encode(["a <|endoftext|> b"])[0], "<u2").tolist().count(50256) == 1
+        assert np.frombuffer(encoded(e, ["a <|endoftext|> b"])[0], "<u2").tolist().count(50256) == 1
