@@ -208,7 +208,7 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
                   window: int = S.DEFAULT_WINDOW_SIZE, min_n: int = S.DEFAULT_MIN_BASELINE_READINGS,
                   full_scale: float = S.CONFIDENCE_Z_FULL_SCALE, source: str | None = S.SYNTHETIC,
                   num_partitions: int | None = None, digits: int = 3,
-                  segment_rows: int | None = 1_000_000, warmup: int = 300) -> DataFrame:
+                  segment_rows: int | None = 1_000_000, warmup: int = 300, bucket_seconds: int = 60) -> DataFrame:
     """Emissions of the frozen-baseline detector, in batch.
 
     Columns: event_id, device_id, feeder_id, timestamp (of the emitting
@@ -218,7 +218,7 @@ def detect_frozen(readings: DataFrame, z: float = S.DEFAULT_Z_THRESHOLD,
     r = _prepared(readings, source)
     if segment_rows:
         from .detect_segments import walk_segmented
-        return _finish(walk_segmented(r, params, segment_rows, warmup), full_scale, digits)
+        return _finish(walk_segmented(r, params, segment_rows, warmup, bucket_seconds), full_scale, digits)
     # by count: the walk is CPU-bound Python, so AQE must not coalesce its
     # input into a few tasks (at scale every partition is large anyway)
     n = num_partitions or int(r.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -6,16 +6,12 @@ A reading takes its device's fault with the latest ``start_time <= ts``
 
 Spark has no as-of join.  A plain range join would enumerate pairs and
 duplicate rows where faults overlap, so this is a sort-based as-of:
-readings and fault starts are unioned and ``last(..., ignorenulls)`` runs
-over the ordered stream.  To keep a hot device from landing in one task
-the stream is cut by (device, time bucket):
-
-1. per (device, bucket) the newest fault starting in that bucket (an
-   aggregate, combined map-side);
-2. per (device, bucket) that holds readings, the newest fault from any
-   *earlier* bucket (an as-of over the two small per-bucket tables);
-3. per (device, bucket) the ordered union of that carried-in fault, the
-   bucket's own fault starts and its readings; ``last`` picks the fault.
+readings and faults are unioned and ``last(..., ignorenulls)`` runs over the
+ordered stream, cut by (device, time bucket) to keep a hot device from landing
+in one task.  The schedule alone says which buckets a fault governs: from its
+start to its end or to the start of the next fault of its device.  It is
+expanded to a row for each of these buckets, so buckets carry nothing into one
+another and the readings are read and shuffled once.
 """
 from __future__ import annotations
 
@@ -35,41 +31,25 @@ def asof_active(left: DataFrame, schedule: DataFrame, key: str = "device_id", ti
     """Left rows plus the active fault's columns (NULL when none).
 
     The schedule's ``fault_type`` comes back as ``truth_type``."""
-    sched = schedule.select(F.col("device_id").alias(key), *[F.col(c) for c in FAULT_COLS])
     fstruct = F.struct(*[F.col(c) for c in FAULT_COLS])
-    order_key = F.struct(F.col("start_time"), F.col("fault_id"))
-
-    faults = sched.withColumn("_b", _bucket("start_time", bucket_seconds))
-    # 1. newest fault per (key, bucket)
-    per_bucket = (faults.groupBy(key, "_b").agg(F.max_by(fstruct, order_key).alias("_f")))
-    # 2. newest fault of any earlier bucket, for each bucket holding left rows
-    lb = left.select(key, _bucket(time_col, bucket_seconds).alias("_b")).distinct()
-    u = (lb.select(key, "_b", F.lit(0).alias("_k"), F.lit(None).cast(per_bucket.schema["_f"].dataType).alias("_f"))
-           .unionByName(per_bucket.select(key, "_b", F.lit(1).alias("_k"), "_f")))
-    wc = Window.partitionBy(key).orderBy("_b", "_k").rowsBetween(Window.unboundedPreceding, 0)
-    carry = (u.withColumn("_c", F.last("_f", ignorenulls=True).over(wc))
-              .filter(F.col("_k") == 0).select(key, "_b", F.col("_c").alias("_f")))
-    # 3. per (key, bucket): carried fault, then the bucket's starts and rows
-    lrows = left.withColumn("_b", _bucket(time_col, bucket_seconds)).withColumn("_row", F.lit(True))
-    lcols = [c for c in lrows.columns if c not in (key, "_b")]
-    ftype = per_bucket.schema["_f"].dataType
-
-    def shaped(df, f, t, k):
-        out = df.select(key, "_b", f.cast(ftype).alias("_f"), t.alias("_t"), k.alias("_k"))
-        for c in lcols:
-            out = out.withColumn(c, F.lit(None).cast(lrows.schema[c].dataType))
-        return out
-
-    carried = shaped(carry.filter(F.col("_f").isNotNull()), F.col("_f"),
-                     F.lit(None).cast("timestamp"), F.lit(0))
-    starts = shaped(faults, fstruct, F.col("start_time"), F.lit(1))
-    rows = (lrows.select(key, "_b", F.lit(None).cast(ftype).alias("_f"), F.col(time_col).alias("_t"),
-                         F.lit(2).alias("_k"), *lcols))
-    all_ = carried.unionByName(starts).unionByName(rows)
-    w = (Window.partitionBy(key, "_b")
-         .orderBy(F.col("_k") > 0, "_t", F.col("_k"), F.col("_f.fault_id"))
-         .rowsBetween(Window.unboundedPreceding, 0))
-    picked = all_.withColumn("_cur", F.last("_f", ignorenulls=True).over(w)).filter(F.col("_k") == 2)
+    width = bucket_seconds * 1_000_000
+    newer = F.lead(F.unix_micros("start_time")).over(Window.partitionBy("device_id").orderBy("start_time", "fault_id"))
+    begin = F.unix_micros("start_time")
+    end = begin + F.round(F.col("duration_s") * F.lit(1e6)).cast("long")
+    governed = (schedule.select(F.col("device_id").alias(key), begin.alias("_begin"), fstruct.alias("_f"),
+                                F.when(newer < end, newer).otherwise(end).alias("_end"))
+                .filter(F.col("_end") > F.col("_begin")))
+    first, last = (F.floor(c / F.lit(width)).cast("long") for c in (F.col("_begin"), F.col("_end") - 1))
+    faults = governed.select(key, "_f", "_begin", first.alias("_first"), F.explode(F.sequence(first, last)).alias("_b"))
+    lrows = left.withColumn("_b", _bucket(time_col, bucket_seconds))
+    ftype = faults.schema["_f"].dataType
+    lcols = [c for c in left.columns if c != key]
+    # a fault that began in an earlier bucket stands before all readings of this one
+    marks = faults.select(key, "_b", "_f", F.when(F.col("_b") == F.col("_first"), F.col("_begin")).alias("_t"), F.lit(0).alias("_k"),
+                          *[F.lit(None).cast(left.schema[c].dataType).alias(c) for c in lcols])
+    rows = lrows.select(key, "_b", F.lit(None).cast(ftype).alias("_f"), F.unix_micros(time_col).alias("_t"), F.lit(1).alias("_k"), *lcols)
+    w = Window.partitionBy(key, "_b").orderBy("_t", "_k").rowsBetween(Window.unboundedPreceding, 0)
+    picked = marks.unionByName(rows).withColumn("_cur", F.last("_f", ignorenulls=True).over(w)).filter(F.col("_k") == 1)
     end_us = F.unix_micros("_cur.start_time") + F.round(F.col("_cur.duration_s") * F.lit(1e6)).cast("long")
     active = F.col("_cur").isNotNull() & (F.unix_micros(F.col(time_col)) < end_us)
     out_cols = [c for c in left.columns]
