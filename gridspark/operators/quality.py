@@ -10,7 +10,7 @@ import re
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .. import schemas as S
@@ -83,6 +83,32 @@ def observe_expectations(df: DataFrame, rules: Mapping[str, str] = READING_RULES
     return df.observe(name, *metrics)
 
 
+REPORT = "rule string, failed_rows long, total_rows long, kept_rows long"
+
+
+def expect_and_report(rules: Mapping[str, str], write_good, write_report):
+    """P3 on streams, as a ``foreachBatch`` function: the rows of a micro-batch
+    that pass every rule go to ``write_good(rows, batch_id)``; what the rules
+    counted while they were written goes to ``write_report(report, batch_id)``
+    as rows of ``REPORT``, a row a rule.  One pass over the batch.  A retried
+    batch reports the same under the same id."""
+    def fn(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        kept = reduce(lambda a, b: a & b, (_rule(r) for r in rules.values()))
+        metrics = [F.count(F.lit(1)).alias("total_rows"), F.count_if(kept).alias("kept_rows")]
+        metrics += [F.count_if(~_rule(r)).alias(f"failed_{n}") for n, r in rules.items()]
+        write_good(expect_or_drop(batch.observe(seen, *metrics), rules), batch_id)
+        m = seen.get
+        rows = [(n, m[f"failed_{n}"], m["total_rows"], m["kept_rows"]) for n in rules]
+        write_report(batch.sparkSession.createDataFrame(rows, REPORT), batch_id)
+    return fn
+
+
+def total_report(reports: DataFrame) -> DataFrame:
+    """The report of all batches together."""
+    return reports.groupBy("rule").agg(*[F.sum(c).alias(c) for c in ("failed_rows", "total_rows", "kept_rows")])
+
+
 def safe_columns(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
     """Rename columns to storage-safe names.  Explicit mapping first
     (the meter kWh header), then any remaining unsafe character -> ``_``."""

@@ -137,6 +137,25 @@ def p3_expectation_report(spark, sf_dir):
     return quality.expectation_report(quality.clean_readings(X.readings_raw(spark, sf_dir)))
 
 
+@register("p3_stream_report", ORACLE["p3_expectation_report"])
+def p3_stream_report(spark, sf_dir, slices: int = 3):
+    """P3 on a stream: what each micro-batch's rules counted while its rows
+    were written, stored by batch and summed."""
+    from ..sources import landing
+    base, run = scratch_folder(spark, "p3s"), tables.new_run()
+    fn = quality.expect_and_report(
+        quality.READING_RULES, lambda rows, i: tables.append_batch(rows, f"{base}/silver", run, i),
+        lambda report, i: tables.append_batch(report, f"{base}/report", run, i))
+
+    def query(landed):
+        s = quality.clean_readings(landing.read_readings_stream(spark, landed).drop("_ingested_at"))
+        (s.writeStream.foreachBatch(fn).option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True)
+         .start().awaitTermination())
+
+    _land_in_slices(spark, sf_dir, base, slices, query)
+    return quality.total_report(spark.read.schema(quality.REPORT).parquet(f"{base}/report"))
+
+
 @register("p4_meter_readings", O.with_ctes(*O.BASE, body="SELECT * FROM silver_lcl"))
 def p4_meter_readings(spark, sf_dir):
     return naive(quality.derive_meter_readings(X.meter_raw(spark, sf_dir)))
@@ -487,6 +506,20 @@ def a4_feeder_windows_approx(spark, sf_dir):
     return naive(health.approx_devices_within(silver(spark, sf_dir), WIDTH))
 
 
+@register("a4_rollup", O.with_ctes(*HEALTH_SQL, body=f"""
+SELECT window_start, window_end, feeder_id, {_r6(HEALTH_COLS)}, device_count, true AS within_bound FROM fw"""))
+def a4_rollup(spark, sf_dir):
+    """A4: sketches stored by the minute, hours rolled up from them; means are
+    exact, device counts within three standard errors of the exact count."""
+    path = f"{scratch_folder(spark, 'a4')}/minutes"
+    health.window_sketches(silver(spark, sf_dir), "1 minute").write.parquet(path)
+    hours = health.rollup_sketches(spark.read.parquet(path), WIDTH)
+    exact = health.feeder_windows(silver(spark, sf_dir), WIDTH).select(*health.KEY, F.col("device_count").alias("exact"))
+    near = F.abs(F.col("device_count") - F.col("exact")) <= F.greatest(F.lit(1.0), 3 * 0.016 * F.col("exact"))
+    joined = hours.join(exact, health.KEY).withColumn("within_bound", near).withColumn("device_count", F.col("exact")).drop("exact")
+    return naive(joined.select("window_start", "window_end", "feeder_id", *HEALTH_COLS, "device_count", "within_bound"), 6)
+
+
 FROZEN_HEALTH = O.HEALTH.replace("FROM faults", "FROM starts")
 
 
@@ -666,6 +699,42 @@ def s7_text_sinks(spark, sf_dir):
     return read.json(f"{base}/json").unionByName(spark.read.schema(S.READINGS_RAW).option("header", True).csv(f"{base}/csv"))
 
 
+@register("s7_lines_sink", READINGS_ALL)
+def s7_lines_sink(spark, sf_dir):
+    """A sink of JSON lines that executors write and the driver commits by name, in batch and on a stream."""
+    from ..sources import files, landing
+    base, raw = scratch_folder(spark, "s7l"), X.readings_raw(spark, sf_dir)
+    early = F.coalesce(F.pmod(F.hash("reading_id"), F.lit(2)) == 0, F.lit(True))
+    files.write_lines(raw.filter(early), f"{base}/lines")
+    raw.filter(~early).write.parquet(f"{base}/landing")
+    s = landing.read_readings_stream(spark, f"{base}/landing").drop("_ingested_at")
+    files.stream_lines(s, f"{base}/streamed", f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+    return files.read_lines(spark, f"{base}/lines", S.READINGS_RAW).unionByName(files.read_lines(spark, f"{base}/streamed", S.READINGS_RAW))
+
+
+@register("s10_pair_files", """
+SELECT concat('capture.', vec_id, '.v1') AS base_name, concat('label=', label) AS cfg,
+       array_to_string([CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding], ',') AS dat FROM embeddings""")
+def s10_pair_files(spark, sf_dir):
+    """Both files of every capture, scanned as a stream of binary
+    files; a third of the data files land a run after their partners."""
+    from ..sources import files, landing
+    state_store(spark)
+    base, e = scratch_folder(spark, "s10"), X.table(spark, sf_dir, "embeddings")
+    stem = F.concat(F.lit("capture."), F.col("vec_id").cast("string"), F.lit(".v1"))
+    cfg = e.select(F.concat(stem, F.lit(".cfg")).alias("name"), F.concat(F.lit("label="), F.col("label").cast("string")).alias("content"))
+    values = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("string"))
+    dat = e.select(F.concat(stem, F.lit(".dat")).alias("name"), F.array_join(values, ",").alias("content"))
+    late = F.pmod(F.hash("name"), F.lit(3)) == 0
+    for part in (cfg.unionByName(dat.filter(~late)), dat.filter(late)):
+        files.write_files(part, f"{base}/in").write.format("noop").mode("append").save()
+        (landing.pair_files(spark, f"{base}/in", stream=True).writeStream.format("parquet").trigger(availableNow=True)
+         .option("checkpointLocation", f"{base}/ckpt").start(f"{base}/out").awaitTermination())
+    pairs = spark.read.schema("base_name string, content_cfg binary, content_dat binary").parquet(f"{base}/out")
+    return pairs.select(F.element_at(F.split("base_name", "/"), -1).alias("base_name"),
+                        F.col("content_cfg").cast("string").alias("cfg"), F.col("content_dat").cast("string").alias("dat"))
+
+
 @register("s2_landed_meter", O.with_ctes(O.METER_RAW, body="SELECT LCLid, stdorToU, DateTime, kwh_per_half_hour, block FROM meter_raw"))
 def s2_landed_meter(spark, sf_dir):
     """All landed CSV blocks in one scan, the block number from the path."""

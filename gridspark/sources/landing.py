@@ -58,24 +58,27 @@ def read_meter_stream(spark: SparkSession, path: str, max_files_per_trigger: int
     return read_meter(spark, path, True, True, max_files_per_trigger)
 
 
+#: The columns of Spark's binary file source, which a stream must be told.
+_BINARY_FILE = "path string, modificationTime timestamp, length long, content binary"
+
+
 def pair_files(spark: SparkSession, path: str, left_glob: str = "*.cfg", right_glob: str = "*.dat",
-               stream: bool = False, wait: str = "1 hour") -> DataFrame:
+               stream: bool = False, keep_ms: int | None = None) -> DataFrame:
     """Pair the two files of one capture by base name.
 
-    Each side is a binary-file scan filtered by glob; the sides are joined on
-    the folder and the file name up to its last dot.  ``stream=True`` keeps
-    each side's files as state until their partners arrive, for at most
-    ``wait`` of modification time."""
-    def side(glob: str, tag: str) -> DataFrame:
-        r = spark.readStream if stream else spark.read
+    Each side is a binary-file scan filtered by glob; the base name is the
+    folder and the file name up to its last dot, so that names with dots of
+    their own stay apart.  ``stream=True`` keeps a file as state until its
+    partner arrives, however late; ``keep_ms`` bounds that in processing time
+    (``streaming/pairs.py``)."""
+    def side(glob: str) -> DataFrame:
+        r = (spark.readStream if stream else spark.read).schema(_BINARY_FILE)
         df = r.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-        if stream:
-            df = df.withWatermark("modificationTime", wait)
-        return df.select(F.regexp_replace("path", r"\.[^./]*$", "").alias("base_name"), F.col("content").alias(f"content_{tag}"),
-                         F.col("modificationTime").alias(f"{tag}_mod_time"))
-    cfg, dat = side(left_glob, "cfg"), side(right_glob, "dat").withColumnRenamed("base_name", "_base")
-    on = cfg["base_name"] == dat["_base"]
+        return df.select(F.regexp_replace("path", r"\.[^./]*$", "").alias("base_name"), "content", "modificationTime")
+    cfg, dat = side(left_glob), side(right_glob)
     if stream:
-        within = F.expr(f"interval {wait}")
-        on = on & (dat["dat_mod_time"] >= cfg["cfg_mod_time"] - within) & (dat["dat_mod_time"] <= cfg["cfg_mod_time"] + within)
-    return cfg.join(dat, on).drop("_base")
+        from ..streaming.pairs import pair_stream
+        return pair_stream(cfg, dat, keep_ms)
+    tagged = [df.select("base_name", F.col("content").alias(f"content_{tag}"), F.col("modificationTime").alias(f"{tag}_mod_time"))
+              for df, tag in ((cfg, "cfg"), (dat, "dat"))]
+    return tagged[0].join(tagged[1], "base_name")
