@@ -4,8 +4,13 @@ Texts become sets of word shingles.  Documents fall into classes by the size
 of their set (powers of two); a class has its own number of one-permutation
 MinHash bins, tuned to the class's largest set so that a shingle of a document
 is the minimum of its bin with high probability however long the document is.
-An item is a candidate for a document when any bin of any permutation has the
-same minimum in both; candidates are verified by exact shingle containment.
+
+The signatures find: a document probes the items with the minima of its bins,
+and an item with a probed minimum among its shingles is a candidate.  The few
+shingles that are nowhere a minimum (about 1 of 1000), the document's
+remainder, are probed after them, so that an item whose only shared shingles
+are among them is not lost.  An item that too few probes met cannot be
+contained; the others are verified by exact shingle containment.
 """
 from __future__ import annotations
 
@@ -24,6 +29,8 @@ SHINGLE, CONTAINMENT = 5, 0.8
 BINS, PERMUTATIONS = 16, 2
 #: Items a block of the index; text bytes hashed at a time.
 BLOCK_ITEMS, SLICE_BYTES = 4096, 8 << 20
+#: Blocks that a task keeps; those beyond are read again for every slice of text.
+HELD_BLOCKS = 16
 
 _ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _FOLD = bytes(c if c >= 0x80 or chr(c).isalnum() else 32 for c in range(256))
@@ -108,67 +115,91 @@ def build_index(items: DataFrame, id_col: str, text_col: str, shingle: int = SHI
     return {"files": sorted(items.sparkSession.read.parquet(root).inputFiles()), "shingle": shingle, "kind": kind}
 
 
+def signatures(hashes: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, minimum): the distinct hashes of every set, and whether each
+    is the smallest of its bin in a permutation of its set's class."""
+    size = np.array([len(h) for h in hashes], np.int64)
+    row, flat = np.repeat(np.arange(len(hashes)), size), np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+    minimum = None
+    for r in range(PERMUTATIONS):
+        mixed = _mix(flat, r)
+        order = np.lexsort((mixed, row))
+        row, flat, mixed = row[order], flat[order], mixed[order]
+        if minimum is None:
+            own = np.concatenate([[True], (row[1:] != row[:-1]) | (mixed[1:] != mixed[:-1])]) if len(row) else np.zeros(0, bool)
+            row, flat, mixed = row[own], flat[own], mixed[own]
+            minimum = np.zeros(len(row), bool)
+            per_class = (BINS - 1).bit_length()
+            bits = np.array([min(63, size_class(int(n)) + per_class) for n in np.bincount(row, minlength=len(hashes))], np.uint64)
+        else:
+            minimum = minimum[order]
+        bins = mixed >> (np.uint64(64) - bits[row])
+        if len(row):
+            minimum |= np.concatenate([[True], (row[1:] != row[:-1]) | (bins[1:] != bins[:-1])])
+    return row, flat, minimum
+
+
 class Block:
     """Some items: their hashes, flat and sorted, with the item of each."""
 
     def __init__(self, batch: pa.RecordBatch):
         self.ids = batch.column("item_id").to_pylist()
-        self.texts = [frozenset(t) for t in batch.column("shingles").to_pylist()]
-        own = [np.array(h, np.int64).view(np.uint64) for h in batch.column("hashes").to_pylist()]
-        self.own = [np.sort(h) for h in own]
-        flat = np.concatenate(own) if own else np.zeros(0, np.uint64)
-        item = np.repeat(np.arange(len(own)), [len(h) for h in own])
+        self.shingles = batch.column("shingles")
+        hashes = batch.column("hashes")
+        self.size = np.diff(hashes.offsets.to_numpy())
+        flat = hashes.flatten().to_numpy().view(np.uint64)
+        item = np.repeat(np.arange(len(self.size)), self.size)
         order = np.argsort(flat, kind="stable")
         self.hash, self.item = flat[order], item[order]
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(flat >> np.uint64(44)).astype(np.int64)] = True
-        self._signed: dict[tuple[int, int, int], set[int]] = {}
-
-    def signature(self, item: int, cls: int, r: int) -> set[int]:
-        if (item, cls, r) not in self._signed:
-            if len(self._signed) > 1 << 16:
-                self._signed.clear()
-            h = self.own[item]
-            self._signed[item, cls, r] = set(h[bin_minima(h, cls, r)].tolist())
-        return self._signed[item, cls, r]
-
-    def matches(self, h: np.ndarray, least: float, text_of) -> list[tuple[int, int]]:
-        """(item, shared shingles) of a document with the distinct hashes
-        ``h``; text_of(hashes) gives the document's shingles that have one of
-        them."""
-        hits = h[np.isin(h, self.hash)]
-        if not len(hits):
-            return []
-        cls = size_class(len(h))
-        candidates: set[int] = set()
-        for r in range(PERMUTATIONS):
-            minima = h[bin_minima(h, cls, r)]
-            for x in np.intersect1d(hits, minima).tolist():
-                lo, hi = (int(np.searchsorted(self.hash, np.uint64(x), side)) for side in ("left", "right"))
-                candidates.update(i for i in self.item[lo:hi].tolist() if x in self.signature(i, cls, r))
-        out = []
-        for i in sorted(candidates):
-            shared = np.intersect1d(hits, self.own[i])
-            if len(shared) < least * len(self.texts[i]):
-                continue  # even if every hash stood for its shingle
-            n = len(self.texts[i] & text_of(shared))
-            if n >= least * len(self.texts[i]):
-                out.append((i, n))
-        return out
+
+    def probe(self, row: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, item, hash) of every item that has one of the hashes."""
+        at = np.flatnonzero(self.seen[(h >> np.uint64(44)).astype(np.int64)])  # a few of these have an item's top bits only
+        low, high = (np.searchsorted(self.hash, h[at], side) for side in ("left", "right"))
+        n = high - low
+        place = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        return np.repeat(row[at], n), self.item[place], np.repeat(h[at], n)
+
+    def contained(self, row, h, minimum, least: float, text_of) -> Iterator[tuple[int, int, int]]:
+        """(row, item, shared shingles) of the items that rows contain;
+        ``text_of(row, hashes)`` gives a row's shingles that have one of the hashes."""
+        met = [self.probe(row[some], h[some]) for some in (minimum, ~minimum)]
+        rows, items, shared = (np.concatenate(x) for x in zip(*met))
+        pair = rows * len(self.size) + items
+        order = np.argsort(pair, kind="stable")
+        pair, shared = pair[order], shared[order]
+        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
+        count = np.diff(np.append(first, len(pair)))
+        enough = count >= least * self.size[pair[first] % max(len(self.size), 1)]  # even if every hash stood for its shingle
+        for a, n in zip(first[enough].tolist(), count[enough].tolist()):
+            r, i = divmod(int(pair[a]), len(self.size))
+            k = len(set(self.shingles[i].as_py()) & text_of(r, shared[a:a + n]))
+            if k >= least * self.size[i]:
+                yield r, i, k
 
 
 class Matcher:
-    """The blocks of an index; a single one stays loaded."""
+    """The blocks of an index; the first ``HELD_BLOCKS`` stay loaded."""
 
     def __init__(self, index: dict, least: float):
-        self.index, self.least, self.only, self.id_type = index, least, None, None
+        self.index, self.least, self.held, self.whole, self.id_type = index, least, [], False, None
 
     def _blocks(self) -> Iterator[Block]:
+        yield from self.held
+        if not self.whole:
+            done = len(self.held)
+            for k, block in enumerate(self._load()):
+                if k < done:
+                    continue
+                if k == len(self.held) < HELD_BLOCKS:
+                    self.held.append(block)
+                yield block
+            self.whole = len(self.held) < HELD_BLOCKS
+
+    def _load(self) -> Iterator[Block]:
         import pyarrow.parquet as pq
-        if self.only is not None:
-            yield self.only
-            return
-        n = 0
         waiting: list[pa.RecordBatch] = []
         for uri in self.index["files"]:
             fs, path = filesystem(uri)
@@ -177,34 +208,23 @@ class Matcher:
                     self.id_type = batch.schema.field("item_id").type
                     waiting.append(batch)
                     if sum(b.num_rows for b in waiting) >= BLOCK_ITEMS:
-                        n += 1
                         yield Block(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
                         waiting = []
         if waiting and sum(b.num_rows for b in waiting):
-            block = Block(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
-            if not n:
-                self.only = block
-            yield block
+            yield Block(pa.Table.from_batches(waiting).combine_chunks().to_batches()[0])
 
     def find(self, texts: list[str | None]) -> list[tuple[int, object, int, int]]:
         """(row, item id, shared, shingles of the item) of every match."""
         size = self.index["shingle"]
         hashes = [shingle_hashes(words(t), size) for t in texts]
-        row = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
-        flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        top = (flat >> np.uint64(44)).astype(np.int64)
-        out = []
-        for block in self._blocks():
-            at = np.flatnonzero(block.seen[top])  # a few of these have an item's top bits only
-            own = flat[at]
-            same = block.hash[np.minimum(np.searchsorted(block.hash, own), len(block.hash) - 1)] == own
-            for i in np.unique(row[at[same]]).tolist():
-                def text_of(some: np.ndarray, i=i) -> set[bytes]:
-                    w = words(texts[i])
-                    return set(shingle_texts(w, size, np.flatnonzero(np.isin(hashes[i], some)).tolist()))
-                out += [(i, block.ids[k], n, len(block.texts[k]))
-                        for k, n in block.matches(np.unique(hashes[i]), self.least, text_of)]
-        return out
+        row, h, minimum = signatures(hashes)
+
+        def text_of(i: int, some: np.ndarray) -> set[bytes]:
+            w = words(texts[i])
+            return set(shingle_texts(w, size, np.flatnonzero(np.isin(hashes[i], some)).tolist()))
+
+        return [(i, block.ids[k], n, int(block.size[k])) for block in self._blocks()
+                for i, k, n in block.contained(row, h, minimum, self.least, text_of)]
 
 
 def _pairs(index: dict, least: float):

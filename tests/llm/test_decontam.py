@@ -77,6 +77,45 @@ def test_recall_of_the_search_alone():
     assert found >= 0.99 * total
 
 
+def test_signatures_are_the_minima_of_each_set():
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) for n in (0, 1, 2, 700, 20_000)] + [np.full(9, 5, np.uint64)]
+    row, h, minimum = D.signatures(sets)
+    for i, own in enumerate(map(np.unique, sets)):
+        assert sorted(h[row == i].tolist()) == own.tolist()
+        best = np.zeros(len(own), bool)
+        for r in range(D.PERMUTATIONS):
+            best |= D.bin_minima(own, D.size_class(len(own)), r)
+        assert sorted(h[(row == i) & minimum].tolist()) == own[best].tolist()
+    assert 0 < (~minimum).sum() < 0.005 * len(h)
+
+
+def test_no_item_of_one_shingle_is_lost(spark):
+    """Every shingle of a long text as an item of its own, those behind all minima included."""
+    text = " ".join(f"w{i * i % 9973}" for i in range(12_000))
+    own = sorted(shingles(text))
+    _, h, minimum = D.signatures([np.unique(D.shingle_hashes(D.words(text), 5))])
+    assert (~minimum).any()  # some are the smallest of no bin
+    items = spark.createDataFrame([(i, x.decode()) for i, x in enumerate(own)], "item_id int, text string")
+    docs = spark.createDataFrame([(1, text), (2, "nothing of it")], "doc_id long, text string")
+    got = D.find_contaminated(docs, D.build_index(items, "item_id", "text"), "doc_id", "text").collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(1, i) for i in range(len(own))]
+
+
+@pytest.mark.parametrize("held", [0, 1, 3])
+def test_blocks_that_are_not_kept_are_read_again(spark, monkeypatch, held):
+    monkeypatch.setattr(D, "BLOCK_ITEMS", 5)
+    monkeypatch.setattr(D, "HELD_BLOCKS", held)
+    docs, items = corpus()
+    index = D.build_index(spark.createDataFrame(items, "item_id int, text string").coalesce(1), "item_id", "text")
+    matcher = D.Matcher(index, 0.8)
+    small = [d for d in docs if len(d[1] or "") < 3000]
+    for part in (small[:40], small[40:]):
+        got = sorted(((part[r][0], *x) for r, *x in matcher.find([t for _, t in part])), key=str)
+        assert got == [(d, i, n, k) for d, i, n, k, _ in brute(part, items)]
+    assert len(matcher.held) == held
+
+
 def test_edges(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(1, "more of them follow after that"), (2, None)], "item_id long, text string")
     index = D.build_index(items, "item_id", "text")
