@@ -12,6 +12,8 @@ DataFrame functions only; all draws come from hashes, so reruns agree.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,21 +66,86 @@ def _uniform(*of: Column | int) -> Column:
     return F.shiftrightunsigned(h, 11).cast("double") / F.lit(float(1 << 53))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _log_factorial(x: Column) -> Column:
+    """ln(x!), by Stirling's series eight places further on."""
+    def series(z: Column) -> Column:
+        w = z + 8.0
+        shift = z
+        for i in range(1, 8):
+            shift = shift * (z + float(i))
+        return (w - 0.5) * F.log(w) - w + 0.5 * math.log(2 * math.pi) + (1 / 12 - (1 / 360 - 1 / 1260 / (w * w)) / (w * w)) / w - F.log(shift)
+    return _let(x.cast("double") + 1.0, series)
+
+
+def _hypergeometric(u: Column, own: Column, drawn: Column, every: Column) -> Column:
+    """How many of ``own`` of ``every`` things are among ``drawn`` of them, as
+    the uniform number ``u`` says: values are visited from the likeliest
+    outwards until their probabilities pass it.  Ten standard deviations on
+    either side are visited at most (what lies beyond has a probability under
+    1e-20), so the work grows with the square root of ``own``."""
+    d = lambda c: c.cast("double")
+    zero, one = F.lit(0).cast("long"), F.lit(1.0)
+
+    def known(v: Column) -> Column:
+        mode = F.greatest(v["low"], F.least(v["high"], F.floor((d(v["drawn"]) + 1) * (d(v["own"]) + 1) / (d(v["every"]) + 2)).cast("long")))
+        return _let(mode, lambda m: _let(likeliest(v, m), lambda p: walk(v, m, p)))
+
+    def likeliest(v: Column, m: Column) -> Column:
+        terms = F.array(v["own"], v["other"], v["drawn"], v["every"] - v["drawn"], m, v["own"] - m, v["drawn"] - m, v["other"] - v["drawn"] + m, v["every"])
+        signs = F.array(*[F.lit(float(x)) for x in (1, 1, 1, 1, -1, -1, -1, -1, -1)])
+        logs = F.zip_with(terms, signs, lambda x, sign: sign * _log_factorial(x))
+        return F.exp(F.aggregate(logs, F.lit(0.0), lambda a, x: a + x))
+
+    def below(v: Column, k: Column, p: Column) -> Column:  # from the probability of k to that of k - 1; -1: there is none
+        return F.when(k > v["low"], p * d(k) * d(v["other"] - v["drawn"] + k) / (d(v["own"] - k + 1) * d(v["drawn"] - k + 1))).otherwise(-one)
+
+    def above(v: Column, k: Column, p: Column) -> Column:
+        return F.when(k < v["high"], p * d(v["own"] - k) * d(v["drawn"] - k) / (d(k + 1) * d(v["other"] - v["drawn"] + k + 1))).otherwise(-one)
+
+    def state(lo, hi, p_lo, p_hi, seen, got):
+        return F.struct(lo.alias("lo"), hi.alias("hi"), p_lo.alias("p_lo"), p_hi.alias("p_hi"), seen.alias("seen"), got.alias("got"))
+
+    def walk(v: Column, m: Column, p: Column) -> Column:
+        share = d(v["own"]) / F.greatest(d(v["every"]), one)
+        spread = F.sqrt(F.greatest(d(v["drawn"]) * share * (1 - share), F.lit(0.0)))
+        steps = F.least(v["high"] - v["low"], (20 * spread).cast("long") + 20)
+        turns = F.when(v["u"] < p, F.lit(0).cast("long")).otherwise(steps)
+        turns = F.when(turns > 0, F.sequence(F.lit(1).cast("long"), turns)).otherwise(F.array().cast("array<bigint>"))
+
+        def visit(s: Column, _: Column) -> Column:
+            def down() -> Column:  # the likelier neighbour of those visited comes next
+                seen = s["seen"] + s["p_lo"]
+                return state(s["lo"] - 1, s["hi"], below(v, s["lo"] - 1, s["p_lo"]), s["p_hi"], seen, F.when(v["u"] < seen, s["lo"] - 1))
+
+            def up() -> Column:
+                seen = s["seen"] + s["p_hi"]
+                return state(s["lo"], s["hi"] + 1, s["p_lo"], above(v, s["hi"] + 1, s["p_hi"]), seen, F.when(v["u"] < seen, s["hi"] + 1))
+            return F.when(s["got"].isNotNull(), s).when(s["p_lo"] >= s["p_hi"], down()).otherwise(up())
+
+        begin = state(m, m, below(v, m, p), above(v, m, p), p, F.lit(None).cast("long"))
+        return F.coalesce(F.aggregate(turns, begin, visit, lambda s: s["got"]), m)
+
+    other = every - own
+    given = F.struct(u.alias("u"), own.alias("own"), other.alias("other"), drawn.alias("drawn"), every.alias("every"),
+                     F.greatest(zero, drawn - other).alias("low"), F.least(own, drawn).alias("high"))
+    return _let(given, known)
+
+
 def _split(quotas: Column, node: Column, left: Column, seed: int) -> Column:
     """How many of each source's draws go left when ``left`` of all draws do,
-    drawn without replacement: one draw after the other goes left with the
-    probability (still wanted left) / (still to come)."""
+    drawn without replacement: source after source, hypergeometric in what is
+    still wanted left of what is still to come."""
     total = F.aggregate(quotas, F.lit(0).cast("long"), lambda a, q: a + q)
 
     def of_source(state: Column, x: Column) -> Column:
-        def one(s: Column, j: Column) -> Column:
-            goes = (_uniform(seed, node, x["k"], j) * s["all"] < s["left"]).cast("long")
-            return F.struct((s["left"] - goes).alias("left"), (s["all"] - 1).alias("all"), (s["got"] + goes).alias("got"))
-        turns = F.when(x["q"] > 0, F.sequence(F.lit(1).cast("long"), x["q"])).otherwise(F.array().cast("array<bigint>"))
-        begin = F.struct(state["left"].alias("left"), state["all"].alias("all"), F.lit(0).cast("long").alias("got"))
-        done = F.aggregate(turns, begin, one)
-        return F.struct(done["left"].alias("left"), done["all"].alias("all"),
-                        F.concat(state["out"], F.array(done["got"])).alias("out"))
+        got = _hypergeometric(_uniform(seed, node, x["k"]), x["q"], state["left"], state["all"])
+        return F.struct((state["left"] - got).alias("left"), (state["all"] - x["q"]).alias("all"),
+                        F.concat(state["out"], F.array(got)).alias("out"))
 
     start = F.struct(left.alias("left"), total.alias("all"), F.array().cast("array<bigint>").alias("out"))
     numbered = F.transform(quotas, lambda q, k: F.struct(k.alias("k"), q.alias("q")))
@@ -89,6 +156,7 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
     """(shard, quotas): the exact quota of every source's draws in each shard,
     from one row ``quotas`` (array<long>, by source); the shards' totals
     differ by one draw at most."""
+    parts = int(quotas.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     node = quotas.select("quotas", F.lit(1).cast("long").alias("node"), F.lit(0).alias("first"), F.lit(shards).alias("n"))
     width = shards
     while width > 1:
@@ -102,7 +170,7 @@ def shard_quotas(quotas: DataFrame, shards: int = SHARDS, seed: int = SEED) -> D
             F.struct(F.col("to_left").alias("quotas"), (2 * F.col("node")).alias("node"), F.col("first"), half.alias("n")),
             F.struct(rest.alias("quotas"), (2 * F.col("node") + 1).alias("node"), (F.col("first") + half).alias("first"),
                      (F.col("n") - half).alias("n")))
-        node = node.select(F.explode(halves).alias("x")).select("x.*").filter("n > 0")
+        node = node.select(F.explode(halves).alias("x")).select("x.*").filter("n > 0").repartition(parts, "node")  # a task a node
         width = -(-width // 2)
     return node.select(F.col("first").alias("shard"), "quotas")
 
@@ -122,30 +190,60 @@ def _block(unit: Column, n_docs: Column, block_docs: int) -> Column:
     return F.pmod(unit, F.ceil(n_docs / block_docs).cast("long")).cast("long")
 
 
-def _fill(docs: Column, want: Column) -> Column:
-    """The hashes of documents (struct<unit, size>) whose words come near to
-    ``want``: in permuted order each one that still fits, and then the best
-    exchange of one taken (or none) for one left out (or none)."""
-    docs = F.transform(F.sort_array(docs), lambda d: F.struct(d["size"].alias("size"), d["unit"].alias("unit")))
-    empty = F.array().cast("array<struct<size:bigint,unit:bigint>>")
-    nobody = F.array(F.struct(F.lit(0).cast("long").alias("size"), F.lit(None).cast("long").alias("unit")))
-    start = F.struct(F.lit(0).cast("long").alias("sum"), empty.alias("in"), empty.alias("out"))
+#: Rows of a source over which one task sums; the sums of such groups are added up apart.
+GROUP = 1024
+
+
+def _begins(df: DataFrame, group: Column, value: str, *order: str) -> DataFrame:
+    """``df`` with ``begin``: the sum of ``value`` over its source's rows before
+    each row.  ``group`` is monotone in ``order``: rows are summed within a
+    group, and a row a group meets in a window a source."""
+    df = df.withColumn("_g", group)
+    sums = df.groupBy("k", "_g").agg(F.sum(value).alias("_s"))
+    before = Window.partitionBy("k").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("k", "_g", F.coalesce(F.sum("_s").over(before), F.lit(0).cast("long")).alias("_before"))
+    inside = Window.partitionBy("k", "_g").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    df = df.withColumn("_inside", F.coalesce(F.sum(value).over(inside), F.lit(0).cast("long")))
+    return df.join(sums, ["k", "_g"]).withColumn("begin", F.col("_before") + F.col("_inside")).drop("_g", "_before", "_inside")
 
-    def one(s: Column, d: Column) -> Column:
-        fits = s["sum"] + d["size"] <= want
-        return F.struct((s["sum"] + F.when(fits, d["size"]).otherwise(0)).alias("sum"),
-                        F.when(fits, F.concat(s["in"], F.array(d))).otherwise(s["in"]).alias("in"),
-                        F.when(fits, s["out"]).otherwise(F.concat(s["out"], F.array(d))).alias("out"))
 
-    def done(s: Column) -> Column:
-        def exchanged(x: Column) -> Column:
-            return F.array_min(F.transform(F.concat(nobody, s["out"]), lambda y: F.struct(
-                F.abs(want - s["sum"] - y["size"] + x["size"]).alias("off"), x["unit"].alias("less"), y["unit"].alias("more"))))
-        best = F.array_min(F.transform(F.concat(nobody, s["in"]), exchanged))
-        units = F.transform(F.filter(s["in"], lambda x: ~x["unit"].eqNullSafe(best["less"])), lambda x: x["unit"])
-        return F.when(best["more"].isNull(), units).otherwise(F.concat(units, F.array(best["more"])))
+def _fill(docs: DataFrame) -> DataFrame:
+    """(k, block, picked): of every block's documents (k, block, want, unit,
+    size) those whose words come near to ``want``, by their hashes.
 
-    return F.aggregate(docs, start, one, done)
+    In permuted order the documents that fit are in, then the best exchange of
+    one that is in (or none) for one that is not (or none) is made.  The best
+    partner of a document is the next larger or smaller size among the others,
+    found by sorting both together.  A block is bounded by ``block_docs``."""
+    def one(s: Column, d: Column) -> Column:
+        fits = s["sum"] + d["size"] <= F.col("want")
+        return F.struct((s["sum"] + F.when(fits, d["size"]).otherwise(0)).alias("sum"),
+                        F.concat(s["in"], F.array(fits)).alias("in"))
+
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    whole = (docs.repartition(parts, "k", "block").groupBy("k", "block", "want")  # by count: few bytes, much work
+             .agg(F.sort_array(F.collect_list(F.struct("unit", "size"))).alias("docs")))
+    start = F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<boolean>").alias("in"))
+    whole = whole.withColumn("_taken", F.aggregate("docs", start, one))
+    docs = stage(whole.select("k", "block", (F.col("want") - F.col("_taken.sum")).alias("_gap"), F.inline(F.arrays_zip("docs", F.col("_taken.in").alias("in"))))
+                 .select("k", "block", "_gap", "docs.unit", "docs.size", F.col("in").alias("_in")), "partial")
+    nobody = docs.groupBy("k", "block", "_gap").agg(F.lit(0).cast("long").alias("size"))
+    none = F.lit(None).cast("long").alias("unit")
+    # taking x out leaves a gap of gap + size(x), to be filled by some y
+    leaves = docs.filter("_in").select("k", "block", (F.col("_gap") + F.col("size")).alias("v"), "unit").union(
+        nobody.select("k", "block", F.col("_gap").alias("v"), none)).withColumn("y", F.lit(False))
+    fills = docs.filter("not _in").select("k", "block", F.col("size").alias("v"), "unit").union(
+        nobody.select("k", "block", F.col("size").alias("v"), none)).withColumn("y", F.lit(True))
+    sorted_ = Window.partitionBy("k", "block").orderBy("v", "y", "unit")
+    y = F.when(F.col("y"), F.struct("v", "unit"))
+    both = leaves.union(fills).withColumn("_less", F.last(y, ignorenulls=True).over(sorted_.rowsBetween(Window.unboundedPreceding, 0)))
+    both = both.withColumn("_more", F.first(y, ignorenulls=True).over(sorted_.rowsBetween(0, Window.unboundedFollowing)))
+    options = both.filter("not y").select("k", "block", "v", "unit", F.explode(F.array("_less", "_more")).alias("to")).filter("to is not null")
+    best = options.groupBy("k", "block").agg(F.min(F.struct(F.abs(F.col("v") - F.col("to.v")).alias("off"), F.col("unit").alias("less"),
+                                                            F.col("to.unit").alias("more"))).alias("_best"))
+    kept = docs.join(best, ["k", "block"])
+    stays = (F.col("_in") & ~F.col("unit").eqNullSafe(F.col("_best.less"))) | F.coalesce(F.col("unit") == F.col("_best.more"), F.lit(False))
+    return kept.groupBy("k", "block").agg(F.collect_list(F.when(stays, F.col("unit"))).alias("picked"))
 
 
 def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...] = WEIGHTS,
@@ -160,7 +258,8 @@ def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     by their text; rows that repeat an id in a source are taken together.
     Sources of size 0 have target 0 and are not taken; an empty table gives an
     empty mix.  Texts are read once, for their sizes; what is shuffled are the
-    sizes, and the tree works on one number a source."""
+    sizes, and the tree works on one number a source, with work that grows with
+    the square root of its draws."""
     units = stage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"),
                               word_count(F.col(text_col)).alias("size"),
                               _unit(F.col(id_col), F.col(text_col), seed).alias("unit")), "sizes")
@@ -171,8 +270,7 @@ def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     placed = units.join(s, units["source"].eqNullSafe(s["source"])).select(
         "k", _block(F.col("unit"), F.col("n_docs"), block_docs).alias("block"), "unit", "size", "full", "rest")
     sums = placed.groupBy("k", "block", "full", "rest").agg(F.sum("size").alias("size"))
-    order = Window.partitionBy("k").orderBy("block")
-    sums = sums.withColumn("end", F.sum("size").over(order)).withColumn("begin", F.col("end") - F.col("size"))
+    sums = _begins(sums, F.floor(F.col("block") / GROUP), "size", "block").withColumn("end", F.col("begin") + F.col("size"))
     blocks = stage(sums.withColumn("whole", (F.col("end") <= F.col("rest")) & (F.col("rest") > 0))
                    .withColumn("part", (F.col("begin") < F.col("rest")) & (F.col("rest") < F.col("end")))
                    .withColumn("epochs", F.col("full") + (F.col("whole") | F.col("part")).cast("int"))
@@ -180,12 +278,11 @@ def plan_mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weigh
     # the documents of the partial blocks, one block a source; repeated rows count together
     last = blocks.filter("part").select("k", "block", (F.col("rest") - F.col("begin")).alias("want"))
     some = placed.join(last, ["k", "block"]).groupBy("k", "block", "want", "unit").agg(F.sum("size").alias("size"))
-    picked = some.groupBy("k", "block", "want").agg(F.collect_list(F.struct("unit", "size")).alias("docs")).select(
-        "k", "block", _fill(F.col("docs"), F.col("want")).alias("picked"))
+    picked = _fill(some)
     # draws, permuted within their source, and the shards' stretches of them
     draws = blocks.select("k", "block", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1)).alias("epoch"))
-    permuted = Window.partitionBy("k").orderBy(F.xxhash64(F.lit(seed), "k", "block", "epoch"), "block", "epoch")
-    draws = draws.withColumn("nth", F.row_number().over(permuted))
+    draws = draws.withColumn("_h", F.xxhash64(F.lit(seed), "k", "block", "epoch")).withColumn("_one", F.lit(1).cast("long"))
+    draws = _begins(draws, F.shiftright("_h", 52), "_one", "_h", "block", "epoch").withColumn("nth", F.col("begin") + 1)
     by_source = s.select("k").join(blocks.groupBy("k").agg(F.sum("epochs").alias("q")), "k", "left")
     quotas = by_source.agg(F.transform(F.sort_array(F.collect_list(F.struct("k", F.coalesce("q", F.lit(0)).cast("long").alias("q")))),
                                        lambda x: x["q"]).alias("quotas"))

@@ -103,3 +103,40 @@ def test_word_count(spark):
     texts = [None, "", " ", "a", " a\tb\x0bc\n\nd ", "é f g\x1ch", "x" * 10_000]
     rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").select("i", M.word_count(F.col("text")).alias("n")).collect()
     assert {r.i: r.n for r in rows} == {i: len((t or "").encode().split()) for i, t in enumerate(texts)}
+
+
+def test_many_sources_and_large_quotas(spark):
+    """The tree's work grows with the square root of the draws; a million draws are split exactly."""
+    import time
+    quotas = [(i * 7919) % 5000 for i in range(1000)] + [1_000_000]
+    t0 = time.perf_counter()
+    rows = M.shard_quotas(spark.createDataFrame([(quotas,)], "quotas array<long>"), 16).collect()
+    assert [sum(r.quotas[i] for r in rows) for i in range(len(quotas))] == quotas
+    assert time.perf_counter() - t0 < 60  # one draw after the other took over a second a million draws and level
+    share = [r.quotas[-1] / sum(r.quotas) for r in rows]
+    assert max(share) - min(share) < 0.01
+
+
+def test_partial_blocks_come_near_their_targets(spark):
+    """A greedy fill and the best exchange, against every exchange."""
+    import random
+    rng = random.Random(4)
+    docs, want = [], {}
+    for k in range(12):
+        sizes = [(rng.getrandbits(60), rng.choice([0, 1, 7, rng.randint(1, 900)])) for _ in range(rng.randint(1, 40))]
+        want[k] = rng.randint(0, sum(n for _, n in sizes))
+        docs += [(k, 3, want[k], u, n) for u, n in sizes]
+    df = spark.createDataFrame(docs, "k int, block long, want long, unit long, size long")
+    got = {r.k: r.picked for r in M._fill(df).collect()}
+    assert sorted(got) == list(range(12))
+    for k in got:
+        own = sorted((u, n) for q, _, _, u, n in docs if q == k)
+        inside, total = [], 0
+        for u, n in own:
+            if total + n <= want[k]:
+                inside.append((u, n))
+                total += n
+        outside = [x for x in own if x not in inside]
+        best = min(abs(want[k] - total + x - y) for x in [0, *(n for _, n in inside)] for y in [0, *(n for _, n in outside)])
+        size = dict(own)
+        assert len(set(got[k])) == len(got[k]) and abs(want[k] - sum(size[u] for u in got[k])) == best
