@@ -54,7 +54,24 @@ _GNU = (f"gnu general public license {_OPT}as published by the free software fou
         f"{_OPT}either{_END} version ")
 _CC = f"creative commons attribution {{}} {_item('1 0', '2 0', '2 5', '3 0', '4 0')} {_item('international', 'unported', 'generic')} {{}}license"
 
-#: Label -> templates, beyond the base phrases: whole licenses (mit, bsd-2, bsd-3, bsd-4) and the notices that name one.
+_ISC = (
+    f"permission to use copy modify {_item('and')} {_item('or')} distribute this software for any purpose with or without fee is hereby "
+    "granted provided that the above copyright notice and this permission notice appear in all copies the software is provided as is "
+    "and <<var;name=who;original=the author;words=1..8>> disclaims all warranties with regard to this software including all implied "
+    "warranties of merchantability and fitness in no event shall <<var;name=who;original=the author;words=1..8>> be liable for any "
+    "special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in "
+    "an action of contract negligence or other tortious action arising out of or in connection with the use or performance of this software")
+_MPL = (
+    "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with "
+    f"this file you can obtain one at {_item('http', 'https')} mozilla org mpl 2 0")
+
+
+def _spdx(*names: str) -> list[str]:
+    """The line of a source file that names its license by identifier."""
+    return [f"spdx license identifier {name}" for name in names]
+
+
+#: Label -> templates, beyond the base phrases: whole licenses (mit, isc, bsd-2, bsd-3, bsd-4) and the notices that name one.
 TEMPLATES = {
     "mit": ["permission is hereby granted free of charge to any person obtaining a copy of "
             "<<var;name=work;original=this software;words=1..8>> "
@@ -69,20 +86,24 @@ TEMPLATES = {
             "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in "
             "connection with the software or the use or other dealings in the software",
             "<<beginOptional>>licensed<<endOptional>> <<beginOptional>>released<<endOptional>> "
-            "under the <<var;name=owner;original=mit;words=0..2>> mit <<beginOptional>>expat<<endOptional>> license"],
-    "apache-2": ["licensed under the apache <<beginOptional>>software<<endOptional>> license "
-                 "<<beginOptional>>version<<endOptional>> 2 <<beginOptional>>0<<endOptional>>"],
-    "bsd": ["under the <<var;name=kind;original=bsd 3 clause;words=0..3>> bsd <<beginOptional>>style<<endOptional>> license"],
-    "bsd-2": [_BSD.format("")],
-    "bsd-3": [_BSD.format(_NO_ENDORSEMENT)],
-    "bsd-4": [_BSD.format(_ADVERTISING + _NO_ENDORSEMENT)],
-    "gpl-3": [_GNU + "3"],
-    "gpl-2": [_GNU + "2"],
-    "cc-by": [_CC.format("", f"{_OPT}public{_END} ")],
+            "under the <<var;name=owner;original=terms of the mit;words=0..4>> mit <<beginOptional>>expat<<endOptional>> license",
+            *_spdx("mit")],
+    "isc": [_ISC, f"under the {_OPT}terms of the{_END} isc license", *_spdx("isc")],
+    "mpl-2": [_MPL, *_spdx("mpl 2 0")],
+    "apache-2": ["licensed under <<beginOptional>>the terms of<<endOptional>> the apache <<beginOptional>>software<<endOptional>> license "
+                 "<<beginOptional>>version<<endOptional>> <<beginOptional>>v<<endOptional>> 2 <<beginOptional>>0<<endOptional>>",
+                 *_spdx("apache 2 0")],
+    "bsd": ["under the <<var;name=kind;original=terms of the 3 clause;words=0..5>> bsd <<beginOptional>>style<<endOptional>> license"],
+    "bsd-2": [_BSD.format(""), *_spdx("bsd 2 clause")],
+    "bsd-3": [_BSD.format(_NO_ENDORSEMENT), *_spdx("bsd 3 clause")],
+    "bsd-4": [_BSD.format(_ADVERTISING + _NO_ENDORSEMENT), *_spdx("bsd 4 clause")],
+    "gpl-3": [_GNU + "3", "gnu general public license v3", "gnu general public license v 3", *_spdx("gpl 3 0")],
+    "gpl-2": [_GNU + "2", "gnu general public license v2", "gnu general public license v 2", *_spdx("gpl 2 0")],
+    "cc-by": [_CC.format("", f"{_OPT}public{_END} "), *_spdx("cc by 4 0", "cc by 3 0")],
     "cc-by-nc": [_CC.format(f"{nc} {_item('sharealike', 'share alike', 'noderivatives', 'noderivs', 'no derivatives')}", f"{_OPT}public{_END} ")
-                 for nc in ("noncommercial", "non commercial")],
+                 for nc in ("noncommercial", "non commercial")] + _spdx("cc by nc 4 0", "cc by nc 3 0"),
     "cc-by-sa": ["cc by sa <<beginOptional>>4 0<<endOptional>>"]
-                + [_CC.format(sa, f"{_OPT}public{_END} ") for sa in ("sharealike", "share alike")],
+                + [_CC.format(sa, f"{_OPT}public{_END} ") for sa in ("sharealike", "share alike")] + _spdx("cc by sa 4 0", "cc by sa 3 0"),
     "all-rights-reserved": ["copyright <<beginOptional>>c<<endOptional>> <<var;name=holder;original=2020 owner;words=1..8>> "
                             "all rights reserved"],
 }

@@ -80,7 +80,20 @@ BSD = ["Redistribution and use in source and binary forms, with or without modif
        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.']
 
 
+ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""
+MPL = "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+
+
 @pytest.mark.parametrize("text, labels", [
+    (ISC, ["isc"]), (ISC.replace("and/or distribute", "and distribute").replace("THE AUTHOR", "EXAMPLE CORP"), ["isc"]),
+    (ISC.replace("with or without fee", "without fee"), []), (MPL, ["mpl-2"]), (MPL.replace("v. 2.0", "v. 1.1"), []),
+    ("under the terms of the MIT license", ["mit"]), ("under the terms of the Apache license", []),
+    ("Licensed under the terms of the Apache License, Version 2.0", ["apache-2"]), ("Apache License v2.0", []),
+    ("licensed under the terms of the BSD license", ["bsd"]), ("under the terms of the ISC License", ["isc"]),
+    ("GNU General Public License v3", ["gpl-3"]), ("GNU General Public License v2.0", ["gpl-2"]), ("GNU General Public License", []),
+    ("SPDX-License-Identifier: MIT", ["mit"]), ("SPDX-License-Identifier: Apache-2.0", ["apache-2"]), ("SPDX-License-Identifier: MPL-2.0", ["mpl-2"]),
+    ("SPDX-License-Identifier: GPL-3.0-or-later", ["gpl-3"]), ("SPDX-License-Identifier: LGPL-3.0-only", []),
+    ("SPDX-License-Identifier: BSD-3-Clause", ["bsd-3"]), ("SPDX-License-Identifier: CC-BY-NC-4.0", ["cc-by-nc"]), ("License-Identifier: MIT", []),
     (MIT, ["mit"]), (MIT.replace("sublicense, and/or sell", "and sublicense"), []), (MIT[:300], []),
     ("Released under the MIT License", ["mit"]), ("under the MIT rules", []),
     (BSD[0] + BSD[3], ["bsd-2"]), (BSD[0] + BSD[2] + BSD[3], ["bsd-3"]), ("".join(BSD), ["bsd-4"]),
