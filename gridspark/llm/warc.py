@@ -137,18 +137,18 @@ def write_archives(pages: DataFrame, id_col: str, url_col: str, html_col: str, r
 
     The payload is the html in UTF-8, null as empty.  Of the rows with equal
     payloads of ``min_revisit`` bytes or more the one with the largest id is
-    the response (of rows with that id the last in scan order) and the others
+    the response (of rows with that id the last in the stored order) and the others
     revisit it; all other rows are responses.  Null ids and repeated rows are
     captures of their own, other columns are not read, an empty table gives an
     empty manifest.  The html is never shuffled while the repeated payloads
-    number at most 200,000: then their winners are broadcast.  ``pages`` should
-    be a table scan (rows are told apart by their place in it); a repeated
-    task writes files of another name, which no manifest lists."""
+    number at most 200,000: then their winners are broadcast.  Rows are told
+    apart by their place, which is stored with them before winners are chosen
+    and files written, so both see the same; a repeated task writes files of
+    another name, which no manifest lists."""
     root = root or run_dir(pages.sparkSession, "warc")
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
-    rows = (pages.select(F.col(id_col).alias("key"), F.col(url_col).alias("url"), payload.alias("payload"),
-                         F.monotonically_increasing_id().alias("rid"))
-            .withColumn("digest", F.sha1("payload")))
+    rows = stage(pages.select(F.col(id_col).alias("key"), F.col(url_col).alias("url"), payload.alias("payload"),
+                              F.monotonically_increasing_id().alias("rid"), F.sha1(payload).alias("digest")), "pages")
     winners = (rows.filter(F.octet_length("payload") >= min_revisit).groupBy("digest")
                .agg(F.count("*").alias("n"), F.max(F.struct("key", "rid")).alias("to")).filter("n > 1")
                .select("digest", "to"))
