@@ -15,10 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: A language's dictionary holds at most this many bytes ...
-DICT_BYTES = 96 * 1024
-#: ... taken from this many distinct training texts, so many bytes of each from anywhere in it.
+from .common import small_or_shuffled
+
+#: A language's dictionary is taken from this many distinct training texts, so many bytes of each from anywhere in it ...
 DICT_DOCS, DOC_BYTES = 512, 256
+#: ... and a line end between them, which is what it holds at most.
+DICT_BYTES = DICT_DOCS * (DOC_BYTES + 1)
+#: Parts in which a language's texts are ranked before the best of all parts are.
+RANK_PARTS = 64
 #: Texts are compressed in pieces of so many bytes, so that a long text cannot teach the compressor its own language.
 PIECE = 2048
 LEVEL = 6
@@ -42,7 +46,7 @@ def _excerpts(doc_bytes: int):
                 raw = folded(text)
                 start = h % max(1, len(raw) - doc_bytes + 1)
                 out.append(raw[start:start + doc_bytes])
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("h"), pa.array(out, pa.binary())], ["lang", "h", "excerpt"])
+            yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("n"), pa.array(out, pa.binary())], ["lang", "n", "excerpt"])
     return run
 
 
@@ -54,14 +58,22 @@ def train(docs: DataFrame, text_col: str, lang_col: str, key_cols: list[str],
     first by a hash of the text (so reruns agree; copies count once, texts
     without letters come last), an excerpt of ``doc_bytes`` bytes each, from a
     place of the whole folded text that the hash chooses.  ``key_cols`` do not
-    matter.  The limit is applied in every task before the shuffle of the
-    ranks, and the driver receives ``dict_bytes`` a language at most."""
-    rank = Window.partitionBy("lang").orderBy(F.length("excerpt") == 0, "h")
+    matter.  Hashes are ranked first, in parts of a language and then among
+    the parts' best; only the chosen texts are folded, and the driver receives
+    ``dict_bytes`` a language at most."""
     texts = (docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("h"))
              .filter(F.col("lang").isNotNull() & (F.length(F.trim("text")) > 0)))
-    distinct = (texts.mapInArrow(_excerpts(doc_bytes), "lang string, h long, excerpt binary")
-                .groupBy("lang", "h").agg(F.min("excerpt").alias("excerpt")))
-    sample = distinct.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= dict_docs)
+    blank = ~F.col("text").rlike(r"[A-Za-z]|[^\x00-\x7F]")
+    keys = texts.select("lang", "h", blank.alias("blank")).groupBy("lang", "h").agg(F.min("blank").alias("blank"))
+    keys = keys.withColumn("part", F.pmod("h", F.lit(RANK_PARTS)))
+    first = Window.partitionBy("lang", "part").orderBy("blank", "h")
+    rank = Window.partitionBy("lang").orderBy("blank", "h")
+    chosen = (keys.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= dict_docs)
+              .withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= dict_docs).select("lang", "h", "n"))
+    chosen = small_or_shuffled(chosen, "sample", 1_000_000)
+    rows = texts.join(chosen, ["lang", "h"]).select("lang", "text", "h", "n")
+    sample = (rows.mapInArrow(_excerpts(doc_bytes), "lang string, n int, excerpt binary")
+              .groupBy("lang", "n").agg(F.min("excerpt").alias("excerpt")))
     parts: dict[str, list[bytes]] = {}
     for r in sample.orderBy("lang", "n").select("lang", "excerpt").collect():
         parts.setdefault(r["lang"], []).append(bytes(r["excerpt"]))

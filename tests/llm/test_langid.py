@@ -50,3 +50,41 @@ def test_learns_from_the_whole_text_and_counts_copies_once(spark):
     parts = got["en"].split(b"\n")
     assert len(parts) == 41 and sum(p.startswith(b"copied") or b"copied words" in p for p in parts) == 1
     assert sum(b"body" in p for p in parts) >= 30 and b"letters stand behind" in got["fr"]
+
+
+def test_predictions_equal_a_plain_classifier(spark):
+    """Hashes, excerpts, dictionaries and sizes worked out anew, text by text, on a whole table."""
+    import re
+    import zlib
+
+    import xxhash
+    import zstandard as z
+    from edges import SF001
+
+    def fold(text):
+        return b" ".join(re.findall(rb"[a-z\x80-\xff]+", text.lower().encode()))
+
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = {}
+    for d in docs:
+        if zlib.crc32(str(d.doc_id).encode()) % 4 != 2 and d.lang is not None and (d.text or "").strip(" "):
+            h = xxhash.xxh64_intdigest(d.text.encode(), 42)
+            h -= (h >= 2**63) * 2**64
+            raw = fold(d.text)
+            at = h % max(1, len(raw) - 255)
+            learned.setdefault(d.lang, {})[raw == b"", h] = raw[at:at + 256]
+    made = {}
+    for lang, own in learned.items():
+        taught = z.ZstdCompressionDict(b"\n".join(own[k] for k in sorted(own)[:512]), dict_type=z.DICT_TYPE_RAWCONTENT)
+        made[lang] = z.ZstdCompressor(level=6, dict_data=taught, write_content_size=False, write_dict_id=False)
+    want = {}
+    for d in docs:
+        held = zlib.crc32(str(d.doc_id).encode()) % 4 == 2
+        if d.text is None or not any(c.isalpha() for c in d.text):
+            want[d.doc_id] = (held, "und", 0.0)
+            continue
+        raw = fold(d.text)
+        sizes = sorted((sum(len(c.compress(raw[i:i + 2048])) for i in range(0, len(raw), 2048)), lang) for lang, c in made.items())
+        want[d.doc_id] = (held, sizes[0][1], 1 - sizes[0][0] / sizes[1][0])
+    got = {r.doc_id: (r.held_out, r.lang_pred, r.score) for r in op10_lang_zstd(spark, SF001).collect()}
+    assert got == want and len({x[1] for x in want.values()}) >= 4
