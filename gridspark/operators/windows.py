@@ -70,6 +70,37 @@ def islands(df: DataFrame, flag: str = "is_anomalous", keys: Sequence[str] = ("d
               .withColumn(out, F.sum("is_event_start").over(w.rowsBetween(Window.unboundedPreceding, 0))))
 
 
+def flagged_segments(df: DataFrame, n: int = 30, z: float = 6.0, min_n: int = 10, cols: Sequence[str] = ("voltage", "current"),
+                     size: int = 1_000_000, key: str = "device_id", bucket_seconds: int = 60) -> DataFrame:
+    """W1-W3 with every hot key split: each row's baseline, score and flag, and
+    the time range ``seg`` it was worked on in (``time_segments``)."""
+    cut = time_segments(df, n, size, (key,), bucket_seconds=bucket_seconds)
+    scored = zscore(rolling_baseline(cut, cols, n, keys=(key, "seg")), cols)
+    return flag_anomalies(scored.filter(~F.col("is_halo")).drop("is_halo"), z, min_n, cols)
+
+
+def islands_of_segments(df: DataFrame, flag: str = "is_anomalous", key: str = "device_id", order: Sequence[str] = DEFAULT_ORDER,
+                        out: str = "event_seq") -> DataFrame:
+    """W4 over the time ranges ``seg`` of a key: runs are numbered within each
+    range, and a row a range (its runs, its first and last flag) says how many
+    came before it and whether its first run only goes on from there."""
+    w = Window.partitionBy(key, "seg").orderBy(*_cols(order))
+    place = F.struct(*order)
+    own = (df.withColumn("_nth", F.row_number().over(w))
+             .withColumn("_begins", F.when((F.col(flag) == 1) & (F.coalesce(F.lag(flag).over(w), F.lit(0)) == 0), 1).otherwise(0)))
+    per = own.groupBy(key, "seg").agg(F.sum("_begins").alias("_n"), F.min_by(flag, place).alias("_head"), F.max_by(flag, place).alias("_tail"))
+    by_key = Window.partitionBy(key).orderBy("seg")
+    on = (F.col("_head") == 1) & (F.coalesce(F.lag("_tail").over(by_key), F.lit(0)) == 1)
+    per = per.withColumn("_on", F.when(on, 1).otherwise(0))
+    earlier = F.sum(F.col("_n") - F.col("_on")).over(by_key.rowsBetween(Window.unboundedPreceding, -1))
+    per = per.select(F.struct(key, "seg").alias("_of"), "_on", F.coalesce(earlier, F.lit(0)).alias("_earlier"))
+    runs = own.withColumn("_runs", F.sum("_begins").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = runs.join(per, runs[key].eqNullSafe(F.col(f"_of.{key}")) & (runs["seg"] == F.col("_of.seg")))
+    return (runs.withColumn("is_event_start", F.when((F.col("_nth") == 1) & (F.col("_on") == 1), 0).otherwise(F.col("_begins")))
+                .withColumn(out, F.col("_earlier") + F.col("_runs") - F.col("_on"))
+                .drop("_nth", "_begins", "_runs", "_of", "_on", "_earlier"))
+
+
 def latest_per(df: DataFrame, key: str | Sequence[str], order: str | Sequence[str]) -> DataFrame:
     """The newest row per key.
 

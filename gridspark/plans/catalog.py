@@ -271,10 +271,10 @@ def d2_gaps_by_device(spark, sf_dir):
 
 
 def marked_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """W1 rolling baseline -> W2 max |z| -> W3 filter and flag, per reading."""
+    """W1 rolling baseline -> W2 max |z| -> W3 filter and flag, per reading, every device split into time ranges."""
     from ..operators import windows as W
     r = quality.only_source(silver(spark, sf_dir)).select("reading_id", "device_id", "feeder_id", "ts", "voltage", "current")
-    return W.flag_anomalies(W.zscore(W.rolling_baseline(r, n=O.WINDOW)), O.Z, O.MIN_N)
+    return W.flagged_segments(r, O.WINDOW, O.Z, O.MIN_N, size=500)
 
 
 @register("w4_islands", O.with_ctes(*FAULTS_SQL, body=f"""
@@ -283,7 +283,7 @@ SELECT j.device_id, j.reading_id, CASE WHEN any_value(j.abs_z) >= {O.Z} THEN 1 E
 FROM judged j LEFT JOIN runs r ON r.device_id = j.device_id AND r.first_n <= j.n GROUP BY j.device_id, j.reading_id"""))
 def w4_islands(spark, sf_dir):
     from ..operators import windows as W
-    return W.islands(marked_readings(spark, sf_dir)).select(
+    return W.islands_of_segments(marked_readings(spark, sf_dir)).select(
         "device_id", "reading_id", "is_anomalous", "is_event_start", F.col("event_seq").cast("long").alias("event_seq"))
 
 

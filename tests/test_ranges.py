@@ -42,6 +42,22 @@ def test_time_segments_against_brute_force(spark, rows, halo, size, bucket):
         assert all(r.seg == 0 for r in got)
 
 
+def test_islands_of_segments_equal_those_of_devices(spark):
+    rng = np.random.default_rng(2)
+    rows = [(f"r{i:04d}", d, "f", T0 + timedelta(seconds=int(i)), 100.0 + float(rng.normal()) + (60 if i % 50 > 35 or rng.random() < .05 else 0), 10.0 + float(rng.normal()))
+            for d in ("a", "b", None) for i in range(300)]
+    r = spark.createDataFrame(rows, "reading_id string, device_id string, feeder_id string, ts timestamp, voltage double, current double")
+    kw = dict(n=10, z=2.0, min_n=3)
+    whole = windows.islands(windows.flag_anomalies(windows.zscore(windows.rolling_baseline(r, n=10)), 2.0, 3))
+    cols = ["reading_id", "device_id", "baseline_n", "is_anomalous", "is_event_start", F.col("event_seq").cast("long")]
+    for size in (25, 100, 10_000):
+        cut = windows.islands_of_segments(windows.flagged_segments(r, size=size, bucket_seconds=5, **kw))
+        assert cut.select("seg").distinct().count() == (1 if size == 10_000 else 300 // size)
+        a, b = whole.select(*cols), cut.select(*cols)
+        assert a.count() == b.count() > 500 and a.exceptAll(b).count() == 0
+    assert whole.agg(F.max("event_seq")).first()[0] > 10
+
+
 def test_the_windowed_detector_shuffles_readings_once(spark):
     r = spark.createDataFrame([], S.READINGS)
     plan = detect.detect_windowed(r)._jdf.queryExecution().executedPlan().toString()
