@@ -131,7 +131,7 @@ def health_stream(spark: SparkSession, silver_stream_df: DataFrame, faults_path:
         versions.publish(spark, health_path, version)
     w = (SG.feeder_windows_stream(silver_stream_df, width, watermark).writeStream
          .foreachBatch(SG.upsert_health_batch(versions.folder(health_path, version),
-                                              lambda s: tables.read_table(s, faults_path, S.FAULTS), width))
+                                              lambda s: tables.read_table(s, faults_path, S.FAULTS), width, faults_path))
          .option("checkpointLocation", checkpoint))
     if trigger:
         w = w.trigger(**trigger)

@@ -78,6 +78,26 @@ def read_table(spark: SparkSession, path: str, schema: StructType, keys: Sequenc
     return latest_per(read_log(spark, path, schema), list(keys), [RUN, BATCH]).select(*schema.names)
 
 
+def position(spark: SparkSession, path: str, schema: StructType) -> tuple[str, int] | None:
+    """(run, batch) of the latest batch with rows; None for an empty table."""
+    latest = read_log(spark, path, schema).agg(F.max(F.struct(RUN, BATCH)).alias("p")).first().p
+    return None if latest is None else (latest[RUN], latest[BATCH])
+
+
+def changed_rows(spark: SparkSession, path: str, schema: StructType, since: tuple[str, int] | None,
+                 until: tuple[str, int], keys: Sequence[str] = ("event_id",)) -> DataFrame:
+    """What batches behind ``since`` up to ``until`` wrote, and what their keys
+    were before: all rows of the log that such a change may concern.  Folders
+    outside the range are read for the keys' earlier rows only."""
+    log, at = read_log(spark, path, schema), F.struct(RUN, BATCH)
+    to = F.struct(F.lit(until[0]).alias(RUN), F.lit(until[1]).cast("long").alias(BATCH))
+    log = log.filter(at <= to)
+    if since is None:
+        return log.select(*schema.names)
+    new = log.filter(at > F.struct(F.lit(since[0]).alias(RUN), F.lit(since[1]).cast("long").alias(BATCH)))
+    return new.select(*schema.names).unionByName(log.join(new.select(*keys).distinct(), list(keys), "left_semi").select(*schema.names))
+
+
 def ensure_table(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str] = ("event_id",)) -> DataFrame:
     """Create the table if its folder does not exist (an empty batch that
     no query's batch can replace); return it."""

@@ -81,34 +81,68 @@ def read_health(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def upsert_health_batch(path: str, faults_reader, width: str = "1 minute"):
+def upsert_health_batch(path: str, faults_reader, width: str = "1 minute", faults_log: str | None = None):
     """A ``foreachBatch`` function for the windowed stream (without the
     join): each micro-batch of closed windows gets the counts of the fault
     table as it is now (``faults_reader(spark)``), and windows stored earlier
     whose count has changed meanwhile get their new one.
 
     Health is partitioned by day; only the days of new windows and of changed
-    counts are written.  Finding the changed ones reads two columns of the
-    stored windows and joins them with the counts, one row a feeder-window."""
+    counts are written.  With ``faults_log``, the folder of the fault table's
+    log, the changed days are those of the faults that came since the batch
+    before (``tables.changed_rows``), and nothing else of the stored history is
+    read; each batch notes how far it saw the log, and a retry starts from the
+    note of the batch before it.  Without, finding them reads two columns of
+    the stored windows and joins them with the counts."""
+    notes = f"{path.rstrip('/')}-seen"
+
+    def seen_before(spark: SparkSession, batch_id: int) -> tuple[str, int] | None:
+        try:
+            noted = spark.read.schema(_NOTE + ", of_batch long").parquet(notes).filter(F.col("of_batch") < batch_id)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        last = noted.agg(F.max_by(F.struct("run", "batch"), "of_batch").alias("p")).first().p
+        return None if last is None else (last.run, last.batch)
+
+    def changed_days(spark: SparkSession, stored: DataFrame | None, faults: DataFrame, now, batch_id: int) -> DataFrame | None:
+        if stored is None:
+            return None
+        if faults_log is None:
+            counts = H.fault_counts(faults, width).withColumnRenamed("fault_count", "_now")
+            return (stored.select(*H.KEY, "fault_count", "day").join(counts, H.KEY, "left")
+                    .filter(F.col("fault_count") != F.coalesce("_now", F.lit(0))).select("day"))
+        since = seen_before(spark, batch_id)
+        if now is None or since == now:
+            return spark.createDataFrame([], "day date")
+        rows = tables.changed_rows(spark, faults_log, S.FAULTS, since, now)
+        return H.by_day(rows.select(F.window("timestamp", width).start.alias("window_start"))).select("day").distinct()
+
     def fn(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        now = tables.position(spark, faults_log, S.FAULTS) if faults_log else None
         faults = faults_reader(spark)
         fresh = H.by_day(H.with_fault_counts(batch, faults, width))
         stored = read_health(spark, path)
-        if stored is not None:
-            counts = H.fault_counts(faults, width).withColumnRenamed("fault_count", "_now")
-            changed = (stored.select(*H.KEY, "fault_count", "day").join(counts, H.KEY, "left")
-                       .filter(F.col("fault_count") != F.coalesce("_now", F.lit(0))).select("day"))
-            days = changed.union(fresh.select("day")).distinct()
+        days = changed_days(spark, stored, faults, now, batch_id)
+        if days is not None:
+            days = days.union(fresh.select("day")).distinct()
             older = H.by_day(H.refresh_fault_counts(stored.join(days, "day", "left_semi").drop("day"), faults, width))
             fresh = tables.upsert(older, fresh, H.KEY)
         # written aside first: the partitions that are read are those that are replaced
         aside = f"{checkpoint_dir(spark).rstrip('/')}/gridspark-health/{uuid.uuid4().hex}"
         fresh.write.parquet(aside)
         tables.write_partitions(spark.read.schema(fresh.schema).parquet(aside), path, ["day"])
+        if now is not None:  # last: a batch that failed before this looks at the same changes again
+            spark.createDataFrame([now], _NOTE).coalesce(1).write.mode("overwrite").parquet(f"{notes}/of_batch={int(batch_id)}")
     return fn
 
 
+#: How far a batch of health saw the fault table's log.
+_NOTE = "run string, batch long"
+
+
 def fresh_checkpoint(base: str) -> str:
     """T8s: a new checkpoint folder for a full refresh (the old one is left
     in place; its offsets refer to files that may be gone)."""

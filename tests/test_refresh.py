@@ -140,3 +140,42 @@ def test_readings_beyond_the_delay_are_dropped_and_idle_devices_forgotten(spark,
     assert got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
     with pytest.raises(ValueError, match="delay"):
         SD.detect_frozen_stream(landing.read_readings_stream(spark, f"{scratch}/in").withColumn("ts", F.col("ts").cast("timestamp")), idle="1 minute")
+
+
+def test_health_follows_the_faults_that_came_since(spark, scratch):
+    """Days of changed faults are rewritten, a moved event's old day included; other days are left alone."""
+    import os
+
+    from gridspark.operators import health
+    path, log = f"{scratch}/health", f"{scratch}/faults"
+    windows = spark.createDataFrame(
+        [(datetime(2024, 1, d, 0, 0), datetime(2024, 1, d, 0, 1), "f1", 1.0, 1.0, 60.0, 2) for d in range(1, 8)],
+        "window_start timestamp, window_end timestamp, feeder_id string, avg_voltage double, avg_current double, avg_frequency double, device_count long")
+    def fault(event, day):
+        return spark.createDataFrame([(event, "d", "f1", datetime(2024, 1, day, 0, 0, 30), "transient", 0.5)], S.FAULTS)
+    def counts():
+        return {r.window_start.day: r.fault_count for r in SG.read_health(spark, path).collect()}
+    def kept():
+        return {d: os.listdir(f"{path}/day=2024-01-0{d}") for d in range(1, 8) if os.path.isdir(f"{path}/day=2024-01-0{d}")}
+    fn = SG.upsert_health_batch(path, lambda s: tables.read_table(s, log, S.FAULTS), faults_log=log)
+    tables.ensure_table(spark, log, S.FAULTS)
+    fn(windows.filter("day(window_start) <= 3"), 0)
+    assert counts() == {1: 0, 2: 0, 3: 0}
+    tables.upsert_table(spark, log, fault("a", 2), ["event_id"], S.FAULTS, "1", 0)
+    tables.upsert_table(spark, log, fault("b", 5), ["event_id"], S.FAULTS, "1", 1)
+    before = kept()
+    for _ in range(2):  # the batch, and its retry
+        fn(windows.filter("day(window_start) = 4"), 1)
+        assert counts() == {1: 0, 2: 1, 3: 0, 4: 0}
+        assert kept()[1] == before[1] and kept()[3] == before[3] and kept()[2] != before[2]
+    tables.upsert_table(spark, log, fault("a", 3), ["event_id"], S.FAULTS, "1", 2)  # the event moves to another day
+    before = kept()
+    fn(windows.filter("day(window_start) = 5"), 2)
+    assert counts() == {1: 0, 2: 0, 3: 1, 4: 0, 5: 1}
+    assert kept()[1] == before[1] and kept()[4] == before[4]
+    before = kept()
+    fn(windows.filter("day(window_start) = 6"), 3)  # nothing changed: the new day alone is written
+    assert {d: f for d, f in kept().items() if d < 6} == before and counts()[6] == 0
+    want = health.with_fault_counts(windows.filter("day(window_start) <= 6"), tables.read_table(spark, log, S.FAULTS), "1 minute")
+    got = SG.read_health(spark, path).drop("day")
+    assert got.exceptAll(want.select(*got.columns)).count() == 0 and got.count() == want.count()
