@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridspark.session import checkpoint_dir
+from gridspark.sources.files import shared_uri
 
 #: Bytes of UTF-8 that separate words in the ``[^\x20\x09-\x0D]+`` contracts;
 #: ``bytes.split()`` without arguments splits on exactly these.
@@ -22,8 +23,10 @@ BROADCAST_IDS = 4_000_000
 
 
 def run_dir(spark: SparkSession, what: str) -> str:
-    """A new folder name below ``spark.checkpoint.dir``, shared by all executors."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
+    """A new folder name below ``spark.checkpoint.dir``, shared by all executors,
+    with the scheme that Spark resolves it to: tasks that open its files
+    themselves then reach the same store."""
+    return f"{shared_uri(spark, checkpoint_dir(spark)).rstrip('/')}/llm-{what}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, what: str, compression: str = "zstd") -> DataFrame:

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from gridspark.sources.files import shared_uri
+
 from .common import Recent, filesystem, rows_in, run_dir, stage, worker_cache
 from .words import binary_array, gather, text_buffers, with_each
 
@@ -284,7 +286,7 @@ def write_tokens(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, en
     ``tokenizers`` file that executors can open; ids take 2 bytes while
     ``vocabulary`` and ``end_id`` allow it, else 4."""
     spark = docs.sparkSession
-    root = root or run_dir(spark, "tokens")
+    root = shared_uri(spark, root) if root else run_dir(spark, "tokens")
     width = 2 if max(vocabulary, end_id + 1) <= 1 << 16 else 4
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("h"))

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridspark.sources.files import shared_uri
+
 from .common import filesystem, run_dir, small_or_shuffled, stage
 
 #: An archive file is closed once it holds this many bytes.
@@ -145,7 +147,7 @@ def write_archives(pages: DataFrame, id_col: str, url_col: str, html_col: str, r
     apart by their place, which is stored with them before winners are chosen
     and files written, so both see the same; a repeated task writes files of
     another name, which no manifest lists."""
-    root = root or run_dir(pages.sparkSession, "warc")
+    root = shared_uri(pages.sparkSession, root) if root else run_dir(pages.sparkSession, "warc")
     payload = F.encode(F.coalesce(F.col(html_col), F.lit("")), "UTF-8")
     rows = stage(pages.select(F.col(id_col).alias("key"), F.col(url_col).alias("url"), payload.alias("payload"),
                               F.monotonically_increasing_id().alias("rid"), F.sha1(payload).alias("digest")), "pages")

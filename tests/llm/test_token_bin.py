@@ -11,6 +11,7 @@ from hypothesis import strategies as st
 
 from edges import edge_docs, no_docs  # noqa: F401
 from gridspark.llm import token_bin as B
+from gridspark.llm.common import run_dir
 
 PATH = P.path("byte_bpe_50k.json")
 ENCODER = B.Encoder(PATH, 2)
@@ -112,3 +113,11 @@ def test_added_tokens_encode_as_in_a_fresh_tokenizer(name):
     assert encoded(e, texts) == want and encoded(e, texts) == want
     if name.startswith("byte"):
         assert np.frombuffer(encoded(e, ["a <|endoftext|> b"])[0], "<u2").tolist().count(50256) == 1
+
+
+def test_folders_have_the_scheme_that_spark_resolves(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
+    plain, manifest = B.write_tokens(docs, "doc_id", "text", PATH, 2, 50_257, root=str(tmp_path / "ids"))
+    assert plain == f"file:{tmp_path}/ids"
+    assert sorted(r.doc_id for r in B.read_tokens(spark, plain, manifest, "doc_id").collect()) == [1, 2]
+    assert run_dir(spark, "x").split(":")[0] == "file"
