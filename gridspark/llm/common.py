@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this subpackage."""
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -110,8 +111,27 @@ def worker_cache() -> dict:
     return held.__dict__.setdefault("cache", {})
 
 
+def trim() -> None:
+    """Give what this Python worker has freed back to the system, for a
+    worker that waits for its next task would keep it."""
+    pa.default_memory_pool().release_unused()
+    give_back = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc's
+    if give_back is not None:
+        give_back(0)
+
+
+def tidied(run):
+    """The task ``run`` (batches to batches), followed by ``trim``."""
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+    return tidy
+
+
 def release_worker() -> None:
     """Drop what another operator's tasks have left in this Python worker."""
     worker_cache().clear()
     gc.collect()
-    pa.default_memory_pool().release_unused()
+    trim()

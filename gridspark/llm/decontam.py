@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import filesystem, rows_in, run_dir
+from .common import filesystem, rows_in, run_dir, tidied
 
 SHINGLE, CONTAINMENT = 5, 0.8
 #: Bins a shingle of the class's largest set: a shingle shares its bin with a
@@ -256,7 +256,7 @@ def find_contaminated(docs: DataFrame, index: dict, id_col: str, text_col: str,
     them in blocks, so neither side is shuffled or held whole."""
     kind = docs.schema[id_col].dataType.simpleString()
     return (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(_pairs(index, least), f"id {kind}, item_id {index['kind']}, n_shared long, n_shingles long, containment double")
+            .mapInArrow(tidied(_pairs(index, least)), f"id {kind}, item_id {index['kind']}, n_shared long, n_shingles long, containment double")
             .withColumnRenamed("id", id_col))
 
 
@@ -274,4 +274,4 @@ def _clean(index: dict, least: float, at: int):
 def drop_contaminated(docs: DataFrame, index: dict, text_col: str, least: float = CONTAINMENT) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no item; the
     rule is that of ``find_contaminated``, whatever the ids."""
-    return docs.mapInArrow(_clean(index, least, docs.columns.index(text_col)), docs.schema)
+    return docs.mapInArrow(tidied(_clean(index, least, docs.columns.index(text_col))), docs.schema)

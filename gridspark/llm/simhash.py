@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import small_or_shuffled, stage, utf8
+from .common import small_or_shuffled, stage, tidied, utf8
 from .components import connected_components
 
 BITS = 64
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> D
     """(id, fp) of every row: the whole text's fingerprint as a signed 64-bit
     integer; null and empty texts have 0."""
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(_fingerprints(shingle), "id long, fp long"))
+            .mapInArrow(tidied(_fingerprints(shingle)), "id long, fp long"))
 
 
 # ---- partitions of correlated bits -----------------------------------------------
@@ -305,9 +305,9 @@ def fingerprint_links(unique: DataFrame, max_bits: int, parts: int = PARTS) -> D
     def probes(batches):
         yield from _signatures(Plan(groups, max_bits, near.value))(batches)
 
-    rows = unique.select("fp").mapInArrow(probes, "key long, tile long, probing boolean, fp long")
+    rows = unique.select("fp").mapInArrow(tidied(probes), "key long, tile long, probing boolean, fp long")
     return (rows.repartition("key", "tile").sortWithinPartitions("key", "tile", "probing")
-            .mapInArrow(_verify(max_bits), "u long, v long"))
+            .mapInArrow(tidied(_verify(max_bits)), "u long, v long"))
 
 
 def _histogram(groups: list[list[int]]):
@@ -387,7 +387,7 @@ def keep_one(docs: DataFrame, found: DataFrame, id_col: str, text_col: str, shin
     twice = F.col("_id") == F.col("_again")
     repeated = rows.join(again, twice, "left_semi")
     kinds = T.StructType([*repeated.schema.fields[:-1], T.StructField("_fp", T.LongType())])
-    repeated = repeated.mapInArrow(_with_fingerprints(shingle), kinds)
+    repeated = repeated.mapInArrow(tidied(_with_fingerprints(shingle)), kinds)
     repeated = repeated.join(stays, (F.col("_id") == F.col("_stays")) & (_printed("_fp") == F.col("_print")), "left_semi")
     nth = Window.partitionBy("_id", "_fp").orderBy("_h")
     first = repeated.withColumn("_nth", F.row_number().over(nth)).filter("_nth = 1").select("_row")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gridspark.sources.files import shared_uri
 
-from .common import Recent, filesystem, rows_in, run_dir, stage, worker_cache
+from .common import Recent, filesystem, rows_in, run_dir, stage, tidied, worker_cache
 from .words import binary_array, gather, text_buffers, with_each
 
 #: Parts whose ids a Python worker remembers, about 130 MB.
@@ -32,7 +32,7 @@ CACHE_PARTS = 700_000
 #: Longer parts are encoded anew each time.
 CACHE_BYTES = 64
 #: Bytes of text tokenised at a time.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 #: One select sample every so many ones.
 SAMPLE = 512
 
@@ -291,7 +291,7 @@ def write_tokens(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, en
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("h"))
     manifest = (rows.repartitionByRange("id", "h").sortWithinPartitions("id", "h")
-                .mapInArrow(_write(root, tokenizer, end_id, width), _MANIFEST))
+                .mapInArrow(tidied(_write(root, tokenizer, end_id, width)), _MANIFEST))
     return root, stage(manifest, "manifest")
 
 
@@ -358,5 +358,5 @@ def read_tokens(spark: SparkSession, root: str, manifest: DataFrame, id_col: str
     shards = manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0).cast("long")))
     shards = shards.repartition(max(1, 2 * manifest.count()), "part")
     extra = ", ids array<int>" if with_ids else ""
-    return (shards.mapInArrow(_read(root, with_ids), f"id long, start long, n_tokens long, ids_crc32 long{extra}")
+    return (shards.mapInArrow(tidied(_read(root, with_ids)), f"id long, start long, n_tokens long, ids_crc32 long{extra}")
             .withColumnRenamed("id", id_col))
