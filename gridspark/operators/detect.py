@@ -12,8 +12,8 @@ in the baselines after them, rows without a device are one device of their own.
 
 * ``"segmented"`` (default): a device with more than ``segment_rows`` readings
   is cut into time ranges of about as many (``time_segments``), each with the
-  ``window`` readings before it; the readings are shuffled once, by (device,
-  range), where the rolling baseline runs.  Event membership is keyed by the
+  ``window`` readings before it; the readings are shuffled by (device, range)
+  once, where the rolling baseline runs.  Event membership is keyed by the
   place of the last normal reading before each anomalous one, carried across
   ranges through one summary row a range.  A device holding a third of all
   rows is spread over many tasks.

@@ -2,7 +2,7 @@
 
 A device with more than ``segment_rows`` readings is cut into time ranges of
 about as many (``windows.time_segments``), the segments; each also receives
-the ``warmup`` readings before it.  Readings are shuffled once.  Round 0 walks all segments in parallel:
+the ``warmup`` readings before it.  Round 0 walks all segments in parallel:
 a segment starts from an empty state, walks its warm-up readings without
 emitting, records that state as its *guessed* start, walks its own
 readings and records its end state.  Segment 0 has no warm-up, so its start

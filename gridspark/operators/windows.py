@@ -11,8 +11,8 @@ halo of preceding rows so that bounded look-back windows (rolling
 baselines, LAG) can run per segment -- a hot key is spread over many tasks.
 
 ``time_segments`` does the same without ordinals: only keys with more rows than
-a segment are cut, at time buckets, and the rows are shuffled once, when their
-windows are.
+a segment are cut, at time buckets; rows find their range in a join by time
+bucket and are shuffled by range when their windows are.
 """
 from __future__ import annotations
 
@@ -164,42 +164,46 @@ def time_segments(df: DataFrame, halo: int, size: int, keys: Sequence[str] = ("d
     A key with at most ``size`` rows is one range.  Others are cut where the
     rows before a time bucket reach a further multiple of ``size``, so a range
     holds about ``size`` rows (one bucket at least) and never fewer than
-    ``halo`` before another.  The cuts of such keys, at most rows / ``size`` of
-    all, are the only thing that is broadcast; the halo is a limit within
-    (key, range), which tasks apply before they shuffle.  Rows without a time
-    come first, a null key is a key of its own.  ``order`` begins with
-    ``time_col``."""
+    ``halo`` before another.  A row finds its range by its key and time bucket,
+    in a join whose rows do not widen with the number of ranges; only the keys
+    with more than ``size`` rows are broadcast.  The halo comes from the
+    buckets at a range's end, and is a limit within (key, range), which tasks
+    apply before they shuffle.  Rows without a time come first, a null key is a
+    key of its own.  ``order`` begins with ``time_col``."""
     if halo >= size:
         raise ValueError("segment size must exceed the halo")
     size, keys = max(size, 2 * halo), list(keys)
     first = F.lit(-(1 << 62))  # the bucket of rows without a time
     bucket = F.coalesce(F.floor(F.unix_micros(F.col(time_col)) / F.lit(bucket_seconds * 1_000_000)).cast("long"), first)
 
-    def by_key(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-        same = F.lit(True)
-        for k in keys:
-            same = same & left[k].eqNullSafe(right[f"_of.{k}"])
-        return left.join(F.broadcast(right), same, how).drop("_of")
+    def same(left: DataFrame, names: Sequence[str]) -> Column:
+        on = F.lit(True)
+        for k in names:
+            on = on & left[k].eqNullSafe(F.col(f"_of.{k}"))
+        return on
 
     hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > size)
            .select(F.struct(*keys).alias("_of")))
-    counts = by_key(df.select(*keys, bucket.alias("_bucket")), hot, "inner").groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    places = df.select(*keys, bucket.alias("_bucket"))
+    counts = places.join(F.broadcast(hot), same(places, keys)).groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*keys).orderBy("_bucket")
-    before = F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cuts = counts.withColumn("_before", before).withColumn("_multiple", F.floor(F.col("_before") / F.lit(size)))
-    cuts = cuts.withColumn("_passed", F.coalesce(F.lag("_multiple").over(w), F.lit(0))).filter(F.col("_multiple") > F.col("_passed"))
-    near = F.col("_before") - F.coalesce(F.lag("_before").over(w), F.lit(0)) < halo  # too few rows for the next one's halo
-    cuts = (cuts.withColumn("_near", near).filter(~F.col("_near")).groupBy(*keys).agg(F.sort_array(F.collect_list("_bucket")).alias("_cuts"))
-            .select(F.struct(*keys).alias("_of"), "_cuts"))
-    # the cuts at or before a row's bucket, by binary descent
-    steps = F.array(*[F.lit(1 << i) for i in range(30, -1, -1)])
-    at = F.aggregate(steps, F.lit(0), lambda lo, s: F.when(F.get("_cuts", lo + s - 1) <= F.col("_bucket"), lo + s).otherwise(lo))
-    found = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(at).cast("long")
-    plain = df.columns
-    rows = by_key(df.withColumn("_bucket", bucket), cuts, "left").withColumn(seg, found)
-    mine = by_key(df.withColumn("_bucket", bucket), cuts, "inner").withColumn(seg, found)
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    cuts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    cuts = cuts.withColumn("_multiple", F.floor(F.col("_before") / F.lit(size)))
+    cuts = cuts.withColumn("_passed", F.col("_multiple") > F.coalesce(F.lag("_multiple").over(w), F.lit(0)))
+    last_passed = F.last(F.when(F.col("_passed"), F.col("_before")), ignorenulls=True).over(earlier)
+    near = F.col("_before") - F.coalesce(last_passed, F.lit(0)) < halo  # too few rows for the next one's halo
+    cuts = cuts.withColumn("_cut", F.col("_passed") & ~near)
+    nth = F.sum(F.when(F.col("_cut"), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    # rows before the next range, from the last bucket backwards: a frame that runs to the end is worked out anew for each row
+    ahead = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    behind = F.min(F.when(F.col("_cut"), F.col("_before"))).over(ahead) - F.col("_before") - F.col("_n")
+    ranges = (cuts.withColumn(seg, nth).withColumn("_ends", F.coalesce(behind < halo, F.lit(False)))
+              .select(F.struct(*keys, "_bucket").alias("_of"), seg, "_ends"))
+    plain, own = df.columns, df.withColumn("_bucket", bucket)
+    rows = own.join(ranges.drop("_ends"), same(own, [*keys, "_bucket"]), "left").withColumn(seg, F.coalesce(seg, F.lit(0).cast("long")))
+    mine = own.join(ranges.filter("_ends").drop("_ends"), same(own, [*keys, "_bucket"]))
     last = Window.partitionBy(*keys, seg).orderBy(*[c.desc() for c in _cols(order)])
-    tail = (mine.withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") <= halo).filter(F.col(seg) < F.size("_cuts"))
-            .withColumn(seg, F.col(seg) + 1))
+    tail = mine.withColumn("_nth", F.row_number().over(last)).filter(F.col("_nth") <= halo).withColumn(seg, F.col(seg) + 1)
     return (rows.select(*plain, seg, F.lit(False).alias(is_halo))
             .unionByName(tail.select(*plain, seg, F.lit(True).alias(is_halo))))

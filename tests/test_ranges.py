@@ -42,6 +42,16 @@ def test_time_segments_against_brute_force(spark, rows, halo, size, bucket):
         assert all(r.seg == 0 for r in got)
 
 
+def test_rows_do_not_widen_with_the_number_of_ranges(spark):
+    r = spark.createDataFrame([(i, "a", T0 + timedelta(seconds=i)) for i in range(300)], "reading_id int, device_id string, ts timestamp")
+    cut = windows.time_segments(r, halo=3, size=10, bucket_seconds=1)
+    assert cut.select("seg").distinct().count() == 30
+    plan = cut._jdf.queryExecution().optimizedPlan()
+    wide = [plan.apply(i) for i in range(plan.toString().count("\n"))]
+    types = [a for p in wide for a in p.schema().catalogString().split(",")]
+    assert types and not any("array<" in a for a in types)
+
+
 def test_islands_of_segments_equal_those_of_devices(spark):
     rng = np.random.default_rng(2)
     rows = [(f"r{i:04d}", d, "f", T0 + timedelta(seconds=int(i)), 100.0 + float(rng.normal()) + (60 if i % 50 > 35 or rng.random() < .05 else 0), 10.0 + float(rng.normal()))
