@@ -31,8 +31,8 @@ SHARE = 4
 HOLD_OUT = 5
 #: A language gets a threshold if so many held-out documents support it; others have the pooled one.
 LEAST_DOCS = 5
-#: The pooled model learns from so many trusted documents at most, the first by a hash; each is held out once, by one model a fold.
-POOL_DOCS = 5000
+#: Bits of a hash by whose ranges the pooled model's texts are numbered.
+RANK_BITS = 12
 #: The quantile of a language's held-out trusted texts that is its threshold.
 QUANTILE = 0.98
 #: Short texts: so many characters of the language's mean count beside a text's own.
@@ -175,6 +175,12 @@ def _discount(c: Column, d: Column) -> Column:
     return F.when(c == 1, d[0]).when(c == 2, d[1]).otherwise(d[2])
 
 
+def _counted(texts: DataFrame, order: int) -> DataFrame:
+    """(lang, gram, c): the n-grams of the highest order in texts (lang, text)."""
+    return (texts.filter(F.col("text").isNotNull()).mapInArrow(tidied(_count(order)), "lang string, gram string, c long")
+            .groupBy("lang", "gram").agg(F.sum("c").alias("c")))
+
+
 def train(trusted: DataFrame, lang_col: str, text_col: str, order: int = ORDER) -> DataFrame:
     """The model table (lang, gram, logp, bow) of trusted texts, stored in the
     shared folder; null languages count as the language ''.
@@ -186,8 +192,11 @@ def train(trusted: DataFrame, lang_col: str, text_col: str, order: int = ORDER)
     never seen.  Counts are of all texts given, combined in the tasks before
     they are shuffled by n-gram; no key is hotter than its tasks."""
     texts = trusted.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.col(text_col).alias("text"))
-    counted = (texts.filter(F.col("text").isNotNull()).mapInArrow(tidied(_count(order)), "lang string, gram string, c long")
-               .groupBy("lang", "gram").agg(F.sum("c").alias("c")))
+    return _model(_counted(texts, order), order)
+
+
+def _model(counted: DataFrame, order: int) -> DataFrame:
+    """The model table of counted n-grams of the highest order."""
     counts = {order: stage(counted, "counts")}
     for k in range(order - 1, 0, -1):
         ends = counts[k + 1].groupBy("lang", F.substring("gram", 2, k).alias("gram")).agg(F.count("*").alias("c"))
@@ -435,20 +444,31 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
             .agg(F.min("quality").alias("q"), F.coalesce(F.max("toxic"), F.lit(0)).alias("t")).filter("q = 1 and t = 0").select("id"))
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text) with ``pool``, dealt to ``HOLD_OUT`` folds in turn in
+    the order of a hash: numbered within ranges of it, 2**``RANK_BITS`` at most,
+    and by the rows of the ranges before."""
+    rows = rows.withColumn("_h", F.xxhash64("id", "text")).withColumn("_range", F.shiftright("_h", 64 - RANK_BITS))
+    before = F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.groupBy("_range").agg(F.count("*").alias("n")).select("_range", F.coalesce(before, F.lit(0)).alias("_before"))
+    nth = F.row_number().over(Window.partitionBy("_range").orderBy("_h", "id"))
+    return (rows.withColumn("_nth", nth).join(F.broadcast(starts), "_range")
+            .select("id", "text", ((F.col("_before") + F.col("_nth")) % HOLD_OUT).cast("string").alias("pool")))
+
+
 def _pooled(docs: DataFrame, trusted: DataFrame, order: int) -> tuple[DataFrame, DataFrame]:
     """Scores of ``docs`` (id, lang, text) under a model of all languages'
     trusted texts, and the one row (mean, most) of their threshold, or none.
 
-    It learns from the ``POOL_DOCS`` trusted texts that come first by a hash,
-    in ``HOLD_OUT`` folds; each fold is held out in turn of a model of its own,
-    for the threshold."""
-    order_ = [F.xxhash64("id", "text"), F.col("id")]
-    pool = trusted.filter(F.col("text").isNotNull()).orderBy(*order_).limit(POOL_DOCS)
-    trusted = stage(pool.withColumn("fold", F.row_number().over(Window.orderBy(*order_)) % HOLD_OUT), "pool")
-    folds = list(range(HOLD_OUT))
-    others = trusted.select("text", "fold", F.explode(F.array(*map(F.lit, folds))).alias("without")).filter("fold != without")
-    model = train(others.withColumn("pool", F.col("without").cast("string")), "pool", "text", order)
-    held = trusted.filter(F.col("fold").isin(folds)).withColumn("pool", F.col("fold").cast("string"))
+    It learns from all of them, dealt in the order of a hash to ``HOLD_OUT``
+    folds; each fold is held out in turn of a model of its own, for the
+    threshold.  A fold's n-grams are counted once and added up for the models
+    of the others."""
+    held = stage(_dealt(trusted.filter(F.col("text").isNotNull())), "pool")
+    own = _counted(held.select(F.col("pool").alias("lang"), "text"), order)
+    pools = F.array(*[F.lit(str(i)) for i in range(HOLD_OUT)])
+    others = own.select(F.explode(F.array_remove(pools, F.col("lang"))).alias("lang"), "gram", "c")
+    model = _model(others.groupBy("lang", "gram").agg(F.sum("c").alias("c")), order)
     limit = thresholds(score(held, model, "id", "pool", "text", order).withColumn("lang", F.lit("")))
     return score(docs.withColumn("pool", F.lit("0")), model, "id", "lang", "text", order, "pool"), limit.drop("lang")
 

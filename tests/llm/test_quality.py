@@ -181,6 +181,23 @@ def test_languages_without_support_are_judged_by_the_pool(spark):
     assert not any(got[i] for i in (200, 201, 202, 203, 300)) and got[100] and got[101] and got[102] and got[None]
 
 
+def test_the_pooled_model_learns_from_all_trusted_texts(spark):
+    order, n = 3, 5300
+    texts = {i: f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)} {i}" for i in range(n)}
+    trusted = spark.createDataFrame(list(texts.items()), "id long, text string").repartition(5)
+    ranked = [r.id for r in trusted.orderBy(F.xxhash64("id", "text"), "id").collect()]
+    dealt = {r.id: r.pool for r in Q._dealt(trusted).collect()}
+    assert dealt == {i: str((at + 1) % Q.HOLD_OUT) for at, i in enumerate(ranked)}  # as one sort would deal them
+    docs = spark.createDataFrame([(0, "ab 1", "xx"), (1, texts[ranked[-1]], None), (2, "zz 5299", "xx")], "id long, text string, lang string")
+    scores, limit = Q._pooled(docs, trusted, order)
+    plain = Plain([t for i, t in texts.items() if dealt[i] != "0"], order)
+    rows = scores.collect()
+    assert len(rows) == 3 and limit.count() == 1
+    for r in rows:
+        text = {0: "ab 1", 1: texts[ranked[-1]], 2: "zz 5299"}[r.id]
+        assert r.logp == pytest.approx(sum(math.log(plain.p(g)) for g in Plain.grams(text, order)), rel=1e-5)
+
+
 def test_every_text_is_judged_on_the_smallest_table(spark):
     from edges import SF001
     docs, labels = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "labels"))
