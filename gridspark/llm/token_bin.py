@@ -27,12 +27,14 @@ from gridspark.sources.files import shared_uri
 from .common import Recent, filesystem, rows_in, run_dir, stage, tidied, worker_cache
 from .words import binary_array, gather, text_buffers, with_each
 
-#: Parts whose ids a Python worker remembers, about 130 MB.
-CACHE_PARTS = 700_000
+#: Parts whose ids a Python worker remembers, about 60 MB: also while it waits for its next task.
+CACHE_PARTS = 300_000
+#: Parts that the library encodes in one call.
+LIBRARY_PARTS = 4096
 #: Longer parts are encoded anew each time.
 CACHE_BYTES = 64
 #: Bytes of text tokenised at a time.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: One select sample every so many ones.
 SAMPLE = 512
 
@@ -170,16 +172,19 @@ class Encoder:
         offsets, raw = text_buffers(column)
         at = self._begins(raw, offsets)
         coded = binary_array(np.append(at, len(raw)), raw).dictionary_encode()
+        code = coded.indices.to_numpy(zero_copy_only=False)
         parts = coded.dictionary.to_pylist()
         own = self.parts.get_all(parts)
         new = [k for k, ids in enumerate(own) if ids is None]
-        for k, ids in zip(new, self._library([parts[k] for k in new])):
-            own[k] = ids
-            if len(parts[k]) <= CACHE_BYTES:
-                self.parts.put(parts[k], ids)
+        for i in range(0, len(new), LIBRARY_PARTS):
+            some = new[i:i + LIBRARY_PARTS]
+            for k, ids in zip(some, self._library([parts[k] for k in some])):
+                own[k] = ids
+                if len(parts[k]) <= CACHE_BYTES:
+                    self.parts.put(parts[k], ids)
         flat = np.frombuffer(b"".join(own), self.kind)
         own_ends = np.concatenate([[0], np.cumsum(np.fromiter(map(len, own), np.int64, len(own)))]) // flat.itemsize
-        ids, count = gather(flat, own_ends, coded.indices.to_numpy(zero_copy_only=False))
+        ids, count = gather(flat, own_ends, code)
         return ids, np.concatenate([[0], np.cumsum(count)])[np.searchsorted(at, offsets)]
 
 
@@ -255,9 +260,11 @@ def _write(root: str, path: str, end_id: int, width: int):
                     tokens, ends = with_each(tokens, np.diff(ends), np.ones(part.num_rows, bool), end_id, first=False)
                     out.write(tokens.tobytes())
                     lengths.append(np.diff(ends))
-                    own = part.column("id")
-                    nulls += own.null_count
-                    ids.append(own.drop_null().to_numpy())
+                    own = part.column("id").drop_null()
+                    nulls += part.num_rows - len(own)
+                    ids.append(own.to_numpy().copy())  # a view would hold the batch and its texts
+                    del part, own
+                del batch  # before the next one is read
         n = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
         if not len(n):
             return

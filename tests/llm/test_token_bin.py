@@ -121,3 +121,46 @@ def test_folders_have_the_scheme_that_spark_resolves(spark, tmp_path):
     assert plain == f"file:{tmp_path}/ids"
     assert sorted(r.doc_id for r in B.read_tokens(spark, plain, manifest, "doc_id").collect()) == [1, 2]
     assert run_dir(spark, "x").split(":")[0] == "file"
+
+
+def test_a_task_lets_go_of_the_batches_it_has_written(monkeypatch, tmp_path):
+    import io
+    import tracemalloc
+    from types import SimpleNamespace
+
+    import pyspark
+    monkeypatch.setattr(pyspark, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0, taskAttemptId=lambda: 0)))
+    texts = ["some words " * 200] * 400  # 0.9 MB a batch, in one buffer with its ids as Spark sends it
+    schema = pa.schema([("id", pa.int64()), ("text", pa.string())])
+    made, held = io.BytesIO(), []
+    with pa.ipc.new_stream(made, schema) as w:
+        for k in range(12):
+            ids = [None if k == 0 and i < 3 else 400 * k + i for i in range(400)]
+            w.write_batch(pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(texts)], schema=schema))
+    made.seek(0)
+
+    def batches():
+        for batch in pa.ipc.open_stream(made):
+            yield batch
+            held.append(tracemalloc.get_traced_memory()[0])  # a batch's bytes are Python's
+
+    tracemalloc.start()
+    try:
+        out = list(B._write(str(tmp_path), PATH, 2, 2)(batches()))
+    finally:
+        tracemalloc.stop()
+    assert len(held) == 12 and max(held) - held[0] < 2_000_000
+    row = out[0].to_pylist()[0]
+    assert (row["n_docs"], row["n_null"], row["least"]) == (4800, 3, 3)
+    shard = B.Shard(str(tmp_path), row["file"])
+    assert [i for _, ids, _ in shard.documents(row["least"]) for i in ids] == [None] * 3 + list(range(3, 4800))
+
+
+def test_the_library_gets_a_bounded_number_of_parts(monkeypatch):
+    monkeypatch.setattr(B, "LIBRARY_PARTS", 5)
+    e, asked = B.Encoder(PATH, 2), []
+    library = e._library
+    e._library = lambda parts: asked.append(len(parts)) or library(parts)
+    texts = [f"text {i} of many, number{i} x{i}y" for i in range(50)] + ["", None]
+    assert encoded(e, texts) == encoded(ENCODER, texts)
+    assert max(asked) == 5 and sum(asked) > 50
