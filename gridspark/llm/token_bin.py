@@ -27,14 +27,14 @@ from gridspark.sources.files import shared_uri
 from .common import Recent, filesystem, rows_in, run_dir, stage, tidied, worker_cache
 from .words import binary_array, gather, text_buffers, with_each
 
-#: Parts whose ids a Python worker remembers, about 60 MB: also while it waits for its next task.
-CACHE_PARTS = 300_000
+#: Parts whose ids a Python worker remembers, about 130 MB.
+CACHE_PARTS = 700_000
 #: Parts that the library encodes in one call.
 LIBRARY_PARTS = 4096
 #: Longer parts are encoded anew each time.
 CACHE_BYTES = 64
 #: Bytes of text tokenised at a time.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 #: One select sample every so many ones.
 SAMPLE = 512
 
